@@ -60,15 +60,57 @@ def numbered(df: DataFrame, rs: Resolved, cols: list[str], rn: str = "rn") -> Da
     return with_ordinals(base, rs.keys, rs.order, rn)
 
 
+def _same_types(left: DataFrame, right: DataFrame, rs: Resolved, cols: list[str]) -> bool:
+    lt = {f.name: f.dataType for f in left.schema.fields}
+    rt = {f.name: f.dataType for f in right.schema.fields}
+    return all(lt[c] == rt[rs.rcol(c)] for c in cols)
+
+
 def ordinal_pairs(left: DataFrame, right: DataFrame, rs: Resolved, how: str = "inner") -> DataFrame:
     """Pair the i-th occurrence of a key on the left with the i-th on the right.
 
     ``how="full_outer"`` also yields unmatched ordinals (one flag false).
-    The join key is ``(key, rn)``, so a hot key is spread over its ordinals.
+
+    Plan (one exchange for both sides): tag each side, union, hash-partition
+    by key, number occurrences per (key, side) with a window, then group by
+    (key, rn) and pick each side's row.  Both the window and the aggregate are
+    satisfied by the hash-by-key partitioning, so neither adds a shuffle.  Hot
+    keys are numbered by the range plan of ``ordinals`` instead.  Sides whose
+    column types differ use ``ordinal_pairs_join`` (a union would widen them).
     """
     cols = list(dict.fromkeys(rs.output + rs.order))
+    if not _same_types(left, right, rs, cols):
+        return ordinal_pairs_join(left, right, rs, how)
+    nn_l = key_not_null(left, rs.keys)
+    ra = right_aligned(right, rs, cols)
+    tagged = (left.filter(nn_l).select(*cols, F.lit(0).alias("__side"))
+              .unionByName(ra.filter(key_not_null(ra, rs.keys))
+                           .select(*cols, F.lit(1).alias("__side"))))
+    num = with_ordinals(tagged, rs.keys, rs.order, "rn", group=["__side"],
+                        cold_partitioned=True)
+    nonkey = [c for c in cols if c not in rs.keys]
+    side = F.col("__side")
+    grouped = num.groupBy(*rs.keys, "rn").agg(
+        F.first(F.when(side == 0, F.struct(*nonkey)), ignorenulls=True).alias("__ls"),
+        F.first(F.when(side == 1, F.struct(*nonkey)), ignorenulls=True).alias("__rs"))
+    pairs = grouped.select(
+        *rs.keys, "rn",
+        *[F.col(k).alias(lcol(k)) for k in rs.keys],
+        *[F.col("__ls")[c].alias(lcol(c)) for c in nonkey],
+        *[F.col(k).alias(rcol(k)) for k in rs.keys],
+        *[F.col("__rs")[c].alias(rcol(c)) for c in nonkey],
+        F.col("__ls").isNotNull().alias("__l"), F.col("__rs").isNotNull().alias("__r"))
+    if how == "inner":
+        pairs = pairs.filter(F.col("__l") & F.col("__r"))
+    return pairs
+
+
+def ordinal_pairs_join(left: DataFrame, right: DataFrame, rs: Resolved,
+                       how: str = "inner") -> DataFrame:
+    """Ordinal pairing as number-each-side + equi-join on ``(key, rn)``."""
+    cols = list(dict.fromkeys(rs.output + rs.order))
     lnum = numbered(left, rs, cols)
-    rnum = numbered(right_aligned(right, rs, [c for c in cols]), rs, cols)
+    rnum = numbered(right_aligned(right, rs, cols), rs, cols)
     ls = lnum.select(*rs.keys, "rn", *[F.col(c).alias(lcol(c)) for c in cols],
                      F.lit(True).alias("__l"))
     rsd = rnum.select(*rs.keys, "rn", *[F.col(c).alias(rcol(c)) for c in cols],

@@ -3,21 +3,24 @@
 The straightforward plan is ``row_number() over (partition by key order by
 ...)``.  A window needs every row of a key in one task, so a key that holds
 a large share of the table would serialise onto one executor.  Keys above
-``hot_rows`` occurrences therefore take a different plan:
-
-1. the (bounded) set of hot keys is found from one partial/final aggregate;
-2. hot rows are globally sorted by ``(key, order...)``: a range exchange
-   whose bounds are sampled over the whole sort tuple, so one key's rows are
-   split across many tasks;
+``hot_rows`` occurrences (on either side) therefore take a different plan:
+
+1. the hot keys are found from one aggregate with a map-side partial step;
+   there are at most ``rows / hot_rows`` of them, and the set is checkpointed
+   and broadcast only after its size has been checked;
+2. hot rows are globally sorted by ``(key, side, order...)``: a range
+   exchange whose bounds are sampled over the whole sort tuple, so one key's
+   rows are split across many tasks;
 3. ``monotonically_increasing_id`` then encodes (partition, position); the
-   per-(key, partition) first position and row count form a table of at most
-   ``#partitions + #hot keys`` rows, from which a running sum gives each
-   partition's offset inside the key;
+   first position and row count per (key, side, partition) form a table of at
+   most ``#partitions + 2 * #hot keys`` rows, from which a running sum gives
+   each partition's offset inside the key;
 4. ``rn = offset + position - first position + 1``.
 
-The sorted hot rows are checkpointed (reliable checkpoint, so a lost
-executor recomputes nothing inconsistently) before the offsets are derived
-from them.  Everything stays in JVM operators.
+The sorted hot rows are checkpointed (a reliable checkpoint in the shared
+``spark.checkpoint.dir``) before offsets are derived from them, so the
+offsets and the rows they are added to come from one materialisation.
+Everything stays in JVM operators.
 """
 
 from __future__ import annotations
@@ -29,8 +32,8 @@ from ..session import checkpoint_dir_ready, conf_int
 
 HOT_ROWS_CONF = "spark.paritas.hotKeyRows"
 HOT_ROWS_DEFAULT = 2_000_000
-# Hot-key sets above this size are not broadcast; the threshold is then too
-# low for the data and the plain window plan is used for everything.
+# Hot-key sets above this size are not broadcast; the threshold is then far
+# too low for the data and the plain window plan is used for everything.
 HOT_KEYS_BROADCAST_LIMIT = 200_000
 
 _POS_BITS = 33
@@ -40,56 +43,83 @@ def order_columns(df: DataFrame, order: list[str]) -> list[Column]:
     return [df[c].asc_nulls_last() for c in order]
 
 
-def _window_ordinals(df: DataFrame, keys: list[str], order: list[str], rn: str) -> DataFrame:
-    w = Window.partitionBy(*[df[k] for k in keys]).orderBy(*order_columns(df, order))
+def hot_rows_setting(spark, hot_rows: int | None) -> int:
+    return conf_int(spark, HOT_ROWS_CONF, HOT_ROWS_DEFAULT) if hot_rows is None else hot_rows
+
+
+def find_hot_keys(df: DataFrame, keys: list[str], group: list[str] | None = None,
+                  hot_rows: int | None = None) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows in some ``group`` (e.g. per side).
+
+    Returns ``None`` when there are none (the common case), when the feature
+    is off, or when no checkpoint folder is configured.  Runs one small job.
+    """
+    spark = df.sparkSession
+    hot_rows = hot_rows_setting(spark, hot_rows)
+    if hot_rows <= 0 or not checkpoint_dir_ready(spark):
+        return None
+    counts = df.groupBy(*keys, *(group or [])).agg(F.count(F.lit(1)).alias("__cnt"))
+    hot = counts.filter(F.col("__cnt") > hot_rows).select(*keys).distinct()
+    hot = hot.checkpoint(eager=True)
+    n_hot = hot.limit(HOT_KEYS_BROADCAST_LIMIT + 1).count()
+    if n_hot == 0 or n_hot > HOT_KEYS_BROADCAST_LIMIT:
+        return None
+    return hot
+
+
+def window_ordinals(df: DataFrame, keys: list[str], order: list[str], rn: str = "rn",
+                    group: list[str] | None = None) -> DataFrame:
+    w = Window.partitionBy(*[df[k] for k in keys], *[df[g] for g in (group or [])]) \
+        .orderBy(*order_columns(df, order))
     return df.withColumn(rn, F.row_number().over(w).cast("long"))
 
 
-def _range_ordinals(df: DataFrame, keys: list[str], order: list[str], rn: str) -> DataFrame:
-    sort_cols = [df[k].asc_nulls_last() for k in keys] + order_columns(df, order)
+def range_ordinals(df: DataFrame, keys: list[str], order: list[str], rn: str = "rn",
+                   group: list[str] | None = None) -> DataFrame:
+    """Distributed row numbering for keys too large for one task (see module doc)."""
+    part = [*keys, *(group or [])]
+    sort_cols = [df[k].asc_nulls_last() for k in part] + order_columns(df, order)
     mid = "__paritas_mid"
     srt = df.orderBy(*sort_cols).withColumn(mid, F.monotonically_increasing_id())
     srt = srt.checkpoint(eager=True)
     pid = F.shiftright(F.col(mid), _POS_BITS)
     pos = F.col(mid).bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    pieces = (srt.groupBy(*keys, pid.alias("__pid"))
+    pieces = (srt.groupBy(*part, pid.alias("__pid"))
               .agg(F.min(pos).alias("__first"), F.count(F.lit(1)).alias("__n")))
-    before = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(
+    before = Window.partitionBy(*part).orderBy("__pid").rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = pieces.select(*keys, "__pid", "__first",
+    offsets = pieces.select(*part, "__pid", "__first",
                             F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    # offsets has at most (#range partitions + #hot keys) rows
+    # offsets: at most (#range partitions + #hot keys * #groups) rows
     joined = srt.withColumn("__pid", pid).join(
-        F.broadcast(offsets), on=[*keys, "__pid"], how="inner")
+        F.broadcast(offsets), on=[*part, "__pid"], how="inner")
     out = joined.withColumn(
         rn, (F.col("__offset") + pos - F.col("__first") + 1).cast("long"))
     return out.select(*df.columns, rn)
 
 
 def with_ordinals(df: DataFrame, keys: list[str], order: list[str], rn: str = "rn",
-                  hot_rows: int | None = None, key_counts: DataFrame | None = None) -> DataFrame:
-    """Add ``rn`` = 1-based occurrence number of each row inside its key.
-
-    Rows are ordered by ``order`` (NULLs last).  Rows with a NULL key should
-    be filtered out by the caller.  ``hot_rows`` <= 0 disables the hot-key
-    plan; ``None`` reads ``spark.paritas.hotKeyRows``.
+                  group: list[str] | None = None, hot: DataFrame | None | str = "auto",
+                  cold_partitioned: bool = False) -> DataFrame:
+    """Add ``rn`` = 1-based occurrence number of each row inside its key (and
+    ``group``), ordered by ``order`` with NULLs last.
+
+    ``hot="auto"`` detects hot keys; pass ``None`` to use the window plan for
+    everything or a hot-key DataFrame from ``find_hot_keys``.  With
+    ``cold_partitioned`` the window input is hash-partitioned by ``keys`` only,
+    so later operators clustered on ``keys`` need no further exchange.
     """
-    spark = df.sparkSession
-    if hot_rows is None:
-        hot_rows = conf_int(spark, HOT_ROWS_CONF, HOT_ROWS_DEFAULT)
-    if hot_rows <= 0 or not checkpoint_dir_ready(spark):
-        return _window_ordinals(df, keys, order, rn)
-    if key_counts is None:
-        key_counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt"))
-        cnt = "__cnt"
-    else:
-        cnt = [c for c in key_counts.columns if c not in keys][0]
-    hot = key_counts.filter(F.col(cnt) > hot_rows).select(*keys)
-    # number of hot keys <= rows / hot_rows; checked before broadcasting
-    n_hot = hot.limit(HOT_KEYS_BROADCAST_LIMIT + 1).count()
-    if n_hot == 0 or n_hot > HOT_KEYS_BROADCAST_LIMIT:
-        return _window_ordinals(df, keys, order, rn)
+    if isinstance(hot, str):
+        hot = find_hot_keys(df, keys, group)
+
+    def cold_plan(frame):
+        if cold_partitioned:
+            frame = frame.repartition(*[frame[k] for k in keys])
+        return window_ordinals(frame, keys, order, rn, group)
+
+    if hot is None:
+        return cold_plan(df)
     hot_b = F.broadcast(hot)
-    cold = _window_ordinals(df.join(hot_b, on=keys, how="left_anti"), keys, order, rn)
-    warm = _range_ordinals(df.join(hot_b, on=keys, how="left_semi"), keys, order, rn)
+    cold = cold_plan(df.join(hot_b, on=keys, how="left_anti"))
+    warm = range_ordinals(df.join(hot_b, on=keys, how="left_semi"), keys, order, rn, group)
     return cold.unionByName(warm)

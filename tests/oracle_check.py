@@ -75,6 +75,8 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     keys = argv[2:]
     spark = local_session()
+    if os.environ.get("PARITAS_HOT_ROWS"):
+        spark.conf.set("spark.paritas.hotKeyRows", os.environ["PARITAS_HOT_ROWS"])
     con = duck(sf_dir)
     qs, oracle = E.queries(), E.oracle_sql()
     bad = 0
