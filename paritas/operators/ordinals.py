@@ -28,6 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import comparable
 from ..session import checkpoint_dir_ready, conf_int
 
 HOT_ROWS_CONF = "spark.paritas.hotKeyRows"
@@ -40,7 +41,8 @@ _POS_BITS = 33
 
 
 def order_columns(df: DataFrame, order: list[str]) -> list[Column]:
-    return [df[c].asc_nulls_last() for c in order]
+    """NULLs-last sort expressions; maps (not orderable) sort by their sorted entries."""
+    return [comparable(df[c], df.schema[c].dataType).asc_nulls_last() for c in order]
 
 
 def hot_rows_setting(spark, hot_rows: int | None) -> int:

@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Fixed value: the CSV token for NULL (Hive/MySQL convention), so that a NULL
+# cell and an empty string stay distinguishable in the files.
+NULL_TOKEN = "\\N"
+
 
 def clean_names(df: DataFrame) -> DataFrame:
     """Column names usable as table columns: parentheses dropped, spaces -> ``_``."""
@@ -52,18 +56,19 @@ def write_table(df: DataFrame, table: str, skip_empty: bool = False) -> int:
 
 def write_csv(df: DataFrame, path: str, header: bool = True, single_file: bool = False,
               skip_empty: bool = False) -> int:
-    """Overwrite a CSV folder (NULL written as an empty unquoted field, empty
-    strings quoted, so the two stay distinguishable); returns rows written.
+    """Overwrite a CSV folder (NULL written as ``\\N``, empty strings as ``""``,
+    so the two stay distinguishable); returns rows written.
     ``single_file`` coalesces to one task - only for small results."""
     if skip_empty and df.isEmpty():
         return 0
     out, obs = _observed(csv_ready(df), "write_csv")
     if single_file:
         out = out.coalesce(1)
-    (out.write.mode("overwrite").option("header", header).option("emptyValue", '""')
-     .csv(path))
+    (out.write.mode("overwrite").option("header", header).option("nullValue", NULL_TOKEN)
+     .option("emptyValue", '""').csv(path))
     return int(obs.get["rows"])
 
 
 def read_csv(spark, path: str, schema, header: bool = True) -> DataFrame:
-    return spark.read.schema(schema).option("header", header).option("emptyValue", "").csv(path)
+    return (spark.read.schema(schema).option("header", header).option("nullValue", NULL_TOKEN)
+            .option("emptyValue", "").csv(path))
