@@ -84,21 +84,23 @@ class Reconciliation:
         return diff.mismatch_cells(self.left, self.right, self.rs)
 
     def mismatch_total(self) -> DataFrame:
+        """Number of mismatched cells; under cross pairing the sum over compare
+        columns of differing pairs, from frequency tables alone."""
         if self.spec.pairing == "cross":
-            return cross.cross_cell_total(self.mismatches).select(
-                F.lit("mismatched_data_points").alias("metric"),
-                F.col("mismatched_cells").alias("value"))
+            cc = cross.cross_column_counts(self.left, self.right, self.rs)
+            return cc.groupBy().agg(F.sum("mismatch_count").alias("value")).select(
+                F.lit("mismatched_data_points").alias("metric"), "value")
         return _count(self.mismatches, "mismatched_data_points")
 
     def summary(self, with_count_differences: bool = True) -> DataFrame:
         """A10: one row of run figures (timestamps left to the caller)."""
         ln, rn_ = self.ln, self.rn
         kc = self.key_counts
+        totals = kc.groupBy().agg(F.sum(f"{ln}_count").alias("l"), F.sum(f"{rn_}_count").alias("r"))
         parts = [
-            kc.groupBy().agg(F.sum(f"{ln}_count").alias("value"))
-            .select(F.lit(f"total_{ln}_rows").alias("metric"), "value"),
-            kc.groupBy().agg(F.sum(f"{rn_}_count").alias("value"))
-            .select(F.lit(f"total_{rn_}_rows").alias("metric"), "value"),
+            totals.select(F.inline(F.array(
+                F.struct(F.lit(f"total_{ln}_rows").alias("metric"), F.col("l").alias("value")),
+                F.struct(F.lit(f"total_{rn_}_rows").alias("metric"), F.col("r").alias("value"))))),
             _count(self.one_sided("left"), f"rows_only_in_{ln}"),
             _count(self.one_sided("right"), f"rows_only_in_{rn_}"),
             self.mismatch_total(),
