@@ -15,19 +15,22 @@ each, how many right partners differ (``differing_partners``) instead of
 listing the partners.
 
 Keys match null-safely (NULL with NULL), as the reference's sentinel key
-join does; under ``null_mode="sentinel"`` the key and the values are compared
-as ``coalesce(cast(x as string), 'NULL')``.
+join does; under ``null_mode="sentinel"`` keys and values are compared as
+``coalesce(cast(x as string), 'NULL')``.  Keys and values are encoded as
+non-null text before aggregating ('n' for NULL, 'v' + lossless text
+otherwise), so each join is a plain equi-join on exactly the columns the
+frequency tables are grouped by and reuses their hash partitioning instead
+of shuffling them again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import all_of, cell_text, sentinel_text
+from ..functions import cell_text, sentinel_text
 from ..spec import Resolved
-from .match import right_aligned
 
 TOTAL = "__total__"
 
@@ -37,60 +40,56 @@ def _mode(rs: Resolved, mode: str | None) -> str:
     return "sentinel" if mode == "sentinel" else "safe"
 
 
-def _key_col(df: DataFrame, k: str, mode: str):
-    return sentinel_text(df[k]) if mode == "sentinel" else df[k]
+def _lossless_text(c: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return F.when(c == 0, F.lit(0.0).cast(dtype)).otherwise(c).cast("string")
+    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
+        return cell_text(c, dtype)
+    return c.cast("string")
 
 
-def _value(df: DataFrame, c: str, mode: str):
-    """Comparison form of a value: the sentinel text, or a lossless text of the
-    typed value (NULL stays NULL and only equals NULL in the null-safe joins)."""
+def encode(df: DataFrame, c: str, mode: str) -> Column:
+    """Non-null comparison text of a cell: equal texts <=> equal cells under the mode."""
     if mode == "sentinel":
         return sentinel_text(df[c])
-    dtype = df.schema[c].dataType
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return F.when(df[c] == 0, F.lit(0.0)).otherwise(df[c]).cast("string")
-    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
-        return cell_text(df[c], dtype)
-    return df[c].cast("string")
+    return F.when(df[c].isNull(), F.lit("n")).otherwise(
+        F.concat(F.lit("v"), _lossless_text(df[c], df.schema[c].dataType)))
 
 
 def _right_as_left(left: DataFrame, right: DataFrame, rs: Resolved, cols: list[str]) -> DataFrame:
-    """Right side under the left's column names *and types*, so that values of
-    both sides render to comparable text."""
+    """Right side under the left's column names *and types*."""
     lt = {f.name: f.dataType for f in left.schema.fields}
     return right.select(*[right[rs.rcol(c)].cast(lt[c]).alias(c) for c in cols])
 
 
-def _keyed(df: DataFrame, rs: Resolved, mode: str) -> DataFrame:
-    """Replace key columns by their comparison form (same names)."""
-    return df.select(*[_key_col(df, k, mode).alias(k) for k in rs.keys],
-                     *[c for c in df.columns if c not in rs.keys])
+def _kcols(rs: Resolved) -> list[str]:
+    return [f"__k{i}" for i in range(len(rs.keys))]
 
 
-def _eq(a: DataFrame, b: DataFrame, cols: list[str]):
-    return all_of([a[c].eqNullSafe(b[c]) for c in cols])
+def _with_keys(df: DataFrame, rs: Resolved, mode: str) -> list[Column]:
+    return [encode(df, k, mode).alias(kc) for k, kc in zip(rs.keys, _kcols(rs))]
 
 
-def _side_key_counts(df: DataFrame, rs: Resolved, mode: str, name: str) -> DataFrame:
-    d = _keyed(df.select(*rs.keys), rs, mode)
-    return d.groupBy(*rs.keys).agg(F.count(F.lit(1)).alias(name))
+def _key_counts(df: DataFrame, rs: Resolved, mode: str, name: str) -> DataFrame:
+    """``__k*, <name>``: rows per (encoded) key."""
+    return df.select(*_with_keys(df, rs, mode)).groupBy(*_kcols(rs)) \
+        .agg(F.count(F.lit(1)).alias(name))
 
 
 def _value_counts(df: DataFrame, rs: Resolved, mode: str, name: str) -> DataFrame:
-    """``keys, column_name, value, <name>``: frequency of each value per key and column."""
-    vals = [F.struct(F.lit(c).alias("column_name"), _value(df, c, mode).alias("value"))
+    """``__k*, column_name, __v, <name>``: frequency of each value per key and column."""
+    vals = [F.struct(F.lit(c).alias("column_name"), encode(df, c, mode).alias("__v"))
             for c in rs.compare]
-    stacked = df.select(*[_key_col(df, k, mode).alias(k) for k in rs.keys],
-                        F.inline(F.array(*vals)))
-    return stacked.groupBy(*rs.keys, "column_name", "value").agg(F.count(F.lit(1)).alias(name))
+    stacked = df.select(*_with_keys(df, rs, mode), F.inline(F.array(*vals)))
+    return stacked.groupBy(*_kcols(rs), "column_name", "__v").agg(F.count(F.lit(1)).alias(name))
 
 
 def _pair_counts(left: DataFrame, right: DataFrame, rs: Resolved, mode: str) -> DataFrame:
     """One row per key present on both sides with ``__pairs`` = m_k * n_k."""
-    lk = _side_key_counts(left, rs, mode, "__m")
-    rk = _side_key_counts(right_aligned(right, rs, rs.keys), rs, mode, "__n")
-    j = lk.join(rk, _eq(lk, rk, rs.keys), "inner")
-    return j.select((F.col("__m") * F.col("__n")).alias("__pairs"))
+    lk = _key_counts(left, rs, mode, "__m")
+    rk = _key_counts(_right_as_left(left, right, rs, rs.keys), rs, mode, "__n")
+    return lk.join(rk, on=_kcols(rs), how="inner").select(
+        (F.col("__m") * F.col("__n")).alias("__pairs"))
 
 
 def cross_column_counts(left: DataFrame, right: DataFrame, rs: Resolved,
@@ -99,16 +98,16 @@ def cross_column_counts(left: DataFrame, right: DataFrame, rs: Resolved,
     mode = _mode(rs, mode)
     lv = _value_counts(left, rs, mode, "__m")
     rv = _value_counts(_right_as_left(left, right, rs, rs.keys + rs.compare), rs, mode, "__n")
-    eq = lv.join(rv, _eq(lv, rv, rs.keys + ["column_name", "value"]), "inner").select(
-        lv["column_name"], (F.col("__m") * F.col("__n")).alias("__v"))
+    eq = lv.join(rv, on=[*_kcols(rs), "column_name", "__v"], how="inner").select(
+        "column_name", (F.col("__m") * F.col("__n")).alias("__x"))
     parts = eq.unionByName(_pair_counts(left, right, rs, mode)
                            .select(F.lit(TOTAL).alias("column_name"),
-                                   F.col("__pairs").alias("__v")))
+                                   F.col("__pairs").alias("__x")))
     cn = F.col("column_name")
     one = parts.groupBy().agg(
-        F.coalesce(F.sum(F.when(cn == TOTAL, F.col("__v"))), F.lit(0)).cast("long")
+        F.coalesce(F.sum(F.when(cn == TOTAL, F.col("__x"))), F.lit(0)).cast("long")
         .alias("total_matches"),
-        *[F.coalesce(F.sum(F.when(cn == c, F.col("__v"))), F.lit(0)).cast("long")
+        *[F.coalesce(F.sum(F.when(cn == c, F.col("__x"))), F.lit(0)).cast("long")
           .alias(f"__eq{i}") for i, c in enumerate(rs.compare)])
     return one.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"),
@@ -134,12 +133,10 @@ def mismatch_percentages(col_counts: DataFrame, digits: int = 2) -> DataFrame:
                              F.round(pct, digits).alias("percentage"))
 
 
-def _prefixed(df: DataFrame, cols: list[str], prefix: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(prefix + c) if c in cols else F.col(c) for c in df.columns])
-
-
-def _left_rows(left: DataFrame, rs: Resolved) -> DataFrame:
-    return left.groupBy(*rs.output).agg(F.count(F.lit(1)).alias("left_rows"))
+def _left_rows(left: DataFrame, rs: Resolved, mode: str) -> DataFrame:
+    """Distinct reported left rows with multiplicity and encoded keys."""
+    lg = left.groupBy(*rs.output).agg(F.count(F.lit(1)).alias("left_rows"))
+    return lg.select(*lg.columns, *_with_keys(lg, rs, mode))
 
 
 def changed_cross(left: DataFrame, right: DataFrame, rs: Resolved,
@@ -148,27 +145,18 @@ def changed_cross(left: DataFrame, right: DataFrame, rs: Resolved,
     least one cross partner: ``right_rows`` partners in total, of which
     ``differing_partners`` differ in some compare column."""
     mode = _mode(rs, mode)
-    lg = _left_rows(left, rs)
-    ra = _right_as_left(left, right, rs, rs.keys + rs.compare)
+    kcols = _kcols(rs)
     tcols = [f"__t{i}" for i in range(len(rs.compare))]
-    rt = ra.select(*[_key_col(ra, k, mode).alias(k) for k in rs.keys],
-                   *[_value(ra, c, mode).alias(t) for c, t in zip(rs.compare, tcols)]) \
-        .groupBy(*rs.keys, *tcols).agg(F.count(F.lit(1)).alias("__same"))
-    rk = _prefixed(_side_key_counts(ra, rs, mode, "right_rows"), rs.keys, "__rk")
-    rt = _prefixed(rt, rs.keys, "__rk")
-    lt = lg.select(*lg.columns, *[_key_col(lg, k, mode).alias(f"__k{i}")
-                                  for i, k in enumerate(rs.keys)],
-                   *[_value(lg, c, mode).alias(t) for c, t in zip(rs.compare, tcols)])
-    kcols = [f"__k{i}" for i in range(len(rs.keys))]
-    j = lt.join(rk, all_of([lt[kc].eqNullSafe(rk["__rk" + k]) for kc, k in zip(kcols, rs.keys)]),
-                "inner")
-    j = j.select(*lt.columns, "right_rows")
-    rt = rt.select(*rt.columns[:len(rs.keys)], *[F.col(t).alias("__r" + t) for t in tcols], "__same")
-    j = j.join(rt, all_of([j[kc].eqNullSafe(rt["__rk" + k]) for kc, k in zip(kcols, rs.keys)]
-                          + [j[t].eqNullSafe(rt["__r" + t]) for t in tcols]), "left")
+    lg = _left_rows(left, rs, mode)
+    lt = lg.select(*lg.columns, *[encode(lg, c, mode).alias(t) for c, t in zip(rs.compare, tcols)])
+    ra = _right_as_left(left, right, rs, rs.keys + rs.compare)
+    rk = _key_counts(ra, rs, mode, "right_rows")
+    rt = ra.select(*_with_keys(ra, rs, mode),
+                   *[encode(ra, c, mode).alias(t) for c, t in zip(rs.compare, tcols)]) \
+        .groupBy(*kcols, *tcols).agg(F.count(F.lit(1)).alias("__same"))
+    j = lt.join(rk, on=kcols, how="inner").join(rt, on=[*kcols, *tcols], how="left")
     diff = (F.col("right_rows") - F.coalesce(F.col("__same"), F.lit(0))).cast("long")
-    return j.select(*rs.output, "left_rows", "right_rows",
-                    diff.alias("differing_partners")) \
+    return j.select(*rs.output, "left_rows", "right_rows", diff.alias("differing_partners")) \
         .filter(F.col("differing_partners") > 0)
 
 
@@ -178,26 +166,20 @@ def mismatch_cells_cross(left: DataFrame, right: DataFrame, rs: Resolved,
     different value.  ``left_rows * differing_partners`` summed over all rows
     equals the reference's count of mismatched cells under cross pairing."""
     mode = _mode(rs, mode)
-    lg = _left_rows(left, rs)
+    kcols = _kcols(rs)
+    lg = _left_rows(left, rs, mode)
     ra = _right_as_left(left, right, rs, rs.keys + rs.compare)
-    rv = _prefixed(_value_counts(ra, rs, mode, "__same"), rs.keys, "__rk")
-    rk = _prefixed(_side_key_counts(ra, rs, mode, "right_rows"), rs.keys, "__rk")
-    kcols = [f"__k{i}" for i in range(len(rs.keys))]
-    cells = [F.struct(F.lit(c).alias("mismatch_column"),
+    rv = _value_counts(ra, rs, mode, "__same")
+    rk = _key_counts(ra, rs, mode, "right_rows")
+    cells = [F.struct(F.lit(c).alias("column_name"),
                       cell_text(lg[c], lg.schema[c].dataType).alias("left_value"),
-                      _value(lg, c, mode).alias("__v"))
+                      encode(lg, c, mode).alias("__v"))
              for c in rs.compare]
-    st = lg.select(*lg.columns, *[_key_col(lg, k, mode).alias(kc) for k, kc in zip(rs.keys, kcols)],
-                   F.inline(F.array(*cells)))
-    j = st.join(rk, all_of([st[kc].eqNullSafe(rk["__rk" + k]) for kc, k in zip(kcols, rs.keys)]),
-                "inner")
-    j = j.select(*st.columns, "right_rows")
-    j = j.join(rv, all_of([j[kc].eqNullSafe(rv["__rk" + k]) for kc, k in zip(kcols, rs.keys)]
-                          + [j["mismatch_column"] == rv["column_name"],
-                             j["__v"].eqNullSafe(rv["value"])]), "left")
+    st = lg.select(*lg.columns, F.inline(F.array(*cells)))
+    j = st.join(rk, on=kcols, how="inner").join(rv, on=[*kcols, "column_name", "__v"], how="left")
     diff = (F.col("right_rows") - F.coalesce(F.col("__same"), F.lit(0))).cast("long")
-    return j.select(*rs.output, "mismatch_column", "left_value", "left_rows",
-                    "right_rows", diff.alias("differing_partners")) \
+    return j.select(*rs.output, F.col("column_name").alias("mismatch_column"), "left_value",
+                    "left_rows", "right_rows", diff.alias("differing_partners")) \
         .filter(F.col("differing_partners") > 0)
 
 
