@@ -17,14 +17,17 @@ listing the partners.
 Keys match null-safely (NULL with NULL), as the reference's sentinel key
 join does; under ``null_mode="sentinel"`` keys and values are compared as
 ``coalesce(cast(x as string), 'NULL')``.  Keys and values are encoded as
-non-null text before aggregating ('n' for NULL, 'v' + lossless text
-otherwise), so each join is a plain equi-join on exactly the columns the
-frequency tables are grouped by and reuses their hash partitioning instead
-of shuffling them again.
+a null flag plus a non-null value before aggregating (keys keep their type,
+with a typed default standing in for NULL; values become lossless text), so
+each join is a plain equi-join on exactly the columns the frequency tables
+are grouped by and reuses their hash partitioning instead of shuffling them
+again.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,24 +59,47 @@ def encode(df: DataFrame, c: str, mode: str) -> Column:
         F.concat(F.lit("v"), _lossless_text(df[c], df.schema[c].dataType)))
 
 
+def _typed_default(dtype: T.DataType):
+    if isinstance(dtype, (T.NumericType,)):
+        return F.lit(0).cast(dtype)
+    if isinstance(dtype, T.StringType):
+        return F.lit("")
+    if isinstance(dtype, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dtype, T.DateType):
+        return F.lit(dt.date(1970, 1, 1))
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.lit(dt.datetime(1970, 1, 1)).cast(dtype)
+    return None
+
+
+def encode_key(df: DataFrame, k: str, mode: str, name: str) -> list[Column]:
+    """A key as non-null columns: (null flag, value or typed default); keys of
+    types without a default, and sentinel-mode keys, become one text column."""
+    dflt = _typed_default(df.schema[k].dataType)
+    if mode == "sentinel" or dflt is None:
+        return [encode(df, k, mode).alias(name)]
+    return [df[k].isNull().alias(name + "n"), F.coalesce(df[k], dflt).alias(name)]
+
+
 def _right_as_left(left: DataFrame, right: DataFrame, rs: Resolved, cols: list[str]) -> DataFrame:
     """Right side under the left's column names *and types*."""
     lt = {f.name: f.dataType for f in left.schema.fields}
     return right.select(*[right[rs.rcol(c)].cast(lt[c]).alias(c) for c in cols])
 
 
-def _kcols(rs: Resolved) -> list[str]:
-    return [f"__k{i}" for i in range(len(rs.keys))]
+def _with_keys(df: DataFrame, rs: Resolved, mode: str) -> list[Column]:
+    return [c for i, k in enumerate(rs.keys) for c in encode_key(df, k, mode, f"__k{i}")]
 
 
-def _with_keys(df: DataFrame, rs: Resolved, mode: str) -> list[Column]:
-    return [encode(df, k, mode).alias(kc) for k, kc in zip(rs.keys, _kcols(rs))]
+def _kcols_of(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c.startswith("__k")]
 
 
 def _key_counts(df: DataFrame, rs: Resolved, mode: str, name: str) -> DataFrame:
     """``__k*, <name>``: rows per (encoded) key."""
-    return df.select(*_with_keys(df, rs, mode)).groupBy(*_kcols(rs)) \
-        .agg(F.count(F.lit(1)).alias(name))
+    keyed = df.select(*_with_keys(df, rs, mode))
+    return keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias(name))
 
 
 def _value_counts(df: DataFrame, rs: Resolved, mode: str, name: str) -> DataFrame:
@@ -81,14 +107,15 @@ def _value_counts(df: DataFrame, rs: Resolved, mode: str, name: str) -> DataFram
     vals = [F.struct(F.lit(c).alias("column_name"), encode(df, c, mode).alias("__v"))
             for c in rs.compare]
     stacked = df.select(*_with_keys(df, rs, mode), F.inline(F.array(*vals)))
-    return stacked.groupBy(*_kcols(rs), "column_name", "__v").agg(F.count(F.lit(1)).alias(name))
+    return stacked.groupBy(*_kcols_of(stacked), "column_name", "__v") \
+        .agg(F.count(F.lit(1)).alias(name))
 
 
 def _pair_counts(left: DataFrame, right: DataFrame, rs: Resolved, mode: str) -> DataFrame:
     """One row per key present on both sides with ``__pairs`` = m_k * n_k."""
     lk = _key_counts(left, rs, mode, "__m")
     rk = _key_counts(_right_as_left(left, right, rs, rs.keys), rs, mode, "__n")
-    return lk.join(rk, on=_kcols(rs), how="inner").select(
+    return lk.join(rk, on=_kcols_of(lk), how="inner").select(
         (F.col("__m") * F.col("__n")).alias("__pairs"))
 
 
@@ -98,7 +125,7 @@ def cross_column_counts(left: DataFrame, right: DataFrame, rs: Resolved,
     mode = _mode(rs, mode)
     lv = _value_counts(left, rs, mode, "__m")
     rv = _value_counts(_right_as_left(left, right, rs, rs.keys + rs.compare), rs, mode, "__n")
-    eq = lv.join(rv, on=[*_kcols(rs), "column_name", "__v"], how="inner").select(
+    eq = lv.join(rv, on=[*_kcols_of(lv), "column_name", "__v"], how="inner").select(
         "column_name", (F.col("__m") * F.col("__n")).alias("__x"))
     parts = eq.unionByName(_pair_counts(left, right, rs, mode)
                            .select(F.lit(TOTAL).alias("column_name"),
@@ -145,9 +172,9 @@ def changed_cross(left: DataFrame, right: DataFrame, rs: Resolved,
     least one cross partner: ``right_rows`` partners in total, of which
     ``differing_partners`` differ in some compare column."""
     mode = _mode(rs, mode)
-    kcols = _kcols(rs)
     tcols = [f"__t{i}" for i in range(len(rs.compare))]
     lg = _left_rows(left, rs, mode)
+    kcols = _kcols_of(lg)
     lt = lg.select(*lg.columns, *[encode(lg, c, mode).alias(t) for c, t in zip(rs.compare, tcols)])
     ra = _right_as_left(left, right, rs, rs.keys + rs.compare)
     rk = _key_counts(ra, rs, mode, "right_rows")
@@ -166,8 +193,8 @@ def mismatch_cells_cross(left: DataFrame, right: DataFrame, rs: Resolved,
     different value.  ``left_rows * differing_partners`` summed over all rows
     equals the reference's count of mismatched cells under cross pairing."""
     mode = _mode(rs, mode)
-    kcols = _kcols(rs)
     lg = _left_rows(left, rs, mode)
+    kcols = _kcols_of(lg)
     ra = _right_as_left(left, right, rs, rs.keys + rs.compare)
     rv = _value_counts(ra, rs, mode, "__same")
     rk = _key_counts(ra, rs, mode, "right_rows")

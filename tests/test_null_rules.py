@@ -74,3 +74,17 @@ def test_map_array_struct_columns_compare(spark):
     rs = ReconSpec(keys=("k",), compare=("m", "a", "s")).resolve(left, right)
     cells = diff.mismatch_cells(left, right, rs).collect()
     assert sorted((r.k, r.mismatch_column) for r in cells) == [(2, "a"), (2, "m"), (2, "s")]
+
+
+def test_cross_null_key_does_not_collide_with_default(spark):
+    from paritas.operators import cross
+
+    schema = "k bigint, s string, v string"
+    left = spark.createDataFrame([(None, None, "a"), (0, "", "a"), (0, "", "b")], schema)
+    right = spark.createDataFrame([(None, None, "a"), (None, None, "x"), (0, "", "a")], schema)
+    rs = ReconSpec(keys=("k", "s"), compare=("v",), pairing="cross").resolve(left, right)
+    # NULL group: 1 x 2 pairs, (0,'') group: 2 x 1 pairs
+    assert cross.cross_matches(left, right, rs).first()[0] == 4
+    counts = {r.column_name: r.mismatch_count
+              for r in cross.cross_column_counts(left, right, rs).collect()}
+    assert counts == {"v": 2}   # (a vs x) in the NULL group, (b vs a) in the (0,'') group
