@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import any_of, cell_text, differs, fingerprint
 from ..spec import Resolved
-from .match import (cell_differs, lcol, ordinal_pairs, rcol, row_differs)
+from .match import cell_differs, generic_pairs, lcol, ordinal_pairs, rcol, row_differs
 
 
 def _cell_mode(mode: str) -> str:
@@ -55,24 +55,10 @@ def cells_of_pairs(pairs: DataFrame, rs: Resolved, mode: str) -> DataFrame:
     ).drop("__d")
 
 
-def _full_outer_all_columns(left: DataFrame, right: DataFrame, rs: Resolved) -> DataFrame:
-    cols = rs.common
-    ls = left.select(*[F.col(c).alias(lcol(c)) for c in cols], F.lit(True).alias("__l"))
-    rsd = right.select(*[right[rs.rcol(c)].alias(rcol(c)) for c in cols], F.lit(True).alias("__r"))
-    cond = None
-    for k in rs.keys:
-        e = ls[lcol(k)] == rsd[rcol(k)]
-        cond = e if cond is None else cond & e
-    j = ls.join(rsd, cond, "full_outer")
-    return j.select(*[F.col(lcol(c)) for c in cols], *[F.col(rcol(c)) for c in cols],
-                    F.coalesce("__l", F.lit(False)).alias("__l"),
-                    F.coalesce("__r", F.lit(False)).alias("__r"))
-
-
 def _generic_frame(left: DataFrame, right: DataFrame, rs: Resolved) -> DataFrame:
-    """Full outer over the key: matched rows with any differing common column,
-    plus every one-sided row (all its columns then differ from the missing side)."""
-    j = _full_outer_all_columns(left, right, rs)
+    """Matched rows with any differing common column, plus every one-sided row
+    (all its columns then differ from the missing side)."""
+    j = generic_pairs(left, right, rs)
     non_key = [c for c in rs.common if c not in rs.keys]
     changed = any_of([cell_differs(j, rs, c, "safe") for c in non_key])
     return j.filter(~(F.col("__l") & F.col("__r")) | changed)
@@ -132,16 +118,11 @@ def mismatch_nested(left: DataFrame, right: DataFrame, rs: Resolved,
 
 def fingerprint_diff(left: DataFrame, right: DataFrame, rs: Resolved) -> DataFrame:
     """Keys of matched rows whose whole-row fingerprints (compare columns) differ."""
-    lt = {f.name: f.dataType for f in left.schema.fields}
-    rt = {f.name: f.dataType for f in right.schema.fields}
-    ls = left.select(*rs.keys, fingerprint([F.col(c) for c in rs.compare],
-                                           [lt[c] for c in rs.compare]).alias("__fl"))
-    rsd = right.select(*[right[rs.rcol(k)].alias(k) for k in rs.keys],
-                       fingerprint([right[rs.rcol(c)].cast(lt[c]) for c in rs.compare],
-                                   [lt[c] for c in rs.compare]).alias("__fr"))
-    del rt
-    return ls.join(rsd, on=rs.keys, how="inner").filter(F.col("__fl") != F.col("__fr")) \
-        .select(*rs.keys)
+    j = ordinal_pairs(left, right, rs, how="inner")
+    lt = [j.schema[lcol(c)].dataType for c in rs.compare]
+    fl = fingerprint([F.col(lcol(c)) for c in rs.compare], lt)
+    fr = fingerprint([F.col(rcol(c)).cast(t) for c, t in zip(rs.compare, lt)], lt)
+    return j.filter(fl != fr).select(*rs.keys)
 
 
 __all__ = ["cells_of_pairs", "explode_cells", "fingerprint_diff", "mismatch_cells",

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import all_of, any_of, differs
 from ..spec import Resolved
@@ -49,6 +50,9 @@ def one_sided(left: DataFrame, right: DataFrame, rs: Resolved, side: str = "left
         this, other = left.select(*cols), right_aligned(right, rs, rs.keys)
     else:
         this, other = right_aligned(right, rs, cols), left.select(*rs.keys)
+    # only the other side's distinct keys matter: de-duplicate them map-side
+    # before the shuffle (the aggregate's hash partitioning serves the join)
+    other = other.filter(key_not_null(other, rs.keys)).distinct()
     cond = all_of([this[k] == other[k] for k in rs.keys])
     out = this.join(other, cond, "left_anti")
     return out.distinct() if distinct else out
@@ -60,32 +64,81 @@ def numbered(df: DataFrame, rs: Resolved, cols: list[str], rn: str = "rn") -> Da
     return with_ordinals(base, rs.keys, rs.order, rn)
 
 
-def _same_types(left: DataFrame, right: DataFrame, rs: Resolved, cols: list[str]) -> bool:
-    lt = {f.name: f.dataType for f in left.schema.fields}
-    rt = {f.name: f.dataType for f in right.schema.fields}
-    return all(lt[c] == rt[rs.rcol(c)] for c in cols)
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_FRACTIONAL = (T.FloatType, T.DoubleType)
+
 
+def _widens(wide: T.DataType, narrow: T.DataType) -> bool:
+    """True when every value of ``narrow`` is exactly representable in ``wide``."""
+    order = {T.ByteType: 0, T.ShortType: 1, T.IntegerType: 2, T.LongType: 3,
+             T.FloatType: 0, T.DoubleType: 1}
+    if isinstance(wide, _INTEGRAL) and isinstance(narrow, _INTEGRAL):
+        return order[type(wide)] >= order[type(narrow)]
+    if isinstance(wide, _FRACTIONAL) and isinstance(narrow, _FRACTIONAL):
+        return order[type(wide)] >= order[type(narrow)]
+    if isinstance(wide, T.DoubleType) and isinstance(narrow, (T.ByteType, T.ShortType,
+                                                               T.IntegerType)):
+        return True
+    return False
 
-def ordinal_pairs(left: DataFrame, right: DataFrame, rs: Resolved, how: str = "inner") -> DataFrame:
+
+def _union_types(left: DataFrame, right: DataFrame, rs: Resolved, cols: list[str]):
+    """Per column: the common type for a union of both sides, or ``None`` when
+    some column pair cannot be unioned without changing values."""
+    lt = {f.name: f.dataType for f in left.schema.fields}
+    rt = {f.name: f.dataType for f in right.schema.fields}
+    out = {}
+    for c in cols:
+        a, b = lt[c], rt[rs.rcol(c)]
+        if a == b or _widens(a, b):
+            out[c] = a
+        elif _widens(b, a):
+            out[c] = b
+        else:
+            return None
+    return out
+
+
+def _unpaired(df: DataFrame, rs: Resolved, cols: list[str], types: dict, side: str) -> DataFrame:
+    """NULL-key rows of one side in pair-frame shape (never paired)."""
+    mine, other = (lcol, rcol) if side == "l" else (rcol, lcol)
+    base = df.filter(~key_not_null(df, rs.keys))
+    return base.select(
+        *[F.col(k).cast(types[k]).alias(k) for k in rs.keys], F.lit(None).cast("long").alias("rn"),
+        *[F.col(c).cast(types[c]).alias(mine(c)) for c in cols],
+        *[F.lit(None).cast(types[c]).alias(other(c)) for c in cols],
+        F.lit(side == "l").alias("__l"), F.lit(side == "r").alias("__r"))
+
+
+def ordinal_pairs(left: DataFrame, right: DataFrame, rs: Resolved, how: str = "inner",
+                  null_keys: bool = False) -> DataFrame:
     """Pair the i-th occurrence of a key on the left with the i-th on the right.
 
-    ``how="full_outer"`` also yields unmatched ordinals (one flag false).
+    ``how="full_outer"`` also yields unmatched ordinals (one flag false); with
+    ``null_keys`` the NULL-key rows of both sides are added as unmatched rows
+    (``rn`` NULL) - a NULL key never equals anything.
 
     Plan (one exchange for both sides): tag each side, union, hash-partition
     by key, number occurrences per (key, side) with a window, then group by
     (key, rn) and pick each side's row.  Both the window and the aggregate are
     satisfied by the hash-by-key partitioning, so neither adds a shuffle.  Hot
-    keys are numbered by the range plan of ``ordinals`` instead.  Sides whose
-    column types differ use ``ordinal_pairs_join`` (a union would widen them).
+    keys are numbered by the range plan of ``ordinals`` instead.  Columns of
+    numeric types are widened for the union and narrowed back afterwards;
+    other type differences use ``ordinal_pairs_join``.
     """
     cols = list(dict.fromkeys(rs.output + rs.order))
-    if not _same_types(left, right, rs, cols):
-        return ordinal_pairs_join(left, right, rs, how)
-    nn_l = key_not_null(left, rs.keys)
+    types = _union_types(left, right, rs, cols)
+    if types is None:
+        return ordinal_pairs_join(left, right, rs, how, null_keys)
+    lt = {f.name: f.dataType for f in left.schema.fields}
+    rt = {c: right.schema[rs.rcol(c)].dataType for c in cols}
     ra = right_aligned(right, rs, cols)
-    tagged = (left.filter(nn_l).select(*cols, F.lit(0).alias("__side"))
-              .unionByName(ra.filter(key_not_null(ra, rs.keys))
-                           .select(*cols, F.lit(1).alias("__side"))))
+
+    def side_rows(df, tag):
+        return df.filter(key_not_null(df, rs.keys)).select(
+            *[F.col(c).cast(types[c]).alias(c) for c in cols], F.lit(tag).alias("__side"))
+
+    tagged = side_rows(left, 0).unionByName(side_rows(ra, 1))
     num = with_ordinals(tagged, rs.keys, rs.order, "rn", group=["__side"],
                         cold_partitioned=True)
     nonkey = [c for c in cols if c not in rs.keys]
@@ -93,24 +146,32 @@ def ordinal_pairs(left: DataFrame, right: DataFrame, rs: Resolved, how: str = "i
     grouped = num.groupBy(*rs.keys, "rn").agg(
         F.first(F.when(side == 0, F.struct(*nonkey)), ignorenulls=True).alias("__ls"),
         F.first(F.when(side == 1, F.struct(*nonkey)), ignorenulls=True).alias("__rs"))
+    has_l, has_r = F.col("__ls").isNotNull(), F.col("__rs").isNotNull()
     pairs = grouped.select(
         *rs.keys, "rn",
-        *[F.col(k).alias(lcol(k)) for k in rs.keys],
-        *[F.col("__ls")[c].alias(lcol(c)) for c in nonkey],
-        *[F.col(k).alias(rcol(k)) for k in rs.keys],
-        *[F.col("__rs")[c].alias(rcol(c)) for c in nonkey],
-        F.col("__ls").isNotNull().alias("__l"), F.col("__rs").isNotNull().alias("__r"))
+        *[F.when(has_l, F.col(k)).cast(lt[k]).alias(lcol(k)) for k in rs.keys],
+        *[F.col("__ls")[c].cast(lt[c]).alias(lcol(c)) for c in nonkey],
+        *[F.when(has_r, F.col(k)).cast(rt[k]).alias(rcol(k)) for k in rs.keys],
+        *[F.col("__rs")[c].cast(rt[c]).alias(rcol(c)) for c in nonkey],
+        has_l.alias("__l"), has_r.alias("__r"))
     if how == "inner":
-        pairs = pairs.filter(F.col("__l") & F.col("__r"))
+        return pairs.filter(F.col("__l") & F.col("__r"))
+    if null_keys:
+        ptypes = {c: types[c] for c in cols}
+        extra = (_unpaired(left, rs, cols, ptypes, "l")
+                 .unionByName(_unpaired(ra, rs, cols, ptypes, "r")))
+        pairs = pairs.unionByName(extra.select(*[F.col(c).cast(pairs.schema[c].dataType)
+                                                 .alias(c) for c in pairs.columns]))
     return pairs
 
 
 def ordinal_pairs_join(left: DataFrame, right: DataFrame, rs: Resolved,
-                       how: str = "inner") -> DataFrame:
+                       how: str = "inner", null_keys: bool = False) -> DataFrame:
     """Ordinal pairing as number-each-side + equi-join on ``(key, rn)``."""
     cols = list(dict.fromkeys(rs.output + rs.order))
+    ra = right_aligned(right, rs, cols)
     lnum = numbered(left, rs, cols)
-    rnum = numbered(right_aligned(right, rs, cols), rs, cols)
+    rnum = numbered(ra, rs, cols)
     ls = lnum.select(*rs.keys, "rn", *[F.col(c).alias(lcol(c)) for c in cols],
                      F.lit(True).alias("__l"))
     rsd = rnum.select(*rs.keys, "rn", *[F.col(c).alias(rcol(c)) for c in cols],
@@ -119,6 +180,21 @@ def ordinal_pairs_join(left: DataFrame, right: DataFrame, rs: Resolved,
     if how != "inner":
         pairs = pairs.withColumn("__l", F.coalesce("__l", F.lit(False))) \
                      .withColumn("__r", F.coalesce("__r", F.lit(False)))
+        if null_keys:
+            lt = {c: pairs.schema[lcol(c)].dataType for c in cols}
+            rt = {c: pairs.schema[rcol(c)].dataType for c in cols}
+            lnull = left.filter(~key_not_null(left, rs.keys)).select(
+                *[F.col(k) for k in rs.keys], F.lit(None).cast("long").alias("rn"),
+                *[F.col(c).alias(lcol(c)) for c in cols],
+                *[F.lit(None).cast(rt[c]).alias(rcol(c)) for c in cols],
+                F.lit(True).alias("__l"), F.lit(False).alias("__r"))
+            rnull = ra.filter(~key_not_null(ra, rs.keys)).select(
+                *[F.col(k).cast(pairs.schema[k].dataType) for k in rs.keys],
+                F.lit(None).cast("long").alias("rn"),
+                *[F.lit(None).cast(lt[c]).alias(lcol(c)) for c in cols],
+                *[F.col(c).alias(rcol(c)) for c in cols],
+                F.lit(False).alias("__l"), F.lit(True).alias("__r"))
+            pairs = pairs.unionByName(lnull).unionByName(rnull)
     return pairs
 
 
@@ -165,22 +241,20 @@ def unmatched_ordinals(left: DataFrame, right: DataFrame, rs: Resolved) -> DataF
         .alias("type"))
 
 
+def generic_pairs(left: DataFrame, right: DataFrame, rs: Resolved) -> DataFrame:
+    """Pair frame for the generic (unique-key) family: ordinal pairing, full
+    outer, NULL-key rows kept as one-sided.  For a unique key this is exactly
+    the full outer join on the key; a key that repeats is paired by occurrence
+    instead of multiplying into m x n rows."""
+    return ordinal_pairs(left, right, rs, how="full_outer", null_keys=True)
+
+
 def full_outer_classified(left: DataFrame, right: DataFrame, rs: Resolved,
                           mode: str = "safe") -> DataFrame:
-    """Unique-key compare: every key once with ``status`` CHANGED / LEFT_ONLY /
-    RIGHT_ONLY (unchanged keys dropped).  Presence is tracked with explicit
-    flags, not by testing a key column for NULL."""
-    cols = list(dict.fromkeys(rs.keys + rs.compare))
-    ls = left.select(*rs.keys, *[F.col(c).alias(lcol(c)) for c in cols], F.lit(True).alias("__l"))
-    rsd = right.select(*[right[rs.rcol(k)].alias(k) for k in rs.keys],
-                       *[right[rs.rcol(c)].alias(rcol(c)) for c in cols],
-                       F.lit(True).alias("__r"))
-    cond = all_of([ls[k] == rsd[k] for k in rs.keys])
-    j = ls.join(rsd, cond, "full_outer").select(
-        *[F.coalesce(ls[k], rsd[k]).alias(k) for k in rs.keys],
-        *[F.col(lcol(c)) for c in cols], *[F.col(rcol(c)) for c in cols],
-        F.coalesce(F.col("__l"), F.lit(False)).alias("__l"),
-        F.coalesce(F.col("__r"), F.lit(False)).alias("__r"))
+    """Every differing key once with ``status`` CHANGED / LEFT_ONLY / RIGHT_ONLY
+    (unchanged keys dropped).  Presence is tracked with explicit flags, not by
+    testing a key column for NULL."""
+    j = generic_pairs(left, right, rs)
     changed = any_of([cell_differs(j, rs, c, mode) for c in rs.compare])
     status = (F.when(F.col("__l") & F.col("__r") & changed, F.lit("CHANGED"))
               .when(F.col("__l") & ~F.col("__r"), F.lit("LEFT_ONLY"))
@@ -190,11 +264,8 @@ def full_outer_classified(left: DataFrame, right: DataFrame, rs: Resolved,
 
 def matched_changed(left: DataFrame, right: DataFrame, rs: Resolved, mode: str = "safe",
                     left_prefix: str = "t1_", right_prefix: str = "t2_") -> DataFrame:
-    """Inner match on the key; rows where any compare cell differs (typed, null-safe)."""
-    ls = left.select(*rs.keys, *[F.col(c).alias(lcol(c)) for c in rs.compare])
-    rsd = right.select(*[right[rs.rcol(k)].alias(k) for k in rs.keys],
-                       *[right[rs.rcol(c)].alias(rcol(c)) for c in rs.compare])
-    j = ls.join(rsd, on=rs.keys, how="inner")
+    """Matched rows where any compare cell differs (typed, null-safe)."""
+    j = ordinal_pairs(left, right, rs, how="inner")
     return j.filter(any_of([cell_differs(j, rs, c, mode) for c in rs.compare])).select(
         *rs.keys,
         *[F.col(lcol(c)).alias(left_prefix + c) for c in rs.compare],

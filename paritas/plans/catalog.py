@@ -112,7 +112,8 @@ def q_key_occurrences(spark, d):
 
 
 def q_count_differences(spark, d):
-    return enroll(spark, d).count_differences
+    r = enroll(spark, d)
+    return r.count_differences.orderBy(F.col("count_difference").desc(), "member_id")
 
 
 def q_top_count_differences(spark, d):
@@ -122,7 +123,8 @@ def q_top_count_differences(spark, d):
 
 def q_duplicate_histogram(spark, d):
     r = enroll(spark, d)
-    return counts.duplicate_histogram(r.left, r.right, r.rs, r.key_counts)
+    return counts.duplicate_histogram(r.left, r.right, r.rs, r.key_counts) \
+        .orderBy("side", "occurrence_count")
 
 
 def q_duplicate_totals(spark, d):
@@ -133,7 +135,8 @@ def q_duplicate_totals(spark, d):
 
 def q_count_difference_patterns(spark, d):
     r = enroll(spark, d)
-    return counts.count_difference_patterns(r.count_differences, r.rs)
+    return counts.count_difference_patterns(r.count_differences, r.rs) \
+        .orderBy(F.col("count_difference").desc(), "difference_type")
 
 
 def q_count_difference_totals(spark, d):
@@ -179,7 +182,7 @@ def q_cross_matches(spark, d):
 def q_mismatch_counts_by_column(spark, d):
     r = enroll(spark, d)
     return cross.cross_column_counts(r.left, r.right, r.rs, "sentinel").select(
-        "column_name", "mismatch_count")
+        "column_name", "mismatch_count").orderBy(F.col("mismatch_count").desc(), "column_name")
 
 
 def q_mismatch_percentages(spark, d):

@@ -7,11 +7,11 @@ join before any numbering, so only the rows of those keys are shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.diff import cells_of_pairs, explode_cells
-from ..operators.match import numbered, ordinal_pairs, right_aligned, row_differs
+from ..operators.match import key_not_null, numbered, ordinal_pairs, right_aligned, row_differs
 from ..spec import Resolved
 
 
@@ -64,8 +64,11 @@ def duplicate_details(left: DataFrame, right: DataFrame, rs: Resolved,
                      (rs.spec.right_name,
                       _restrict(right_aligned(right, rs, cols), keys_df, rs.keys))):
         num = numbered(df, rs, cols)
-        w = Window.partitionBy(*rs.keys)
-        part = num.select(F.lit(side).alias("side"), *rs.output, "rn",
-                          F.count(F.lit(1)).over(w).alias("occurrence_count"))
+        # per-key counts from an aggregate joined back (a count window would
+        # put all rows of a hot key into one task)
+        occ = df.filter(key_not_null(df, rs.keys)).groupBy(*rs.keys) \
+            .agg(F.count(F.lit(1)).alias("occurrence_count"))
+        part = num.join(occ, on=rs.keys, how="inner").select(
+            F.lit(side).alias("side"), *rs.output, "rn", "occurrence_count")
         out = part if out is None else out.unionByName(part)
     return out

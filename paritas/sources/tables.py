@@ -1,18 +1,22 @@
-"""Inputs: a DataFrame, a catalog table name, or a parquet path."""
+"""Inputs: a DataFrame, a catalog table name, a parquet path, or SQL text."""
 
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def as_dataframe(spark: SparkSession, source) -> DataFrame:
-    """Accept a DataFrame, a (qualified) table name, or a parquet path/dir."""
+    """Accept a DataFrame, SQL text (``SELECT``/``WITH``, kept lazy), a
+    (qualified) table name, or a parquet path/dir."""
     if isinstance(source, DataFrame):
         return source
     if not isinstance(source, str):
         raise TypeError(f"cannot read {type(source).__name__} as a table")
+    if re.match(r"\s*(select|with)\b", source, re.IGNORECASE):
+        return spark.sql(source)
     if "/" in source or source.endswith(".parquet"):
         return spark.read.parquet(source)
     return spark.table(source)

@@ -88,3 +88,22 @@ def test_cross_null_key_does_not_collide_with_default(spark):
     counts = {r.column_name: r.mismatch_count
               for r in cross.cross_column_counts(left, right, rs).collect()}
     assert counts == {"v": 2}   # (a vs x) in the NULL group, (b vs a) in the (0,'') group
+
+
+def test_generic_compare_pairs_repeated_keys_by_occurrence(spark):
+    from paritas.plans.validate import GenericComparison
+
+    schema = "id bigint, v string"
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (1, "c"), (None, "z"), (2, "q")], schema)
+    right = spark.createDataFrame([(1, "a"), (1, "b"), (1, "x"), (None, "z"), (3, "q")], schema)
+    g = GenericComparison(spark, left, right, ("id",))
+    def order(t):
+        return (t[0] is None, t[0] or 0, t[1])
+
+    status = sorted(((r.id, r.status) for r in g.full_diff().collect()), key=order)
+    # key 1 pairs by occurrence (3 pairs, 1 changed), not 3 x 3; NULL keys never match
+    assert status == sorted([(1, "CHANGED"), (None, "LEFT_ONLY"), (None, "RIGHT_ONLY"),
+                             (2, "LEFT_ONLY"), (3, "RIGHT_ONLY")], key=order)
+    long = g.mismatch_long().collect()
+    assert sorted((r.key_values, r.column) for r in long if r.key_values == "id=1") == [
+        ("id=1", "v")]
