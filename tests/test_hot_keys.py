@@ -1,4 +1,7 @@
-"""The range plan for hot keys numbers rows exactly like the window plan."""
+"""The range plan for hot keys numbers rows exactly like the window plan, and
+the plan shapes every registered query must keep."""
+
+import json
 
 from conftest import SF001, SF01
 from paritas.operators import diff, ordinals
@@ -38,13 +41,34 @@ def test_flagship_same_result_with_hot_path(spark, hot_rows):
     plain.unpersist()
 
 
-def test_no_cartesian_or_unpartitioned_window(spark):
-    r = enroll(spark, SF001)
-    plans = []
-    for df in (diff.mismatch_cells(r.left, r.right, r.rs), r.summary(),
-               r.count_differences):
-        plans.append(df._jdf.queryExecution().executedPlan().toString())
-    text = "\n".join(plans)
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    # every window is partitioned by a key (no whole-table single-task window)
-    assert "Window [row_number()" not in text or "windowspecdefinition(member_id" in text
+# queries whose construction writes a sink (checked in test_sinks_and_entry)
+_WRITES = {"sink_table_roundtrip", "sink_csv_roundtrip"}
+
+
+def _plan_nodes(df):
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.initialPlan()
+    return json.loads(plan.toJSON())
+
+
+def test_plan_shapes_of_every_query(spark):
+    """No query plans a cartesian / nested-loop join, a window without a
+    partition key (a whole-table single task), or a collect_list/collect_set
+    aggregate (a whole group gathered into one value)."""
+    from paritas.plans.catalog import QUERIES
+
+    bad = []
+    for key, fn in sorted(QUERIES.items()):
+        if key in _WRITES:
+            continue
+        for node in _plan_nodes(fn(spark, SF001)):
+            cls = node["class"].rsplit(".", 1)[-1]
+            if cls in ("CartesianProductExec", "BroadcastNestedLoopJoinExec"):
+                bad.append((key, cls))
+            if cls == "WindowExec" and not node.get("partitionSpec"):
+                bad.append((key, "unpartitioned window"))
+            text = json.dumps(node)
+            if "CollectList" in text or "CollectSet" in text:
+                bad.append((key, "collect aggregate"))
+    assert not bad, bad
