@@ -198,12 +198,15 @@ def mismatch_cells_cross(left: DataFrame, right: DataFrame, rs: Resolved,
     ra = _right_as_left(left, right, rs, rs.keys + rs.compare)
     rv = _value_counts(ra, rs, mode, "__same")
     rk = _key_counts(ra, rs, mode, "right_rows")
+    # partner counts join the distinct left rows before they are stacked into
+    # cells, so only row-level data moves by key and the cells shuffle once
+    lk = lg.join(rk, on=kcols, how="inner")
     cells = [F.struct(F.lit(c).alias("column_name"),
-                      cell_text(lg[c], lg.schema[c].dataType).alias("left_value"),
-                      encode(lg, c, mode).alias("__v"))
+                      cell_text(lk[c], lk.schema[c].dataType).alias("left_value"),
+                      encode(lk, c, mode).alias("__v"))
              for c in rs.compare]
-    st = lg.select(*lg.columns, F.inline(F.array(*cells)))
-    j = st.join(rk, on=kcols, how="inner").join(rv, on=[*kcols, "column_name", "__v"], how="left")
+    st = lk.select(*lk.columns, F.inline(F.array(*cells)))
+    j = st.join(rv, on=[*kcols, "column_name", "__v"], how="left")
     diff = (F.col("right_rows") - F.coalesce(F.col("__same"), F.lit(0))).cast("long")
     return j.select(*rs.output, F.col("column_name").alias("mismatch_column"), "left_value",
                     "left_rows", "right_rows", diff.alias("differing_partners")) \
