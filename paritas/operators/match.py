@@ -233,7 +233,11 @@ def changed_pairs(left: DataFrame, right: DataFrame, rs: Resolved,
 
 def unmatched_ordinals(left: DataFrame, right: DataFrame, rs: Resolved) -> DataFrame:
     """Occurrences that have no partner with the same ordinal on the other side."""
-    pairs = ordinal_pairs(left, right, rs, how="full_outer")
+    return unmatched_of_pairs(ordinal_pairs(left, right, rs, how="full_outer"), rs)
+
+
+def unmatched_of_pairs(pairs: DataFrame, rs: Resolved) -> DataFrame:
+    """``unmatched_ordinals`` from an (outer) ordinal pair frame."""
     ln, rn_ = rs.spec.left_name, rs.spec.right_name
     return pairs.filter(~(F.col("__l") & F.col("__r"))).select(
         *rs.keys, "rn",

@@ -20,12 +20,13 @@ import argparse
 import datetime as dt
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sinks
-from ..operators import counts, cross, match
-from ..session import output_dir
+from ..operators import counts, cross, diff, match
+from ..session import checkpoint_dir_ready, output_dir
 from ..sources import as_dataframe
 from ..spec import ReconSpec
 from .validate import GenericComparison, Reconciliation
@@ -52,6 +53,16 @@ _ISSUE_FIGURES = {"rows_only_in_left", "rows_only_in_right", "mismatched_data_po
                   "keys_with_count_differences", "structure_differences", "mismatched_rows"}
 
 
+def _materialise(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """A frame read by several writes: a reliable checkpoint in the shared
+    ``spark.checkpoint.dir`` when the session names one (cuts the lineage, so a
+    lost executor does not recompute the pairing), else kept with
+    ``persist(MEMORY_AND_DISK)`` (lost blocks are recomputed from lineage)."""
+    if checkpoint_dir_ready(spark):
+        return df.checkpoint(eager=True)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _run_id() -> str:
     return dt.datetime.now().strftime("%Y%m%d_%H%M%S")
 
@@ -126,8 +137,16 @@ def run_validation(spark: SparkSession, left, right, spec: ReconSpec, *,
                     {"cells": F.sum(F.col("left_rows") * F.col("differing_partners"))})
         figures["mismatched_data_points"] = m["cells"]
     else:
-        figures["mismatched_data_points"] = w.write("mismatches", recon.mismatches)["rows"]
-        w.write("unmatched_ordinals", match.unmatched_ordinals(ldf, rdf, rs))
+        # one pairing feeds both outputs: only unmatched or differing pairs are
+        # kept and materialised, then read by the two writes
+        pairs = match.ordinal_pairs(ldf, rdf, rs, how="full_outer")
+        both = F.col("__l") & F.col("__r")
+        report = _materialise(spark, pairs.filter(
+            ~both | match.row_differs(pairs, rs, spec.null_mode)))
+        cells = diff.cells_of_pairs(report.filter(both), rs, spec.null_mode)
+        figures["mismatched_data_points"] = w.write("mismatches", cells)["rows"]
+        w.write("unmatched_ordinals", match.unmatched_of_pairs(report, rs))
+        report.unpersist()
     passed = all(figures[k] == 0 for k in figures if k in _ISSUE_FIGURES) and not issues
     result = RunResult("PASSED" if passed else "FAILED", run_id, figures, issues=issues)
     summary = spark.createDataFrame([(

@@ -24,6 +24,9 @@ def test_duplicate_aware_run(spark):
     assert f["keys_with_count_differences"] == 872
     assert res.status == "FAILED" and res.total_issues == 838 + 919 + 14583 + 872
     assert all(os.path.isdir(p) for p in res.written.values())
+    # both reports come from one materialised pairing
+    unmatched = spark.read.option("header", True).csv(res.written["csv:unmatched_ordinals"])
+    assert unmatched.count() == 2414
     summary = spark.read.option("header", True).csv(res.written["csv:summary"]).first()
     assert summary.status == "FAILED" and int(summary.total_issues) == res.total_issues
 
