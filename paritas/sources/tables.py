@@ -1,4 +1,5 @@
-"""Inputs: a DataFrame, a catalog table name, a parquet path, or SQL text."""
+"""Inputs: a DataFrame, a catalog table name, a parquet path, SQL text (with
+bound parameters), or any data source given by format and options."""
 
 from __future__ import annotations
 
@@ -10,9 +11,29 @@ from pyspark.sql import DataFrame, SparkSession
 
 def as_dataframe(spark: SparkSession, source) -> DataFrame:
     """Accept a DataFrame, SQL text (``SELECT``/``WITH``, kept lazy), a
-    (qualified) table name, or a parquet path/dir."""
+    ``(sql, args)`` pair (named parameters bound by ``spark.sql``, never
+    spliced into the text), a data-source mapping, a (qualified) table name,
+    or a parquet path/dir.
+
+    A mapping reads any registered data source lazily::
+
+        {"format": "jdbc", "options": {"url": ..., "dbtable": ...,
+         "partitionColumn": "id", "lowerBound": 1, "upperBound": 10**9,
+         "numPartitions": 512}}
+
+    (a remote warehouse table read in parallel slices), or
+    ``{"format": "csv", "path": ..., "options": {"header": "true"}}``.
+    """
     if isinstance(source, DataFrame):
         return source
+    if isinstance(source, tuple) and len(source) == 2 and isinstance(source[0], str):
+        return spark.sql(source[0], args=dict(source[1]))
+    if isinstance(source, dict):
+        reader = spark.read.format(source.get("format", "parquet"))
+        if source.get("schema") is not None:
+            reader = reader.schema(source["schema"])
+        reader = reader.options(**{k: str(v) for k, v in (source.get("options") or {}).items()})
+        return reader.load(source["path"]) if source.get("path") else reader.load()
     if not isinstance(source, str):
         raise TypeError(f"cannot read {type(source).__name__} as a table")
     if re.match(r"\s*(select|with)\b", source, re.IGNORECASE):

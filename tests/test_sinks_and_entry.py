@@ -63,3 +63,17 @@ def test_every_query_matches_its_oracle(spark, sf_dir):
         if r.get("oracle", 1) is not None and not r.get("values"):
             bad.append(r)
     assert not bad, bad
+
+
+def test_sources_by_sql_args_and_format(spark):
+    from paritas.sources import as_dataframe
+
+    path = f"{SF001}/region.parquet"
+    by_format = as_dataframe(spark, {"format": "parquet", "path": path})
+    by_path = as_dataframe(spark, path)
+    assert by_format.count() == by_path.count() == 5
+    by_path.createOrReplaceTempView("paritas_region")
+    picked = as_dataframe(spark, ("SELECT r_name FROM paritas_region WHERE r_regionkey = :k",
+                                  {"k": 2}))
+    assert [r.r_name for r in picked.collect()] == [
+        r.r_name for r in by_path.filter("r_regionkey = 2").collect()]
