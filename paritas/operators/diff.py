@@ -55,7 +55,7 @@ def cells_of_pairs(pairs: DataFrame, rs: Resolved, mode: str) -> DataFrame:
     ).drop("__d")
 
 
-def _generic_frame(left: DataFrame, right: DataFrame, rs: Resolved) -> DataFrame:
+def generic_frame(left: DataFrame, right: DataFrame, rs: Resolved) -> DataFrame:
     """Matched rows with any differing common column, plus every one-sided row
     (all its columns then differ from the missing side)."""
     j = generic_pairs(left, right, rs)
@@ -78,10 +78,11 @@ def _key_first_non_null(rs: Resolved, j: DataFrame, k: str):
 
 
 def mismatch_long(left: DataFrame, right: DataFrame, rs: Resolved,
-                  table1: str, table2: str) -> DataFrame:
+                  table1: str, table2: str, frame: DataFrame | None = None) -> DataFrame:
     """Long report ``table1, table2, key_columns, key_values, column, table1_value,
-    table2_value``: one row per differing common column per changed or one-sided row."""
-    j = _generic_frame(left, right, rs)
+    table2_value``: one row per differing common column per changed or one-sided row.
+    ``frame`` is a ready ``generic_frame`` (e.g. materialised for several reports)."""
+    j = frame if frame is not None else generic_frame(left, right, rs)
     structs = [
         F.struct(F.lit(c).alias("column"),
                  cell_text(F.col(lcol(c)), j.schema[lcol(c)].dataType).alias("table1_value"),
@@ -97,10 +98,10 @@ def mismatch_long(left: DataFrame, right: DataFrame, rs: Resolved,
 
 
 def mismatch_nested(left: DataFrame, right: DataFrame, rs: Resolved,
-                    table1: str, table2: str) -> DataFrame:
+                    table1: str, table2: str, frame: DataFrame | None = None) -> DataFrame:
     """Nested record per differing row: ``key_values`` map (first non-null side)
     and ``differences`` map column -> {table1_value, table2_value}."""
-    j = _generic_frame(left, right, rs)
+    j = frame if frame is not None else generic_frame(left, right, rs)
     key_map = F.map_from_arrays(F.array(*[F.lit(k) for k in rs.keys]),
                                 F.array(*[_key_first_non_null(rs, j, k) for k in rs.keys]))
     entries = [F.struct(F.lit(c).alias("key"),
@@ -125,5 +126,6 @@ def fingerprint_diff(left: DataFrame, right: DataFrame, rs: Resolved) -> DataFra
     return j.filter(fl != fr).select(*rs.keys)
 
 
-__all__ = ["cells_of_pairs", "explode_cells", "fingerprint_diff", "mismatch_cells",
+__all__ = ["cells_of_pairs", "explode_cells", "fingerprint_diff", "generic_frame",
+           "mismatch_cells",
            "mismatch_long", "mismatch_nested", "differs"]

@@ -254,11 +254,12 @@ def generic_pairs(left: DataFrame, right: DataFrame, rs: Resolved) -> DataFrame:
 
 
 def full_outer_classified(left: DataFrame, right: DataFrame, rs: Resolved,
-                          mode: str = "safe") -> DataFrame:
+                          mode: str = "safe", frame: DataFrame | None = None) -> DataFrame:
     """Every differing key once with ``status`` CHANGED / LEFT_ONLY / RIGHT_ONLY
     (unchanged keys dropped).  Presence is tracked with explicit flags, not by
-    testing a key column for NULL."""
-    j = generic_pairs(left, right, rs)
+    testing a key column for NULL.  ``frame``: ready ``generic_pairs`` rows
+    (a superset of the differing ones)."""
+    j = frame if frame is not None else generic_pairs(left, right, rs)
     changed = any_of([cell_differs(j, rs, c, mode) for c in rs.compare])
     status = (F.when(F.col("__l") & F.col("__r") & changed, F.lit("CHANGED"))
               .when(F.col("__l") & ~F.col("__r"), F.lit("LEFT_ONLY"))

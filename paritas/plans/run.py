@@ -176,6 +176,8 @@ def run_generic(spark: SparkSession, left, right, keys=None, *, output: str | No
     t1 = table1 or (left if isinstance(left, str) else "table1")
     t2 = table2 or (right if isinstance(right, str) else "table2")
     g = GenericComparison(spark, ldf, rdf, tuple(keys or ()), t1, t2)
+    # one key pairing, materialised, feeds the row, cell and log reports
+    g.frame = _materialise(spark, g.pairs_frame)
     w = _Writer(output, table_prefix, run_id)
     figures = {"structure_differences": w.write("structure_diff", g.structure_diff())["rows"]}
     figures["mismatched_rows"] = w.write(
@@ -183,6 +185,7 @@ def run_generic(spark: SparkSession, left, right, keys=None, *, output: str | No
         {"rows": F.count(F.lit(1))})["rows"]
     w.write("mismatch_report", g.mismatch_long())
     w.write("validation_log", g.validation_log())
+    g.frame.unpersist()
     passed = all(v == 0 for v in figures.values())
     return RunResult("PASSED" if passed else "FAILED", run_id, figures, written=w.written)
 

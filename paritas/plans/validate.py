@@ -160,12 +160,21 @@ class GenericComparison:
     table1: str = "table1"
     table2: str = "table2"
     rs: Resolved = field(init=False)
+    frame: DataFrame | None = field(init=False, default=None)
 
     def __post_init__(self):
         spec = ReconSpec(keys=tuple(self.keys or ()), left_name="t1", right_name="t2",
                          case_sensitive=True)
         self.rs = spec.resolve(self.left, self.right)
 
+    @property
+    def pairs_frame(self) -> DataFrame:
+        """Changed and one-sided rows of the key pairing, shared by the reports;
+        replace ``frame`` with a materialised copy when several reports are written."""
+        if self.frame is None:
+            self.frame = diff.generic_frame(self.left, self.right, self.rs)
+        return self.frame
+
     def structure_diff(self) -> DataFrame:
         return structure.structure_diff(self.spark, self.left, self.right)
 
@@ -173,14 +182,16 @@ class GenericComparison:
         return match.matched_changed(self.left, self.right, self.rs)
 
     def full_diff(self) -> DataFrame:
-        return match.full_outer_classified(self.left, self.right, self.rs).select(
-            *self.rs.keys, "status")
+        return match.full_outer_classified(self.left, self.right, self.rs,
+                                           frame=self.pairs_frame).select(*self.rs.keys, "status")
 
     def mismatch_long(self) -> DataFrame:
-        return diff.mismatch_long(self.left, self.right, self.rs, self.table1, self.table2)
+        return diff.mismatch_long(self.left, self.right, self.rs, self.table1, self.table2,
+                                  frame=self.pairs_frame)
 
     def mismatch_nested(self) -> DataFrame:
-        return diff.mismatch_nested(self.left, self.right, self.rs, self.table1, self.table2)
+        return diff.mismatch_nested(self.left, self.right, self.rs, self.table1, self.table2,
+                                    frame=self.pairs_frame)
 
     def fingerprint_diff(self) -> DataFrame:
         return diff.fingerprint_diff(self.left, self.right, self.rs)
