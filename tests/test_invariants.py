@@ -119,3 +119,56 @@ def test_empty_sides(spark):
     r = Reconciliation(spark, empty, empty, ENROLL_SPEC)
     st = r.status().first()
     assert st.status == "PASSED" and st.total_issues == 0
+
+
+def _hot_pair(spark):
+    """A small pair where key 0 holds a third of each side (with NULL and
+    repeated values), and the remaining keys are mostly unique."""
+    rows_l, rows_r = [], []
+    for i in range(600):
+        k = 0 if i % 3 == 0 else i
+        rows_l.append((k, None if i % 7 == 0 else f"v{i % 5}", i % 4))
+        rows_r.append((k if i % 11 else k + 1, f"v{i % 3}", None if i % 13 == 0 else i % 4))
+    schema = "k bigint, a string, b int"
+    return spark.createDataFrame(rows_l, schema), spark.createDataFrame(rows_r, schema)
+
+
+def test_cross_reports_exact_with_a_hot_key(spark):
+    """Frequency-based cross reports equal the explicit m x n pair join even when
+    one key holds a third of the rows (brute force only on this small fixture)."""
+    left, right = _hot_pair(spark)
+    rs = ReconSpec(keys=("k",), compare=("a", "b"), pairing="cross").resolve(left, right)
+    l, r = left.alias("l"), right.alias("r")
+    pairs = l.join(r, F.col("l.k").eqNullSafe(F.col("r.k")))
+    want = pairs.agg(*[F.sum((~F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))).cast("long")).alias(c)
+                       for c in rs.compare]).first().asDict()
+    got = {x.column_name: x.mismatch_count
+           for x in cross.cross_column_counts(left, right, rs).collect()}
+    assert got == want and want["a"] > 0 and want["b"] > 0
+    assert cross.cross_matches(left, right, rs).first()[0] == pairs.count()
+    cells = cross.mismatch_cells_cross(left, right, rs)
+    assert cross.cross_cell_total(cells).first()[0] == sum(want.values())
+    # rows with a differing partner, weighted by multiplicity, vs brute force
+    differing = pairs.filter(~F.col("l.a").eqNullSafe(F.col("r.a"))
+                             | ~F.col("l.b").eqNullSafe(F.col("r.b")))
+    changed = cross.changed_cross(left, right, rs)
+    assert changed.agg(F.sum(F.col("left_rows") * F.col("differing_partners"))).first()[0] \
+        == differing.count()
+
+
+def test_ordinal_reports_same_with_hot_key_plan(spark, hot_rows):
+    """The hot-key numbering (forced by a tiny threshold) gives the same cells and
+    unmatched ordinals as the window plan on the skewed pair."""
+    left, right = _hot_pair(spark)
+    rs = ReconSpec(keys=("k",), compare=("a", "b")).resolve(left, right)
+
+    def reports():
+        cells = diff.mismatch_cells(left, right, rs).collect()
+        unmatched = match.unmatched_ordinals(left, right, rs).collect()
+        return sorted(map(repr, cells)), sorted(map(repr, unmatched))
+
+    plain = reports()
+    from paritas.operators import ordinals
+    assert ordinals.find_hot_keys(left, ["k"], hot_rows=50).count() == 1
+    hot_rows(50)
+    assert reports() == plain and len(plain[0]) > 0 and len(plain[1]) > 0
