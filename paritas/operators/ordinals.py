@@ -5,9 +5,14 @@ The straightforward plan is ``row_number() over (partition by key order by
 a large share of the table would serialise onto one executor.  Keys above
 ``hot_rows`` occurrences (on either side) therefore take a different plan:
 
-1. the hot keys are found from one aggregate with a map-side partial step;
-   there are at most ``rows / hot_rows`` of them, and the set is checkpointed
-   and broadcast only after its size has been checked;
+1. the hot keys are found from one aggregate with a map-side partial step
+   over a fixed-seed Bernoulli sample of the key columns (about
+   ``SAMPLE_ROWS_PER_HOT_KEY`` sampled rows for a key at the threshold; exact
+   when the threshold is small).  Detection only chooses the plan - both
+   plans give the same ordinals - so a sample suffices, and it keeps this
+   extra job from shuffling every distinct key of a huge table.  There are
+   at most about ``2 * rows / hot_rows`` flagged keys, and the set is
+   checkpointed and broadcast only after its size has been checked;
 2. hot rows are globally sorted by ``(key, side, order...)``: a range
    exchange whose bounds are sampled over the whole sort tuple, so one key's
    rows are split across many tasks;
@@ -38,6 +43,11 @@ HOT_ROWS_DEFAULT = 2_000_000
 HOT_KEYS_BROADCAST_LIMIT = 200_000
 
 _POS_BITS = 33
+# Expected sampled rows of a key holding exactly ``hot_rows`` rows; a key is
+# flagged when its sampled count exceeds half of this (binomial sd ~ 63, so a
+# key at the threshold is missed with negligible probability).
+SAMPLE_ROWS_PER_HOT_KEY = 4000
+_SAMPLE_SEED = 20251203
 
 
 def order_columns(df: DataFrame, order: list[str]) -> list[Column]:
@@ -51,7 +61,8 @@ def hot_rows_setting(spark, hot_rows: int | None) -> int:
 
 def find_hot_keys(df: DataFrame, keys: list[str], group: list[str] | None = None,
                   hot_rows: int | None = None) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows in some ``group`` (e.g. per side).
+    """Keys with more than ``hot_rows`` rows in some ``group`` (e.g. per side);
+    estimated from a sample when ``hot_rows`` is large (see module doc).
 
     Returns ``None`` when there are none (the common case), when the feature
     is off, or when no checkpoint folder is configured.  Runs one small job.
@@ -60,8 +71,15 @@ def find_hot_keys(df: DataFrame, keys: list[str], group: list[str] | None = None
     hot_rows = hot_rows_setting(spark, hot_rows)
     if hot_rows <= 0 or not checkpoint_dir_ready(spark):
         return None
-    counts = df.groupBy(*keys, *(group or [])).agg(F.count(F.lit(1)).alias("__cnt"))
-    hot = counts.filter(F.col("__cnt") > hot_rows).select(*keys).distinct()
+    fraction = min(1.0, SAMPLE_ROWS_PER_HOT_KEY / hot_rows)
+    src = df.select(*keys, *(group or []))
+    if fraction < 1.0:
+        src = src.sample(withReplacement=False, fraction=fraction, seed=_SAMPLE_SEED)
+        bar = fraction * hot_rows / 2
+    else:
+        bar = hot_rows
+    counts = src.groupBy(*keys, *(group or [])).agg(F.count(F.lit(1)).alias("__cnt"))
+    hot = counts.filter(F.col("__cnt") > F.lit(bar)).select(*keys).distinct()
     hot = hot.checkpoint(eager=True)
     n_hot = hot.limit(HOT_KEYS_BROADCAST_LIMIT + 1).count()
     if n_hot == 0 or n_hot > HOT_KEYS_BROADCAST_LIMIT:

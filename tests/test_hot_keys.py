@@ -31,6 +31,25 @@ def test_with_ordinals_splits_hot_and_cold(spark, hot_rows):
     assert mixed.exceptAll(plain).count() == 0 and plain.exceptAll(mixed).count() == 0
 
 
+def test_sampled_detection_finds_a_hot_key(spark):
+    """Above SAMPLE_ROWS_PER_HOT_KEY the hot set is estimated from a sample; a key
+    holding ~30% of the rows is found, keys of a few rows are not, and the
+    numbering through the hot plan equals the window plan."""
+    from pyspark.sql import functions as F
+
+    li = read_table(spark, SF01, "lineitem").select(
+        F.when(F.col("l_linenumber") <= 2, F.lit(0)).otherwise(F.col("l_orderkey")).alias("k"),
+        "l_orderkey", "l_linenumber")
+    big = li.filter("k = 0").count()
+    assert 15000 < big < 20000
+    hot = ordinals.find_hot_keys(li, ["k"], hot_rows=8000)  # sampled at 50%
+    assert hot is not None and [r.k for r in hot.collect()] == [0]
+    assert ordinals.find_hot_keys(li, ["k"], hot_rows=40000) is None  # sampled at 10%
+    mixed = ordinals.with_ordinals(li, ["k"], ["l_orderkey", "l_linenumber"], hot=hot)
+    plain = ordinals.window_ordinals(li, ["k"], ["l_orderkey", "l_linenumber"])
+    assert mixed.exceptAll(plain).count() == 0 and plain.exceptAll(mixed).count() == 0
+
+
 def test_flagship_same_result_with_hot_path(spark, hot_rows):
     r = enroll(spark, SF01)
     plain = diff.mismatch_cells(r.left, r.right, r.rs).cache()
