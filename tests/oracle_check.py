@@ -2,6 +2,8 @@
 
 Usage: ``python tests/oracle_check.py [sf_dir] [key ...]``.  Prints one line
 per key: rows (spark/oracle), column-name match, value-multiset match.
+``PARITAS_PLAIN_SESSION=1`` uses a default session (no checkpoint folder, the
+machine's time zone) instead of ``local_session``.
 """
 
 from __future__ import annotations
@@ -74,7 +76,14 @@ def main(argv):
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     keys = argv[2:]
-    spark = local_session()
+    if os.environ.get("PARITAS_PLAIN_SESSION"):
+        # a session like the driver's: defaults only, no checkpoint folder
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]")
+                 .config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.ui.enabled", "false").getOrCreate())
+    else:
+        spark = local_session()
     if os.environ.get("PARITAS_HOT_ROWS"):
         spark.conf.set("spark.paritas.hotKeyRows", os.environ["PARITAS_HOT_ROWS"])
     con = duck(sf_dir)
