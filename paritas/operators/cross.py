@@ -8,12 +8,21 @@ For a key k with m_k left and n_k right rows, and a compare column c:
     pairs differing on c (k) = pairs(k) - pairs equal on c (k)
 
 so every cross-pairing figure the reference reports (total matches,
-mismatched cells per column, differing pairs) is a join of *aggregated*
+mismatched cells per column, differing pairs) comes from *aggregated*
 frequency tables.  A hot key costs one frequency row per distinct value, not
 m_k * n_k output rows.  Row-level reports keep the left rows and carry, for
 each, how many right partners differ (``differing_partners``) instead of
 listing the partners.
 
+Plan: both sides are tagged and unioned, and hash-partitioned by encoded key
+once.  Every per-key and per-(key, column, value) aggregate, the join of left
+rows to per-key partner counts, and the window that attaches per-value
+partner counts are then satisfied by that partitioning, so a report costs one
+exchange of the inputs.  Keys above the hot-key threshold (``ordinals``) would
+make that one task; their rows take the same computations without the
+up-front repartition: aggregates with a map-side partial step and left joins
+that AQE's skew handling can split.
+
 Keys match null-safely (NULL with NULL), as the reference's sentinel key
 join does; under ``null_mode="sentinel"`` keys and values are compared as
 ``coalesce(cast(x as string), 'NULL')``.  Keys and values are encoded as
@@ -28,12 +37,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import cell_text, sentinel_text
 from ..spec import Resolved
+from .ordinals import find_hot_keys
 
 TOTAL = "__total__"
 
@@ -82,12 +92,6 @@ def encode_key(df: DataFrame, k: str, mode: str, name: str) -> list[Column]:
     return [df[k].isNull().alias(name + "n"), F.coalesce(df[k], dflt).alias(name)]
 
 
-def _right_as_left(left: DataFrame, right: DataFrame, rs: Resolved, cols: list[str]) -> DataFrame:
-    """Right side under the left's column names *and types*."""
-    lt = {f.name: f.dataType for f in left.schema.fields}
-    return right.select(*[right[rs.rcol(c)].cast(lt[c]).alias(c) for c in cols])
-
-
 def _with_keys(df: DataFrame, rs: Resolved, mode: str) -> list[Column]:
     return [c for i, k in enumerate(rs.keys) for c in encode_key(df, k, mode, f"__k{i}")]
 
@@ -96,40 +100,78 @@ def _kcols_of(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c.startswith("__k")]
 
 
-def _key_counts(df: DataFrame, rs: Resolved, mode: str, name: str) -> DataFrame:
-    """``__k*, <name>``: rows per (encoded) key."""
-    keyed = df.select(*_with_keys(df, rs, mode))
-    return keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias(name))
-
-
-def _value_counts(df: DataFrame, rs: Resolved, mode: str, name: str) -> DataFrame:
-    """``__k*, column_name, __v, <name>``: frequency of each value per key and column."""
-    vals = [F.struct(F.lit(c).alias("column_name"), encode(df, c, mode).alias("__v"))
-            for c in rs.compare]
-    stacked = df.select(*_with_keys(df, rs, mode), F.inline(F.array(*vals)))
-    return stacked.groupBy(*_kcols_of(stacked), "column_name", "__v") \
-        .agg(F.count(F.lit(1)).alias(name))
+SIDE = "__side"
 
 
-def _pair_counts(left: DataFrame, right: DataFrame, rs: Resolved, mode: str) -> DataFrame:
-    """One row per key present on both sides with ``__pairs`` = m_k * n_k."""
-    lk = _key_counts(left, rs, mode, "__m")
-    rk = _key_counts(_right_as_left(left, right, rs, rs.keys), rs, mode, "__n")
-    return lk.join(rk, on=_kcols_of(lk), how="inner").select(
-        (F.col("__m") * F.col("__n")).alias("__pairs"))
+def _tagged(left: DataFrame, right: DataFrame, rs: Resolved, mode: str,
+            cols: list[str]) -> DataFrame:
+    """Both sides in one frame: encoded keys ``__k*``, ``cols`` under the left
+    names and types (columns only the left reports are NULL on the right), and
+    ``__side`` (0 left, 1 right)."""
+    lt = {f.name: f.dataType for f in left.schema.fields}
+    shared = set(rs.keys + rs.compare)
+    ra = right.select(*[(right[rs.rcol(c)].cast(lt[c]) if c in shared
+                         else F.lit(None).cast(lt[c])).alias(c) for c in cols])
+
+    def tag(df: DataFrame, side: int) -> DataFrame:
+        return df.select(*_with_keys(df, rs, mode), *cols, F.lit(side).alias(SIDE))
+
+    return tag(left.select(*cols), 0).unionByName(tag(ra, 1))
+
+
+def _split(t: DataFrame) -> tuple[DataFrame, DataFrame | None, list[str]]:
+    """``(cold, hot, kcols)``.  Cold rows are hash-partitioned by encoded key,
+    the one exchange of the per-key plans below; a key above the hot-key
+    threshold would make that one task, so its rows (``hot``, None when there
+    are none) take the frequency-table plans, whose aggregates combine map-side
+    and whose joins AQE can split."""
+    kc = _kcols_of(t)
+    hot = find_hot_keys(t, kc)
+    if hot is None:
+        return t.repartition(*kc), None, kc
+    hb = F.broadcast(hot)
+    return (t.join(hb, on=kc, how="left_anti").repartition(*kc),
+            t.join(hb, on=kc, how="left_semi"), kc)
+
+
+def _sides(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return frame.filter(F.col(SIDE) == 0), frame.filter(F.col(SIDE) == 1)
+
+
+def _stack(frame: DataFrame, rs: Resolved, mode: str, left_values: bool = False) -> list[Column]:
+    """Generator columns: one ``(column_name, [left_value,] __v)`` per compare column."""
+    cells = []
+    for c in rs.compare:
+        parts = [F.lit(c).alias("column_name")]
+        if left_values:
+            parts.append(cell_text(frame[c], frame.schema[c].dataType).alias("left_value"))
+        parts.append(encode(frame, c, mode).alias("__v"))
+        cells.append(F.struct(*parts))
+    return [F.inline(F.array(*cells))]
+
+
+def _count_parts(frame: DataFrame, kc: list[str], rs: Resolved, mode: str) -> DataFrame:
+    """``column_name, __x``: m_k * n_k per key (as TOTAL) and m_kv * n_kv per
+    (key, column, value).  Key-clustered input needs no exchange."""
+    side = F.col(SIDE)
+    m = F.sum(F.when(side == 0, 1).otherwise(0))
+    n = F.sum(F.when(side == 1, 1).otherwise(0))
+    pk = frame.groupBy(*kc).agg((m * n).cast("long").alias("__x")) \
+        .select(F.lit(TOTAL).alias("column_name"), "__x")
+    st = frame.select(*kc, SIDE, *_stack(frame, rs, mode))
+    eq = st.groupBy(*kc, "column_name", "__v").agg((m * n).cast("long").alias("__x")) \
+        .select("column_name", "__x")
+    return eq.unionByName(pk)
 
 
 def cross_column_counts(left: DataFrame, right: DataFrame, rs: Resolved,
                         mode: str | None = None) -> DataFrame:
     """``column_name, mismatch_count, total_matches`` under cross pairing."""
     mode = _mode(rs, mode)
-    lv = _value_counts(left, rs, mode, "__m")
-    rv = _value_counts(_right_as_left(left, right, rs, rs.keys + rs.compare), rs, mode, "__n")
-    eq = lv.join(rv, on=[*_kcols_of(lv), "column_name", "__v"], how="inner").select(
-        "column_name", (F.col("__m") * F.col("__n")).alias("__x"))
-    parts = eq.unionByName(_pair_counts(left, right, rs, mode)
-                           .select(F.lit(TOTAL).alias("column_name"),
-                                   F.col("__pairs").alias("__x")))
+    cold, hot, kc = _split(_tagged(left, right, rs, mode, rs.keys + rs.compare))
+    parts = _count_parts(cold, kc, rs, mode)
+    if hot is not None:
+        parts = parts.unionByName(_count_parts(hot, kc, rs, mode))
     cn = F.col("column_name")
     one = parts.groupBy().agg(
         F.coalesce(F.sum(F.when(cn == TOTAL, F.col("__x"))), F.lit(0)).cast("long")
@@ -146,9 +188,15 @@ def cross_column_counts(left: DataFrame, right: DataFrame, rs: Resolved,
 
 def cross_matches(left: DataFrame, right: DataFrame, rs: Resolved,
                   mode: str | None = None) -> DataFrame:
-    """``total_matches``: number of cross pairs (sum of m_k * n_k)."""
+    """``total_matches``: number of cross pairs (sum of m_k * n_k); one
+    aggregate with a map-side partial step, so hot keys need no special plan."""
     mode = _mode(rs, mode)
-    return _pair_counts(left, right, rs, mode).groupBy().agg(
+    t = _tagged(left, right, rs, mode, rs.keys)
+    side = F.col(SIDE)
+    per_key = t.groupBy(*_kcols_of(t)).agg(
+        (F.sum(F.when(side == 0, 1).otherwise(0)) * F.sum(F.when(side == 1, 1).otherwise(0)))
+        .alias("__pairs"))
+    return per_key.groupBy().agg(
         F.coalesce(F.sum("__pairs"), F.lit(0)).cast("long").alias("total_matches"))
 
 
@@ -160,10 +208,42 @@ def mismatch_percentages(col_counts: DataFrame, digits: int = 2) -> DataFrame:
                              F.round(pct, digits).alias("percentage"))
 
 
-def _left_rows(left: DataFrame, rs: Resolved, mode: str) -> DataFrame:
-    """Distinct reported left rows with multiplicity and encoded keys."""
-    lg = left.groupBy(*rs.output).agg(F.count(F.lit(1)).alias("left_rows"))
-    return lg.select(*lg.columns, *_with_keys(lg, rs, mode))
+def _left_groups(frame: DataFrame, kc: list[str], rs: Resolved) -> tuple[DataFrame, DataFrame]:
+    """Distinct left rows with ``left_rows`` and the right side's ``right_rows``
+    per key joined on (inner: keys on both sides), plus the right rows."""
+    lrows, rrows = _sides(frame)
+    lg = lrows.groupBy(*kc, *rs.output).agg(F.count(F.lit(1)).alias("left_rows"))
+    rk = rrows.groupBy(*kc).agg(F.count(F.lit(1)).alias("right_rows"))
+    return lg.join(rk, on=kc, how="inner"), rrows
+
+
+def _with_same(left_part: DataFrame, right_counts: DataFrame, match_cols: list[str],
+               local: bool) -> DataFrame:
+    """Attach ``__same`` = right rows whose ``match_cols`` equal the left part's.
+
+    ``local``: both inputs are clustered by key, so a window over their union
+    (which keeps the clustering) does it without an exchange; otherwise a left
+    join, which AQE can split when a hot key makes it skewed."""
+    if local:
+        u = left_part.withColumn("__n", F.lit(None).cast("long")).unionByName(
+            right_counts, allowMissingColumns=True)
+        same = F.coalesce(F.sum("__n").over(Window.partitionBy(*match_cols)), F.lit(0))
+        return u.withColumn("__same", same).filter(F.col("__n").isNull()).drop("__n")
+    j = left_part.join(right_counts, on=match_cols, how="left")
+    return j.withColumn("__same", F.coalesce(F.col("__n"), F.lit(0))).drop("__n")
+
+
+def _changed_rows(frame: DataFrame, kc: list[str], rs: Resolved, mode: str,
+                  local: bool) -> DataFrame:
+    tcols = [f"__t{i}" for i in range(len(rs.compare))]
+    lk, rrows = _left_groups(frame, kc, rs)
+    lt = lk.select(*lk.columns, *[encode(lk, c, mode).alias(t) for c, t in zip(rs.compare, tcols)])
+    rt = rrows.select(*kc, *[encode(rrows, c, mode).alias(t) for c, t in zip(rs.compare, tcols)]) \
+        .groupBy(*kc, *tcols).agg(F.count(F.lit(1)).alias("__n"))
+    j = _with_same(lt, rt, [*kc, *tcols], local)
+    diff = (F.col("right_rows") - F.col("__same")).cast("long")
+    return j.select(*rs.output, "left_rows", "right_rows", diff.alias("differing_partners")) \
+        .filter(F.col("differing_partners") > 0)
 
 
 def changed_cross(left: DataFrame, right: DataFrame, rs: Resolved,
@@ -172,18 +252,22 @@ def changed_cross(left: DataFrame, right: DataFrame, rs: Resolved,
     least one cross partner: ``right_rows`` partners in total, of which
     ``differing_partners`` differ in some compare column."""
     mode = _mode(rs, mode)
-    tcols = [f"__t{i}" for i in range(len(rs.compare))]
-    lg = _left_rows(left, rs, mode)
-    kcols = _kcols_of(lg)
-    lt = lg.select(*lg.columns, *[encode(lg, c, mode).alias(t) for c, t in zip(rs.compare, tcols)])
-    ra = _right_as_left(left, right, rs, rs.keys + rs.compare)
-    rk = _key_counts(ra, rs, mode, "right_rows")
-    rt = ra.select(*_with_keys(ra, rs, mode),
-                   *[encode(ra, c, mode).alias(t) for c, t in zip(rs.compare, tcols)]) \
-        .groupBy(*kcols, *tcols).agg(F.count(F.lit(1)).alias("__same"))
-    j = lt.join(rk, on=kcols, how="inner").join(rt, on=[*kcols, *tcols], how="left")
-    diff = (F.col("right_rows") - F.coalesce(F.col("__same"), F.lit(0))).cast("long")
-    return j.select(*rs.output, "left_rows", "right_rows", diff.alias("differing_partners")) \
+    cols = list(dict.fromkeys(rs.output + rs.compare))
+    cold, hot, kc = _split(_tagged(left, right, rs, mode, cols))
+    out = _changed_rows(cold, kc, rs, mode, local=True)
+    return out if hot is None else out.unionByName(_changed_rows(hot, kc, rs, mode, local=False))
+
+
+def _cell_rows(frame: DataFrame, kc: list[str], rs: Resolved, mode: str,
+               local: bool) -> DataFrame:
+    lk, rrows = _left_groups(frame, kc, rs)
+    st = lk.select(*lk.columns, *_stack(lk, rs, mode, left_values=True))
+    rv = rrows.select(*kc, *_stack(rrows, rs, mode)) \
+        .groupBy(*kc, "column_name", "__v").agg(F.count(F.lit(1)).alias("__n"))
+    j = _with_same(st, rv, [*kc, "column_name", "__v"], local)
+    diff = (F.col("right_rows") - F.col("__same")).cast("long")
+    return j.select(*rs.output, F.col("column_name").alias("mismatch_column"), "left_value",
+                    "left_rows", "right_rows", diff.alias("differing_partners")) \
         .filter(F.col("differing_partners") > 0)
 
 
@@ -193,24 +277,10 @@ def mismatch_cells_cross(left: DataFrame, right: DataFrame, rs: Resolved,
     different value.  ``left_rows * differing_partners`` summed over all rows
     equals the reference's count of mismatched cells under cross pairing."""
     mode = _mode(rs, mode)
-    lg = _left_rows(left, rs, mode)
-    kcols = _kcols_of(lg)
-    ra = _right_as_left(left, right, rs, rs.keys + rs.compare)
-    rv = _value_counts(ra, rs, mode, "__same")
-    rk = _key_counts(ra, rs, mode, "right_rows")
-    # partner counts join the distinct left rows before they are stacked into
-    # cells, so only row-level data moves by key and the cells shuffle once
-    lk = lg.join(rk, on=kcols, how="inner")
-    cells = [F.struct(F.lit(c).alias("column_name"),
-                      cell_text(lk[c], lk.schema[c].dataType).alias("left_value"),
-                      encode(lk, c, mode).alias("__v"))
-             for c in rs.compare]
-    st = lk.select(*lk.columns, F.inline(F.array(*cells)))
-    j = st.join(rv, on=[*kcols, "column_name", "__v"], how="left")
-    diff = (F.col("right_rows") - F.coalesce(F.col("__same"), F.lit(0))).cast("long")
-    return j.select(*rs.output, F.col("column_name").alias("mismatch_column"), "left_value",
-                    "left_rows", "right_rows", diff.alias("differing_partners")) \
-        .filter(F.col("differing_partners") > 0)
+    cols = list(dict.fromkeys(rs.output + rs.compare))
+    cold, hot, kc = _split(_tagged(left, right, rs, mode, cols))
+    out = _cell_rows(cold, kc, rs, mode, local=True)
+    return out if hot is None else out.unionByName(_cell_rows(hot, kc, rs, mode, local=False))
 
 
 def cross_cell_total(cells: DataFrame) -> DataFrame:

@@ -133,9 +133,13 @@ def _hot_pair(spark):
     return spark.createDataFrame(rows_l, schema), spark.createDataFrame(rows_r, schema)
 
 
-def test_cross_reports_exact_with_a_hot_key(spark):
+@pytest.mark.parametrize("threshold", [None, 50])
+def test_cross_reports_exact_with_a_hot_key(spark, hot_rows, threshold):
     """Frequency-based cross reports equal the explicit m x n pair join even when
-    one key holds a third of the rows (brute force only on this small fixture)."""
+    one key holds a third of the rows (brute force only on this small fixture),
+    with that key in the per-key plan (default threshold) and in the hot-key plan."""
+    if threshold is not None:
+        hot_rows(threshold)
     left, right = _hot_pair(spark)
     rs = ReconSpec(keys=("k",), compare=("a", "b"), pairing="cross").resolve(left, right)
     l, r = left.alias("l"), right.alias("r")
