@@ -15,13 +15,13 @@ each, how many right partners differ (``differing_partners``) instead of
 listing the partners.
 
 Plan: both sides are tagged and unioned, and hash-partitioned by encoded key
-once.  Every per-key and per-(key, column, value) aggregate, the join of left
-rows to per-key partner counts, and the window that attaches per-value
-partner counts are then satisfied by that partitioning, so a report costs one
-exchange of the inputs.  Keys above the hot-key threshold (``ordinals``) would
-make that one task; their rows take the same computations without the
-up-front repartition: aggregates with a map-side partial step and left joins
-that AQE's skew handling can split.
+once.  Every per-key and per-(key, column, value) aggregate and the join of
+left rows to per-key partner counts are then satisfied by that partitioning
+(no further exchange); only the lookup of per-value partner counts, a left
+equi-join on (key, column, value), shuffles again.  Keys above the hot-key
+threshold (``ordinals``) would make the up-front repartition one task; their
+rows take the same computations without it: aggregates with a map-side
+partial step and joins that AQE's skew handling can split.
 
 Keys match null-safely (NULL with NULL), as the reference's sentinel key
 join does; under ``null_mode="sentinel"`` keys and values are compared as
@@ -37,7 +37,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -217,30 +217,22 @@ def _left_groups(frame: DataFrame, kc: list[str], rs: Resolved) -> tuple[DataFra
     return lg.join(rk, on=kc, how="inner"), rrows
 
 
-def _with_same(left_part: DataFrame, right_counts: DataFrame, match_cols: list[str],
-               local: bool) -> DataFrame:
-    """Attach ``__same`` = right rows whose ``match_cols`` equal the left part's.
-
-    ``local``: both inputs are clustered by key, so a window over their union
-    (which keeps the clustering) does it without an exchange; otherwise a left
-    join, which AQE can split when a hot key makes it skewed."""
-    if local:
-        u = left_part.withColumn("__n", F.lit(None).cast("long")).unionByName(
-            right_counts, allowMissingColumns=True)
-        same = F.coalesce(F.sum("__n").over(Window.partitionBy(*match_cols)), F.lit(0))
-        return u.withColumn("__same", same).filter(F.col("__n").isNull()).drop("__n")
+def _with_same(left_part: DataFrame, right_counts: DataFrame, match_cols: list[str]) -> DataFrame:
+    """Attach ``__same`` = right rows whose ``match_cols`` equal the left part's
+    (a left equi-join; AQE splits it when a hot key makes it skewed).  A window
+    over the key-clustered union would avoid this exchange, but measured slower
+    than the join on the bench data."""
     j = left_part.join(right_counts, on=match_cols, how="left")
     return j.withColumn("__same", F.coalesce(F.col("__n"), F.lit(0))).drop("__n")
 
 
-def _changed_rows(frame: DataFrame, kc: list[str], rs: Resolved, mode: str,
-                  local: bool) -> DataFrame:
+def _changed_rows(frame: DataFrame, kc: list[str], rs: Resolved, mode: str) -> DataFrame:
     tcols = [f"__t{i}" for i in range(len(rs.compare))]
     lk, rrows = _left_groups(frame, kc, rs)
     lt = lk.select(*lk.columns, *[encode(lk, c, mode).alias(t) for c, t in zip(rs.compare, tcols)])
     rt = rrows.select(*kc, *[encode(rrows, c, mode).alias(t) for c, t in zip(rs.compare, tcols)]) \
         .groupBy(*kc, *tcols).agg(F.count(F.lit(1)).alias("__n"))
-    j = _with_same(lt, rt, [*kc, *tcols], local)
+    j = _with_same(lt, rt, [*kc, *tcols])
     diff = (F.col("right_rows") - F.col("__same")).cast("long")
     return j.select(*rs.output, "left_rows", "right_rows", diff.alias("differing_partners")) \
         .filter(F.col("differing_partners") > 0)
@@ -254,17 +246,16 @@ def changed_cross(left: DataFrame, right: DataFrame, rs: Resolved,
     mode = _mode(rs, mode)
     cols = list(dict.fromkeys(rs.output + rs.compare))
     cold, hot, kc = _split(_tagged(left, right, rs, mode, cols))
-    out = _changed_rows(cold, kc, rs, mode, local=True)
-    return out if hot is None else out.unionByName(_changed_rows(hot, kc, rs, mode, local=False))
+    out = _changed_rows(cold, kc, rs, mode)
+    return out if hot is None else out.unionByName(_changed_rows(hot, kc, rs, mode))
 
 
-def _cell_rows(frame: DataFrame, kc: list[str], rs: Resolved, mode: str,
-               local: bool) -> DataFrame:
+def _cell_rows(frame: DataFrame, kc: list[str], rs: Resolved, mode: str) -> DataFrame:
     lk, rrows = _left_groups(frame, kc, rs)
     st = lk.select(*lk.columns, *_stack(lk, rs, mode, left_values=True))
     rv = rrows.select(*kc, *_stack(rrows, rs, mode)) \
         .groupBy(*kc, "column_name", "__v").agg(F.count(F.lit(1)).alias("__n"))
-    j = _with_same(st, rv, [*kc, "column_name", "__v"], local)
+    j = _with_same(st, rv, [*kc, "column_name", "__v"])
     diff = (F.col("right_rows") - F.col("__same")).cast("long")
     return j.select(*rs.output, F.col("column_name").alias("mismatch_column"), "left_value",
                     "left_rows", "right_rows", diff.alias("differing_partners")) \
@@ -279,8 +270,8 @@ def mismatch_cells_cross(left: DataFrame, right: DataFrame, rs: Resolved,
     mode = _mode(rs, mode)
     cols = list(dict.fromkeys(rs.output + rs.compare))
     cold, hot, kc = _split(_tagged(left, right, rs, mode, cols))
-    out = _cell_rows(cold, kc, rs, mode, local=True)
-    return out if hot is None else out.unionByName(_cell_rows(hot, kc, rs, mode, local=False))
+    out = _cell_rows(cold, kc, rs, mode)
+    return out if hot is None else out.unionByName(_cell_rows(hot, kc, rs, mode))
 
 
 def cross_cell_total(cells: DataFrame) -> DataFrame:
