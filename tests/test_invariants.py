@@ -121,6 +121,32 @@ def test_empty_sides(spark):
     assert st.status == "PASSED" and st.total_issues == 0
 
 
+def test_cross_empty_sides_and_all_null_keys(spark):
+    from paritas.plans.catalog import LINE_SPEC
+
+    left, right = line_pair(spark, SF001)
+    empty = left.limit(0)
+    for l, r, passed in ((empty, right, False), (left, right.limit(0), False),
+                         (empty, right.limit(0), True)):
+        rs = LINE_SPEC.resolve(l, r)
+        counts_ = cross.cross_column_counts(l, r, rs).collect()
+        assert len(counts_) == len(rs.compare)
+        assert all(x.mismatch_count == 0 and x.total_matches == 0 for x in counts_)
+        assert cross.changed_cross(l, r, rs).count() == 0
+        assert cross.mismatch_cells_cross(l, r, rs).count() == 0
+        st = Reconciliation(spark, l, r, LINE_SPEC).status(with_count_differences=False).first()
+        assert (st.status == "PASSED") == passed
+    # every key NULL: under cross pairing NULL matches NULL, so all 3 x 2 pairs form
+    schema = "k bigint, v string"
+    l = spark.createDataFrame([(None, "a"), (None, "a"), (None, "b")], schema)
+    r = spark.createDataFrame([(None, "a"), (None, "c")], schema)
+    rs = ReconSpec(keys=("k",), compare=("v",), pairing="cross").resolve(l, r)
+    got = cross.cross_column_counts(l, r, rs).first()
+    assert (got.total_matches, got.mismatch_count) == (6, 4)
+    cells = cross.mismatch_cells_cross(l, r, rs)
+    assert cross.cross_cell_total(cells).first()[0] == 4
+
+
 def _hot_pair(spark):
     """A small pair where key 0 holds a third of each side (with NULL and
     repeated values), and the remaining keys are mostly unique."""
