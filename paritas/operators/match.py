@@ -277,13 +277,34 @@ def matched_changed(left: DataFrame, right: DataFrame, rs: Resolved, mode: str =
         *[F.col(rcol(c)).alias(right_prefix + c) for c in rs.compare])
 
 
+_REPEAT_CHUNK = 4096
+
+
 def keyless_diff(left: DataFrame, right: DataFrame, cols: list[str],
                  left_name: str = "left", right_name: str = "right",
                  right_cols: list[str] | None = None) -> DataFrame:
-    """Multiset difference both ways over ``cols`` (``exceptAll``), tagged by side."""
+    """Multiset difference both ways over ``cols`` (``EXCEPT ALL`` each way),
+    tagged by side.
+
+    One aggregate instead of two ``exceptAll``: the sides are tagged, unioned
+    and grouped by every column (NULLs group together) with a row count per
+    side, so both inputs are shuffled once; identical rows combine map-side.
+    A row occurring ``d`` more times on one side is emitted ``d`` times, in
+    chunks of at most ``_REPEAT_CHUNK`` so no generated array grows with ``d``.
+    """
     right_cols = right_cols or cols
     ltypes = {f.name: f.dataType for f in left.schema.fields}
-    l = left.select(*cols)
-    r = right.select(*[right[rc].cast(ltypes[c]).alias(c) for c, rc in zip(cols, right_cols)])
-    return (l.exceptAll(r).select(F.lit(left_name).alias("side"), *cols)
-            .unionByName(r.exceptAll(l).select(F.lit(right_name).alias("side"), *cols)))
+    l = left.select(*cols, F.lit(1).alias("__nl"), F.lit(0).alias("__nr"))
+    r = right.select(*[right[rc].cast(ltypes[c]).alias(c) for c, rc in zip(cols, right_cols)],
+                     F.lit(0).alias("__nl"), F.lit(1).alias("__nr"))
+    g = l.unionByName(r).groupBy(*cols).agg(
+        (F.sum("__nl") - F.sum("__nr")).cast("long").alias("__d")).filter(F.col("__d") != 0)
+    d, k = F.abs(F.col("__d")), F.lit(_REPEAT_CHUNK).cast("long")
+    chunks = g.select(
+        F.when(F.col("__d") > 0, F.lit(left_name)).otherwise(F.lit(right_name)).alias("side"),
+        *cols, d.alias("__c"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((d - 1) / k).cast("long")))
+        .alias("__chunk"))
+    size = F.least(k, F.col("__c") - F.col("__chunk") * k)
+    return chunks.select("side", *cols, F.explode(F.sequence(F.lit(1).cast("long"), size))
+                         .alias("__i")).drop("__i")

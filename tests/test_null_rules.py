@@ -107,3 +107,19 @@ def test_generic_compare_pairs_repeated_keys_by_occurrence(spark):
     long = g.mismatch_long().collect()
     assert sorted((r.key_values, r.column) for r in long if r.key_values == "id=1") == [
         ("id=1", "v")]
+
+
+def test_keyless_diff_equals_except_all_both_ways(spark):
+    from paritas.operators.match import keyless_diff
+
+    schema = "a bigint, b string"
+    # one row 9000 times on the left (several emission chunks), NULL cells group together
+    left = spark.createDataFrame([(1, "x")] * 9000 + [(2, None), (2, None), (3, "y")], schema)
+    right = spark.createDataFrame([(1, "x")] * 5 + [(2, None), (4, "z"), (4, "z")], schema)
+
+    def counted(df):
+        return sorted(map(tuple, df.groupBy("side", "a", "b").count().collect()), key=str)
+
+    want = left.exceptAll(right).selectExpr("'left' AS side", "*").unionByName(
+        right.exceptAll(left).selectExpr("'right' AS side", "*"))
+    assert counted(keyless_diff(left, right, ["a", "b"])) == counted(want)
