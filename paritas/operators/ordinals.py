@@ -13,9 +13,9 @@ a large share of the table would serialise onto one executor.  Keys above
    extra job from shuffling every distinct key of a huge table.  There are
    at most about ``2 * rows / hot_rows`` flagged keys, and the set is
    checkpointed and broadcast only after its size has been checked;
-2. hot rows are globally sorted by ``(key, side, order...)``: a range
-   exchange whose bounds are sampled over the whole sort tuple, so one key's
-   rows are split across many tasks;
+2. hot rows are globally sorted by ``(key, side, order..., random tie)``: a
+   range exchange whose bounds are sampled over the whole sort tuple, so one
+   key's rows are split across many tasks, even when they are all identical;
 3. ``monotonically_increasing_id`` then encodes (partition, position); the
    first position and row count per (key, side, partition) form a table of at
    most ``#partitions + 2 * #hot keys`` rows, from which a running sum gives
@@ -48,6 +48,7 @@ _POS_BITS = 33
 # key at the threshold is missed with negligible probability).
 SAMPLE_ROWS_PER_HOT_KEY = 4000
 _SAMPLE_SEED = 20251203
+_TIE_SEED = 7
 
 
 def order_columns(df: DataFrame, order: list[str]) -> list[Column]:
@@ -55,6 +56,14 @@ def order_columns(df: DataFrame, order: list[str]) -> list[Column]:
     return [comparable(df[c], df.schema[c].dataType).asc_nulls_last() for c in order]
 
 
+def total_order(df: DataFrame, part: list[str], order: list[str]) -> list[Column]:
+    """``order``, then every other carried column as a tie-break: rows left
+    tied are identical, so the numbering is deterministic up to swapping
+    equal rows (a recomputed task numbers the same way)."""
+    rest = [c for c in df.columns if c not in part and c not in order]
+    return order_columns(df, [*order, *rest])
+
+
 def hot_rows_setting(spark, hot_rows: int | None) -> int:
     return conf_int(spark, HOT_ROWS_CONF, HOT_ROWS_DEFAULT) if hot_rows is None else hot_rows
 
@@ -89,8 +98,8 @@ def find_hot_keys(df: DataFrame, keys: list[str], group: list[str] | None = None
 
 def window_ordinals(df: DataFrame, keys: list[str], order: list[str], rn: str = "rn",
                     group: list[str] | None = None) -> DataFrame:
-    w = Window.partitionBy(*[df[k] for k in keys], *[df[g] for g in (group or [])]) \
-        .orderBy(*order_columns(df, order))
+    part = [*keys, *(group or [])]
+    w = Window.partitionBy(*[df[k] for k in part]).orderBy(*total_order(df, part, order))
     return df.withColumn(rn, F.row_number().over(w).cast("long"))
 
 
@@ -98,9 +107,15 @@ def range_ordinals(df: DataFrame, keys: list[str], order: list[str], rn: str = "
                    group: list[str] | None = None) -> DataFrame:
     """Distributed row numbering for keys too large for one task (see module doc)."""
     part = [*keys, *(group or [])]
-    sort_cols = [df[k].asc_nulls_last() for k in part] + order_columns(df, order)
+    # last sort key: a seeded random tie-break, so rows equal in every sorted
+    # column (identical rows of a hot key, interchangeable for numbering) are
+    # spread over range partitions instead of forming one partition
+    tie = "__paritas_tie"
+    sort_cols = ([df[k].asc_nulls_last() for k in part] + total_order(df, part, order)
+                 + [F.col(tie)])
     mid = "__paritas_mid"
-    srt = df.orderBy(*sort_cols).withColumn(mid, F.monotonically_increasing_id())
+    srt = df.withColumn(tie, F.rand(_TIE_SEED)).orderBy(*sort_cols).drop(tie) \
+        .withColumn(mid, F.monotonically_increasing_id())
     srt = srt.checkpoint(eager=True)
     pid = F.shiftright(F.col(mid), _POS_BITS)
     pos = F.col(mid).bitwiseAND(F.lit((1 << _POS_BITS) - 1))

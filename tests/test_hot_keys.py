@@ -91,3 +91,26 @@ def test_plan_shapes_of_every_query(spark):
             if "CollectList" in text or "CollectSet" in text:
                 bad.append((key, "collect aggregate"))
     assert not bad, bad
+
+
+def test_identical_hot_rows_spread_over_range_partitions(spark):
+    """A hot key whose rows are all identical still spans several range
+    partitions, and the numbering is the window plan's (1..n)."""
+    from pyspark.sql import functions as F
+
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")  # small test data would be coalesced into one partition
+    try:
+        # values equal on every row but computed from the data (constant sort
+        # keys would be removed by the optimizer)
+        same = F.col("id") >= 0
+        df = spark.range(20000).select(F.when(same, F.lit(7)).alias("k"),
+                                       F.when(same, F.lit("same")).alias("v"))
+        out = ordinals.range_ordinals(df.repartition(8), ["k"], ["v"])
+        parts = out.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert parts > 1
+        rns = out.agg(F.min("rn"), F.max("rn"), F.countDistinct("rn")).first()
+        assert tuple(rns) == (1, 20000, 20000)
+    finally:
+        spark.conf.set(key, old)
