@@ -290,7 +290,8 @@ def keyless_diff(left: DataFrame, right: DataFrame, cols: list[str],
     and grouped by every column (NULLs group together) with a row count per
     side, so both inputs are shuffled once; identical rows combine map-side.
     A row occurring ``d`` more times on one side is emitted ``d`` times, in
-    chunks of at most ``_REPEAT_CHUNK`` so no generated array grows with ``d``.
+    chunks of at most ``_REPEAT_CHUNK`` so no generated array grows with ``d``;
+    the chunks of a large surplus are spread over tasks before emission.
     """
     right_cols = right_cols or cols
     ltypes = {f.name: f.dataType for f in left.schema.fields}
@@ -300,11 +301,16 @@ def keyless_diff(left: DataFrame, right: DataFrame, cols: list[str],
     g = l.unionByName(r).groupBy(*cols).agg(
         (F.sum("__nl") - F.sum("__nr")).cast("long").alias("__d")).filter(F.col("__d") != 0)
     d, k = F.abs(F.col("__d")), F.lit(_REPEAT_CHUNK).cast("long")
-    chunks = g.select(
-        F.when(F.col("__d") > 0, F.lit(left_name)).otherwise(F.lit(right_name)).alias("side"),
-        *cols, d.alias("__c"),
+    side = F.when(F.col("__d") > 0, F.lit(left_name)).otherwise(F.lit(right_name)).alias("side")
+    one = F.lit(1).cast("long")
+    # rows repeated at most one chunk's worth are emitted where they are
+    small = g.filter(d <= k).select(side, *cols, F.explode(F.sequence(one, d)).alias("__i"))
+    # larger surpluses: one row per chunk, spread over tasks before emission, so
+    # a row repeated a third of the table long is not emitted by one task
+    chunks = g.filter(d > k).select(
+        side, *cols, d.alias("__c"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.floor((d - 1) / k).cast("long")))
-        .alias("__chunk"))
+        .alias("__chunk")).repartition("side", "__chunk")
     size = F.least(k, F.col("__c") - F.col("__chunk") * k)
-    return chunks.select("side", *cols, F.explode(F.sequence(F.lit(1).cast("long"), size))
-                         .alias("__i")).drop("__i")
+    big = chunks.select("side", *cols, F.explode(F.sequence(one, size)).alias("__i"))
+    return small.unionByName(big).drop("__i")
