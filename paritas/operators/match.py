@@ -53,9 +53,15 @@ def one_sided(left: DataFrame, right: DataFrame, rs: Resolved, side: str = "left
     # only the other side's distinct keys matter: de-duplicate them map-side
     # before the shuffle (the aggregate's hash partitioning serves the join)
     other = other.filter(key_not_null(other, rs.keys)).distinct()
-    cond = all_of([this[k] == other[k] for k in rs.keys])
-    out = this.join(other, cond, "left_anti")
-    return out.distinct() if distinct else out
+    # a NULL key never matches: those rows are one-sided by definition and skip
+    # the join (shuffled by key they would all meet in one partition)
+    has_key = key_not_null(this, rs.keys)
+    keyed, keyless = this.filter(has_key), this.filter(~has_key)
+    cond = all_of([keyed[k] == other[k] for k in rs.keys])
+    out = keyed.join(other, cond, "left_anti")
+    if distinct:
+        return out.distinct().unionByName(keyless.distinct())
+    return out.unionByName(keyless)
 
 
 def numbered(df: DataFrame, rs: Resolved, cols: list[str], rn: str = "rn") -> DataFrame:
