@@ -26,7 +26,10 @@ def sample_mismatches(left: DataFrame, right: DataFrame, rs: Resolved, n: int =
 
 
 def _restrict(df: DataFrame, keys_df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.join(keys_df.select(*keys).distinct(), on=keys, how="left_semi")
+    # NULL keys never match: drop them before the shuffle instead of sending
+    # them all to one partition
+    return df.filter(key_not_null(df, keys)).join(keys_df.select(*keys).distinct(), on=keys,
+                                                   how="left_semi")
 
 
 def spot_check(left: DataFrame, right: DataFrame, rs: Resolved, keys_df: DataFrame) -> DataFrame:
@@ -38,8 +41,9 @@ def spot_check(left: DataFrame, right: DataFrame, rs: Resolved, keys_df: DataFra
     """
     ln, rn_ = rs.spec.left_name, rs.spec.right_name
     l = _restrict(left, keys_df, rs.keys)
-    r = right.join(keys_df.select(*[F.col(k).alias(rs.rcol(k)) for k in rs.keys]).distinct(),
-                   on=[rs.rcol(k) for k in rs.keys], how="left_semi")
+    r = right.filter(key_not_null(right, [rs.rcol(k) for k in rs.keys])).join(
+        keys_df.select(*[F.col(k).alias(rs.rcol(k)) for k in rs.keys]).distinct(),
+        on=[rs.rcol(k) for k in rs.keys], how="left_semi")
     pairs = ordinal_pairs(l, r, rs, how="full_outer")
     missing = pairs.filter(~(F.col("__l") & F.col("__r"))).select(
         *rs.keys, "rn",
