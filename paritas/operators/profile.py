@@ -66,6 +66,69 @@ def required_issues(spark: SparkSession, rs: Resolved, left_table: str,
     return spark.createDataFrame(rows, ISSUE_ROWS)
 
 
+def rows_with_figures(one_row: DataFrame, rows: list[tuple], schema: T.StructType,
+                      figures: list | None = None) -> DataFrame:
+    """Metadata rows that each carry figures of a one-row aggregate, built as an
+    ``inline`` over that row (no join).  ``figures[i]`` lists the Columns for
+    row ``i`` (default: all columns of ``one_row``)."""
+    names = [f.name for f in schema.fields]
+    if not rows:
+        return one_row.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields],
+                              *one_row.columns).filter(F.lit(False))
+    structs = []
+    for i, r in enumerate(rows):
+        vals = [F.lit(v).cast(f.dataType).alias(n) for v, f, n in zip(r, schema.fields, names)]
+        extra = [F.col(c) for c in one_row.columns] if figures is None else figures[i]
+        structs.append(F.struct(*vals, *extra))
+    return one_row.select(F.inline(F.array(*structs)))
+
+
+def schema_profile(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """``schema_frame`` rows with the table's ``row_count`` (the profile step
+    reports both): ``position, column_name, type, nullable, row_count``."""
+    rows = [(i + 1, f.name, f.dataType.simpleString(), bool(f.nullable))
+            for i, f in enumerate(df.schema.fields)]
+    count = df.groupBy().agg(F.count(F.lit(1)).cast("long").alias("row_count"))
+    return rows_with_figures(count, rows, SCHEMA_ROWS)
+
+
+def _side_counts(left: DataFrame, right: DataFrame) -> DataFrame:
+    c = row_counts(left, right, "l", "r")
+    return c.groupBy().agg(
+        F.sum(F.when(F.col("side") == "l", F.col("row_count"))).cast("long").alias("table1_rows"),
+        F.sum(F.when(F.col("side") == "r", F.col("row_count"))).cast("long").alias("table2_rows"))
+
+
+def common_columns_profile(left: DataFrame, right: DataFrame, rs: Resolved) -> DataFrame:
+    """Common columns with both tables' row counts:
+    ``position, column_name, table1_rows, table2_rows``."""
+    rows = [(i + 1, c) for i, c in enumerate(rs.common)]
+    return rows_with_figures(_side_counts(left, right), rows,
+                             T.StructType([T.StructField("position", T.LongType()),
+                                           T.StructField("column_name", T.StringType())]))
+
+
+def required_issues_profile(left: DataFrame, right: DataFrame, rs: Resolved, left_table: str,
+                            right_table: str) -> DataFrame:
+    """``required_issues`` rows with ``table_rows``, the row count of the
+    table each issue is about."""
+    ln, rn_ = rs.spec.left_name, rs.spec.right_name
+    rows, figs = [], []
+    for kind, severity in (("required", "CRITICAL"), ("output", "WARNING")):
+        label = "comparison" if kind == "required" else "output"
+        for side, name, table in (("left", ln, left_table), ("right", rn_, right_table)):
+            missing = rs.missing[side][kind]
+            if missing:
+                rows.append((f"missing_{label}_columns_{name}", table, list(missing), severity))
+                figs.append([F.col("table1_rows" if side == "left" else "table2_rows")
+                             .alias("table_rows")])
+    counts = _side_counts(left, right)
+    if not rows:  # no issue: an empty frame of the same shape
+        return rows_with_figures(counts.select(F.col("table1_rows").alias("table_rows")), [],
+                                 ISSUE_ROWS)
+    return rows_with_figures(counts, rows, ISSUE_ROWS, figs)
+
+
 def gate_status(rs: Resolved) -> str:
     """``FAILED`` before any data is scanned when a required column is missing."""
     return "FAILED" if rs.critical else "OK"

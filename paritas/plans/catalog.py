@@ -66,19 +66,21 @@ def q_table_row_counts(spark, d):
 
 
 def q_table_schema(spark, d):
-    return profile.schema_frame(spark, feed(spark, d).left)
+    return profile.schema_profile(spark, feed(spark, d).left)
 
 
 def q_common_columns(spark, d):
-    return profile.common_columns_frame(spark, feed(spark, d).rs)
+    g = feed(spark, d)
+    return profile.common_columns_profile(g.left, g.right, g.rs)
 
 
 def q_required_column_issues(spark, d):
     left, right = feed_pair(spark, d)
     rs = FEED_REQUIRED_SPEC.resolve(left, right)
-    issues = profile.required_issues(spark, rs, "feed_left", "feed_right")
+    issues = profile.required_issues_profile(left, right, rs, "feed_left", "feed_right")
     return issues.select("type", "table_name",
-                         F.array_join("missing_columns", ", ").alias("missing_columns"), "severity")
+                         F.array_join("missing_columns", ", ").alias("missing_columns"), "severity",
+                         "table_rows")
 
 
 def q_structure_diff(spark, d):

@@ -262,23 +262,26 @@ LIMIT 100""",
 SELECT 'dev' AS side, count(*) AS row_count FROM enroll_dev
 UNION ALL SELECT 'prod', count(*) FROM enroll_prod""",
 
-    "table_schema": """
-SELECT * FROM (VALUES
+    "table_schema": FEED + """
+SELECT v.*, (SELECT count(*) FROM feed_left) AS row_count FROM (VALUES
   (CAST(1 AS BIGINT), 'o_orderkey', 'bigint', true),
   (2, 'o_custkey', 'bigint', true),
   (3, 'o_orderstatus', 'string', true),
   (4, 'o_totalprice', 'double', true),
   (5, 'o_orderdate', 'timestamp_ntz', true),
   (6, 'o_orderpriority', 'string', true),
-  (7, 'left_extra', 'bigint', true)) t(position, column_name, type, nullable)""",
+  (7, 'left_extra', 'bigint', true)) v(position, column_name, type, nullable)""",
 
-    "common_columns": """
-SELECT * FROM (VALUES
+    "common_columns": FEED + """
+SELECT v.*, (SELECT count(*) FROM feed_left) AS table1_rows,
+       (SELECT count(*) FROM feed_right) AS table2_rows FROM (VALUES
   (CAST(1 AS BIGINT), 'o_orderkey'), (2, 'o_custkey'), (3, 'o_orderstatus'),
-  (4, 'o_totalprice'), (5, 'o_orderdate'), (6, 'o_orderpriority')) t(position, column_name)""",
+  (4, 'o_totalprice'), (5, 'o_orderdate'), (6, 'o_orderpriority')) v(position, column_name)""",
 
-    "required_column_issues": """
-SELECT * FROM (VALUES
+    "required_column_issues": FEED + """
+SELECT t.*, CASE WHEN t.table_name = 'feed_left' THEN (SELECT count(*) FROM feed_left)
+                 ELSE (SELECT count(*) FROM feed_right) END AS table_rows
+FROM (VALUES
   ('missing_comparison_columns_left', 'feed_left', 'missing_col', 'CRITICAL'),
   ('missing_comparison_columns_right', 'feed_right', 'left_extra, missing_col', 'CRITICAL'),
   ('missing_output_columns_left', 'feed_left', 'right_extra', 'WARNING'))
