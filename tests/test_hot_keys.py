@@ -93,6 +93,21 @@ def test_plan_shapes_of_every_query(spark):
     assert not bad, bad
 
 
+# upper bounds on shuffles in the initial physical plan (fixture derivation included)
+_MAX_SHUFFLES = {"mismatch_cells": 1, "unmatched_ordinals": 1, "generic_mismatch_long": 1,
+                 "business_mismatch_cells": 3, "keyless_diff": 2, "count_differences": 2}
+
+
+def test_shuffle_counts_of_headline_plans(spark):
+    from paritas.plans.catalog import QUERIES
+
+    got = {}
+    for key, limit in _MAX_SHUFFLES.items():
+        nodes = _plan_nodes(QUERIES[key](spark, SF001))
+        got[key] = sum(n["class"].endswith("ShuffleExchangeExec") for n in nodes)
+    assert all(got[k] <= v for k, v in _MAX_SHUFFLES.items()), got
+
+
 def test_identical_hot_rows_spread_over_range_partitions(spark):
     """A hot key whose rows are all identical still spans several range
     partitions, and the numbering is the window plan's (1..n)."""
