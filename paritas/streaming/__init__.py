@@ -1,0 +1,3 @@
+"""Intentionally empty: the reconciliation being rebuilt has no streaming
+sources, watermarks or stateful operators (see README, "Re-aimed and skipped
+items"). Batch DataFrames cover every query."""
