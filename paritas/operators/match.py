@@ -117,7 +117,7 @@ def _unpaired(df: DataFrame, rs: Resolved, cols: list[str], types: dict, side: s
 
 
 def ordinal_pairs(left: DataFrame, right: DataFrame, rs: Resolved, how: str = "inner",
-                  null_keys: bool = False) -> DataFrame:
+                  null_keys: bool = False, keys_df: DataFrame | None = None) -> DataFrame:
     """Pair the i-th occurrence of a key on the left with the i-th on the right.
 
     ``how="full_outer"`` also yields unmatched ordinals (one flag false); with
@@ -131,10 +131,19 @@ def ordinal_pairs(left: DataFrame, right: DataFrame, rs: Resolved, how: str = "i
     keys are numbered by the range plan of ``ordinals`` instead.  Columns of
     numeric types are widened for the union and narrowed back afterwards;
     other type differences use ``ordinal_pairs_join``.
+
+    ``keys_df`` restricts the pairing to those keys with one semi-join of the
+    tagged union; its hash-by-key output then serves the window and the
+    aggregate, so no further exchange is added.
     """
     cols = list(dict.fromkeys(rs.output + rs.order))
     types = _union_types(left, right, rs, cols)
     if types is None:
+        if keys_df is not None:
+            wanted = keys_df.select(*rs.keys).distinct()
+            left = left.join(wanted, on=rs.keys, how="left_semi")
+            right = right.join(wanted.select(*[F.col(k).alias(rs.rcol(k)) for k in rs.keys]),
+                               on=[rs.rcol(k) for k in rs.keys], how="left_semi")
         return ordinal_pairs_join(left, right, rs, how, null_keys)
     lt = {f.name: f.dataType for f in left.schema.fields}
     rt = {c: right.schema[rs.rcol(c)].dataType for c in cols}
@@ -145,8 +154,12 @@ def ordinal_pairs(left: DataFrame, right: DataFrame, rs: Resolved, how: str = "i
             *[F.col(c).cast(types[c]).alias(c) for c in cols], F.lit(tag).alias("__side"))
 
     tagged = side_rows(left, 0).unionByName(side_rows(ra, 1))
+    if keys_df is not None:
+        wanted = keys_df.select(*[F.col(k).cast(types[k]).alias(k) for k in rs.keys])
+        tagged = tagged.join(wanted.filter(key_not_null(wanted, rs.keys)).distinct(),
+                             on=rs.keys, how="left_semi")
     num = with_ordinals(tagged, rs.keys, rs.order, "rn", group=["__side"],
-                        cold_partitioned=True)
+                        cold_partitioned=keys_df is None)
     nonkey = [c for c in cols if c not in rs.keys]
     side = F.col("__side")
     grouped = num.groupBy(*rs.keys, "rn").agg(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.diff import cells_of_pairs, explode_cells
 from ..operators.match import key_not_null, numbered, ordinal_pairs, right_aligned, row_differs
@@ -40,22 +41,21 @@ def spot_check(left: DataFrame, right: DataFrame, rs: Resolved, keys_df: DataFra
     side only; value columns NULL) or data_differences (one row per differing cell).
     """
     ln, rn_ = rs.spec.left_name, rs.spec.right_name
-    l = _restrict(left, keys_df, rs.keys)
-    r = right.filter(key_not_null(right, [rs.rcol(k) for k in rs.keys])).join(
-        keys_df.select(*[F.col(k).alias(rs.rcol(k)) for k in rs.keys]).distinct(),
-        on=[rs.rcol(k) for k in rs.keys], how="left_semi")
-    pairs = ordinal_pairs(l, r, rs, how="full_outer")
-    missing = pairs.filter(~(F.col("__l") & F.col("__r"))).select(
-        *rs.keys, "rn",
+    pairs = ordinal_pairs(left, right, rs, how="full_outer", keys_df=keys_df)
+    # one pass over the pairs: a missing ordinal gives one row, a present pair
+    # one row per differing cell
+    both = F.col("__l") & F.col("__r")
+    text = T.StringType()
+    missing = F.array(F.struct(
         F.when(F.col("__l"), F.lit(f"missing_in_{rn_}")).otherwise(F.lit(f"missing_in_{ln}"))
         .alias("type"),
-        F.lit(None).cast("string").alias("mismatch_column"),
-        F.lit(None).cast("string").alias("left_value"),
-        F.lit(None).cast("string").alias("right_value"))
-    both = pairs.filter(F.col("__l") & F.col("__r"))
-    cells = both.select(*rs.keys, "rn", F.lit("data_differences").alias("type"),
-                        F.inline(explode_cells(both, rs, "safe"))).drop("__d")
-    return missing.unionByName(cells)
+        F.lit(None).cast(text).alias("mismatch_column"),
+        F.lit(None).cast(text).alias("left_value"),
+        F.lit(None).cast(text).alias("right_value")))
+    cells = F.transform(explode_cells(pairs, rs, "safe"), lambda x: F.struct(
+        F.lit("data_differences").alias("type"), x["mismatch_column"].alias("mismatch_column"),
+        x["left_value"].alias("left_value"), x["right_value"].alias("right_value")))
+    return pairs.select(*rs.keys, "rn", F.inline(F.when(both, cells).otherwise(missing)))
 
 
 def duplicate_details(left: DataFrame, right: DataFrame, rs: Resolved,
