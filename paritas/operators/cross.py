@@ -129,9 +129,9 @@ def _split(t: DataFrame) -> tuple[DataFrame, DataFrame | None, list[str]]:
     hot = find_hot_keys(t, kc)
     if hot is None:
         return t.repartition(*kc), None, kc
-    hb = F.broadcast(hot)
-    return (t.join(hb, on=kc, how="left_anti").repartition(*kc),
-            t.join(hb, on=kc, how="left_semi"), kc)
+    # ``hot`` is broadcast-hinted by find_hot_keys when its size allows
+    return (t.join(hot, on=kc, how="left_anti").repartition(*kc),
+            t.join(hot, on=kc, how="left_semi"), kc)
 
 
 def _sides(frame: DataFrame) -> tuple[DataFrame, DataFrame]:

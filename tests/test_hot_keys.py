@@ -131,3 +131,18 @@ def test_identical_hot_rows_spread_over_range_partitions(spark):
         assert tuple(rns) == (1, 20000, 20000)
     finally:
         spark.conf.set(key, old)
+
+
+def test_large_hot_set_joins_by_shuffle(spark, hot_rows, monkeypatch):
+    """A hot-key set above the broadcast limit is still used (joined by shuffle,
+    no broadcast hint), the offset table likewise, and the ordinals are unchanged."""
+    monkeypatch.setattr(ordinals, "HOT_KEYS_BROADCAST_LIMIT", 2)
+    monkeypatch.setattr(ordinals, "OFFSETS_BROADCAST_LIMIT", 1)
+    li = read_table(spark, SF001, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber")
+    hot_rows(30)
+    hot = ordinals.find_hot_keys(li, ["l_partkey"])
+    assert hot is not None and hot.count() > 2
+    assert "broadcast" not in hot._jdf.queryExecution().analyzed().toString().lower()
+    mixed = ordinals.with_ordinals(li, ["l_partkey"], ["l_orderkey", "l_linenumber"], hot=hot)
+    plain = ordinals.window_ordinals(li, ["l_partkey"], ["l_orderkey", "l_linenumber"])
+    assert mixed.exceptAll(plain).count() == 0 and plain.exceptAll(mixed).count() == 0
