@@ -308,9 +308,11 @@ def keyless_diff(left: DataFrame, right: DataFrame, cols: list[str],
     One aggregate instead of two ``exceptAll``: the sides are tagged, unioned
     and grouped by every column (NULLs group together) with a row count per
     side, so both inputs are shuffled once; identical rows combine map-side.
-    A row occurring ``d`` more times on one side is emitted ``d`` times, in
-    chunks of at most ``_REPEAT_CHUNK`` so no generated array grows with ``d``;
-    the chunks of a large surplus are spread over tasks before emission.
+    A row occurring ``d`` more times on one side is emitted ``d`` times by
+    nested explodes of at most ``_REPEAT_CHUNK`` elements; a surplus above
+    ``_REPEAT_CHUNK ** 2`` rows is first cut into blocks of that size, spread
+    over tasks, so neither a generated array nor one task's output grows
+    with ``d``.
     """
     right_cols = right_cols or cols
     ltypes = {f.name: f.dataType for f in left.schema.fields}
@@ -319,17 +321,29 @@ def keyless_diff(left: DataFrame, right: DataFrame, cols: list[str],
                      F.lit(0).alias("__nl"), F.lit(1).alias("__nr"))
     g = l.unionByName(r).groupBy(*cols).agg(
         (F.sum("__nl") - F.sum("__nr")).cast("long").alias("__d")).filter(F.col("__d") != 0)
-    d, k = F.abs(F.col("__d")), F.lit(_REPEAT_CHUNK).cast("long")
+    d = F.abs(F.col("__d"))
+    k = _REPEAT_CHUNK
+    block = F.lit(k * k).cast("long")
     side = F.when(F.col("__d") > 0, F.lit(left_name)).otherwise(F.lit(right_name)).alias("side")
-    one = F.lit(1).cast("long")
-    # rows repeated at most one chunk's worth are emitted where they are
-    small = g.filter(d <= k).select(side, *cols, F.explode(F.sequence(one, d)).alias("__i"))
-    # larger surpluses: one row per chunk, spread over tasks before emission, so
-    # a row repeated a third of the table long is not emitted by one task
-    chunks = g.filter(d > k).select(
-        side, *cols, d.alias("__c"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((d - 1) / k).cast("long")))
-        .alias("__chunk")).repartition("side", "__chunk")
-    size = F.least(k, F.col("__c") - F.col("__chunk") * k)
-    big = chunks.select("side", *cols, F.explode(F.sequence(one, size)).alias("__i"))
-    return small.unionByName(big).drop("__i")
+    # surpluses of at most one block (k * k rows) are emitted where they are
+    small = _repeat(g.filter(d <= block).select(side, *cols, d.alias("__n")), cols, k)
+    # larger ones: one row per block, spread over tasks before emission, so a
+    # row repeated a third of the table long is not emitted by one task
+    blocks = g.filter(d > block).select(
+        side, *cols, d.alias("__t"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((d - 1) / block).cast("long")))
+        .alias("__b")).repartition("side", "__b")
+    big = _repeat(blocks.select("side", *cols, F.least(block, F.col("__t") - F.col("__b") * block)
+                                .alias("__n")), cols, k)
+    return small.unionByName(big)
+
+
+def _repeat(df: DataFrame, cols: list[str], k: int) -> DataFrame:
+    """``side, cols`` repeated ``__n`` (at most k * k) times by two explodes of
+    at most ``k`` elements each."""
+    kk = F.lit(k).cast("long")
+    chunks = df.select("side", *cols, "__n", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor((F.col("__n") - 1) / kk).cast("long"))).alias("__c"))
+    size = F.least(kk, F.col("__n") - F.col("__c") * kk)
+    return chunks.select("side", *cols, F.explode(F.sequence(F.lit(1).cast("long"), size))
+                         .alias("__i")).drop("__i")

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from paritas import ReconSpec
@@ -109,9 +110,13 @@ def test_generic_compare_pairs_repeated_keys_by_occurrence(spark):
         ("id=1", "v")]
 
 
-def test_keyless_diff_equals_except_all_both_ways(spark):
+@pytest.mark.parametrize("chunk", [4096, 4])
+def test_keyless_diff_equals_except_all_both_ways(spark, monkeypatch, chunk):
     from paritas.operators.match import keyless_diff
 
+    # chunk 4: blocks of 16 rows, so the 9000-row surplus takes the block path
+    monkeypatch.setattr(match, "_REPEAT_CHUNK", chunk)
+
     schema = "a bigint, b string"
     # one row 9000 times on the left (several emission chunks), NULL cells group together
     left = spark.createDataFrame([(1, "x")] * 9000 + [(2, None), (2, None), (3, "y")], schema)
