@@ -12,10 +12,12 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import counts, cross, diff, match, profile, structure
 from ..sources import as_dataframe
 from ..spec import ReconSpec, Resolved
+from . import diagnostics
 
 
 def _count(df: DataFrame, metric: str) -> DataFrame:
@@ -75,6 +77,31 @@ class Reconciliation:
     def one_sided(self, side: str, distinct: bool = True) -> DataFrame:
         return match.one_sided(self.left, self.right, self.rs, side, distinct=distinct)
 
+    def keys_frame(self, keys) -> DataFrame:
+        """Keys to inspect: a DataFrame with the key columns, one key value, or a
+        list of values (tuples for a composite key).  Values become a typed
+        DataFrame, never SQL text."""
+        if isinstance(keys, DataFrame):
+            return keys.select(*self.rs.keys)
+        values = keys if isinstance(keys, list) else [keys]
+        rows = [v if isinstance(v, tuple) else (v,) for v in values]
+        fields = [self.left.schema[k] for k in self.rs.keys]
+        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
+        return self.spark.createDataFrame(rows, schema)
+
+    def spot_check(self, keys) -> DataFrame:
+        """All occurrences of ``keys`` compared position by position (R3)."""
+        return diagnostics.spot_check(self.left, self.right, self.rs, self.keys_frame(keys))
+
+    def duplicate_details(self, keys) -> DataFrame:
+        """All occurrences of ``keys`` on both sides with counts (R4)."""
+        return diagnostics.duplicate_details(self.left, self.right, self.rs,
+                                             self.keys_frame(keys))
+
+    def sample_mismatches(self, n: int = 10) -> DataFrame:
+        """Cells of the first ``n`` differing pairs by key and ordinal (R1)."""
+        return diagnostics.sample_mismatches(self.left, self.right, self.rs, n)
+
     @cached_property
     def mismatches(self) -> DataFrame:
         """Cell report under the spec's pairing: ordinal -> one row per cell;

@@ -202,3 +202,17 @@ def test_ordinal_reports_same_with_hot_key_plan(spark, hot_rows):
     assert ordinals.find_hot_keys(left, ["k"], hot_rows=50).count() == 1
     hot_rows(50)
     assert reports() == plain and len(plain[0]) > 0 and len(plain[1]) > 0
+
+
+def test_spot_check_by_key_values(spark):
+    """One key value, a list, or a keys DataFrame select the same rows."""
+    r = enroll(spark, SF001)
+    some = [row.member_id for row in r.count_differences.orderBy("member_id").limit(3).collect()]
+    by_list = r.spot_check(some)
+    by_frame = r.spot_check(r.keys_frame(some))
+    assert by_list.count() == by_frame.count() > 0
+    one = r.spot_check(some[0])
+    assert {x.member_id for x in one.collect()} == {some[0]}
+    details = r.duplicate_details(some[0])
+    assert {x.member_id for x in details.collect()} == {some[0]}
+    assert r.sample_mismatches(5).select("member_id", "dev_row_number").distinct().count() <= 5
