@@ -110,6 +110,23 @@ def window_ordinals(df: DataFrame, keys: list[str], order: list[str], rn: str =
     return df.withColumn(rn, F.row_number().over(w).cast("long"))
 
 
+def side_ordinals(df: DataFrame, keys: list[str], order: list[str], rn: str, side: str) -> DataFrame:
+    """``window_ordinals`` per (key, ``side``) for a 0/1 ``side`` column, as one
+    window partitioned by the key alone: rows ordered by side, then the total
+    order, so the left rows take 1..m and the right rows m+1..m+n; subtracting
+    m (counted in the same window) numbers each side from 1.  The window only
+    *requires* clustering by key, so input already hash-partitioned or
+    bucketed by the key is not shuffled again, and a later operator clustered
+    on the key (with any further columns) reuses the partitioning."""
+    s = F.col(side)
+    w = Window.partitionBy(*[df[k] for k in keys]).orderBy(
+        s.asc(), *total_order(df, [*keys, side], order))
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    lefts = F.sum(F.when(s == 0, 1).otherwise(0)).over(whole)
+    return df.withColumn(rn, (F.row_number().over(w) - F.when(s == 1, lefts).otherwise(0))
+                         .cast("long"))
+
+
 def range_ordinals(df: DataFrame, keys: list[str], order: list[str], rn: str = "rn",
                    group: list[str] | None = None) -> DataFrame:
     """Distributed row numbering for keys too large for one task (see module doc)."""
@@ -150,13 +167,17 @@ def with_ordinals(df: DataFrame, keys: list[str], order: list[str], rn: str = "r
 
     ``hot="auto"`` detects hot keys; pass ``None`` to use the window plan for
     everything or a hot-key DataFrame from ``find_hot_keys``.  With
-    ``cold_partitioned`` the window input is hash-partitioned by ``keys`` only,
-    so later operators clustered on ``keys`` need no further exchange.
+    ``cold_partitioned`` the numbered rows come out clustered by ``keys`` only,
+    so later operators clustered on ``keys`` need no further exchange (a 0/1
+    ``group`` such as the side tag uses ``side_ordinals``; anything else is
+    repartitioned by the keys first).
     """
     if isinstance(hot, str):
         hot = find_hot_keys(df, keys, group)
 
     def cold_plan(frame):
+        if cold_partitioned and group and len(group) == 1:
+            return side_ordinals(frame, keys, order, rn, group[0])
         if cold_partitioned:
             frame = frame.repartition(*[frame[k] for k in keys])
         return window_ordinals(frame, keys, order, rn, group)

@@ -146,3 +146,26 @@ def test_large_hot_set_joins_by_shuffle(spark, hot_rows, monkeypatch):
     mixed = ordinals.with_ordinals(li, ["l_partkey"], ["l_orderkey", "l_linenumber"], hot=hot)
     plain = ordinals.window_ordinals(li, ["l_partkey"], ["l_orderkey", "l_linenumber"])
     assert mixed.exceptAll(plain).count() == 0 and plain.exceptAll(mixed).count() == 0
+
+
+def test_bucketed_inputs_pair_without_shuffle(spark, tmp_path):
+    """Inputs bucketed by the key are paired without any exchange: the
+    numbering window only requires clustering by key."""
+    from paritas import ReconSpec
+    from paritas.operators import match
+
+    li = read_table(spark, SF001, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    suffix = tmp_path.name.replace("-", "_")
+    for name, df in (("bl", li), ("br", li.filter("l_partkey % 7 <> 0"))):
+        (df.write.bucketBy(8, "l_orderkey").option("path", str(tmp_path / name))
+         .saveAsTable(f"paritas_{name}_{suffix}"))
+    left, right = spark.table(f"paritas_bl_{suffix}"), spark.table(f"paritas_br_{suffix}")
+    rs = ReconSpec(keys=("l_orderkey",), compare=("l_partkey",),
+                   output=("l_linenumber",)).resolve(left, right)
+    pairs = match.ordinal_pairs(left, right, rs, how="full_outer")
+    nodes = _plan_nodes(pairs)
+    # hot-key detection may add its own small job; the pairing plan has no exchange
+    assert sum(n["class"].endswith("ShuffleExchangeExec") for n in nodes) == 0
+    plain = match.ordinal_pairs(li, li.filter("l_partkey % 7 <> 0"), rs, how="full_outer")
+    assert pairs.count() == plain.count() > 0
+    assert pairs.exceptAll(plain).count() == 0
