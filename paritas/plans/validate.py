@@ -7,6 +7,7 @@ gate: a missing required column is decided from schemas, before any scan.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -98,6 +99,19 @@ class Reconciliation:
         return diagnostics.duplicate_details(self.left, self.right, self.rs,
                                              self.keys_frame(keys))
 
+    def register_views(self, prefix: str = "paritas") -> dict[str, str]:
+        """Register the inputs and the main (lazy) results as temp views with
+        names unique to this call, for SQL over them; returns role -> view name."""
+        run = uuid.uuid4().hex[:8]
+        frames = {"left": self.left, "right": self.right,
+                  "mismatches": self.mismatches, "count_differences": self.count_differences,
+                  "left_only": self.one_sided("left"), "right_only": self.one_sided("right")}
+        names = {}
+        for role, df in frames.items():
+            names[role] = f"{prefix}_{role}_{run}"
+            df.createOrReplaceTempView(names[role])
+        return names
+
     def sample_mismatches(self, n: int = 10) -> DataFrame:
         """Cells of the first ``n`` differing pairs by key and ordinal (R1)."""
         return diagnostics.sample_mismatches(self.left, self.right, self.rs, n)

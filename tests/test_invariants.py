@@ -216,3 +216,12 @@ def test_spot_check_by_key_values(spark):
     details = r.duplicate_details(some[0])
     assert {x.member_id for x in details.collect()} == {some[0]}
     assert r.sample_mismatches(5).select("member_id", "dev_row_number").distinct().count() <= 5
+
+
+def test_register_views_for_sql(spark):
+    r = enroll(spark, SF001)
+    names = r.register_views()
+    assert len(set(names.values())) == len(names)
+    n = spark.sql(f"SELECT count(*) AS n FROM {names['mismatches']}").first().n
+    assert n == r.mismatches.count()
+    assert spark.sql(f"SELECT count(*) AS n FROM {names['left']}").first().n == r.left.count()
