@@ -1,5 +1,5 @@
 from .values import (SENTINEL, all_of, any_of, cell_text, comparable, differs, fingerprint,
-                     sentinel_text)
+                     sentinel_text, struct_array)
 
 __all__ = ["SENTINEL", "all_of", "any_of", "cell_text", "comparable", "differs", "fingerprint",
-           "sentinel_text"]
+           "sentinel_text", "struct_array"]

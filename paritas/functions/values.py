@@ -59,6 +59,15 @@ def differs(left: Column, right: Column, mode: str,
     return ~comparable(left, ltype).eqNullSafe(comparable(right, rtype))
 
 
+def struct_array(structs: list[Column], element_ddl: str) -> Column:
+    """``array(*structs)``, typed as ``array<element_ddl>`` also when empty (an
+    empty ``array()`` has element type void, which ``inline`` and field access
+    reject - e.g. a comparison with no compare columns)."""
+    if structs:
+        return F.array(*structs)
+    return F.array().cast(f"array<{element_ddl}>")
+
+
 def any_of(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conds) if conds else F.lit(False)
 

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import cell_text, sentinel_text
+from ..functions import cell_text, sentinel_text, struct_array
 from ..spec import Resolved
 from .ordinals import find_hot_keys
 
@@ -147,7 +147,9 @@ def _stack(frame: DataFrame, rs: Resolved, mode: str, left_values: bool = False)
             parts.append(cell_text(frame[c], frame.schema[c].dataType).alias("left_value"))
         parts.append(encode(frame, c, mode).alias("__v"))
         cells.append(F.struct(*parts))
-    return [F.inline(F.array(*cells))]
+    element = ("struct<column_name:string,left_value:string,__v:string>" if left_values
+               else "struct<column_name:string,__v:string>")
+    return [F.inline(struct_array(cells, element))]
 
 
 def _count_parts(frame: DataFrame, kc: list[str], rs: Resolved, mode: str) -> DataFrame:
@@ -179,10 +181,11 @@ def cross_column_counts(left: DataFrame, right: DataFrame, rs: Resolved,
         *[F.coalesce(F.sum(F.when(cn == c, F.col("__x"))), F.lit(0)).cast("long")
           .alias(f"__eq{i}") for i, c in enumerate(rs.compare)])
     return one.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"),
-                                    (F.col("total_matches") - F.col(f"__eq{i}"))
-                                    .alias("mismatch_count"))
-                           for i, c in enumerate(rs.compare)])),
+        F.inline(struct_array([F.struct(F.lit(c).alias("column_name"),
+                                        (F.col("total_matches") - F.col(f"__eq{i}"))
+                                        .alias("mismatch_count"))
+                               for i, c in enumerate(rs.compare)],
+                              "struct<column_name:string,mismatch_count:bigint>")),
         "total_matches")
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import any_of, cell_text, differs, fingerprint
+from ..functions import any_of, cell_text, differs, fingerprint, struct_array
 from ..spec import Resolved
 from .match import cell_differs, generic_pairs, lcol, ordinal_pairs, rcol, row_differs
 
@@ -29,7 +29,9 @@ def explode_cells(pairs: DataFrame, rs: Resolved, mode: str, column_label: str =
                  cell_text(F.col(rcol(c)), pairs.schema[rcol(c)].dataType).alias(right_label),
                  cell_differs(pairs, rs, c, cm).alias("__d"))
         for c in rs.compare]
-    return F.filter(F.array(*structs), lambda x: x["__d"])
+    element = (f"struct<{column_label}:string,{left_label}:string,{right_label}:string,"
+               "__d:boolean>")
+    return F.filter(struct_array(structs, element), lambda x: x["__d"])
 
 
 def mismatch_cells(left: DataFrame, right: DataFrame, rs: Resolved,

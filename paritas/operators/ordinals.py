@@ -106,7 +106,10 @@ def find_hot_keys(df: DataFrame, keys: list[str], group: list[str] | None = None
 def window_ordinals(df: DataFrame, keys: list[str], order: list[str], rn: str = "rn",
                     group: list[str] | None = None) -> DataFrame:
     part = [*keys, *(group or [])]
-    w = Window.partitionBy(*[df[k] for k in part]).orderBy(*total_order(df, part, order))
+    # with no other column, order by the (constant) partition columns: the
+    # rows are identical and row_number needs some ordering
+    ordering = total_order(df, part, order) or [df[k] for k in part]
+    w = Window.partitionBy(*[df[k] for k in part]).orderBy(*ordering)
     return df.withColumn(rn, F.row_number().over(w).cast("long"))
 
 

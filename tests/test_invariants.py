@@ -225,3 +225,16 @@ def test_register_views_for_sql(spark):
     n = spark.sql(f"SELECT count(*) AS n FROM {names['mismatches']}").first().n
     assert n == r.mismatches.count()
     assert spark.sql(f"SELECT count(*) AS n FROM {names['left']}").first().n == r.left.count()
+
+
+@pytest.mark.parametrize("pairing", ["ordinal", "cross"])
+def test_no_compare_columns(spark, pairing):
+    """Keys only: no cell can differ; one-sided rows and count differences still count."""
+    dev, prod = enroll_pair(spark, SF001)
+    r = Reconciliation(spark, dev, prod, ReconSpec(keys=("member_id",), compare=(), pairing=pairing))
+    assert r.mismatches.count() == 0
+    s = r.summary().first()
+    assert s.mismatched_data_points == 0 and s.rows_only_in_dev > 0
+    assert r.spot_check(r.count_differences.limit(3)).filter("type = 'data_differences'").count() == 0
+    assert cross.changed_cross(dev, prod, r.rs).count() == 0
+    assert cross.cross_column_counts(dev, prod, r.rs).count() == 0
