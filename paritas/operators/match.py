@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import all_of, any_of, differs
+from ..functions import all_of, any_of, comparable, differs
 from ..spec import Resolved
 from .ordinals import with_ordinals
 
@@ -319,8 +319,15 @@ def keyless_diff(left: DataFrame, right: DataFrame, cols: list[str],
     l = left.select(*cols, F.lit(1).alias("__nl"), F.lit(0).alias("__nr"))
     r = right.select(*[right[rc].cast(ltypes[c]).alias(c) for c, rc in zip(cols, right_cols)],
                      F.lit(0).alias("__nl"), F.lit(1).alias("__nr"))
-    g = l.unionByName(r).groupBy(*cols).agg(
-        (F.sum("__nl") - F.sum("__nr")).cast("long").alias("__d")).filter(F.col("__d") != 0)
+    # maps cannot be grouped: group by their sorted entries and carry one of
+    # the (equal) maps
+    maps = [c for c in cols if isinstance(ltypes[c], T.MapType)]
+    u = l.unionByName(r)
+    u = u.select(*u.columns, *[comparable(F.col(c), ltypes[c]).alias(f"__m_{c}") for c in maps])
+    group = [f"__m_{c}" if c in maps else c for c in cols]
+    g = u.groupBy(*group).agg(
+        (F.sum("__nl") - F.sum("__nr")).cast("long").alias("__d"),
+        *[F.first(c).alias(c) for c in maps]).filter(F.col("__d") != 0).select(*cols, "__d")
     d = F.abs(F.col("__d"))
     k = _REPEAT_CHUNK
     block = F.lit(k * k).cast("long")

@@ -128,3 +128,16 @@ def test_keyless_diff_equals_except_all_both_ways(spark, monkeypatch, chunk):
     want = left.exceptAll(right).selectExpr("'left' AS side", "*").unionByName(
         right.exceptAll(left).selectExpr("'right' AS side", "*"))
     assert counted(keyless_diff(left, right, ["a", "b"])) == counted(want)
+
+
+def test_keyless_diff_with_map_columns(spark):
+    from paritas.operators.match import keyless_diff
+
+    schema = "a bigint, m map<string,int>"
+    left = spark.createDataFrame([(1, {"x": 1, "y": 2}), (1, {"x": 1, "y": 2}), (2, {"z": 3})],
+                                 schema)
+    right = spark.createDataFrame([(1, {"y": 2, "x": 1}), (2, {"z": 4})], schema)
+    got = sorted((r.side, r.a, tuple(sorted(r.m.items())))
+                 for r in keyless_diff(left, right, ["a", "m"]).collect())
+    assert got == [("left", 1, (("x", 1), ("y", 2))), ("left", 2, (("z", 3),)),
+                   ("right", 2, (("z", 4),))]
