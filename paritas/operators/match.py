@@ -60,10 +60,18 @@ def one_sided(left: DataFrame, right: DataFrame, rs: Resolved, side: str = "left
     cond = all_of([keyed[k] == other[k] for k in rs.keys])
     out = keyed.join(other, cond, "left_anti")
     if distinct:
-        return out.distinct().unionByName(keyless.distinct())
+        return distinct_rows(out).unionByName(distinct_rows(keyless))
     return out.unionByName(keyless)
 
 
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """``distinct()``, also for frames with map columns (which set operations
+    reject): the same aggregate written as a group-by over every column."""
+    if not any(isinstance(f.dataType, T.MapType) for f in df.schema.fields):
+        return df.distinct()
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n")).drop("__n")
+
+
 def numbered(df: DataFrame, rs: Resolved, cols: list[str], rn: str = "rn") -> DataFrame:
     """Non-null-key rows of one side (already aligned to left spelling) with ``rn``."""
     base = df.filter(key_not_null(df, rs.keys)).select(*cols)

@@ -141,3 +141,18 @@ def test_keyless_diff_with_map_columns(spark):
                  for r in keyless_diff(left, right, ["a", "m"]).collect())
     assert got == [("left", 1, (("x", 1), ("y", 2))), ("left", 2, (("z", 3),)),
                    ("right", 2, (("z", 4),))]
+
+
+@pytest.mark.parametrize("pairing", ["ordinal", "cross"])
+def test_one_sided_and_summary_with_map_columns(spark, pairing):
+    from paritas.plans.validate import Reconciliation
+
+    schema = "k bigint, m map<string,int>, a array<int>"
+    left = spark.createDataFrame([(1, {"x": 1}, [1]), (2, {"y": 2}, [2]), (2, {"y": 2}, [2]),
+                                  (None, {"z": 1}, [3])], schema)
+    right = spark.createDataFrame([(1, {"x": 2}, [1]), (3, {"y": 2}, [2])], schema)
+    r = Reconciliation(spark, left, right, ReconSpec(keys=("k",), pairing=pairing))
+    assert r.one_sided("left").count() == 2      # key 2 once (distinct) + the NULL-key row
+    assert r.one_sided("right").count() == 1
+    # one-sided 2 + 1, one differing map cell, count differences for keys 2 and 3
+    assert tuple(r.status().first()) == ("FAILED", 6)
