@@ -8,6 +8,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions import comparable
+
 
 def as_dataframe(spark: SparkSession, source) -> DataFrame:
     """Accept a DataFrame, SQL text (``SELECT``/``WITH``, kept lazy), a
@@ -54,5 +56,6 @@ def sample_rows(df: DataFrame, columns: list[str], n: int = 10000) -> DataFrame:
     ``orderBy(...).limit(n)`` is planned as a distributed top-k
     (TakeOrderedAndProject): each task keeps n rows, never the whole table.
     """
-    order = [df[c].asc_nulls_last() for c in columns]
+    # maps are not orderable: they sort by their sorted entries
+    order = [comparable(df[c], df.schema[c].dataType).asc_nulls_last() for c in columns]
     return df.select(*columns).orderBy(*order).limit(n)
