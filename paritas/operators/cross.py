@@ -43,6 +43,7 @@ from pyspark.sql import types as T
 
 from ..functions import cell_text, sentinel_text, struct_array
 from ..spec import Resolved
+from .match import common_type
 from .ordinals import find_hot_keys
 
 TOTAL = "__total__"
@@ -108,15 +109,20 @@ def _tagged(left: DataFrame, right: DataFrame, rs: Resolved, mode: str,
     """Both sides in one frame: encoded keys ``__k*``, ``cols`` under the left
     names and types (columns only the left reports are NULL on the right), and
     ``__side`` (0 left, 1 right)."""
-    lt = {f.name: f.dataType for f in left.schema.fields}
     shared = set(rs.keys + rs.compare)
+    # compared columns in their common type (the wider one when a numeric
+    # widening is exact), so no value is narrowed; reported-only columns keep
+    # the left type
+    lt = {c: (common_type(left.schema[c].dataType, right.schema[rs.rcol(c)].dataType)
+              if c in shared else left.schema[c].dataType) for c in cols}
+    la = left.select(*[left[c].cast(lt[c]).alias(c) for c in cols])
     ra = right.select(*[(right[rs.rcol(c)].cast(lt[c]) if c in shared
                          else F.lit(None).cast(lt[c])).alias(c) for c in cols])
 
     def tag(df: DataFrame, side: int) -> DataFrame:
         return df.select(*_with_keys(df, rs, mode), *cols, F.lit(side).alias(SIDE))
 
-    return tag(left.select(*cols), 0).unionByName(tag(ra, 1))
+    return tag(la, 0).unionByName(tag(ra, 1))
 
 
 def _split(t: DataFrame) -> tuple[DataFrame, DataFrame | None, list[str]]:

@@ -96,6 +96,16 @@ def _widens(wide: T.DataType, narrow: T.DataType) -> bool:
     return False
 
 
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type both sides of a column are compared in: the wider one when a
+    numeric widening is exact, else the left side's (the right is cast)."""
+    if a == b or _widens(a, b):
+        return a
+    if _widens(b, a):
+        return b
+    return a
+
+
 def _union_types(left: DataFrame, right: DataFrame, rs: Resolved, cols: list[str]):
     """Per column: the common type for a union of both sides, or ``None`` when
     some column pair cannot be unioned without changing values."""
@@ -323,8 +333,10 @@ def keyless_diff(left: DataFrame, right: DataFrame, cols: list[str],
     with ``d``.
     """
     right_cols = right_cols or cols
-    ltypes = {f.name: f.dataType for f in left.schema.fields}
-    l = left.select(*cols, F.lit(1).alias("__nl"), F.lit(0).alias("__nr"))
+    ltypes = {c: common_type(left.schema[c].dataType, right.schema[rc].dataType)
+              for c, rc in zip(cols, right_cols)}
+    l = left.select(*[left[c].cast(ltypes[c]).alias(c) for c in cols],
+                    F.lit(1).alias("__nl"), F.lit(0).alias("__nr"))
     r = right.select(*[right[rc].cast(ltypes[c]).alias(c) for c, rc in zip(cols, right_cols)],
                      F.lit(0).alias("__nl"), F.lit(1).alias("__nr"))
     # maps cannot be grouped: group by their sorted entries and carry one of

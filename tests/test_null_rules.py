@@ -156,3 +156,20 @@ def test_one_sided_and_summary_with_map_columns(spark, pairing):
     assert r.one_sided("right").count() == 1
     # one-sided 2 + 1, one differing map cell, count differences for keys 2 and 3
     assert tuple(r.status().first()) == ("FAILED", 6)
+
+
+def test_wider_right_type_is_not_narrowed(spark):
+    """int on the left, bigint on the right with a value beyond int: compared in
+    bigint (no ANSI overflow), reported as differing."""
+    from paritas.operators import cross
+    from paritas.operators.match import keyless_diff
+
+    left = spark.createDataFrame([(1, 5), (2, 7)], "k int, v int")
+    right = spark.createDataFrame([(1, 5), (2, 3000000000)], "k bigint, v bigint")
+    rs = ReconSpec(keys=("k",), compare=("v",), pairing="cross").resolve(left, right)
+    assert [tuple(x) for x in cross.cross_column_counts(left, right, rs).collect()] == [("v", 1, 2)]
+    assert cross.mismatch_cells_cross(left, right, rs).count() == 1
+    got = sorted(tuple(x) for x in keyless_diff(left, right, ["k", "v"]).collect())
+    assert got == [("left", 2, 7), ("right", 2, 3000000000)]
+    ordinal = ReconSpec(keys=("k",), compare=("v",)).resolve(left, right)
+    assert diff.mismatch_cells(left, right, ordinal).count() == 1
