@@ -1,5 +1,5 @@
 from .values import (SENTINEL, all_of, any_of, cell_text, comparable, differs, fingerprint,
-                     sentinel_text, struct_array)
+                     sentinel_text, struct_array, text_compared)
 
 __all__ = ["SENTINEL", "all_of", "any_of", "cell_text", "comparable", "differs", "fingerprint",
-           "sentinel_text", "struct_array"]
+           "sentinel_text", "struct_array", "text_compared"]

@@ -51,11 +51,21 @@ def sentinel_text(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(SENTINEL))
 
 
+def text_compared(ltype: T.DataType | None, rtype: T.DataType | None) -> bool:
+    """Types that must be compared through their text: they differ and are not
+    both numeric (an implicit cast, e.g. of 'abc' to a number, fails under ANSI)."""
+    if ltype is None or rtype is None or ltype == rtype:
+        return False
+    return not (isinstance(ltype, T.NumericType) and isinstance(rtype, T.NumericType))
+
+
 def differs(left: Column, right: Column, mode: str,
             ltype: T.DataType | None = None, rtype: T.DataType | None = None) -> Column:
     """True when two cells differ under a null rule (never NULL itself)."""
     if mode == "sentinel":
         return sentinel_text(left) != sentinel_text(right)
+    if text_compared(ltype, rtype):
+        return ~cell_text(left, ltype).eqNullSafe(cell_text(right, rtype))
     return ~comparable(left, ltype).eqNullSafe(comparable(right, rtype))
 
 

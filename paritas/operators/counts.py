@@ -14,16 +14,17 @@ from pyspark.sql import functions as F
 
 from ..functions import all_of
 from ..spec import Resolved
-from .match import right_aligned
+from .match import key_columns, right_aligned
 
 
 def key_counts(left: DataFrame, right: DataFrame, rs: Resolved,
                key_exprs=None) -> DataFrame:
     """``keys..., <left>_count, <right>_count`` for every key on either side."""
     ln, rn_ = rs.spec.left_name, rs.spec.right_name
-    lk = left.select(*rs.keys, F.lit(1).alias("__lc"), F.lit(0).alias("__rc"))
-    rk = right_aligned(right, rs, rs.keys).select(*rs.keys, F.lit(0).alias("__lc"),
-                                                  F.lit(1).alias("__rc"))
+    ra = right_aligned(right, rs, rs.keys)
+    lk = left.select(*key_columns(left, ra, rs.keys), F.lit(1).alias("__lc"),
+                     F.lit(0).alias("__rc"))
+    rk = ra.select(*key_columns(ra, left, rs.keys), F.lit(0).alias("__lc"), F.lit(1).alias("__rc"))
     return lk.unionByName(rk).groupBy(*rs.keys).agg(
         F.sum("__lc").cast("long").alias(f"{ln}_count"),
         F.sum("__rc").cast("long").alias(f"{rn_}_count"))

@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 
 from ..functions import cell_text, sentinel_text, struct_array
 from ..spec import Resolved
-from .match import common_type
+from .match import as_type, common_type
 from .ordinals import find_hot_keys
 
 TOTAL = "__total__"
@@ -115,9 +115,9 @@ def _tagged(left: DataFrame, right: DataFrame, rs: Resolved, mode: str,
     # the left type
     lt = {c: (common_type(left.schema[c].dataType, right.schema[rs.rcol(c)].dataType)
               if c in shared else left.schema[c].dataType) for c in cols}
-    la = left.select(*[left[c].cast(lt[c]).alias(c) for c in cols])
-    ra = right.select(*[(right[rs.rcol(c)].cast(lt[c]) if c in shared
-                         else F.lit(None).cast(lt[c])).alias(c) for c in cols])
+    la = left.select(*[as_type(left[c], left.schema[c].dataType, lt[c]).alias(c) for c in cols])
+    ra = right.select(*[(as_type(right[rs.rcol(c)], right.schema[rs.rcol(c)].dataType, lt[c])
+                         if c in shared else F.lit(None).cast(lt[c])).alias(c) for c in cols])
 
     def tag(df: DataFrame, side: int) -> DataFrame:
         return df.select(*_with_keys(df, rs, mode), *cols, F.lit(side).alias(SIDE))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import all_of, any_of, comparable, differs
+from ..functions import all_of, any_of, cell_text, comparable, differs, text_compared
 from ..spec import Resolved
 from .ordinals import with_ordinals
 
@@ -57,7 +57,13 @@ def one_sided(left: DataFrame, right: DataFrame, rs: Resolved, side: str = "left
     # the join (shuffled by key they would all meet in one partition)
     has_key = key_not_null(this, rs.keys)
     keyed, keyless = this.filter(has_key), this.filter(~has_key)
-    cond = all_of([keyed[k] == other[k] for k in rs.keys])
+    def same(k: str) -> Column:
+        a, b = keyed.schema[k].dataType, other.schema[k].dataType
+        if text_compared(a, b):  # e.g. text ids on one side, numbers on the other
+            return cell_text(keyed[k], a) == cell_text(other[k], b)
+        return keyed[k] == other[k]
+
+    cond = all_of([same(k) for k in rs.keys])
     out = keyed.join(other, cond, "left_anti")
     if distinct:
         return distinct_rows(out).unionByName(distinct_rows(keyless))
@@ -98,12 +104,31 @@ def _widens(wide: T.DataType, narrow: T.DataType) -> bool:
 
 def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
     """The type both sides of a column are compared in: the wider one when a
-    numeric widening is exact, else the left side's (the right is cast)."""
+    numeric widening is exact, double for other numeric pairs, and text when
+    the types are not both numeric - never a cast that can fail under ANSI."""
     if a == b or _widens(a, b):
         return a
     if _widens(b, a):
         return b
-    return a
+    if text_compared(a, b):
+        return T.StringType()
+    return T.DoubleType()
+
+
+def as_type(c: Column, source: T.DataType, target: T.DataType) -> Column:
+    """``c`` converted to a ``common_type``: values become text through the same
+    rendering the cell reports use, anything else is a plain cast."""
+    if isinstance(target, T.StringType) and source != target:
+        return cell_text(c, source)
+    return c.cast(target)
+
+
+def key_columns(df: DataFrame, other: DataFrame, keys: list[str]) -> list[Column]:
+    """``df``'s key columns in the type shared with ``other`` (same names), for
+    unions of both sides' keys: text when the types are not comparable."""
+    return [as_type(df[k], df.schema[k].dataType,
+                    common_type(df.schema[k].dataType, other.schema[k].dataType)).alias(k)
+            for k in keys]
 
 
 def _union_types(left: DataFrame, right: DataFrame, rs: Resolved, cols: list[str]):
@@ -209,10 +234,18 @@ def ordinal_pairs_join(left: DataFrame, right: DataFrame, rs: Resolved,
     ra = right_aligned(right, rs, cols)
     lnum = numbered(left, rs, cols)
     rnum = numbered(ra, rs, cols)
-    ls = lnum.select(*rs.keys, "rn", *[F.col(c).alias(lcol(c)) for c in cols],
-                     F.lit(True).alias("__l"))
-    rsd = rnum.select(*rs.keys, "rn", *[F.col(c).alias(rcol(c)) for c in cols],
-                      F.lit(True).alias("__r"))
+    # each side is numbered in its own types; keys whose types cannot be
+    # compared directly are joined through their text
+    as_text = {k for k in rs.keys
+               if text_compared(lnum.schema[k].dataType, rnum.schema[k].dataType)}
+
+    def key(df: DataFrame, k: str) -> Column:
+        return cell_text(df[k], df.schema[k].dataType).alias(k) if k in as_text else df[k]
+
+    ls = lnum.select(*[key(lnum, k) for k in rs.keys], "rn",
+                     *[F.col(c).alias(lcol(c)) for c in cols], F.lit(True).alias("__l"))
+    rsd = rnum.select(*[key(rnum, k) for k in rs.keys], "rn",
+                      *[F.col(c).alias(rcol(c)) for c in cols], F.lit(True).alias("__r"))
     pairs = ls.join(rsd, on=[*rs.keys, "rn"], how=how)
     if how != "inner":
         pairs = pairs.withColumn("__l", F.coalesce("__l", F.lit(False))) \
@@ -221,7 +254,8 @@ def ordinal_pairs_join(left: DataFrame, right: DataFrame, rs: Resolved,
             lt = {c: pairs.schema[lcol(c)].dataType for c in cols}
             rt = {c: pairs.schema[rcol(c)].dataType for c in cols}
             lnull = left.filter(~key_not_null(left, rs.keys)).select(
-                *[F.col(k) for k in rs.keys], F.lit(None).cast("long").alias("rn"),
+                *[F.col(k).cast(pairs.schema[k].dataType) for k in rs.keys],
+                F.lit(None).cast("long").alias("rn"),
                 *[F.col(c).alias(lcol(c)) for c in cols],
                 *[F.lit(None).cast(rt[c]).alias(rcol(c)) for c in cols],
                 F.lit(True).alias("__l"), F.lit(False).alias("__r"))
@@ -335,9 +369,10 @@ def keyless_diff(left: DataFrame, right: DataFrame, cols: list[str],
     right_cols = right_cols or cols
     ltypes = {c: common_type(left.schema[c].dataType, right.schema[rc].dataType)
               for c, rc in zip(cols, right_cols)}
-    l = left.select(*[left[c].cast(ltypes[c]).alias(c) for c in cols],
-                    F.lit(1).alias("__nl"), F.lit(0).alias("__nr"))
-    r = right.select(*[right[rc].cast(ltypes[c]).alias(c) for c, rc in zip(cols, right_cols)],
+    l = left.select(*[as_type(left[c], left.schema[c].dataType, ltypes[c]).alias(c)
+                      for c in cols], F.lit(1).alias("__nl"), F.lit(0).alias("__nr"))
+    r = right.select(*[as_type(right[rc], right.schema[rc].dataType, ltypes[c]).alias(c)
+                       for c, rc in zip(cols, right_cols)],
                      F.lit(0).alias("__nl"), F.lit(1).alias("__nr"))
     # maps cannot be grouped: group by their sorted entries and carry one of
     # the (equal) maps

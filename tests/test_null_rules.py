@@ -173,3 +173,50 @@ def test_wider_right_type_is_not_narrowed(spark):
     assert got == [("left", 2, 7), ("right", 2, 3000000000)]
     ordinal = ReconSpec(keys=("k",), compare=("v",)).resolve(left, right)
     assert diff.mismatch_cells(left, right, ordinal).count() == 1
+
+
+def test_text_vs_number_columns_compare_as_text(spark):
+    """A key and a compare column stored as text on one side and as a number on
+    the other: compared through their text (no ANSI cast of 'abc' to a number)."""
+    from paritas.plans.validate import GenericComparison, Reconciliation
+
+    left = spark.createDataFrame([("1", "abc"), ("2", "7"), (None, "z")], "k string, v string")
+    right = spark.createDataFrame([(1, 5), (2, 7), (3, 1)], "k bigint, v int")
+    r = Reconciliation(spark, left, right, ReconSpec(keys=("k",), compare=("v",)))
+    cells = sorted((x.k, x.left_value, x.right_value) for x in r.mismatches.collect())
+    assert cells == [("1", "abc", "5")]
+    unmatched = [(x.k, x.type) for x in match.unmatched_ordinals(left, right, r.rs).collect()]
+    assert unmatched == [("3", "missing_in_dev")]
+    assert sorted(str(x.k) for x in r.one_sided("left").collect()) == ["None"]
+    assert [x.k for x in r.one_sided("right").collect()] == [3]
+    g = GenericComparison(spark, left, right, ("k",))
+    status = sorted((str(x.k), x.status) for x in g.full_diff().collect())
+    assert status == [("1", "CHANGED"), ("3", "RIGHT_ONLY"), ("None", "LEFT_ONLY")]
+
+
+def test_number_vs_text_in_cross_and_keyless(spark):
+    from paritas.operators import cross
+    from paritas.operators.match import keyless_diff
+
+    left = spark.createDataFrame([(1, 5), (2, 7)], "k bigint, v int")
+    right = spark.createDataFrame([("1", "abc"), ("2", "7")], "k string, v string")
+    rs = ReconSpec(keys=("k",), compare=("v",), pairing="cross").resolve(left, right)
+    assert [tuple(x) for x in cross.cross_column_counts(left, right, rs).collect()] == [("v", 1, 2)]
+    assert sorted(tuple(x) for x in keyless_diff(left, right, ["k", "v"]).collect()) == [
+        ("left", "1", "5"), ("right", "1", "abc")]
+
+
+@pytest.mark.parametrize("pairing", ["ordinal", "cross"])
+def test_text_keys_against_number_keys_status(spark, pairing):
+    """Keys stored as text on one side ('x' is no number) and as numbers on the
+    other: counts, one-sided rows and cells compare through text."""
+    from paritas.plans.validate import Reconciliation
+
+    left = spark.createDataFrame([("1", "abc"), ("2", "7"), (None, "z"), ("x", "q")],
+                                 "k string, v string")
+    right = spark.createDataFrame([(1, 5), (2, 7), (3, 1)], "k bigint, v int")
+    r = Reconciliation(spark, left, right, ReconSpec(keys=("k",), compare=("v",), pairing=pairing))
+    diffs = sorted((x.k, x.dev_count, x.prod_count) for x in r.count_differences.collect())
+    assert diffs == [("3", 0, 1), ("x", 1, 0)]
+    # one-sided: NULL and 'x' (left), 3 (right); one differing cell; two count differences
+    assert tuple(r.status().first()) == ("FAILED", 6)
