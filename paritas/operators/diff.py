@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions import any_of, cell_text, differs, fingerprint, struct_array
 from ..spec import Resolved
-from .match import cell_differs, generic_pairs, lcol, ordinal_pairs, rcol, row_differs
+from .match import (as_type, cell_differs, common_type, generic_pairs, lcol, ordinal_pairs,
+                    rcol, row_differs)
 
 
 def _cell_mode(mode: str) -> str:
@@ -122,9 +123,12 @@ def mismatch_nested(left: DataFrame, right: DataFrame, rs: Resolved,
 def fingerprint_diff(left: DataFrame, right: DataFrame, rs: Resolved) -> DataFrame:
     """Keys of matched rows whose whole-row fingerprints (compare columns) differ."""
     j = ordinal_pairs(left, right, rs, how="inner")
+    # both sides hashed in the column's common type (no narrowing or failing cast)
     lt = [j.schema[lcol(c)].dataType for c in rs.compare]
-    fl = fingerprint([F.col(lcol(c)) for c in rs.compare], lt)
-    fr = fingerprint([F.col(rcol(c)).cast(t) for c, t in zip(rs.compare, lt)], lt)
+    rt = [j.schema[rcol(c)].dataType for c in rs.compare]
+    ct = [common_type(a, b) for a, b in zip(lt, rt)]
+    fl = fingerprint([as_type(F.col(lcol(c)), a, t) for c, a, t in zip(rs.compare, lt, ct)], ct)
+    fr = fingerprint([as_type(F.col(rcol(c)), b, t) for c, b, t in zip(rs.compare, rt, ct)], ct)
     return j.filter(fl != fr).select(*rs.keys)
 
 

@@ -192,6 +192,7 @@ def test_text_vs_number_columns_compare_as_text(spark):
     g = GenericComparison(spark, left, right, ("k",))
     status = sorted((str(x.k), x.status) for x in g.full_diff().collect())
     assert status == [("1", "CHANGED"), ("3", "RIGHT_ONLY"), ("None", "LEFT_ONLY")]
+    assert [str(x.k) for x in g.fingerprint_diff().collect()] == ["1"]
 
 
 def test_number_vs_text_in_cross_and_keyless(spark):
