@@ -78,6 +78,23 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n")).drop("__n")
 
 
+def restrict_keys(df: DataFrame, keys_df: DataFrame, keys: list[str],
+                  df_keys: list[str] | None = None) -> DataFrame:
+    """Rows of ``df`` whose key (``df_keys``, default ``keys``) is one of the
+    ``keys`` rows of ``keys_df`` (a semi-join).  NULL keys never match: they are
+    dropped before the shuffle instead of all meeting in one partition.  Key
+    types that cannot be compared directly are matched through text."""
+    df_keys = df_keys or keys
+    wanted = keys_df.select(*[F.col(k).alias(f"__q{i}") for i, k in enumerate(keys)]).distinct()
+    conds = []
+    for i, k in enumerate(df_keys):
+        a, b = df.schema[k].dataType, wanted.schema[f"__q{i}"].dataType
+        q = wanted[f"__q{i}"]
+        conds.append(cell_text(df[k], a) == cell_text(q, b) if text_compared(a, b)
+                     else df[k] == q)
+    return df.filter(key_not_null(df, df_keys)).join(wanted, all_of(conds), "left_semi")
+
+
 def numbered(df: DataFrame, rs: Resolved, cols: list[str], rn: str = "rn") -> DataFrame:
     """Non-null-key rows of one side (already aligned to left spelling) with ``rn``."""
     base = df.filter(key_not_null(df, rs.keys)).select(*cols)
@@ -183,10 +200,8 @@ def ordinal_pairs(left: DataFrame, right: DataFrame, rs: Resolved, how: str = "i
     types = _union_types(left, right, rs, cols)
     if types is None:
         if keys_df is not None:
-            wanted = keys_df.select(*rs.keys).distinct()
-            left = left.join(wanted, on=rs.keys, how="left_semi")
-            right = right.join(wanted.select(*[F.col(k).alias(rs.rcol(k)) for k in rs.keys]),
-                               on=[rs.rcol(k) for k in rs.keys], how="left_semi")
+            left = restrict_keys(left, keys_df, rs.keys)
+            right = restrict_keys(right, keys_df, rs.keys, [rs.rcol(k) for k in rs.keys])
         return ordinal_pairs_join(left, right, rs, how, null_keys)
     lt = {f.name: f.dataType for f in left.schema.fields}
     rt = {c: right.schema[rs.rcol(c)].dataType for c in cols}

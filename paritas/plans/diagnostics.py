@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.diff import cells_of_pairs, explode_cells
-from ..operators.match import key_not_null, numbered, ordinal_pairs, right_aligned, row_differs
+from ..operators.match import (as_type, common_type, key_not_null, numbered, ordinal_pairs,
+                               restrict_keys, right_aligned, row_differs)
 from ..spec import Resolved
 
 
@@ -27,10 +28,7 @@ def sample_mismatches(left: DataFrame, right: DataFrame, rs: Resolved, n: int =
 
 
 def _restrict(df: DataFrame, keys_df: DataFrame, keys: list[str]) -> DataFrame:
-    # NULL keys never match: drop them before the shuffle instead of sending
-    # them all to one partition
-    return df.filter(key_not_null(df, keys)).join(keys_df.select(*keys).distinct(), on=keys,
-                                                   how="left_semi")
+    return restrict_keys(df, keys_df, keys)
 
 
 def spot_check(left: DataFrame, right: DataFrame, rs: Resolved, keys_df: DataFrame) -> DataFrame:
@@ -63,16 +61,20 @@ def duplicate_details(left: DataFrame, right: DataFrame, rs: Resolved,
     """All occurrences of the given keys on both sides: ``side``, reported
     columns, ordinal ``rn`` and the key's ``occurrence_count`` on that side."""
     cols = list(dict.fromkeys(rs.output + rs.order))
+    ra = right_aligned(right, rs, cols)
+    # both sides' reported columns in their common types before the union
+    common = {c: common_type(left.schema[c].dataType, ra.schema[c].dataType) for c in rs.output}
     out = None
     for side, df in ((rs.spec.left_name, _restrict(left, keys_df, rs.keys)),
-                     (rs.spec.right_name,
-                      _restrict(right_aligned(right, rs, cols), keys_df, rs.keys))):
+                     (rs.spec.right_name, _restrict(ra, keys_df, rs.keys))):
         num = numbered(df, rs, cols)
         # per-key counts from an aggregate joined back (a count window would
         # put all rows of a hot key into one task)
         occ = df.filter(key_not_null(df, rs.keys)).groupBy(*rs.keys) \
             .agg(F.count(F.lit(1)).alias("occurrence_count"))
         part = num.join(occ, on=rs.keys, how="inner").select(
-            F.lit(side).alias("side"), *rs.output, "rn", "occurrence_count")
+            F.lit(side).alias("side"),
+            *[as_type(F.col(c), df.schema[c].dataType, common[c]).alias(c) for c in rs.output],
+            "rn", "occurrence_count")
         out = part if out is None else out.unionByName(part)
     return out

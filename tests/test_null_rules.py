@@ -221,3 +221,7 @@ def test_text_keys_against_number_keys_status(spark, pairing):
     assert diffs == [("3", 0, 1), ("x", 1, 0)]
     # one-sided: NULL and 'x' (left), 3 (right); one differing cell; two count differences
     assert tuple(r.status().first()) == ("FAILED", 6)
+    details = sorted((x.side, x.k) for x in r.duplicate_details(r.count_differences).collect())
+    assert details == [("dev", "x"), ("prod", "3")]
+    spot = sorted((x.k, x.type) for x in r.spot_check(r.count_differences).collect())
+    assert spot == [("3", "missing_in_dev"), ("x", "missing_in_prod")]
