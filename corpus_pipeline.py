@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paritas.llm import language
+from paritas.llm import language, secrets
 from paritas.llm.common import saved, table
 
 #: A text of this many characters whose best cosine is under this is in none of the languages.
@@ -27,8 +27,19 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.where(~rejected).drop("language")
 
 
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps every document; each secret in a text gives way to its kind in brackets."""
+    text = F.coalesce(F.col("secrets.redacted"), F.col("text"))
+    found = secrets.scan(docs, redact=True)
+    return found.select(*[
+        (text if c == "text" else
+         F.when(F.col("secrets.redacted").isNull(), F.col(c)).otherwise(F.length(text))
+         if c == "n_chars" else F.col(c)).alias(c) for c in docs.columns])
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language", identify_language),
+    ("secrets", redact_secrets),
 ]
 
 #: The stages bundle vectors, link near copies and pack by a fitted plan: not SQL.

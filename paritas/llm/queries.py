@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paritas.llm import language
+from paritas.llm import language, secrets
 from paritas.llm.common import table
 
 #: Path of the tokenizer file the queries use; a parameter of the operators.
@@ -21,6 +21,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op3_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.scan(docs).select("doc_id", "secrets.n_assign", "secrets.n_access",
+                                     "secrets.n_hex", "secrets.base_sha256", "secrets.spans")
+
+
 def op10_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     fold = F.crc32(F.col("doc_id").cast("string")) % 5
@@ -31,6 +37,7 @@ def op10_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_secret_automaton": op3_secret_automaton,
     "op10_hyperdimensional_language": op10_hyperdimensional_language,
 }
 
