@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paritas.llm import language, secrets
+from paritas.llm import language, packing, secrets
 from paritas.llm.common import saved, table
+from paritas.llm.queries import END_ID, tokenizer_path
 
 #: A text of this many characters whose best cosine is under this is in none of the languages.
 LEAST_SCORE, SCORED_CHARS = 0.1, 200
@@ -37,9 +38,15 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
          if c == "n_chars" else F.col(c)).alias(c) for c in docs.columns])
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document's pieces with their sequences and places there."""
+    return packing.pack(docs, tokenizer_path(), END_ID)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language", identify_language),
     ("secrets", redact_secrets),
+    ("packing", pack_sequences),
 ]
 
 #: The stages bundle vectors, link near copies and pack by a fitted plan: not SQL.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paritas.llm import language, secrets
+from paritas.llm import language, packing, repetition, secrets, sharding
 from paritas.llm.common import table
 
 #: Path of the tokenizer file the queries use; a parameter of the operators.
@@ -27,6 +27,21 @@ def op3_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      "secrets.n_hex", "secrets.base_sha256", "secrets.spans")
 
 
+def op4_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repetition.judge(docs).select("doc_id", *[f"quality.{c}" for c in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "kept", "longest_repeat")])
+
+
+def op6_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
+
+
+def op7_permutation_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(table(spark, sf_dir, "documents").select("doc_id"))
+
+
 def op10_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     fold = F.crc32(F.col("doc_id").cast("string")) % 5
@@ -38,7 +53,20 @@ def op10_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_automaton": op3_secret_automaton,
+    "op4_suffix_repetition": op4_suffix_repetition,
+    "op6_pattern_packing": op6_pattern_packing,
+    "op7_permutation_sharding": op7_permutation_sharding,
     "op10_hyperdimensional_language": op10_hyperdimensional_language,
 }
 
-ORACLE: dict[str, str] = {}
+_HELD = sharding.lookup_table([f"shard-{i:05d}" for i in range(sharding.SHARDS)])
+
+ORACLE: dict[str, str] = {
+    # the table is checked against a plain filling in the tests; this checks each row's placement
+    "op7_permutation_sharding": f"""
+        WITH held AS (SELECT {_HELD} AS owner),
+        slots AS (SELECT doc_id,
+          CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT)
+            % {sharding.SLOTS} AS slot FROM documents)
+        SELECT doc_id, slot, CAST(owner[slot + 1] AS INTEGER) AS shard FROM slots, held""",
+}
