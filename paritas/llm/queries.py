@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paritas.llm import language, packing, repetition, secrets, sharding
+from paritas.llm import language, packing, rans, repetition, secrets, sharding
 from paritas.llm.common import table
 
 #: Path of the tokenizer file the queries use; a parameter of the operators.
@@ -42,6 +42,10 @@ def op7_permutation_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"))
 
 
+def op8_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rans.round_trip(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
+
+
 def op10_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     fold = F.crc32(F.col("doc_id").cast("string")) % 5
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffix_repetition": op4_suffix_repetition,
     "op6_pattern_packing": op6_pattern_packing,
     "op7_permutation_sharding": op7_permutation_sharding,
+    "op8_rans_tokens": op8_rans_tokens,
     "op10_hyperdimensional_language": op10_hyperdimensional_language,
 }
 
