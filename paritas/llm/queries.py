@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paritas.llm import language, packing, rans, repetition, secrets, sharding
+from paritas.llm import language, packing, rans, repetition, secrets, sharding, warc
 from paritas.llm.common import table
 
 #: Path of the tokenizer file the queries use; a parameter of the operators.
@@ -34,6 +34,11 @@ def op4_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
         "kept", "longest_repeat")])
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
 
@@ -58,6 +63,7 @@ def op10_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFram
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_automaton": op3_secret_automaton,
     "op4_suffix_repetition": op4_suffix_repetition,
+    "op5_warc": op5_warc,
     "op6_pattern_packing": op6_pattern_packing,
     "op7_permutation_sharding": op7_permutation_sharding,
     "op8_rans_tokens": op8_rans_tokens,
@@ -67,6 +73,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _HELD = sharding.lookup_table([f"shard-{i:05d}" for i in range(sharding.SHARDS)])
 
 ORACLE: dict[str, str] = {
+    "op5_warc": """
+        WITH own AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+        told AS (SELECT page_id, octet_length(payload) AS payload_bytes,
+          sha1(payload) AS payload_digest FROM own),
+        best AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS stored FROM told)
+        SELECT page_id, payload_bytes, payload_digest,
+          CASE WHEN payload_bytes >= 1000 AND page_id <> stored THEN 'revisit' ELSE 'response' END
+            AS record_type,
+          CASE WHEN payload_bytes >= 1000 AND page_id <> stored THEN stored END AS refers_to
+        FROM best""",
     # the table is checked against a plain filling in the tests; this checks each row's placement
     "op7_permutation_sharding": f"""
         WITH held AS (SELECT {_HELD} AS owner),
