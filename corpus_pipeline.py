@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paritas.llm import language, packing, secrets
+from paritas.llm import decontamination, language, packing, secrets
 from paritas.llm.common import saved, table
 from paritas.llm.queries import END_ID, tokenizer_path
 
@@ -28,6 +28,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.where(~rejected).drop("language")
 
 
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that hold a benchmark item."""
+    found = decontamination.scan(docs, table(spark, sf_dir, "benchmark"))
+    return found.where(F.size("leaks") == 0).drop("leaks")
+
+
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps every document; each secret in a text gives way to its kind in brackets."""
     text = F.coalesce(F.col("secrets.redacted"), F.col("text"))
@@ -45,6 +51,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language", identify_language),
+    ("decontamination", drop_leaks),
     ("secrets", redact_secrets),
     ("packing", pack_sequences),
 ]

@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paritas.llm import language, packing, rans, repetition, secrets, sharding, warc
+from paritas.llm import (
+    decontamination,
+    language,
+    packing,
+    rans,
+    repetition,
+    secrets,
+    sharding,
+    warc,
+)
 from paritas.llm.common import table
 
 #: Path of the tokenizer file the queries use; a parameter of the operators.
@@ -51,6 +60,13 @@ def op8_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.round_trip(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
 
 
+def op9_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each place where a document holds a benchmark item."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.scan(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.inline("leaks"))
+
+
 def op10_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     fold = F.crc32(F.col("doc_id").cast("string")) % 5
@@ -67,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_pattern_packing": op6_pattern_packing,
     "op7_permutation_sharding": op7_permutation_sharding,
     "op8_rans_tokens": op8_rans_tokens,
+    "op9_qgram_decontamination": op9_qgram_decontamination,
     "op10_hyperdimensional_language": op10_hyperdimensional_language,
 }
 
