@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from paritas.llm import (
     decontamination,
+    forest,
     language,
     packing,
     rans,
@@ -30,6 +31,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op2_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.groups(table(spark, sf_dir, "documents"), k=2)
+
+
 def op3_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.scan(docs).select("doc_id", "secrets.n_assign", "secrets.n_access",
@@ -77,6 +82,7 @@ def op10_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_lsh_forest": op2_lsh_forest,
     "op3_secret_automaton": op3_secret_automaton,
     "op4_suffix_repetition": op4_suffix_repetition,
     "op5_warc": op5_warc,
