@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from paritas.llm.common import documents, saved, slices
-from paritas.llm.tokens import WordTokens
+from paritas.llm.tokens import TOKEN_SLICE, word_tokens
 
 SIZE = 4096
 #: Bins of piece lengths in patterns, and the pieces a pattern has at most.
@@ -221,9 +221,9 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int = SIZE) -> Da
                       ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordTokens(tokenizer)
+        encoder = word_tokens(tokenizer)
         for batch in batches:
-            for b in slices(batch):
+            for b in slices(batch, most=TOKEN_SLICE):
                 ids, at = encoder.encode(b.column("text"), end_id)
                 data = memoryview(ids.astype("<u4").tobytes())
                 n = -(-np.diff(at) // size)

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from paritas.llm.common import documents, new_folder, saved, slices
-from paritas.llm.tokens import WordTokens
+from paritas.llm.tokens import TOKEN_SLICE, word_tokens
 
 MAGIC = b"TOKRANS1"
 LANES = 1024
@@ -209,8 +209,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFram
             held.clear()
 
         for batch in batches:
-            for b in slices(batch):
-                encoder = encoder or WordTokens(tokenizer)
+            for b in slices(batch, most=TOKEN_SLICE):
+                encoder = encoder or word_tokens(tokenizer)
                 writer = writer or _Writer(folder, part)
                 ids, at = encoder.encode(b.column("text"), end_id)
                 key = b.column("doc_id")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +12,9 @@ import pyarrow as pa
 from paritas.llm.common import LOWER, byte_buffer
 
 #: Pieces whose ids one worker keeps at most; beyond it the memory starts anew.
-KNOWN_PIECES = 600_000
+KNOWN_PIECES = 1_000_000
+#: Bytes of text encoded at once (distinct pieces are looked up once each time).
+TOKEN_SLICE = 4 << 20
 
 #: The tokenizer drops these four, so no token reaches across one of them.
 _DROPPED = np.zeros(256, bool)
@@ -21,6 +25,17 @@ _STOP = np.zeros(256, bool)
 _STOP[[0x2C, 0x2E]] = True  # comma and full stop: never in one token with a letter
 
 
+#: Lower-case Latin letters: one token of the pre-tokenizer, unchanged by the normalizer.
+_PLAIN_WORD = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+_TOGETHER = 256
+
+
+@lru_cache(maxsize=2)
+def word_tokens(path: str) -> WordTokens:
+    """One for each worker process and file, so that tasks find what earlier ones learned."""
+    return WordTokens(path)
+
+
 class WordTokens:
     """Ids by the tokenizers library for a vocabulary whose pre-tokenizer drops white space.
 
@@ -35,7 +50,9 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.size = self.tokenizer.get_vocab_size()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -49,10 +66,11 @@ class WordTokens:
             self._forget()
         new = [p for p in pieces if p not in self.known]
         if new:
-            found = self.tokenizer.encode_batch(new, add_special_tokens=False)
-            lists = [e.ids for e in found]
-            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-            flat = np.fromiter((i for x in lists for i in x), np.uint32, int(sizes.sum()))
+            plain = [p for p in new if _PLAIN_WORD.fullmatch(p)]
+            other = [p for p in new if not _PLAIN_WORD.fullmatch(p)]
+            (first, size), (more, sizes) = self._of_words(plain), self._one_by_one(other)
+            new, flat = plain + other, np.concatenate([first, more])
+            sizes = np.concatenate([size, sizes])
             at, n = self.bounds[self.pieces], len(new)
             while at + len(flat) > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
@@ -64,6 +82,20 @@ class WordTokens:
             self.pieces += n
         return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
 
+    def _one_by_one(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter((i for x in lists for i in x), np.uint32, int(sizes.sum())), sizes
+
+    def _of_words(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words together in one text; each one's last token is of those that end words."""
+        joined = [" ".join(pieces[i:i + _TOGETHER]) for i in range(0, len(pieces), _TOGETHER)]
+        flat, _ = self._one_by_one(joined)
+        ends = np.flatnonzero(self.ends_word[flat]) + 1
+        if len(ends) != len(pieces):
+            return self._one_by_one(pieces)
+        return flat, np.diff(ends, prepend=0)
+
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end (uint32) and where each text's begin (one more than texts)."""
         buf, offsets = byte_buffer(texts)
