@@ -11,12 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paritas.llm import decontamination, language, packing, secrets
+from paritas.llm import decontamination, forest, language, packing, secrets
 from paritas.llm.common import saved, table
 from paritas.llm.queries import END_ID, tokenizer_path
 
 #: A text of this many characters whose best cosine is under this is in none of the languages.
 LEAST_SCORE, SCORED_CHARS = 0.1, 200
+#: Words of the runs that near copies share; a similarity of 0.8 or more counts.
+WORDS = 5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,6 +30,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.where(~rejected).drop("language")
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies (five-word runs) keeps the smallest doc_id."""
+    found = forest.groups(docs, k=WORDS)
+    return docs.join(found.where("NOT kept").select("doc_id").distinct(), "doc_id",
+                     "left_anti").select(*docs.columns)
+
+
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a benchmark item."""
     found = decontamination.scan(docs, table(spark, sf_dir, "benchmark"))
@@ -51,6 +60,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language", identify_language),
+    ("near_copies", drop_near_copies),
     ("decontamination", drop_leaks),
     ("secrets", redact_secrets),
     ("packing", pack_sequences),

@@ -12,6 +12,7 @@ from paritas.llm import (
     forest,
     language,
     packing,
+    paragraphs,
     rans,
     repetition,
     secrets,
@@ -31,6 +32,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeats(table(spark, sf_dir, "documents"))
+
+
 def op2_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.groups(table(spark, sf_dir, "documents"), k=2)
 
@@ -82,6 +87,7 @@ def op10_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_paragraph_dedup": op1_paragraph_dedup,
     "op2_lsh_forest": op2_lsh_forest,
     "op3_secret_automaton": op3_secret_automaton,
     "op4_suffix_repetition": op4_suffix_repetition,
