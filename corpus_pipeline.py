@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paritas.llm import decontamination, forest, language, packing, secrets
-from paritas.llm.common import saved, table
+from paritas.llm.common import free_name, saved, table
 from paritas.llm.queries import END_ID, tokenizer_path
 
 #: A text of this many characters whose best cosine is under this is in none of the languages.
@@ -24,10 +24,11 @@ WORDS = 5
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter and long ones that no learned language resembles."""
     profiles = language.learn(docs, F.lit(True))
-    found = language.predict(docs, profiles)
-    rejected = (F.col("language.lang_pred") == language.UNDETERMINED) | (
-        (F.col("language.score") < LEAST_SCORE) & (F.length("text") >= SCORED_CHARS))
-    return found.where(~rejected).drop("language")
+    into = free_name(docs, "language")
+    found = language.predict(docs, profiles, into)
+    rejected = (F.col(into).lang_pred == language.UNDETERMINED) | (
+        (F.col(into).score < LEAST_SCORE) & (F.length("text") >= SCORED_CHARS))
+    return found.where(~rejected).drop(into)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,17 +40,20 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a benchmark item."""
-    found = decontamination.scan(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(F.size("leaks") == 0).drop("leaks")
+    into = free_name(docs, "leaks")
+    found = decontamination.scan(docs, table(spark, sf_dir, "benchmark"), into=into)
+    return found.where(F.size(into) == 0).drop(into)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps every document; each secret in a text gives way to its kind in brackets."""
-    text = F.coalesce(F.col("secrets.redacted"), F.col("text"))
-    found = secrets.scan(docs, redact=True)
+    into = free_name(docs, "secrets")
+    redacted = F.col(into).redacted
+    text = F.coalesce(redacted, F.col("text"))
+    found = secrets.scan(docs, redact=True, into=into)
     return found.select(*[
         (text if c == "text" else
-         F.when(F.col("secrets.redacted").isNull(), F.col(c)).otherwise(F.length(text))
+         F.when(redacted.isNull(), F.col(c)).otherwise(F.length(text))
          if c == "n_chars" else F.col(c)).alias(c) for c in docs.columns])
 
 

@@ -54,6 +54,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front as long as ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def documents(docs: DataFrame) -> DataFrame:
     """The two columns the operators read; a missing text is an empty one."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),

@@ -253,19 +253,20 @@ def _matcher(index: Index):
     return matches
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = EDIT_RATE) -> DataFrame:
-    """``docs`` with an array column ``leaks`` of (item_id, start, end, edits);
+def scan(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = EDIT_RATE,
+         into: str = "leaks") -> DataFrame:
+    """``docs`` with an array column ``into`` of (item_id, start, end, edits);
     places are code points of the original text."""
     items = benchmark.where(F.col("text").isNotNull()).select(
         F.col("item_id").cast("long").alias("item_id"), "text")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = 1 + chars // BLOCK_CHARS
     block = F.pmod(F.xxhash64("text"), F.lit(blocks))
-    out = docs.withColumn("leaks", F.array().cast(
+    out = docs.withColumn(into, F.array().cast(
         "array<struct<item_id: bigint, start: bigint, end: bigint, edits: bigint>>"))
     for i in range(blocks):  # one pass unless the benchmark is larger than a block
         rows = [tuple(r) for r in items.where(block == i).orderBy("item_id", "text").collect()]
         if rows:
-            out = out.withColumn("leaks", F.concat("leaks", _matcher(Index.of(rows, q, rate))(
+            out = out.withColumn(into, F.concat(into, _matcher(Index.of(rows, q, rate))(
                 F.col("text"))))
     return out

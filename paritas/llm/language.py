@@ -150,8 +150,8 @@ def learn(docs: DataFrame, learned_from: Column, dimension: int = DIMENSION) ->
     return Profiles([r["lang"] for r in rows], sums.reshape(len(rows), dimension), dimension)
 
 
-def predict(docs: DataFrame, profiles: Profiles) -> DataFrame:
-    """``docs`` with a struct column ``language`` (lang_pred, score)."""
+def predict(docs: DataFrame, profiles: Profiles, into: str = "language") -> DataFrame:
+    """``docs`` with a struct column ``into`` (lang_pred, score)."""
     size = np.linalg.norm(profiles.prototypes, axis=1, keepdims=True)
     unit = profiles.prototypes / np.where(size > 0, size, 1)
     names, dimension = profiles.languages, profiles.dimension
@@ -174,4 +174,4 @@ def predict(docs: DataFrame, profiles: Profiles) -> DataFrame:
                                 "score": float(min(1.0, max(0.0, cosine[i])))})
             yield pa.array(out, kind)
 
-    return docs.withColumn("language", best(F.col("text")))
+    return docs.withColumn(into, best(F.col("text")))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paritas.llm.common import byte_buffer, slices, word_hashes, words
+from paritas.llm.common import free_name, slices, word_hashes, words
 
 #: Words of the windows that count as repeated.
 WINDOW = 8
@@ -171,8 +171,8 @@ _MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_word
              "longest_repeat")
 
 
-def judge(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """``docs`` with a struct column ``quality``: the measures, ``base_failed`` and ``kept``."""
+def judge(docs: DataFrame, limits: Limits = Limits(), into: str = "quality") -> DataFrame:
+    """``docs`` with a struct column ``into``: the measures, ``base_failed`` and ``kept``."""
 
     @F.arrow_udf(", ".join(f"{k} long" for k in _MEASURES))
     def counted(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -184,11 +184,12 @@ def judge(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
                 {k: np.concatenate([p[k] for p in parts] or [np.zeros(0, np.int64)])
                  for k in _MEASURES}, kind).to_struct_array()
 
-    m = {k: F.col("_measured")[k] for k in _MEASURES}
+    name = free_name(docs, "measured")
+    m = {k: F.col(name)[k] for k in _MEASURES}
     failed = (m["n_words"] < limits.least_words) | (
         100 * m["n_repeat_words"] > limits.most_repeated * m["n_words"])
     kept = ~failed & (100 * m["longest_repeat"] <= limits.longest_repeat * m["n_words"])
-    measured = docs.withColumn("_measured", counted(F.col("text")))
-    return measured.withColumn("quality", F.struct(
+    measured = docs.withColumn(name, counted(F.col("text")))
+    return measured.withColumn(into, F.struct(
         *[m[k].alias(k) for k in _MEASURES], failed.alias("base_failed"), kept.alias("kept"),
-    )).drop("_measured")
+    )).drop(name)

@@ -329,8 +329,9 @@ _FOUND = ("n_assign long, n_access long, n_hex long, base_sha256 string, spans s
           "redacted string")
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, redact: bool = False) -> DataFrame:
-    """``docs`` with a struct column ``secrets``: counts of the base kinds, the
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, redact: bool = False,
+         into: str = "secrets") -> DataFrame:
+    """``docs`` with a struct column ``into``: counts of the base kinds, the
     SHA-256 of their spans, all spans and, if asked for, the text with each span
     replaced by its kind in brackets."""
     scanner = Scanner(rules)
@@ -352,7 +353,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, redact: bool = False)
             yield pa.RecordBatch.from_pydict(rows, pa.schema(
                 [(k, pa.int64() if k[:2] == "n_" else pa.string()) for k in rows])).to_struct_array()
 
-    return docs.withColumn("secrets", found(F.col("text")))
+    return docs.withColumn(into, found(F.col("text")))
 
 
 def _redacted(text: str, spans: list) -> str:
