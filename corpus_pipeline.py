@@ -26,8 +26,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     profiles = language.learn(docs, F.lit(True))
     into = free_name(docs, "language")
     found = language.predict(docs, profiles, into)
-    rejected = (F.col(into).lang_pred == language.UNDETERMINED) | (
-        (F.col(into).score < LEAST_SCORE) & (F.length("text") >= SCORED_CHARS))
+    if profiles.languages:
+        rejected = (F.col(into).lang_pred == language.UNDETERMINED) | (
+            (F.col(into).score < LEAST_SCORE) & (F.length("text") >= SCORED_CHARS))
+    else:  # no row names a language: only a letter is asked for
+        rejected = ~F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     return found.where(~rejected).drop(into)
 
 

@@ -5,9 +5,9 @@ if they are fewer). Texts with equal sets are one node. The forest is a number
 of trees, each a sorted order of the nodes by eight MinHash values; candidates
 are neighbours with the longest common prefix, and at least four values in
 common. So the depth at which a node meets others adapts to how dense its
-region is. Pairs whose sketches leave a chance of a link are verified on their
-full sets, and verified links give connected components (see ``near``, which
-then searches all regions that hold several components to the full).
+region is. Nodes whose sketches leave a chance of a link are joined into
+candidate groups; links are computed there on full sets, and give connected
+components (see ``near``).
 
 With 20 trees and a prefix of four values, a pair with Jaccard similarity 0.8
 shares no region with probability (1 - 0.8**4)**20 = 3e-5.
@@ -69,8 +69,10 @@ def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              again("id"), again("s1"), again("s2")], ["tree", "high", "low", "id", "s1", "s2"])
 
 
-def groups(docs: DataFrame, k: int = 2, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable) and kept."""
+def groups(docs: DataFrame, k: int = 2, percent: int = PERCENT, **sizes: int) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable) and kept.
+
+    sizes: those of runs and blocks, see ``near.linked``."""
     nodes = _nodes(docs, k)
     one = ["n_shingles", "d1", "d2"]
     sets = (nodes.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*one)
@@ -80,7 +82,7 @@ def groups(docs: DataFrame, k: int = 2, percent: int = PERCENT) -> DataFrame:
     texts = documents(docs).withColumnRenamed("doc_id", "id")
     rows = sets.select("id", "keys", "s1", "s2").mapInArrow(
         _trees, "tree int, high long, low long, id long, s1 long, s2 long")
-    parts = linked(rows, lambda ids: texts.join(ids, "id", "left_semi"), k, percent)
+    parts = linked(rows, lambda ids: texts.join(ids, "id"), k, percent, **sizes)
     # sets whose smallest document is the same are one document's
     parts = sets.select(*one, "id").join(parts, "id", "left").select(
         *one, F.coalesce("component", "id").alias("component"))

@@ -1,15 +1,19 @@
-"""Candidates, verification and components for near-duplicate texts.
+"""Candidate groups, exact links and components for near-duplicate texts.
 
 Nodes (distinct texts) have rows in several sorted orders: (tree, high, low)
 with ``high`` the part of a signature that candidates must share and ``low``
 what sorts them further, and a sketch of 128 bits, each of which agrees with
 probability (1 + J) / 2. Rows whose ``high`` no other node has drop out.
 
-First each row is paired with its successor in the sorted order, the one it
-has the longest prefix in common with, so a dense region costs no more than a
-sparse one. Verified pairs give components. Then every region that still holds
-several components is searched in full for pairs across them, in blocks, so
-that no link between them is lost and none within them is looked for again.
+Within a region (equal tree and high) the rows whose sketches leave a chance
+of a link are joined into candidate groups, each row giving one edge at most.
+So every pair that can be a link lies within one group, and no table holds
+pairs. Links are then computed on full sets where a group's rows meet: first
+in runs of rows in MinHash order, which settles all groups of up to a run and
+links most of a larger one; then, for the larger ones, between the components
+found so far, block by block. Blocks that one component fills are not compared
+with each other, so a group that is one component by then costs nothing more.
+A task gives one edge for a row at most (a spanning forest of what it found).
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,10 +39,12 @@ from paritas.llm.graph import components
 
 #: Sketch bits that may differ: five standard deviations beyond those of J = 0.8.
 MOST_APART = 30
-#: Orders whose every neighbour is verified; of the others only each node's best.
-CHAINS = 4
-#: Rows of a block of a region.
-BLOCK = 1024
+#: Rows whose sketches are all compared; larger regions are one group as they are.
+REGION = 1024
+#: Rows of a run and of a block, whose sets are all compared.
+RUN_ROWS, BLOCK_ROWS = 512, 1024
+#: Shingles counted by one matrix product.
+COLUMNS = 8192
 
 
 def signatures(h: np.ndarray, owner: np.ndarray, texts: int, functions: int, seed: int = 7,
@@ -97,151 +104,276 @@ def _columns(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
     return [np.asarray(batch.column(n)) for n in names]
 
 
-_ROW = ("tree", "high", "low", "id", "s1", "s2")
 _ROWS = "tree int, high long, low long, id long, s1 long, s2 long"
 
 
 def in_company(rows: DataFrame) -> DataFrame:
-    """The rows (tree, high, low, id, s1, s2) whose (tree, high) another row has,
-    with the id of the next row there and how many sketch bits differ from it.
+    """The rows (tree, high, low, id, s1, s2) whose (tree, high) another row has.
 
     Rows are sorted by range, so that a region of any size is spread over
-    tasks; at a task's edges rows are kept without having been compared."""
+    tasks; rows at a task's edges are kept without having been compared."""
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.RecordBatch | None = None  # the last row, whose successor is to come
-
-        def judged(b: pa.RecordBatch, first: bool, last: bool) -> pa.RecordBatch:
-            tree, high, ident, s1, s2 = _columns(b, "tree", "high", "id", "s1", "s2")
-            n = len(ident)
-            follows = (tree[1:] == tree[:-1]) & (high[1:] == high[:-1])
-            apart = np.full(n, 999, np.int32)
-            apart[:-1][follows] = _apart(s1[:-1], s2[:-1], s1[1:], s2[1:])[follows]
-            after = np.append(ident[1:], 0)
-            keep = np.zeros(n, bool)
-            keep[:-1] |= follows
-            keep[1:] |= follows
-            keep[0] |= first or alone
-            keep[-1] |= last
-            out = b.append_column("next", pa.array(after)).append_column("apart", pa.array(apart))
-            some = np.flatnonzero(keep[:n if last else n - 1])
-            return out.take(pa.array(some)), bool(n > 1 and follows[-1])
-
-        first, alone = True, False
+        held, wanted = None, True  # the last row, and whether it is kept in any case
         for b in batches:
             if not b.num_rows:
                 continue
-            if held is not None:
-                b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
-            if b.num_rows > 1:
-                out, alone_next = judged(b, first, False)
-                yield out
-                first, alone = False, alone_next
-            held = b.slice(b.num_rows - 1)
+            b = _after(held, b)
+            tree, high = _columns(b, "tree", "high")
+            same = (tree[1:] == tree[:-1]) & (high[1:] == high[:-1])
+            keep = np.append(same, False) | np.append(wanted, same)
+            held, wanted = b.slice(b.num_rows - 1), bool(keep[-1])
+            yield b.take(pa.array(np.flatnonzero(keep[:-1])))
         if held is not None:
-            yield judged(held, first, True)[0]
+            yield held
 
     ordered = (rows.repartitionByRange("tree", "high", "low", "id")
                .sortWithinPartitions("tree", "high", "low", "id"))
-    return saved(ordered.mapInArrow(kept, _ROWS + ", next long, apart int"), "company")
-
-
-def neighbours(company: DataFrame, most_apart: int) -> DataFrame:
-    """Pairs (a, b): neighbours in the first orders, and each node's nearest in any."""
-    near = company.where((F.col("apart") <= most_apart) & (F.col("id") != F.col("next")))
-    pair = (F.least("id", "next").alias("a"), F.greatest("id", "next").alias("b"))
-    chains = near.where(F.col("tree") < CHAINS).select(*pair)
-    both = near.select("id", "next", "apart").union(near.select("next", "id", "apart"))
-    best = both.groupBy("id").agg(F.min(F.struct("apart", "next")).alias("best"))
-    return chains.union(best.select(F.least("id", "best.next"), F.greatest("id", "best.next"))
-                        ).distinct()
-
-
-def across(company: DataFrame, parts: DataFrame, most_apart: int) -> DataFrame:
-    """Pairs (a, b) of any region between nodes of different components."""
-    rows = company.select("tree", "high", "id", "s1", "s2").join(parts, "id", "left").withColumn(
-        "component", F.coalesce("component", "id"))
-    rows = saved(rows, "regions")
-    mixed_regions = (rows.groupBy("tree", "high")
-                     .agg(F.count("*").alias("n"), F.min("component").alias("low"),
-                          F.max("component").alias("high_component"))
-                     .where("low < high_component")
-                     .select("tree", "high", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    cells = (rows.join(mixed_regions, ["tree", "high"])
-             .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("tree", "high", F.least("own", "other").alias("i"),
-                     F.greatest("own", "other").alias("j"), "own", "id", "component", "s1", "s2"))
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.RecordBatch | None = None  # the rows of the last cell, which may go on
+    return saved(ordered.mapInArrow(kept, _ROWS), "company")
+
+
+def _after(held: pa.RecordBatch | None, b: pa.RecordBatch) -> pa.RecordBatch:
+    if held is None or not held.num_rows:
+        return b
+    return pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
+
+
+def _spanning(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """For each of n places the least one that the edges a-b connect it with."""
+    label = np.arange(n)
+    while True:
+        least = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, least)
+        np.minimum.at(new, b, least)
+        np.minimum.at(new, label[a], least)
+        np.minimum.at(new, label[b], least)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _edges(ident: np.ndarray, label: np.ndarray) -> pa.RecordBatch:
+    some = np.flatnonzero(ident != ident[label])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ident[label[some]]), pa.array(ident[some])], ["a", "b"])
+
+
+def candidate_groups(company: DataFrame, most_apart: int) -> DataFrame:
+    """(id, component): groups outside of which there is no candidate."""
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the rows of the last part of a region, which may go on
         for b in batches:
-            if held is not None and held.num_rows:
-                b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
+            b = _after(held, b)
             if not b.num_rows:
                 continue
-            cell = _columns(b, "tree", "high", "i", "j")
-            same_as_last = np.logical_and.reduce([c == c[-1] for c in cell])
-            n = int(np.flatnonzero(~same_as_last)[-1]) + 1 if not same_as_last.all() else 0
+            part, linked_to_last = _parts(b)
+            n = int(np.flatnonzero(part == part[-1])[0])
             held = b.slice(n)
             if n:
-                yield _cell_pairs(b.slice(0, n), most_apart)
+                yield _sketch_edges(b.slice(0, n), part[:n], most_apart)
+            if n and linked_to_last[n]:
+                ident = np.asarray(b.column("id"))[n - 1:n + 1]
+                yield _edges(ident, np.zeros(2, np.int64))
         if held is not None and held.num_rows:
-            yield _cell_pairs(held, most_apart)
+            yield _sketch_edges(held, _parts(held)[0], most_apart)
 
-    ordered = (cells.repartition("tree", "high", "i", "j")
-               .sortWithinPartitions("tree", "high", "i", "j", "id"))
-    return ordered.mapInArrow(pairs, "a long, b long").distinct()
+    ordered = (company.repartition("tree", "high")
+               .sortWithinPartitions("tree", "high", "low", "id"))
+    return components(ordered.mapInArrow(joined, "a long, b long"))
 
 
-def _cell_pairs(b: pa.RecordBatch, most_apart: int) -> pa.RecordBatch:
-    cell = np.stack(_columns(b, "tree", "high", "i", "j"))
-    own, ident, part, s1, s2 = _columns(b, "own", "id", "component", "s1", "s2")
-    new = np.append(True, (cell[:, 1:] != cell[:, :-1]).any(0))
-    number = np.cumsum(new)
-    within = cell[2] == cell[3]
+def _parts(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Regions in parts of REGION rows: each row's part, and whether it begins a
+    part other than the first of its region."""
+    tree, high = _columns(b, "tree", "high")
+    new = np.append(True, (tree[1:] != tree[:-1]) | (high[1:] != high[:-1]))
+    place = np.arange(len(new))
+    within = place - np.maximum.accumulate(np.where(new, place, 0))
+    later = ~new & (within % REGION == 0)
+    return np.cumsum(new | later), later
+
+
+def _sketch_edges(b: pa.RecordBatch, part: np.ndarray, most_apart: int) -> pa.RecordBatch:
+    ident, s1, s2 = _columns(b, "id", "s1", "s2")
     left, right = [], []
-    for d in range(1, int(np.bincount(number).max(initial=0))):
-        a = np.flatnonzero(number[d:] == number[:-d])
-        c = a + d
-        some = (part[a] != part[c]) & (within[a] | (own[a] != own[c]))
-        a, c = a[some], c[some]
-        some = _apart(s1[a], s2[a], s1[c], s2[c]) <= most_apart
-        left.append(ident[a[some]])
-        right.append(ident[c[some]])
-    left = np.concatenate(left) if left else np.zeros(0, np.int64)
-    right = np.concatenate(right) if right else np.zeros(0, np.int64)
-    pair = np.unique(np.stack([np.minimum(left, right), np.maximum(left, right)], 1), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])
-
-
-def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of which 100 * intersection >= percent * union holds for the
-    sets of all their runs of k words. texts: (id, text)."""
-
-    def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    size = int(np.bincount(part - part[0]).max())
+    for d in range(1, size):
+        a = np.flatnonzero(part[d:] == part[:-d])
+        a = a[_apart(s1[a], s2[a], s1[a + d], s2[a + d]) <= most_apart]
+        left.append(a)
+        right.append(a + d)
+    later = np.flatnonzero(_parts(b)[1])  # parts of one region are one group
+    left, right = np.concatenate([*left, later - 1]), np.concatenate([*right, later])
+    return _edges(ident, _spanning(left, right, len(ident)))
+
+
+def shared(sets: list[np.ndarray], first: int) -> np.ndarray:
+    """Sizes of the intersections of the first sets with all (first: how many)."""
+    h = np.concatenate(sets)
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, count = np.unique(h, return_inverse=True, return_counts=True)
+    often = count > 1  # the others are in no intersection
+    number = np.cumsum(often) - 1
+    row, column = row[often[column]], number[column[often[column]]]
+    out = np.zeros((first, len(sets)), np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for low in range(0, int(often.sum()), COLUMNS):
+        a, b = np.searchsorted(column, [low, low + COLUMNS])
+        held = np.zeros((len(sets), min(COLUMNS, int(often.sum()) - low)), np.float32)
+        held[row[a:b], column[a:b] - low] = 1
+        out += held[:first] @ held.T
+    np.fill_diagonal(out[:, :first], [len(x) for x in sets[:first]])
+    return out
+
+
+def _links(sets: list[np.ndarray], first: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (a, b) of linked sets, a among the first ones."""
+    size = np.array([len(x) for x in sets], np.int64)
+    both = shared(sets, first).astype(np.int64)
+    a, b = np.nonzero(100 * both >= percent * (size[:first, None] + size[None, :] - both))
+    return a, b
+
+
+def _arrays(b: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint64) for x in b.column("set").to_pylist()]
+
+
+def _runs(sets: DataFrame, percent: int, run_rows: int) -> DataFrame:
+    """Links within runs of a group's rows: (component, id, root, run)."""
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, done, held = TaskContext.get().partitionId(), 0, None
+
+        def out(b: pa.RecordBatch) -> pa.RecordBatch:
+            label = _spanning(*_links(_arrays(b), b.num_rows, percent), b.num_rows)
+            ident = np.asarray(b.column("id"))
+            return pa.RecordBatch.from_arrays(
+                [b.column("component"), b.column("id"), pa.array(ident[label]),
+                 pa.array(np.full(b.num_rows, task << 32 | done))],
+                ["component", "id", "root", "run"])
+
+        for b in batches:
+            b = _after(held, b)
+            if not b.num_rows:
+                continue
+            group = np.asarray(b.column("component"))
+            cut = np.append(np.flatnonzero(group[1:] != group[:-1]) + 1, b.num_rows)
+            at = 0
+            for end in cut.tolist():
+                while end - at > run_rows or (end < b.num_rows and at < end):
+                    n = min(run_rows, end - at)
+                    yield out(b.slice(at, n))
+                    at, done = at + n, done + 1
+            held = b.slice(at)
+        if held is not None and held.num_rows:
+            yield out(held)
+
+    ordered = (sets.repartitionByRange("component", "k1", "k2", "id")
+               .sortWithinPartitions("component", "k1", "k2", "id"))
+    return saved(ordered.select("component", "id", "set").mapInArrow(
+        compared, "component long, id long, root long, run long"), "runs")
+
+
+def _cells(found: DataFrame, parts: DataFrame, block_rows: int) -> DataFrame:
+    """(component, id, i, j, own): pairs of blocks that are left to compare, of
+    groups in several runs and components. ``i`` and ``j`` number the blocks."""
+    unsettled = found.groupBy("component").agg(
+        F.min("run").alias("low"), F.max("run").alias("high")).where("low < high").select("component")
+    rows = (found.select("component", "id").join(unsettled, "component", "left_semi")
+            .join(parts.select("id", F.col("component").alias("part")), "id", "left")
+            .withColumn("part", F.coalesce("part", "id")))
+    rows = saved(rows, "unsettled")
+    size = rows.groupBy("component", "part").agg(F.count("*").alias("rows"))
+    small = size.where(F.col("rows") < block_rows).groupBy("component").agg(
+        F.ceil(F.sum("rows") / block_rows).alias("blocks"))
+    large = size.where(F.col("rows") >= block_rows).select(
+        "component", "part", F.ceil(F.col("rows") / block_rows).alias("own_blocks"))
+    # a large component has blocks of its own; small ones are dealt out whole
+    number = F.when(F.col("own_blocks").isNotNull(),
+                    F.pmod(F.xxhash64("id"), F.col("own_blocks"))).otherwise(
+        F.pmod(F.xxhash64("part"), F.col("blocks")))
+    placed = (rows.join(large, ["component", "part"], "left").join(small, "component", "left")
+              .select("component", "id",
+                      F.when(F.col("own_blocks").isNotNull(), F.col("part")).alias("whole"),
+                      number.alias("number")))
+    placed = saved(placed, "placed")
+    one = placed.select("component", "whole", "number").distinct()
+    a = one.select("component", *[F.col(c).alias(f"{c}_a") for c in ("whole", "number")])
+    b = one.select("component", *[F.col(c).alias(f"{c}_b") for c in ("whole", "number")])
+    key = lambda x: F.struct(F.coalesce(F.col(f"whole_{x}"), F.lit(-1).cast("long")),
+                             F.col(f"whole_{x}").isNull(), F.col(f"number_{x}"))
+    cells = (a.join(b, "component").where(key("a") <= key("b"))
+             .where(F.coalesce(F.col("whole_a") != F.col("whole_b"), F.lit(True)))
+             .withColumn("cell", F.xxhash64("component", "whole_a", "number_a", F.col(
+                 "whole_a").isNull(), "whole_b", "number_b", F.col("whole_b").isNull())))
+    cells = saved(cells, "cells")
+    same = lambda x: [placed["component"] == cells["component"],
+                      placed["whole"].eqNullSafe(cells[f"whole_{x}"]),
+                      placed["number"] == cells[f"number_{x}"]]
+    left = placed.join(cells, same("a")).select("cell", "id", F.lit(0).alias("side"))
+    right = (placed.join(cells.where(key("a") != key("b")), same("b"))
+             .select("cell", "id", F.lit(1).alias("side")))
+    return left.union(right)
+
+
+def _across(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) found by comparing the blocks of each cell."""
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in batches:
+            b = _after(held, b)
+            if not b.num_rows:
+                continue
+            cell = np.asarray(b.column("cell"))
+            cut = [0, *(np.flatnonzero(cell[1:] != cell[:-1]) + 1).tolist()]
+            for at, end in zip(cut, cut[1:]):
+                yield _compared(b.slice(at, end - at), percent)
+            held = b.slice(cut[-1])
+        if held is not None and held.num_rows:
+            yield _compared(held, percent)
+
+    rows = cells.join(sets.select("id", "set"), "id").select("cell", "side", "id", "set")
+    return (rows.repartition("cell").sortWithinPartitions("cell", "side", "id")
+            .mapInArrow(compared, "a long, b long"))
+
+
+def _compared(b: pa.RecordBatch, percent: int) -> pa.RecordBatch:
+    ident, side = _columns(b, "id", "side")
+    first = int((side == 0).sum())
+    label = _spanning(*_links(_arrays(b), first, percent), b.num_rows)
+    return _edges(ident, label)
+
+
+def _sets(texts: DataFrame, k: int) -> DataFrame:
+    """(component, id, k1, k2, set) of texts (component, id, text): the distinct
+    shingles as ascending 64-bit numbers, and the two least."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in slices(batch, "text_a", 1 << 20):
-                both = [_own(*shingles(b.column(c), k)[:2]) for c in ("text_a", "text_b")]
-                size = [np.bincount(owner, minlength=b.num_rows) for _, owner in both]
-                h = np.concatenate([x[0] for x in both])
-                owner = np.concatenate([x[1] for x in both])
-                order = np.lexsort((h, owner))
-                h, owner = h[order], owner[order]
-                twice = (h[1:] == h[:-1]) & (owner[1:] == owner[:-1])
-                shared = np.bincount(owner[1:][twice], minlength=b.num_rows)
-                union = size[0] + size[1] - shared
-                good = np.flatnonzero((100 * shared >= percent * union) & (union > 0))
-                yield b.select(["a", "b"]).take(pa.array(good))
-
-    a = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(
-        checked, "a long, b long")
+            for b in slices(batch):
+                h, owner, _ = shingles(b.column("text"), k)
+                h, owner = _own(h, owner)
+                begin = np.searchsorted(owner, np.arange(b.num_rows + 1))
+                held = pa.BinaryArray.from_buffers(
+                    pa.binary(), b.num_rows,
+                    [None, pa.py_buffer((8 * begin).astype(np.int32)), pa.py_buffer(h)])
+                least = [np.append(h, np.uint64(0))[np.minimum(begin[:-1] + i, len(h))].view(np.int64)
+                         for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("component"), b.column("id"), *map(pa.array, least), held],
+                    ["component", "id", "k1", "k2", "set"])
+
+    return saved(texts.select("component", "id", "text").mapInArrow(
+        made, "component long, id long, k1 long, k2 long, set binary"), "sets")
 
 
 def _own(h: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct shingles of each text."""
+    """The distinct shingles of each text, ascending."""
     order = np.lexsort((h, owner))
     h, owner = h[order], owner[order]
     keep = np.append(True, (h[1:] != h[:-1]) | (owner[1:] != owner[:-1]))[:len(h)]
@@ -249,20 +381,18 @@ def _own(h: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def linked(rows: DataFrame, texts_of: Callable[[DataFrame], DataFrame], k: int, percent: int,
-           most_apart: int = MOST_APART) -> DataFrame:
+           most_apart: int = MOST_APART, run_rows: int = RUN_ROWS,
+           block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(id, component) of all nodes that have a link.
 
-    rows: (tree, high, low, id, s1, s2); texts_of: gives (id, text) for a table of ids."""
-
-    def links(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        return saved(confirmed(pairs, texts_of(ids), k, percent), "links")
-
-    company = in_company(rows)
-    tried = saved(neighbours(company, most_apart), "pairs")
-    first = links(tried)
-    parts = saved(components(first), "components")
-    rest = saved(across(company, parts, most_apart).join(tried, ["a", "b"], "left_anti"), "pairs")
-    if rest.isEmpty():
+    rows: (tree, high, low, id, s1, s2); texts_of: gives (component, id, text)
+    for a table of (component, id)."""
+    groups = saved(candidate_groups(in_company(rows), most_apart), "groups")
+    sets = _sets(texts_of(groups), k)
+    found = _runs(sets, percent, run_rows)
+    links = found.where("id <> root").select(F.col("root").alias("a"), F.col("id").alias("b"))
+    parts = saved(components(links), "components")
+    cells = saved(_cells(found, parts, block_rows), "cell-rows")
+    if cells.isEmpty():
         return parts
-    return saved(components(first.union(links(rest))), "components")
+    return saved(components(links.union(_across(cells, sets, percent))), "components")

@@ -93,8 +93,10 @@ def test_forest_chains_and_families(spark):
         put(v)
     for _ in range(40):
         put(random.choices(vocabulary[:4], k=random.randint(0, 4)))
-    rows = forest.groups(spark.createDataFrame(docs, "doc_id long, text string")).collect()
-    check_groups(rows, docs, 2)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    check_groups(forest.groups(frame).collect(), docs, 2)
+    # groups in many runs and blocks give the same
+    check_groups(forest.groups(frame, run_rows=7, block_rows=20).collect(), docs, 2)
 
 
 def test_forest_edges(odd, empty):
@@ -157,8 +159,11 @@ def test_passages_inside_text(spark):
     text = dict(docs)
     for r in rows:
         inside = set(text[r.doc_id][r.start:r.end].split())
-        assert r.kept == (r.doc_id in (0, 100)) and r.first_doc_id == (0 if r.doc_id < 20 else 100)
         assert inside <= set(passage if r.doc_id < 20 else [*line, "other"])
+    # at a passage's ends the text around it may set a paragraph that only some copies have
+    assert {(r.doc_id, r.first_doc_id) for r in rows if not r.kept} >= {
+        *((i, 0) for i in range(1, 20)), (101, 100)}
+    assert {r.doc_id for r in rows if not r.kept} == {*range(1, 20), 101}
     rest = {r.doc_id: r.text for r in paragraphs.without_repeats(frame, spans).collect()}
     assert rest[102] == text[102] and rest[0] == text[0] and rest[101].strip() == "end"
     assert len(rest[5]) < len(text[5])
