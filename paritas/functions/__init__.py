@@ -1,5 +1,5 @@
-from .values import (SENTINEL, all_of, any_of, cell_text, comparable, differs, fingerprint,
-                     sentinel_text, struct_array, text_compared)
+from .values import (JSON_OPTIONS, SENTINEL, all_of, any_of, cell_text, comparable, differs, fingerprint,
+                     in_common, number_text, sentinel_text, struct_array, exact_type)
 
-__all__ = ["SENTINEL", "all_of", "any_of", "cell_text", "comparable", "differs", "fingerprint",
-           "sentinel_text", "struct_array", "text_compared"]
+__all__ = ["JSON_OPTIONS", "SENTINEL", "all_of", "any_of", "cell_text", "comparable", "differs", "fingerprint",
+           "exact_type", "in_common", "number_text", "sentinel_text", "struct_array"]

@@ -12,11 +12,92 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed values shared with the reports: the text that stands for NULL under the
-# sentinel rule, and the scale doubles are rendered with before trailing zeros
-# are dropped.
+# Fixed value shared with the reports: the text that stands for NULL under the
+# sentinel rule.
 SENTINEL = "NULL"
-DOUBLE_TEXT_SCALE = 10
+
+# Nested values as JSON keep NULL fields and microseconds.
+JSON_OPTIONS = {"ignoreNullFields": "false",
+                "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+_FLOATING = (T.FloatType, T.DoubleType)
+_INSTANTS = (T.DateType, T.TimestampNTZType, T.TimestampType)
+
+
+def exact_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The type that holds every value of both types exactly, or ``None``.
+
+    ``None`` between numeric types (a 64-bit integer or decimal against a
+    floating type, decimals that need more than 38 digits) means that values
+    are compared through ``number_text``; between other types, through
+    ``cell_text``."""
+    if a == b:
+        return a
+    ints = [_DIGITS.get(type(t)) for t in (a, b)]
+    if all(ints):
+        return a if ints[0] >= ints[1] else b
+    if isinstance(a, _FLOATING) and isinstance(b, _FLOATING):
+        return T.DoubleType()
+    if any(isinstance(t, _FLOATING) for t in (a, b)):
+        small = (T.ByteType, T.ShortType, T.IntegerType)
+        return T.DoubleType() if isinstance(a, small) or isinstance(b, small) else None
+    parts = [(t.precision - t.scale, t.scale) if isinstance(t, T.DecimalType)
+             else (n, 0) if n else None for t, n in zip((a, b), ints)]
+    if all(parts):
+        whole, scale = (max(x) for x in zip(*parts))
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else None
+    if isinstance(a, _INSTANTS) and isinstance(b, _INSTANTS):
+        return a if _INSTANTS.index(type(a)) > _INSTANTS.index(type(b)) else b
+    return None
+
+
+def in_common(c: Column, source: T.DataType, other: T.DataType) -> Column:
+    """``c`` (of type ``source``) in the form in which it is compared with a
+    value of type ``other``: equal forms if and only if equal values, and
+    never a cast that can fail or round."""
+    target = exact_type(source, other)
+    if target is not None:
+        return c if source == target else c.cast(target)
+    if isinstance(source, T.NumericType) and isinstance(other, T.NumericType):
+        return number_text(c)
+    return cell_text(c, source)
+
+
+def number_text(c: Column) -> Column:
+    """A number in plain decimal notation without an exponent or idle zeros.
+
+    Floating values take their shortest text that reads back as the same value,
+    so the double 0.1 equals the decimal 0.1 and no two doubles look alike."""
+    s = c.cast("string")
+    plain = F.regexp_replace(F.regexp_replace(s, r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+    plain = F.regexp_replace(plain, "^-0$", "0")
+    return F.when(s.rlike("E-?[0-9]+$"), _written_out(s)).otherwise(plain)
+
+
+def _written_out(s: Column) -> Column:
+    """Text like ``-1.25E-7`` without its exponent.  The parts are bound by
+    ``transform`` so that the expression stays small."""
+    def part(i: int) -> Column:
+        return F.regexp_extract(s, r"^(-?)([0-9]+)\.?([0-9]*?)0*E(-?[0-9]+)$", i)
+
+    parts = F.array(F.struct(
+        part(1).alias("sign"), F.concat(part(2), part(3)).alias("digits"),
+        (F.length(part(2)) + part(4).try_cast("int")).alias("point")))
+
+    def joined(x: Column) -> Column:
+        digits, point = x["digits"], x["point"]
+        return F.concat(x["sign"], F.when(
+            point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits)).when(
+            point >= F.length(digits), F.rpad(digits, point, "0")).otherwise(
+            F.concat(digits.substr(F.lit(1), point), F.lit("."),
+                     digits.substr(point + 1, F.length(digits)))))
+
+    out = F.transform(parts, joined)[0]
+    # 0E-18 and the like
+    return F.when(s.rlike("^-?[0.]+E"), F.lit("0")).otherwise(
+        F.regexp_replace(F.regexp_replace(out, r"(\.[0-9]*?)0+$", "$1"), r"\.$", ""))
 
 
 def comparable(c: Column, dtype: T.DataType | None) -> Column:
@@ -27,22 +108,18 @@ def comparable(c: Column, dtype: T.DataType | None) -> Column:
 
 
 def cell_text(c: Column, dtype: T.DataType | None) -> Column:
-    """Render a value as text, identically for every engine we compare against.
-
-    Floating point goes through a fixed-scale decimal with trailing zeros
-    stripped down to one decimal digit (``388246.03``, ``477955.0``), so
-    exponents never appear; values outside the decimal range fall back to the
-    plain cast.  Maps render as
-    their sorted entries.
-    """
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        dec = c.try_cast(f"decimal(38,{DOUBLE_TEXT_SCALE})").cast("string")
-        stripped = F.regexp_replace(dec, r"(\.\d+?)0+$", "$1")
-        return F.coalesce(stripped, c.cast("string"))
+    """A value as text: different values never look alike.
+
+    Floating values are written out plainly with at least one decimal
+    (``388246.03``, ``477955.0``, ``0.00000000001``), nested ones as JSON with
+    NULL fields and microseconds, maps as their sorted entries."""
+    if isinstance(dtype, _FLOATING):
+        plain = number_text(c)
+        return F.when(plain.rlike("^-?[0-9]+$"), F.concat(plain, F.lit(".0"))).otherwise(plain)
     if isinstance(dtype, T.MapType):
-        return F.to_json(F.array_sort(F.map_entries(c)))
+        return F.to_json(F.array_sort(F.map_entries(c)), JSON_OPTIONS)
     if isinstance(dtype, (T.ArrayType, T.StructType)):
-        return F.to_json(c)
+        return F.to_json(c, JSON_OPTIONS)
     return c.cast("string")
 
 
@@ -51,21 +128,13 @@ def sentinel_text(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(SENTINEL))
 
 
-def text_compared(ltype: T.DataType | None, rtype: T.DataType | None) -> bool:
-    """Types that must be compared through their text: they differ and are not
-    both numeric (an implicit cast, e.g. of 'abc' to a number, fails under ANSI)."""
-    if ltype is None or rtype is None or ltype == rtype:
-        return False
-    return not (isinstance(ltype, T.NumericType) and isinstance(rtype, T.NumericType))
-
-
 def differs(left: Column, right: Column, mode: str,
             ltype: T.DataType | None = None, rtype: T.DataType | None = None) -> Column:
     """True when two cells differ under a null rule (never NULL itself)."""
     if mode == "sentinel":
         return sentinel_text(left) != sentinel_text(right)
-    if text_compared(ltype, rtype):
-        return ~cell_text(left, ltype).eqNullSafe(cell_text(right, rtype))
+    if ltype is not None and rtype is not None and ltype != rtype:
+        return ~in_common(left, ltype, rtype).eqNullSafe(in_common(right, rtype, ltype))
     return ~comparable(left, ltype).eqNullSafe(comparable(right, rtype))
 
 

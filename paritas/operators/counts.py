@@ -60,8 +60,7 @@ def count_differences(left: DataFrame, right: DataFrame, rs: Resolved,
         *rs.keys, lc, rc,
         F.abs(lc - rc).alias("count_difference"),
         F.when(lc > rc, F.lit(f"MORE_IN_{ln.upper()}"))
-        .when(rc > lc, F.lit(f"MORE_IN_{rn_.upper()}"))
-        .otherwise(F.lit("EQUAL")).alias("difference_type"))
+        .otherwise(F.lit(f"MORE_IN_{rn_.upper()}")).alias("difference_type"))
 
 
 def top_count_differences(diffs: DataFrame, rs: Resolved, n: int = 50) -> DataFrame:

@@ -10,10 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import any_of, cell_text, differs, fingerprint, struct_array
+from ..functions import any_of, cell_text, differs, fingerprint, in_common, struct_array
 from ..spec import Resolved
-from .match import (as_type, cell_differs, common_type, generic_pairs, lcol, ordinal_pairs,
-                    rcol, row_differs)
+from .match import cell_differs, generic_pairs, lcol, ordinal_pairs, rcol, row_differs
 
 
 def _cell_mode(mode: str) -> str:
@@ -123,13 +122,18 @@ def mismatch_nested(left: DataFrame, right: DataFrame, rs: Resolved,
 def fingerprint_diff(left: DataFrame, right: DataFrame, rs: Resolved) -> DataFrame:
     """Keys of matched rows whose whole-row fingerprints (compare columns) differ."""
     j = ordinal_pairs(left, right, rs, how="inner")
-    # both sides hashed in the column's common type (no narrowing or failing cast)
+    # both sides hashed in the column's common form (no narrowing or failing cast)
     lt = [j.schema[lcol(c)].dataType for c in rs.compare]
     rt = [j.schema[rcol(c)].dataType for c in rs.compare]
-    ct = [common_type(a, b) for a, b in zip(lt, rt)]
-    fl = fingerprint([as_type(F.col(lcol(c)), a, t) for c, a, t in zip(rs.compare, lt, ct)], ct)
-    fr = fingerprint([as_type(F.col(rcol(c)), b, t) for c, b, t in zip(rs.compare, rt, ct)], ct)
-    return j.filter(fl != fr).select(*rs.keys)
+    forms = j.select(*rs.keys,
+                     *[in_common(F.col(lcol(c)), a, b).alias(lcol(c))
+                       for c, a, b in zip(rs.compare, lt, rt)],
+                     *[in_common(F.col(rcol(c)), b, a).alias(rcol(c))
+                       for c, a, b in zip(rs.compare, lt, rt)])
+    fl, fr = (fingerprint([F.col(side(c)) for c in rs.compare],
+                          [forms.schema[side(c)].dataType for c in rs.compare])
+              for side in (lcol, rcol))
+    return forms.filter(fl != fr).select(*rs.keys)
 
 
 __all__ = ["cells_of_pairs", "explode_cells", "fingerprint_diff", "generic_frame",

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import all_of, any_of, cell_text, comparable, differs, text_compared
+from ..functions import all_of, any_of, comparable, differs, exact_type, in_common
 from ..spec import Resolved
 from .ordinals import with_ordinals
 
@@ -50,26 +50,28 @@ def one_sided(left: DataFrame, right: DataFrame, rs: Resolved, side: str = "left
         this, other = left.select(*cols), right_aligned(right, rs, rs.keys)
     else:
         this, other = right_aligned(right, rs, cols), left.select(*rs.keys)
-    # only the other side's distinct keys matter: de-duplicate them map-side
-    # before the shuffle (the aggregate's hash partitioning serves the join)
-    other = other.filter(key_not_null(other, rs.keys)).distinct()
+    other = other.filter(key_not_null(other, rs.keys))
     # a NULL key never matches: those rows are one-sided by definition and skip
-    # the join (shuffled by key they would all meet in one partition)
+    # the join (shuffled by key they would all meet in one partition).  Nothing
+    # stands between the shuffles and the join, so AQE can split a hot key.
     has_key = key_not_null(this, rs.keys)
     keyed, keyless = this.filter(has_key), this.filter(~has_key)
-    def same(k: str) -> Column:
-        a, b = keyed.schema[k].dataType, other.schema[k].dataType
-        if text_compared(a, b):  # e.g. text ids on one side, numbers on the other
-            return cell_text(keyed[k], a) == cell_text(other[k], b)
-        return keyed[k] == other[k]
-
-    cond = all_of([same(k) for k in rs.keys])
+    cond = all_of(_same_keys(keyed, rs.keys, other, rs.keys))
     out = keyed.join(other, cond, "left_anti")
     if distinct:
         return distinct_rows(out).unionByName(distinct_rows(keyless))
     return out.unionByName(keyless)
 
 
+def _same_keys(a: DataFrame, a_keys: list[str], b: DataFrame, b_keys: list[str]) -> list[Column]:
+    """Equality of two frames' keys in their common exact form."""
+    out = []
+    for x, y in zip(a_keys, b_keys):
+        s, t = a.schema[x].dataType, b.schema[y].dataType
+        out.append(in_common(a[x], s, t) == in_common(b[y], t, s))
+    return out
+
+
 def distinct_rows(df: DataFrame) -> DataFrame:
     """``distinct()``, also for frames with map columns (which set operations
     reject): the same aggregate written as a group-by over every column."""
@@ -85,14 +87,10 @@ def restrict_keys(df: DataFrame, keys_df: DataFrame, keys: list[str],
     dropped before the shuffle instead of all meeting in one partition.  Key
     types that cannot be compared directly are matched through text."""
     df_keys = df_keys or keys
-    wanted = keys_df.select(*[F.col(k).alias(f"__q{i}") for i, k in enumerate(keys)]).distinct()
-    conds = []
-    for i, k in enumerate(df_keys):
-        a, b = df.schema[k].dataType, wanted.schema[f"__q{i}"].dataType
-        q = wanted[f"__q{i}"]
-        conds.append(cell_text(df[k], a) == cell_text(q, b) if text_compared(a, b)
-                     else df[k] == q)
-    return df.filter(key_not_null(df, df_keys)).join(wanted, all_of(conds), "left_semi")
+    named = [f"__q{i}" for i in range(len(keys))]
+    wanted = keys_df.select(*[F.col(k).alias(q) for k, q in zip(keys, named)])
+    return df.filter(key_not_null(df, df_keys)).join(
+        wanted, all_of(_same_keys(df, df_keys, wanted, named)), "left_semi")
 
 
 def numbered(df: DataFrame, rs: Resolved, cols: list[str], rn: str = "rn") -> DataFrame:
@@ -101,68 +99,20 @@ def numbered(df: DataFrame, rs: Resolved, cols: list[str], rn: str = "rn") -> Da
     return with_ordinals(base, rs.keys, rs.order, rn)
 
 
-_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-_FRACTIONAL = (T.FloatType, T.DoubleType)
-
-
-def _widens(wide: T.DataType, narrow: T.DataType) -> bool:
-    """True when every value of ``narrow`` is exactly representable in ``wide``."""
-    order = {T.ByteType: 0, T.ShortType: 1, T.IntegerType: 2, T.LongType: 3,
-             T.FloatType: 0, T.DoubleType: 1}
-    if isinstance(wide, _INTEGRAL) and isinstance(narrow, _INTEGRAL):
-        return order[type(wide)] >= order[type(narrow)]
-    if isinstance(wide, _FRACTIONAL) and isinstance(narrow, _FRACTIONAL):
-        return order[type(wide)] >= order[type(narrow)]
-    if isinstance(wide, T.DoubleType) and isinstance(narrow, (T.ByteType, T.ShortType,
-                                                               T.IntegerType)):
-        return True
-    return False
-
-
-def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
-    """The type both sides of a column are compared in: the wider one when a
-    numeric widening is exact, double for other numeric pairs, and text when
-    the types are not both numeric - never a cast that can fail under ANSI."""
-    if a == b or _widens(a, b):
-        return a
-    if _widens(b, a):
-        return b
-    if text_compared(a, b):
-        return T.StringType()
-    return T.DoubleType()
-
-
-def as_type(c: Column, source: T.DataType, target: T.DataType) -> Column:
-    """``c`` converted to a ``common_type``: values become text through the same
-    rendering the cell reports use, anything else is a plain cast."""
-    if isinstance(target, T.StringType) and source != target:
-        return cell_text(c, source)
-    return c.cast(target)
-
-
 def key_columns(df: DataFrame, other: DataFrame, keys: list[str]) -> list[Column]:
     """``df``'s key columns in the type shared with ``other`` (same names), for
-    unions of both sides' keys: text when the types are not comparable."""
-    return [as_type(df[k], df.schema[k].dataType,
-                    common_type(df.schema[k].dataType, other.schema[k].dataType)).alias(k)
+    unions of both sides' keys: text when no type holds both exactly."""
+    return [in_common(df[k], df.schema[k].dataType, other.schema[k].dataType).alias(k)
             for k in keys]
 
 
 def _union_types(left: DataFrame, right: DataFrame, rs: Resolved, cols: list[str]):
-    """Per column: the common type for a union of both sides, or ``None`` when
-    some column pair cannot be unioned without changing values."""
+    """Per column: the type that holds both sides exactly (values survive the
+    way there and back), or ``None`` when some column pair has none."""
     lt = {f.name: f.dataType for f in left.schema.fields}
     rt = {f.name: f.dataType for f in right.schema.fields}
-    out = {}
-    for c in cols:
-        a, b = lt[c], rt[rs.rcol(c)]
-        if a == b or _widens(a, b):
-            out[c] = a
-        elif _widens(b, a):
-            out[c] = b
-        else:
-            return None
-    return out
+    out = {c: exact_type(lt[c], rt[rs.rcol(c)]) for c in cols}
+    return None if None in out.values() else out
 
 
 def _unpaired(df: DataFrame, rs: Resolved, cols: list[str], types: dict, side: str) -> DataFrame:
@@ -189,14 +139,14 @@ def ordinal_pairs(left: DataFrame, right: DataFrame, rs: Resolved, how: str = "i
     (key, rn) and pick each side's row.  Both the window and the aggregate are
     satisfied by the hash-by-key partitioning, so neither adds a shuffle.  Hot
     keys are numbered by the range plan of ``ordinals`` instead.  Columns of
-    numeric types are widened for the union and narrowed back afterwards;
-    other type differences use ``ordinal_pairs_join``.
+    types that one type holds exactly are widened for the union and narrowed
+    back afterwards; other type differences use ``ordinal_pairs_join``.
 
     ``keys_df`` restricts the pairing to those keys with one semi-join of the
     tagged union; its hash-by-key output then serves the window and the
     aggregate, so no further exchange is added.
     """
-    cols = list(dict.fromkeys(rs.output + rs.order))
+    cols = rs.carried
     types = _union_types(left, right, rs, cols)
     if types is None:
         if keys_df is not None:
@@ -214,8 +164,8 @@ def ordinal_pairs(left: DataFrame, right: DataFrame, rs: Resolved, how: str = "i
     tagged = side_rows(left, 0).unionByName(side_rows(ra, 1))
     if keys_df is not None:
         wanted = keys_df.select(*[F.col(k).cast(types[k]).alias(k) for k in rs.keys])
-        tagged = tagged.join(wanted.filter(key_not_null(wanted, rs.keys)).distinct(),
-                             on=rs.keys, how="left_semi")
+        tagged = tagged.join(wanted.filter(key_not_null(wanted, rs.keys)), on=rs.keys,
+                             how="left_semi")
     num = with_ordinals(tagged, rs.keys, rs.order, "rn", group=["__side"],
                         cold_partitioned=keys_df is None)
     nonkey = [c for c in cols if c not in rs.keys]
@@ -245,21 +195,17 @@ def ordinal_pairs(left: DataFrame, right: DataFrame, rs: Resolved, how: str = "i
 def ordinal_pairs_join(left: DataFrame, right: DataFrame, rs: Resolved,
                        how: str = "inner", null_keys: bool = False) -> DataFrame:
     """Ordinal pairing as number-each-side + equi-join on ``(key, rn)``."""
-    cols = list(dict.fromkeys(rs.output + rs.order))
+    cols = rs.carried
     ra = right_aligned(right, rs, cols)
     lnum = numbered(left, rs, cols)
     rnum = numbered(ra, rs, cols)
-    # each side is numbered in its own types; keys whose types cannot be
-    # compared directly are joined through their text
-    as_text = {k for k in rs.keys
-               if text_compared(lnum.schema[k].dataType, rnum.schema[k].dataType)}
-
-    def key(df: DataFrame, k: str) -> Column:
-        return cell_text(df[k], df.schema[k].dataType).alias(k) if k in as_text else df[k]
+    # each side is numbered in its own types; keys are joined in their common form
+    def key(df: DataFrame, other: DataFrame, k: str) -> Column:
+        return in_common(df[k], df.schema[k].dataType, other.schema[k].dataType).alias(k)
 
-    ls = lnum.select(*[key(lnum, k) for k in rs.keys], "rn",
+    ls = lnum.select(*[key(lnum, rnum, k) for k in rs.keys], "rn",
                      *[F.col(c).alias(lcol(c)) for c in cols], F.lit(True).alias("__l"))
-    rsd = rnum.select(*[key(rnum, k) for k in rs.keys], "rn",
+    rsd = rnum.select(*[key(rnum, lnum, k) for k in rs.keys], "rn",
                       *[F.col(c).alias(rcol(c)) for c in cols], F.lit(True).alias("__r"))
     pairs = ls.join(rsd, on=[*rs.keys, "rn"], how=how)
     if how != "inner":
@@ -382,13 +328,14 @@ def keyless_diff(left: DataFrame, right: DataFrame, cols: list[str],
     with ``d``.
     """
     right_cols = right_cols or cols
-    ltypes = {c: common_type(left.schema[c].dataType, right.schema[rc].dataType)
-              for c, rc in zip(cols, right_cols)}
-    l = left.select(*[as_type(left[c], left.schema[c].dataType, ltypes[c]).alias(c)
-                      for c in cols], F.lit(1).alias("__nl"), F.lit(0).alias("__nr"))
-    r = right.select(*[as_type(right[rc], right.schema[rc].dataType, ltypes[c]).alias(c)
+    lt = {c: left.schema[c].dataType for c in cols}
+    rt = {c: right.schema[rc].dataType for c, rc in zip(cols, right_cols)}
+    l = left.select(*[in_common(left[c], lt[c], rt[c]).alias(c) for c in cols],
+                    F.lit(1).alias("__nl"), F.lit(0).alias("__nr"))
+    r = right.select(*[in_common(right[rc], rt[c], lt[c]).alias(c)
                        for c, rc in zip(cols, right_cols)],
                      F.lit(0).alias("__nl"), F.lit(1).alias("__nr"))
+    ltypes = {c: l.schema[c].dataType for c in cols}
     # maps cannot be grouped: group by their sorted entries and carry one of
     # the (equal) maps
     maps = [c for c in cols if isinstance(ltypes[c], T.MapType)]

@@ -37,7 +37,7 @@ def norm(v):
     if isinstance(v, float):
         return round(v, 6)
     if isinstance(v, decimal.Decimal):
-        return round(float(v), 6)
+        return v.normalize()  # exactly
     if isinstance(v, (dt.datetime, dt.date)):
         return v.isoformat()
     if isinstance(v, dict):
