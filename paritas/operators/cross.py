@@ -21,7 +21,7 @@ left rows to per-key partner counts are then satisfied by that partitioning
 equi-join on (key, column, value), shuffles again.  Keys above the hot-key
 threshold (``ordinals``) would make the up-front repartition one task; their
 rows take the same computations without it: aggregates with a map-side
-partial step and joins that AQE's skew handling can split.
+partial step and salted lookups of the counts.
 
 Keys match null-safely (NULL with NULL), as the reference's sentinel key
 join does; under ``null_mode="sentinel"`` keys and values are compared as
@@ -41,12 +41,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import cell_text, sentinel_text, struct_array
+from ..functions import cell_text, in_common, sentinel_text, struct_array
 from ..spec import Resolved
-from .match import as_type, common_type
 from .ordinals import find_hot_keys
 
 TOTAL = "__total__"
+#: Products of row counts: two counts of 18 digits always fit.
+COUNT, PRODUCT = "decimal(18,0)", "decimal(38,0)"
+#: Copies of a hot key's value counts, so that its rows are looked up by many tasks.
+SALTS = 16
 
 
 def _mode(rs: Resolved, mode: str | None) -> str:
@@ -110,14 +113,13 @@ def _tagged(left: DataFrame, right: DataFrame, rs: Resolved, mode: str,
     names and types (columns only the left reports are NULL on the right), and
     ``__side`` (0 left, 1 right)."""
     shared = set(rs.keys + rs.compare)
-    # compared columns in their common type (the wider one when a numeric
-    # widening is exact), so no value is narrowed; reported-only columns keep
-    # the left type
-    lt = {c: (common_type(left.schema[c].dataType, right.schema[rs.rcol(c)].dataType)
-              if c in shared else left.schema[c].dataType) for c in cols}
-    la = left.select(*[as_type(left[c], left.schema[c].dataType, lt[c]).alias(c) for c in cols])
-    ra = right.select(*[(as_type(right[rs.rcol(c)], right.schema[rs.rcol(c)].dataType, lt[c])
-                         if c in shared else F.lit(None).cast(lt[c])).alias(c) for c in cols])
+    # compared columns in their common exact form, so no value is narrowed;
+    # reported-only columns keep the left type
+    lt = {c: left.schema[c].dataType for c in cols}
+    rt = {c: right.schema[rs.rcol(c)].dataType if c in shared else lt[c] for c in cols}
+    la = left.select(*[in_common(left[c], lt[c], rt[c]).alias(c) for c in cols])
+    ra = right.select(*[(in_common(right[rs.rcol(c)], rt[c], lt[c]) if c in shared
+                         else F.lit(None).cast(lt[c])).alias(c) for c in cols])
 
     def tag(df: DataFrame, side: int) -> DataFrame:
         return df.select(*_with_keys(df, rs, mode), *cols, F.lit(side).alias(SIDE))
@@ -130,12 +132,11 @@ def _split(t: DataFrame) -> tuple[DataFrame, DataFrame | None, list[str]]:
     the one exchange of the per-key plans below; a key above the hot-key
     threshold would make that one task, so its rows (``hot``, None when there
     are none) take the frequency-table plans, whose aggregates combine map-side
-    and whose joins AQE can split."""
+    and whose lookups are salted."""
     kc = _kcols_of(t)
     hot = find_hot_keys(t, kc)
     if hot is None:
         return t.repartition(*kc), None, kc
-    # ``hot`` is broadcast-hinted by find_hot_keys when its size allows
     return (t.join(hot, on=kc, how="left_anti").repartition(*kc),
             t.join(hot, on=kc, how="left_semi"), kc)
 
@@ -162,19 +163,20 @@ def _count_parts(frame: DataFrame, kc: list[str], rs: Resolved, mode: str) -> Da
     """``column_name, __x``: m_k * n_k per key (as TOTAL) and m_kv * n_kv per
     (key, column, value).  Key-clustered input needs no exchange."""
     side = F.col(SIDE)
-    m = F.sum(F.when(side == 0, 1).otherwise(0))
-    n = F.sum(F.when(side == 1, 1).otherwise(0))
-    pk = frame.groupBy(*kc).agg((m * n).cast("long").alias("__x")) \
+    m = F.sum(F.when(side == 0, 1).otherwise(0)).cast(COUNT)
+    n = F.sum(F.when(side == 1, 1).otherwise(0)).cast(COUNT)
+    pk = frame.groupBy(*kc).agg((m * n).cast(PRODUCT).alias("__x")) \
         .select(F.lit(TOTAL).alias("column_name"), "__x")
     st = frame.select(*kc, SIDE, *_stack(frame, rs, mode))
-    eq = st.groupBy(*kc, "column_name", "__v").agg((m * n).cast("long").alias("__x")) \
+    eq = st.groupBy(*kc, "column_name", "__v").agg((m * n).cast(PRODUCT).alias("__x")) \
         .select("column_name", "__x")
     return eq.unionByName(pk)
 
 
 def cross_column_counts(left: DataFrame, right: DataFrame, rs: Resolved,
                         mode: str | None = None) -> DataFrame:
-    """``column_name, mismatch_count, total_matches`` under cross pairing."""
+    """``column_name, mismatch_count, total_matches`` under cross pairing; figures
+    are ``decimal(38,0)``, since two hot keys' row counts multiply beyond 64 bits."""
     mode = _mode(rs, mode)
     cold, hot, kc = _split(_tagged(left, right, rs, mode, rs.keys + rs.compare))
     parts = _count_parts(cold, kc, rs, mode)
@@ -182,16 +184,16 @@ def cross_column_counts(left: DataFrame, right: DataFrame, rs: Resolved,
         parts = parts.unionByName(_count_parts(hot, kc, rs, mode))
     cn = F.col("column_name")
     one = parts.groupBy().agg(
-        F.coalesce(F.sum(F.when(cn == TOTAL, F.col("__x"))), F.lit(0)).cast("long")
+        F.coalesce(F.sum(F.when(cn == TOTAL, F.col("__x"))), F.lit(0)).cast(PRODUCT)
         .alias("total_matches"),
-        *[F.coalesce(F.sum(F.when(cn == c, F.col("__x"))), F.lit(0)).cast("long")
+        *[F.coalesce(F.sum(F.when(cn == c, F.col("__x"))), F.lit(0)).cast(PRODUCT)
           .alias(f"__eq{i}") for i, c in enumerate(rs.compare)])
     return one.select(
         F.inline(struct_array([F.struct(F.lit(c).alias("column_name"),
                                         (F.col("total_matches") - F.col(f"__eq{i}"))
-                                        .alias("mismatch_count"))
+                                        .cast(PRODUCT).alias("mismatch_count"))
                                for i, c in enumerate(rs.compare)],
-                              "struct<column_name:string,mismatch_count:bigint>")),
+                              f"struct<column_name:string,mismatch_count:{PRODUCT}>")),
         "total_matches")
 
 
@@ -203,45 +205,58 @@ def cross_matches(left: DataFrame, right: DataFrame, rs: Resolved,
     t = _tagged(left, right, rs, mode, rs.keys)
     side = F.col(SIDE)
     per_key = t.groupBy(*_kcols_of(t)).agg(
-        (F.sum(F.when(side == 0, 1).otherwise(0)) * F.sum(F.when(side == 1, 1).otherwise(0)))
-        .alias("__pairs"))
+        (F.sum(F.when(side == 0, 1).otherwise(0)).cast(COUNT)
+         * F.sum(F.when(side == 1, 1).otherwise(0)).cast(COUNT)).cast(PRODUCT).alias("__pairs"))
     return per_key.groupBy().agg(
-        F.coalesce(F.sum("__pairs"), F.lit(0)).cast("long").alias("total_matches"))
+        F.coalesce(F.sum("__pairs"), F.lit(0)).cast(PRODUCT).alias("total_matches"))
 
 
 def mismatch_percentages(col_counts: DataFrame, digits: int = 2) -> DataFrame:
     """Share of cross pairs that differ per column, 0 when nothing matched."""
-    pct = F.coalesce(F.try_divide(F.col("mismatch_count") * F.lit(100.0),
-                                  F.col("total_matches")), F.lit(0.0))
+    pct = F.coalesce(F.try_divide(F.col("mismatch_count").cast("double") * 100,
+                                  F.col("total_matches").cast("double")), F.lit(0.0))
     return col_counts.select("column_name", "mismatch_count", "total_matches",
                              F.round(pct, digits).alias("percentage"))
 
 
-def _left_groups(frame: DataFrame, kc: list[str], rs: Resolved) -> tuple[DataFrame, DataFrame]:
-    """Distinct left rows with ``left_rows`` and the right side's ``right_rows``
-    per key joined on (inner: keys on both sides), plus the right rows."""
-    lrows, rrows = _sides(frame)
-    lg = lrows.groupBy(*kc, *rs.output).agg(F.count(F.lit(1)).alias("left_rows"))
-    rk = rrows.groupBy(*kc).agg(F.count(F.lit(1)).alias("right_rows"))
-    return lg.join(rk, on=kc, how="inner"), rrows
-
-
-def _with_same(left_part: DataFrame, right_counts: DataFrame, match_cols: list[str]) -> DataFrame:
+def _with_same(left_part: DataFrame, right_counts: DataFrame, match_cols: list[str],
+               salted: bool) -> DataFrame:
     """Attach ``__same`` = right rows whose ``match_cols`` equal the left part's
-    (a left equi-join; AQE splits it when a hot key makes it skewed).  A window
-    over the key-clustered union would avoid this exchange, but measured slower
-    than the join on the bench data."""
+    (a left equi-join).  The counts come out of an aggregate, so AQE does not
+    split this join: for hot keys the rows are salted and the counts copied.
+    (A window over the key-clustered union would avoid this exchange, but
+    measured slower than the join on the bench data.)"""
+    if salted:
+        plain = [c for c in left_part.columns
+                 if not isinstance(left_part.schema[c].dataType, T.MapType)]
+        left_part = left_part.withColumn(
+            "__salt", F.pmod(F.xxhash64(*plain), F.lit(SALTS)).cast("int"))
+        right_counts = right_counts.withColumn(
+            "__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        match_cols = [*match_cols, "__salt"]
     j = left_part.join(right_counts, on=match_cols, how="left")
-    return j.withColumn("__same", F.coalesce(F.col("__n"), F.lit(0))).drop("__n")
+    return j.withColumn("__same", F.coalesce(F.col("__n"), F.lit(0))).drop("__n", "__salt")
+
 
+def _with_right_rows(left_groups: DataFrame, rrows: DataFrame, kc: list[str],
+                     salted: bool) -> DataFrame:
+    """Left groups whose key the right side has, with its ``right_rows``."""
+    rk = rrows.groupBy(*kc).agg(F.count(F.lit(1)).alias("__n"))
+    j = _with_same(left_groups, rk, kc, salted)
+    return j.filter(F.col("__same") > 0).withColumnRenamed("__same", "right_rows")
 
-def _changed_rows(frame: DataFrame, kc: list[str], rs: Resolved, mode: str) -> DataFrame:
+
+def _changed_rows(frame: DataFrame, kc: list[str], rs: Resolved, mode: str,
+                  salted: bool = False) -> DataFrame:
     tcols = [f"__t{i}" for i in range(len(rs.compare))]
-    lk, rrows = _left_groups(frame, kc, rs)
-    lt = lk.select(*lk.columns, *[encode(lk, c, mode).alias(t) for c, t in zip(rs.compare, tcols)])
-    rt = rrows.select(*kc, *[encode(rrows, c, mode).alias(t) for c, t in zip(rs.compare, tcols)]) \
+    lrows, rrows = _sides(frame)
+    texts = [(c, t) for c, t in zip(rs.compare, tcols)]
+    lg = lrows.select(*kc, *rs.output, *[encode(lrows, c, mode).alias(t) for c, t in texts]) \
+        .groupBy(*kc, *rs.output, *tcols).agg(F.count(F.lit(1)).alias("left_rows"))
+    lk = _with_right_rows(lg, rrows, kc, salted)
+    rt = rrows.select(*kc, *[encode(rrows, c, mode).alias(t) for c, t in texts]) \
         .groupBy(*kc, *tcols).agg(F.count(F.lit(1)).alias("__n"))
-    j = _with_same(lt, rt, [*kc, *tcols])
+    j = _with_same(lk, rt, [*kc, *tcols], salted)
     diff = (F.col("right_rows") - F.col("__same")).cast("long")
     return j.select(*rs.output, "left_rows", "right_rows", diff.alias("differing_partners")) \
         .filter(F.col("differing_partners") > 0)
@@ -253,18 +268,24 @@ def changed_cross(left: DataFrame, right: DataFrame, rs: Resolved,
     least one cross partner: ``right_rows`` partners in total, of which
     ``differing_partners`` differ in some compare column."""
     mode = _mode(rs, mode)
-    cols = list(dict.fromkeys(rs.output + rs.compare))
+    cols = list(dict.fromkeys(rs.keys + rs.output + rs.compare))
     cold, hot, kc = _split(_tagged(left, right, rs, mode, cols))
     out = _changed_rows(cold, kc, rs, mode)
-    return out if hot is None else out.unionByName(_changed_rows(hot, kc, rs, mode))
+    return out if hot is None else out.unionByName(_changed_rows(hot, kc, rs, mode, salted=True))
 
 
-def _cell_rows(frame: DataFrame, kc: list[str], rs: Resolved, mode: str) -> DataFrame:
-    lk, rrows = _left_groups(frame, kc, rs)
-    st = lk.select(*lk.columns, *_stack(lk, rs, mode, left_values=True))
+def _cell_rows(frame: DataFrame, kc: list[str], rs: Resolved, mode: str,
+               salted: bool = False) -> DataFrame:
+    # a cell row carries the keys, the declared output and one value, so its
+    # width does not grow with the number of compared columns
+    lrows, rrows = _sides(frame)
+    cell = ["column_name", "left_value", "__v"]
+    lg = lrows.select(*kc, *rs.output, *_stack(lrows, rs, mode, left_values=True)) \
+        .groupBy(*kc, *rs.output, *cell).agg(F.count(F.lit(1)).alias("left_rows"))
+    lk = _with_right_rows(lg, rrows, kc, salted)
     rv = rrows.select(*kc, *_stack(rrows, rs, mode)) \
         .groupBy(*kc, "column_name", "__v").agg(F.count(F.lit(1)).alias("__n"))
-    j = _with_same(st, rv, [*kc, "column_name", "__v"])
+    j = _with_same(lk, rv, [*kc, "column_name", "__v"], salted)
     diff = (F.col("right_rows") - F.col("__same")).cast("long")
     return j.select(*rs.output, F.col("column_name").alias("mismatch_column"), "left_value",
                     "left_rows", "right_rows", diff.alias("differing_partners")) \
@@ -277,13 +298,39 @@ def mismatch_cells_cross(left: DataFrame, right: DataFrame, rs: Resolved,
     different value.  ``left_rows * differing_partners`` summed over all rows
     equals the reference's count of mismatched cells under cross pairing."""
     mode = _mode(rs, mode)
-    cols = list(dict.fromkeys(rs.output + rs.compare))
+    cols = list(dict.fromkeys(rs.keys + rs.output + rs.compare))
     cold, hot, kc = _split(_tagged(left, right, rs, mode, cols))
     out = _cell_rows(cold, kc, rs, mode)
-    return out if hot is None else out.unionByName(_cell_rows(hot, kc, rs, mode))
+    return out if hot is None else out.unionByName(_cell_rows(hot, kc, rs, mode, salted=True))
 
 
 def cross_cell_total(cells: DataFrame) -> DataFrame:
     """Total mismatched cells under cross pairing from ``mismatch_cells_cross``."""
-    return cells.groupBy().agg(F.coalesce(F.sum(F.col("left_rows") * F.col("differing_partners")),
-                                          F.lit(0)).cast("long").alias("mismatched_cells"))
+    return cells.groupBy().agg(F.coalesce(F.sum(cell_pairs()), F.lit(0)).cast(PRODUCT)
+                               .alias("mismatched_cells"))
+
+
+def cell_pairs() -> Column:
+    """Mismatched cells that a row of ``mismatch_cells_cross`` stands for."""
+    return F.col("left_rows").cast(COUNT) * F.col("differing_partners").cast(COUNT)
+
+
+def right_values_cross(left: DataFrame, right: DataFrame, rs: Resolved,
+                       mode: str | None = None) -> DataFrame:
+    """The other side of the cells: for each key and column that differs, every
+    value the right side holds and in how many rows (``keys, mismatch_column,
+    right_value, right_rows``), linear in the right side instead of in pairs."""
+    mode = _mode(rs, mode)
+    cells = mismatch_cells_cross(left, right, rs, mode)
+    # the right side in the left's place: its values, with the keys as reported
+    t = _tagged(left, right, rs, mode, list(dict.fromkeys(rs.keys + rs.compare)))
+    kc = _kcols_of(t)
+    rrows = t.filter(F.col(SIDE) == 1)
+    values = rrows.select(*kc, *rs.keys, *_stack(rrows, rs, mode, left_values=True)) \
+        .groupBy(*kc, "column_name", "__v").agg(
+            *[F.first(k).alias(k) for k in rs.keys], F.first("left_value").alias("right_value"),
+            F.count(F.lit(1)).alias("right_rows"))
+    named = cells.select(*_with_keys(cells, rs, mode),
+                         F.col("mismatch_column").alias("column_name")).distinct()
+    return values.join(named, [*kc, "column_name"], "left_semi").select(
+        *rs.keys, F.col("column_name").alias("mismatch_column"), "right_value", "right_rows")

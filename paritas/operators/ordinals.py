@@ -11,9 +11,7 @@ a large share of the table would serialise onto one executor.  Keys above
    when the threshold is small).  Detection only chooses the plan - both
    plans give the same ordinals - so a sample suffices, and it keeps this
    extra job from shuffling every distinct key of a huge table.  There are
-   at most about ``2 * rows / hot_rows`` flagged keys, and the set is
-   checkpointed and broadcast only after its size has been checked (a larger
-   set is joined by shuffle);
+   at most about ``2 * rows / hot_rows`` flagged keys; the set is checkpointed;
 2. hot rows are globally sorted by ``(key, side, order..., random tie)``: a
    range exchange whose bounds are sampled over the whole sort tuple, so one
    key's rows are split across many tasks, even when they are all identical;
@@ -35,17 +33,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import comparable
-from ..session import checkpoint_dir_ready, conf_int
+from ..session import conf_int, require_checkpoint_dir
 
 HOT_ROWS_CONF = "spark.paritas.hotKeyRows"
 HOT_ROWS_DEFAULT = 2_000_000
-# Hot-key sets up to this size are broadcast to split rows into the two
-# plans; a larger set (a threshold far too low for the data) is joined by
-# shuffle instead, where AQE splits skewed partitions.
-HOT_KEYS_BROADCAST_LIMIT = 200_000
-# The per-(key, partition) offset table of the range plan is broadcast only
-# when its checked row count is within this bound.
-OFFSETS_BROADCAST_LIMIT = 1_000_000
 
 _POS_BITS = 33
 # Expected sampled rows of a key holding exactly ``hot_rows`` rows; a key is
@@ -78,14 +69,13 @@ def find_hot_keys(df: DataFrame, keys: list[str], group: list[str] | None = None
     """Keys with more than ``hot_rows`` rows in some ``group`` (e.g. per side);
     estimated from a sample when ``hot_rows`` is large (see module doc).
 
-    Returns ``None`` when there are none (the common case), when the feature
-    is off, or when no checkpoint folder is configured.  The set carries a
-    broadcast hint only when its counted size is within
-    ``HOT_KEYS_BROADCAST_LIMIT``.  Runs one small job.
+    Returns ``None`` when there are none (the common case) or when the feature
+    is off.  The set is checkpointed; Spark picks its joins by its size in bytes.
+    Runs one small job.
     """
     spark = df.sparkSession
     hot_rows = hot_rows_setting(spark, hot_rows)
-    if hot_rows <= 0 or not checkpoint_dir_ready(spark):
+    if hot_rows <= 0:
         return None
     fraction = min(1.0, SAMPLE_ROWS_PER_HOT_KEY / hot_rows)
     src = df.select(*keys, *(group or []))
@@ -96,11 +86,9 @@ def find_hot_keys(df: DataFrame, keys: list[str], group: list[str] | None = None
         bar = hot_rows
     counts = src.groupBy(*keys, *(group or [])).agg(F.count(F.lit(1)).alias("__cnt"))
     hot = counts.filter(F.col("__cnt") > F.lit(bar)).select(*keys).distinct()
+    require_checkpoint_dir(spark)
     hot = hot.checkpoint(eager=True)
-    n_hot = hot.limit(HOT_KEYS_BROADCAST_LIMIT + 1).count()
-    if n_hot == 0:
-        return None
-    return F.broadcast(hot) if n_hot <= HOT_KEYS_BROADCAST_LIMIT else hot
+    return None if hot.isEmpty() else hot
 
 
 def window_ordinals(df: DataFrame, keys: list[str], order: list[str], rn: str = "rn",
@@ -152,11 +140,9 @@ def range_ordinals(df: DataFrame, keys: list[str], order: list[str], rn: str = "
         Window.unboundedPreceding, -1)
     offsets = pieces.select(*part, "__pid", "__first",
                             F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    # offsets: at most (#range partitions + #hot keys * #groups) rows; derived
-    # from the checkpoint, so counting it first and reading it again agree
-    n_off = offsets.count()
-    off = F.broadcast(offsets) if n_off <= OFFSETS_BROADCAST_LIMIT else offsets
-    joined = srt.withColumn("__pid", pid).join(off, on=[*part, "__pid"], how="inner")
+    # offsets: at most (#range partitions + #hot keys * #groups) rows; Spark
+    # broadcasts them when their bytes allow, else splits the skewed join
+    joined = srt.withColumn("__pid", pid).join(offsets, on=[*part, "__pid"], how="inner")
     out = joined.withColumn(
         rn, (F.col("__offset") + pos - F.col("__first") + 1).cast("long"))
     return out.select(*df.columns, rn)
@@ -187,7 +173,6 @@ def with_ordinals(df: DataFrame, keys: list[str], order: list[str], rn: str = "r
 
     if hot is None:
         return cold_plan(df)
-    # ``hot`` is broadcast-hinted by find_hot_keys when its size allows
     cold = cold_plan(df.join(hot, on=keys, how="left_anti"))
     warm = range_ordinals(df.join(hot, on=keys, how="left_semi"), keys, order, rn, group)
     return cold.unionByName(warm)

@@ -27,22 +27,18 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if sc.master.startswith("local["):  # one machine: any folder is shared
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="paritas-ckpt-"))
+        return sc.getCheckpointDir()
     return None
 
 
-def checkpoint_dir_ready(spark: SparkSession) -> bool:
-    return checkpoint_dir(spark) is not None
-
-
-def ensure_local_checkpoint_dir(spark: SparkSession) -> str:
-    """For tests and the local bench only: set a scratch checkpoint folder when
-    the session names none.  Clusters set ``spark.checkpoint.dir`` themselves."""
-    existing = checkpoint_dir(spark)
-    if existing:
-        return existing
-    path = tempfile.mkdtemp(prefix="paritas-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext.getCheckpointDir()
+def require_checkpoint_dir(spark: SparkSession) -> str:
+    folder = checkpoint_dir(spark)
+    if folder is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share: the "
+                           "plan for hot keys materialises their rows there")
+    return folder
 
 
 def output_dir(spark: SparkSession, name: str) -> str:
@@ -64,5 +60,5 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "parit
                .config("spark.driver.memory", os.environ.get("PARITAS_DRIVER_MEMORY", "16g")))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_local_checkpoint_dir(spark)
+    require_checkpoint_dir(spark)
     return spark

@@ -133,11 +133,9 @@ def test_identical_hot_rows_spread_over_range_partitions(spark):
         spark.conf.set(key, old)
 
 
-def test_large_hot_set_joins_by_shuffle(spark, hot_rows, monkeypatch):
-    """A hot-key set above the broadcast limit is still used (joined by shuffle,
-    no broadcast hint), the offset table likewise, and the ordinals are unchanged."""
-    monkeypatch.setattr(ordinals, "HOT_KEYS_BROADCAST_LIMIT", 2)
-    monkeypatch.setattr(ordinals, "OFFSETS_BROADCAST_LIMIT", 1)
+def test_large_hot_set_joins_by_shuffle(spark, hot_rows):
+    """The hot-key set carries no broadcast hint: Spark picks by its bytes, and
+    the ordinals are unchanged."""
     li = read_table(spark, SF001, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber")
     hot_rows(30)
     hot = ordinals.find_hot_keys(li, ["l_partkey"])
