@@ -5,6 +5,7 @@ that Catalyst and AQE optimise; no row data is collected to the driver and no
 Python UDF sits on the data path.
 """
 
+from .plans.validate import Reconciliation, reconcile
 from .spec import ColumnResolutionError, ReconSpec, Resolved
 
-__all__ = ["ColumnResolutionError", "ReconSpec", "Resolved"]
+__all__ = ["ColumnResolutionError", "ReconSpec", "Reconciliation", "Resolved", "reconcile"]

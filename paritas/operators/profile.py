@@ -40,18 +40,6 @@ def row_counts(left: DataFrame, right: DataFrame, left_name: str, right_name: st
         F.struct(F.lit(right_name).alias("side"), F.col("__r").alias("row_count")))))
 
 
-def schema_frame(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """One row per column: ``position, column_name, type, nullable``."""
-    rows = [(i + 1, f.name, f.dataType.simpleString(), bool(f.nullable))
-            for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, SCHEMA_ROWS)
-
-
-def common_columns_frame(spark: SparkSession, rs: Resolved) -> DataFrame:
-    rows = [(i + 1, c) for i, c in enumerate(rs.common)]
-    return spark.createDataFrame(rows, "position long, column_name string")
-
-
 def required_issues(spark: SparkSession, rs: Resolved, left_table: str,
                     right_table: str) -> DataFrame:
     """Missing required columns (CRITICAL) and missing output columns (WARNING)."""
@@ -84,7 +72,7 @@ def rows_with_figures(one_row: DataFrame, rows: list[tuple], schema: T.StructTyp
 
 
 def schema_profile(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """``schema_frame`` rows with the table's ``row_count`` (the profile step
+    """One row per column with the table's ``row_count`` (the profile step
     reports both): ``position, column_name, type, nullable, row_count``."""
     rows = [(i + 1, f.name, f.dataType.simpleString(), bool(f.nullable))
             for i, f in enumerate(df.schema.fields)]
@@ -127,8 +115,3 @@ def required_issues_profile(left: DataFrame, right: DataFrame, rs: Resolved, lef
         return rows_with_figures(counts.select(F.col("table1_rows").alias("table_rows")), [],
                                  ISSUE_ROWS)
     return rows_with_figures(counts, rows, ISSUE_ROWS, figs)
-
-
-def gate_status(rs: Resolved) -> str:
-    """``FAILED`` before any data is scanned when a required column is missing."""
-    return "FAILED" if rs.critical else "OK"

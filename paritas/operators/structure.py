@@ -1,6 +1,7 @@
 """Structure (schema) difference between two tables.
 
-Rows: ``type, column_name, table1_value, table2_value`` with ``type`` in
+Rows: ``type, column_name, table1_value, table2_value, difference`` (the
+absolute difference of the row counts, else NULL) with ``type`` in
 row_count_mismatch / columns_missing_in_table2 / columns_missing_in_table1 /
 column_type_mismatch.  Column rows come from schema metadata; the row-count
 row comes from one aggregate over both tables.  Names are matched exactly
@@ -20,6 +21,7 @@ DIFF_ROWS = T.StructType([
     T.StructField("column_name", T.StringType(), True),
     T.StructField("table1_value", T.StringType(), True),
     T.StructField("table2_value", T.StringType(), True),
+    T.StructField("difference", T.LongType(), True),
 ])
 
 
@@ -27,9 +29,9 @@ def schema_differences(spark: SparkSession, left: DataFrame, right: DataFrame) -
     lt = {f.name: f.dataType.simpleString() for f in left.schema.fields}
     rt = {f.name: f.dataType.simpleString() for f in right.schema.fields}
     rows = []
-    rows += [("columns_missing_in_table2", c, None, None) for c in left.columns if c not in rt]
-    rows += [("columns_missing_in_table1", c, None, None) for c in right.columns if c not in lt]
-    rows += [("column_type_mismatch", c, lt[c], rt[c]) for c in left.columns
+    rows += [("columns_missing_in_table2", c, None, None, None) for c in left.columns if c not in rt]
+    rows += [("columns_missing_in_table1", c, None, None, None) for c in right.columns if c not in lt]
+    rows += [("column_type_mismatch", c, lt[c], rt[c], None) for c in left.columns
              if c in rt and lt[c] != rt[c]]
     return spark.createDataFrame(rows, DIFF_ROWS)
 
@@ -43,17 +45,9 @@ def row_count_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     return one.filter(F.col("c1") != F.col("c2")).select(
         F.lit("row_count_mismatch").alias("type"), F.lit(None).cast("string").alias("column_name"),
         F.col("c1").cast("string").alias("table1_value"),
-        F.col("c2").cast("string").alias("table2_value"))
+        F.col("c2").cast("string").alias("table2_value"),
+        F.abs(F.col("c1") - F.col("c2")).alias("difference"))
 
 
 def structure_diff(spark: SparkSession, left: DataFrame, right: DataFrame) -> DataFrame:
     return row_count_difference(left, right).unionByName(schema_differences(spark, left, right))
-
-
-def row_count_delta(left: DataFrame, right: DataFrame) -> DataFrame:
-    """``table1_count, table2_count, difference`` (absolute) in one row."""
-    counts = row_counts(left, right, "t1", "t2")
-    one = counts.groupBy().agg(
-        F.sum(F.when(F.col("side") == "t1", F.col("row_count"))).alias("table1_count"),
-        F.sum(F.when(F.col("side") == "t2", F.col("row_count"))).alias("table2_count"))
-    return one.withColumn("difference", F.abs(F.col("table1_count") - F.col("table2_count")))

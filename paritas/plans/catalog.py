@@ -3,29 +3,36 @@
 Inputs are the derived pairs of ``paritas.sources.fixtures``:
 ``E`` = enroll_dev / enroll_prod (member key, duplicates, NULLs),
 ``G`` = feed_left / feed_right (unique key, schema differences),
-``B`` = line_left / line_right (composite key that repeats).
+``B`` = line_left / line_right (composite key that repeats),
+``X`` = exact_left / exact_right (the same columns in different types),
+``W`` = wide_left / wide_right (42 compared columns).
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sinks
 from ..operators import counts, cross, diff, match, profile
 from ..session import output_dir
-from ..sources import (ENROLL_COLUMNS, ENROLL_COMPARE, ENROLL_OUTPUT, LINE_KEYS, enroll_pair,
-                       feed_pair, line_pair, sample_rows)
+from ..sources import (ENROLL_COLUMNS, ENROLL_COMPARE, ENROLL_OUTPUT, LINE_KEYS, LINE_OUTPUT,
+                       WIDE_COMPARE, enroll_pair, feed_pair, line_pair, mixed_type_pair, read_table,
+                       sample_rows, wide_pair)
 from ..spec import ReconSpec
 from . import diagnostics, report
 from .validate import GenericComparison, Reconciliation
 
 ENROLL_SPEC = ReconSpec(keys=("member_id",), compare=tuple(ENROLL_COMPARE),
                         output=tuple(ENROLL_OUTPUT), left_name="dev", right_name="prod")
-LINE_SPEC = ReconSpec(keys=tuple(LINE_KEYS), compare=None, left_name="left",
-                      right_name="right", pairing="cross")
+LINE_SPEC = ReconSpec(keys=tuple(LINE_KEYS), compare=None, output=tuple(LINE_OUTPUT),
+                      left_name="left", right_name="right", pairing="cross")
+EXACT_SPEC = ReconSpec(keys=("key_id",), left_name="left", right_name="right")
+WIDE_SPEC = ReconSpec(keys=tuple(LINE_KEYS), compare=tuple(WIDE_COMPARE), output=("c_name",),
+                      left_name="left", right_name="right")
 # A required list with one column absent from both sides and one absent on the right.
 FEED_REQUIRED_SPEC = ReconSpec(keys=("o_orderkey",), compare=("o_totalprice",),
                                required=("o_orderkey", "o_totalprice", "left_extra", "missing_col"),
@@ -51,6 +58,24 @@ def lines(spark: SparkSession, sf_dir: str) -> Reconciliation:
     return Reconciliation(spark, left, right, LINE_SPEC, "line_left", "line_right")
 
 
+def exact(spark: SparkSession, sf_dir: str, **changes) -> Reconciliation:
+    left, right = mixed_type_pair(spark, sf_dir)
+    return Reconciliation(spark, left, right, EXACT_SPEC.with_(**changes), "exact_left",
+                          "exact_right")
+
+
+def wide(spark: SparkSession, sf_dir: str, **changes) -> Reconciliation:
+    left, right = wide_pair(spark, sf_dir)
+    return Reconciliation(spark, left, right, WIDE_SPEC.with_(**changes), "wide_left",
+                          "wide_right")
+
+
+def _longs(df: DataFrame, *cols: str) -> DataFrame:
+    """Figures that may exceed 64 bits, as the longs they are at these sizes
+    (a larger one fails here instead of wrapping around)."""
+    return df.withColumns({c: F.col(c).cast("long") for c in cols})
+
+
 def _count_difference_keys(r: Reconciliation) -> DataFrame:
     return r.count_differences.select(*r.rs.keys)
 
@@ -178,18 +203,19 @@ def q_unmatched_ordinals(spark, d):
 
 def q_cross_matches(spark, d):
     r = enroll(spark, d)
-    return cross.cross_matches(r.left, r.right, r.rs)
+    return _longs(cross.cross_matches(r.left, r.right, r.rs), "total_matches")
 
 
 def q_mismatch_counts_by_column(spark, d):
     r = enroll(spark, d)
-    return cross.cross_column_counts(r.left, r.right, r.rs, "sentinel").select(
-        "column_name", "mismatch_count").orderBy(F.col("mismatch_count").desc(), "column_name")
+    counted = cross.cross_column_counts(r.left, r.right, r.rs, "sentinel")
+    return _longs(counted.select("column_name", "mismatch_count"), "mismatch_count").orderBy(F.col("mismatch_count").desc(), "column_name")
 
 
 def q_mismatch_percentages(spark, d):
     r = enroll(spark, d)
-    return cross.mismatch_percentages(cross.cross_column_counts(r.left, r.right, r.rs, "sentinel"))
+    counted = cross.cross_column_counts(r.left, r.right, r.rs, "sentinel")
+    return _longs(cross.mismatch_percentages(counted), "mismatch_count", "total_matches")
 
 
 def q_sample_mismatches(spark, d):
@@ -197,6 +223,17 @@ def q_sample_mismatches(spark, d):
     return diagnostics.sample_mismatches(r.left, r.right, r.rs, 10, "safe")
 
 
+def q_sample_mismatches_cross(spark, d):
+    return enroll(spark, d, pairing="cross").sample_mismatches(10)
+
+
+def q_spot_check_outcomes(spark, d):
+    """Every twentieth customer is asked for; some have no row on a side, or on both."""
+    asked = read_table(spark, d, "customer").filter(F.col("c_custkey") % 20 == 0)
+    return enroll(spark, d).spot_check_outcomes(
+        asked.select(F.col("c_custkey").alias("member_id")))
+
+
 def q_spot_check(spark, d):
     r = enroll(spark, d)
     return diagnostics.spot_check(r.left, r.right, r.rs, _count_difference_keys(r))
@@ -220,7 +257,17 @@ def q_generic_mismatch_long(spark, d):
 
 
 def q_generic_mismatch_nested(spark, d):
-    return feed(spark, d).mismatch_nested()
+    """The nested records with their maps as sorted entries in text."""
+    r = feed(spark, d).mismatch_nested()
+
+    def entries(c: str, value) -> Column:
+        return F.array_join(F.transform(F.array_sort(F.map_entries(c)), lambda e: F.concat(
+            e["key"], F.lit("="), value(e["value"]))), "; ").alias(c)
+
+    text = lambda v: F.coalesce(v, F.lit("NULL"))
+    return r.select("table1", "table2", entries("key_values", text), entries(
+        "differences", lambda v: F.concat(text(v["table1_value"]), F.lit(" / "),
+                                          text(v["table2_value"]))))
 
 
 def q_row_fingerprint_diff(spark, d):
@@ -258,15 +305,21 @@ def q_validation_report(spark, d):
 
 
 def q_validation_log(spark, d):
-    return feed(spark, d).validation_log()
+    return feed(spark, d).validation_log(dt.datetime(2024, 5, 1, 12, 30))
 
 
 def q_run_status_cross(spark, d):
-    return enroll(spark, d, pairing="cross").status(with_count_differences=False)
+    return _longs(enroll(spark, d, pairing="cross").status(with_count_differences=False),
+                  "total_issues")
+
+
+def q_run_status_cross_sentinel(spark, d):
+    r = enroll(spark, d, pairing="cross", null_mode="sentinel")
+    return _longs(r.status(with_count_differences=False), "total_issues")
 
 
 def q_run_status_business(spark, d):
-    return lines(spark, d).status(with_count_differences=False)
+    return _longs(lines(spark, d).status(with_count_differences=False), "total_issues")
 
 
 def q_run_status_generic(spark, d):
@@ -276,10 +329,9 @@ def q_run_status_generic(spark, d):
 def q_sink_clean_names(spark, d):
     r = enroll(spark, d)
     cells = diff.mismatch_cells(r.left, r.right, r.rs, "safe")
-    ref_style = cells.toDF(*[c.upper() for c in cells.columns[:-3]],
-                           "NAME_OF_COLUMN(S)_THAT_HAVE_THE_MISMATCH", "DEV TABLE VALUE",
-                           "PROD TABLE VALUE")
-    return sinks.clean_names(ref_style)
+    headed = cells.toDF(*[c.title() for c in cells.columns[:-3]], "Differing (Compared) Column",
+                        "Value (Dev)", "Value (Prod)")
+    return sinks.clean_names(headed)
 
 
 def q_sink_table_roundtrip(spark, d):
@@ -292,21 +344,80 @@ def q_sink_table_roundtrip(spark, d):
 
 
 def q_sink_csv_roundtrip(spark, d):
+    """One-sided rows with a time to the microsecond and a list that holds a NULL."""
     r = enroll(spark, d)
-    df = r.one_sided("left", distinct=True)
+    rows = r.one_sided("left", distinct=True)
+    df = rows.withColumns({
+        "seen": F.col("eligibility_start_date").cast("timestamp_ntz")
+        + F.make_dt_interval(secs=F.col("umi_id") % 1_000_000 / F.lit(1e6)),
+        "tags": F.array(F.col("group_number"), F.lit(None), F.lit("a, b"))})
     path = output_dir(spark, "dev_only_csv")
     sinks.write_csv(df, path)
-    return sinks.read_csv(spark, path, df.schema)
+    back = sinks.read_csv(spark, path, df.schema)
+    return back.withColumn("tags", F.to_json("tags", {"ignoreNullFields": "false"}))
+
+
+# --- pairs of different types ------------------------------------------------
+def q_key_counts_mixed_types(spark, d):
+    r = exact(spark, d)
+    return r.key_counts.select(F.col("key_id").cast("string").alias("key_id"), "left_count",
+                               "right_count")
+
+
+def _cells_text(df: DataFrame) -> DataFrame:
+    return df.withColumn("key_id", F.col("key_id").cast("string"))
+
+
+def q_mismatch_cells_mixed_types(spark, d):
+    r = exact(spark, d)
+    return _cells_text(r.mismatches).select("key_id", "mismatch_column", "left_value",
+                                            "right_value")
+
+
+def q_mismatch_cells_cross_mixed_types(spark, d):
+    r = exact(spark, d, pairing="cross")
+    return _cells_text(r.mismatches)
+
+
+def q_cross_right_values_mixed_types(spark, d):
+    r = exact(spark, d, pairing="cross")
+    return _cells_text(cross.right_values_cross(r.left, r.right, r.rs))
+
+
+def q_keyless_mixed_types(spark, d):
+    r = exact(spark, d)
+    cols = r.rs.common
+    out = match.keyless_diff(r.left, r.right, cols, "left", "right", [r.rs.rcol(c) for c in cols])
+    return out.select("side", F.col("key_id").cast("string").alias("key_id"),
+                      F.col("amount").cast("string").alias("amount"), "seen")
+
+
+def q_fingerprint_mixed_types(spark, d):
+    r = exact(spark, d)
+    return _cells_text(diff.fingerprint_diff(r.left, r.right, r.rs))
+
+
+def q_run_status_mixed_types(spark, d):
+    return exact(spark, d).status()
+
+
+# --- other null rules, wide tables -------------------------------------------
+def q_mismatch_cells_mixed(spark, d):
+    r = enroll(spark, d, null_mode="mixed")
+    return r.mismatches
+
+
+def q_cross_right_values(spark, d):
+    r = enroll(spark, d, pairing="cross")
+    return cross.right_values_cross(r.left, r.right, r.rs)
+
+
+def q_wide_mismatch_cells(spark, d):
+    return wide(spark, d).mismatches
 
 
-def q_gate_failed(spark, d):
-    dev, prod = enroll_pair(spark, d)
-    spec = ENROLL_SPEC.with_(required=("member_id", "umi_id", "plan_code"))
-    r = Reconciliation(spark, dev, prod, spec, "enroll_dev", "enroll_prod")
-    crit = r.issues().filter(F.col("severity") == "CRITICAL")
-    return crit.groupBy().agg(F.count(F.lit(1)).alias("critical_issues")).select(
-        F.when(F.col("critical_issues") > 0, F.lit("FAILED")).otherwise(F.lit("OK"))
-        .alias("status"), "critical_issues")
+def q_wide_mismatch_cells_cross(spark, d):
+    return wide(spark, d, pairing="cross").mismatches
 
 
 QUERIES: dict[str, Query] = {

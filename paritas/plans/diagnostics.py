@@ -7,30 +7,34 @@ join before any numbering, so only the rows of those keys are shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import in_common
+from ..operators.cross import mismatch_cells_cross
 from ..operators.diff import cells_of_pairs, explode_cells
-from ..operators.match import (as_type, common_type, key_not_null, numbered, ordinal_pairs,
-                               restrict_keys, right_aligned, row_differs)
+from ..operators.match import ordinal_pairs, restrict_keys, right_aligned, row_differs
+from ..operators.ordinals import find_hot_keys, range_ordinals, window_ordinals
 from ..spec import Resolved
 
 
 def sample_mismatches(left: DataFrame, right: DataFrame, rs: Resolved, n: int = 10,
                       mode: str | None = None) -> DataFrame:
-    """Cells of the first ``n`` differing ordinal pairs by key, ordinal (top-k)."""
+    """Cells of the first ``n`` differing ordinal pairs by key, ordinal (top-k);
+    under cross pairing the first ``n`` rows of its cell report by key, column
+    and the other reported columns."""
     mode = mode or rs.spec.null_mode
+    if rs.spec.pairing == "cross":
+        cells = mismatch_cells_cross(left, right, rs, mode)
+        order = list(dict.fromkeys([*rs.keys, "mismatch_column", "left_value", *rs.output]))
+        return cells.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)
     pairs = ordinal_pairs(left, right, rs)
     first = pairs.filter(row_differs(pairs, rs, mode)) \
         .orderBy(*[F.col(k).asc_nulls_last() for k in rs.keys], F.col("rn")).limit(n)
     return cells_of_pairs(first, rs, mode)
 
 
-def _restrict(df: DataFrame, keys_df: DataFrame, keys: list[str]) -> DataFrame:
-    return restrict_keys(df, keys_df, keys)
-
-
 def spot_check(left: DataFrame, right: DataFrame, rs: Resolved, keys_df: DataFrame) -> DataFrame:
     """Positional comparison of every occurrence of the given keys.
 
@@ -56,25 +60,61 @@ def spot_check(left: DataFrame, right: DataFrame, rs: Resolved, keys_df: DataFra
     return pairs.select(*rs.keys, "rn", F.inline(F.when(both, cells).otherwise(missing)))
 
 
+def spot_check_outcomes(left: DataFrame, right: DataFrame, rs: Resolved,
+                        keys_df: DataFrame) -> DataFrame:
+    """One row for each asked key: ``keys, <left>_count, <right>_count, outcome``
+    with outcome NOT_FOUND, ONLY_IN_<LEFT>, ONLY_IN_<RIGHT>, EQUAL (as many
+    occurrences on both sides, no cell differs) or DIFFERENT."""
+    ln, rn_ = rs.spec.left_name, rs.spec.right_name
+    pairs = ordinal_pairs(left, right, rs, how="full_outer", keys_df=keys_df)
+    differs = ~(F.col("__l") & F.col("__r")) | row_differs(pairs, rs, "safe")
+    found = pairs.groupBy(*rs.keys).agg(
+        F.sum(F.col("__l").cast("long")).alias("__lc"), F.sum(F.col("__r").cast("long"))
+        .alias("__rc"), F.max(differs.cast("int")).alias("__d"))
+    asked = keys_df.select(*[F.col(k).cast(found.schema[k].dataType).alias(k)
+                             for k in rs.keys]).distinct()
+    lc, rc = (F.coalesce(F.col(c), F.lit(0)) for c in ("__lc", "__rc"))
+    return asked.join(found, rs.keys, "left").select(
+        *rs.keys, lc.alias(f"{ln}_count"), rc.alias(f"{rn_}_count"),
+        F.when(lc + rc == 0, F.lit("NOT_FOUND"))
+        .when(rc == 0, F.lit(f"ONLY_IN_{ln.upper()}"))
+        .when(lc == 0, F.lit(f"ONLY_IN_{rn_.upper()}"))
+        .when(F.col("__d") == 0, F.lit("EQUAL")).otherwise(F.lit("DIFFERENT")).alias("outcome"))
+
+
 def duplicate_details(left: DataFrame, right: DataFrame, rs: Resolved,
                       keys_df: DataFrame) -> DataFrame:
     """All occurrences of the given keys on both sides: ``side``, reported
-    columns, ordinal ``rn`` and the key's ``occurrence_count`` on that side."""
-    cols = list(dict.fromkeys(rs.output + rs.order))
+    columns, ordinal ``rn`` and the key's ``occurrence_count`` on that side.
+
+    One reading: the sides are tagged, united (in their common forms) and
+    restricted by one semi-join; a key's count is its largest ordinal, a window
+    on the partitioning that numbered it.  Hot keys are numbered by the range
+    plan and counted by an aggregate."""
+    cols = rs.carried
     ra = right_aligned(right, rs, cols)
-    # both sides' reported columns in their common types before the union
-    common = {c: common_type(left.schema[c].dataType, ra.schema[c].dataType) for c in rs.output}
-    out = None
-    for side, df in ((rs.spec.left_name, _restrict(left, keys_df, rs.keys)),
-                     (rs.spec.right_name, _restrict(ra, keys_df, rs.keys))):
-        num = numbered(df, rs, cols)
-        # per-key counts from an aggregate joined back (a count window would
-        # put all rows of a hot key into one task)
-        occ = df.filter(key_not_null(df, rs.keys)).groupBy(*rs.keys) \
-            .agg(F.count(F.lit(1)).alias("occurrence_count"))
-        part = num.join(occ, on=rs.keys, how="inner").select(
-            F.lit(side).alias("side"),
-            *[as_type(F.col(c), df.schema[c].dataType, common[c]).alias(c) for c in rs.output],
-            "rn", "occurrence_count")
-        out = part if out is None else out.unionByName(part)
-    return out
+    forms = {c: (left.schema[c].dataType, ra.schema[c].dataType) for c in cols}
+    tagged = (left.select(*[in_common(left[c], *forms[c]).alias(c) for c in cols],
+                          F.lit(0).alias("__side"))
+              .unionByName(ra.select(*[in_common(ra[c], *reversed(forms[c])).alias(c)
+                                       for c in cols], F.lit(1).alias("__side"))))
+    wanted = keys_df.select(*[in_common(F.col(k), keys_df.schema[k].dataType, forms[k][1]).alias(k)
+                              for k in rs.keys])
+    rows = restrict_keys(tagged, wanted, rs.keys)
+    hot = find_hot_keys(rows, rs.keys, ["__side"])
+    part = [*rs.keys, "__side"]
+
+    def numbered(frame: DataFrame) -> DataFrame:
+        n = window_ordinals(frame, rs.keys, rs.order, "rn", ["__side"])
+        return n.withColumn("occurrence_count", F.max("rn").over(Window.partitionBy(*part)))
+
+    if hot is None:
+        out = numbered(rows)
+    else:
+        warm = rows.join(hot, rs.keys, "left_semi")
+        counts = warm.groupBy(*part).agg(F.count(F.lit(1)).alias("occurrence_count"))
+        out = numbered(rows.join(hot, rs.keys, "left_anti")).unionByName(
+            range_ordinals(warm, rs.keys, rs.order, "rn", ["__side"]).join(counts, part))
+    side = F.when(F.col("__side") == 0, F.lit(rs.spec.left_name)).otherwise(
+        F.lit(rs.spec.right_name))
+    return out.select(side.alias("side"), *rs.output, "rn", "occurrence_count")

@@ -8,6 +8,8 @@ point: the Spark side computes the same figures from frequencies.
 
 from __future__ import annotations
 
+from ..sources import WIDE_COMPARE, WIDE_MADE
+
 ENROLL = """
 WITH base AS (
   SELECT CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_custkey END AS member_id,
@@ -55,7 +57,7 @@ counts AS (
 count_diffs AS (
   SELECT member_id, dev_count, prod_count, abs(dev_count - prod_count) AS count_difference,
          CASE WHEN dev_count > prod_count THEN 'MORE_IN_DEV'
-              WHEN prod_count > dev_count THEN 'MORE_IN_PROD' ELSE 'EQUAL' END AS difference_type
+              ELSE 'MORE_IN_PROD' END AS difference_type
   FROM counts WHERE dev_count <> prod_count),
 pairs AS (
   SELECT d.member_id, d.rn,
@@ -185,14 +187,15 @@ classified AS (
 mismatched AS (SELECT * FROM classified WHERE status IS NOT NULL),
 structure AS (
   SELECT 'row_count_mismatch' AS type, CAST(NULL AS VARCHAR) AS column_name,
-         CAST(l AS VARCHAR) AS table1_value, CAST(r AS VARCHAR) AS table2_value
+         CAST(l AS VARCHAR) AS table1_value, CAST(r AS VARCHAR) AS table2_value,
+         abs(l - r) AS difference
   FROM (SELECT (SELECT count(*) FROM feed_left) AS l, (SELECT count(*) FROM feed_right) AS r)
   WHERE l <> r
   UNION ALL
-  SELECT * FROM (VALUES ('columns_missing_in_table2', 'left_extra', NULL, NULL),
-                        ('columns_missing_in_table1', 'right_extra', NULL, NULL),
-                        ('column_type_mismatch', 'o_custkey', 'bigint', 'int'))
-                 t(type, column_name, table1_value, table2_value))
+  SELECT *, NULL FROM (VALUES ('columns_missing_in_table2', 'left_extra', NULL, NULL),
+                              ('columns_missing_in_table1', 'right_extra', NULL, NULL),
+                              ('column_type_mismatch', 'o_custkey', 'bigint', 'int'))
+                       t(type, column_name, table1_value, table2_value))
 """
 
 LINES = """
@@ -244,8 +247,8 @@ cells AS (
   FROM lp GROUP BY ALL)
 """
 
-# DuckDB prints doubles in their shortest round-trip form without exponent,
-# which is what the Spark side's fixed-scale decimal rendering yields.
+# DuckDB prints these doubles in their shortest form without exponent, as the
+# Spark side does.
 _DBL = "CAST({x} AS VARCHAR)"
 
 _ENROLL_COLS = "member_id, umi_id, group_number, eligibility_start_date, last_name, first_name"
@@ -512,12 +515,12 @@ LATERAL (VALUES
   ('status', 'total_issues', CAST(total_issues AS VARCHAR))) v(section, metric, value)""",
 
     "validation_log": FEED + """
-SELECT type AS validation_type, 'FAILED' AS status, 'feed_left' AS table1, 'feed_right' AS table2,
+SELECT '2024-05-01 12:30:00' AS "timestamp", type AS validation_type, 'FAILED' AS status, 'feed_left' AS table1, 'feed_right' AS table2,
        'column=' || COALESCE(column_name, '') || ', table1_value=' || COALESCE(table1_value, '')
        || ', table2_value=' || COALESCE(table2_value, '') AS details
 FROM structure
 UNION ALL
-SELECT 'data_rows', CASE WHEN n = 0 THEN 'PASSED' ELSE 'FAILED' END, 'feed_left', 'feed_right',
+SELECT '2024-05-01 12:30:00', 'data_rows', CASE WHEN n = 0 THEN 'PASSED' ELSE 'FAILED' END, 'feed_left', 'feed_right',
        'total_mismatched_rows=' || CAST(n AS VARCHAR) || ', key_columns=o_orderkey'
 FROM (SELECT count(*) AS n FROM mismatched)""",
 
@@ -543,14 +546,220 @@ SELECT CASE WHEN t = 0 THEN 'PASSED' ELSE 'FAILED' END AS status, CAST(t AS BIGI
 FROM x""",
 
     "sink_clean_names": ENROLL + """
-SELECT member_id AS MEMBER_ID, umi_id AS UMI_ID, group_number AS GROUP_NUMBER,
-       eligibility_start_date AS ELIGIBILITY_START_DATE, last_name AS LAST_NAME,
-       first_name AS FIRST_NAME, dev_row_number AS DEV_ROW_NUMBER,
-       prod_row_number AS PROD_ROW_NUMBER,
-       mismatch_column AS NAME_OF_COLUMNS_THAT_HAVE_THE_MISMATCH,
-       left_value AS DEV_TABLE_VALUE, right_value AS PROD_TABLE_VALUE
+SELECT member_id AS Member_Id, umi_id AS Umi_Id, group_number AS Group_Number,
+       eligibility_start_date AS Eligibility_Start_Date, last_name AS Last_Name,
+       first_name AS First_Name, dev_row_number AS Dev_Row_Number,
+       prod_row_number AS Prod_Row_Number, mismatch_column AS Differing_Compared_Column,
+       left_value AS Value_Dev, right_value AS Value_Prod
 FROM cells""",
 
-    "gate_failed": """
-SELECT 'FAILED' AS status, CAST(2 AS BIGINT) AS critical_issues""",
+    "sink_table_roundtrip": ENROLL + "SELECT * FROM count_diffs",
+
+    "sink_csv_roundtrip": ENROLL + """
+SELECT *, CAST(eligibility_start_date AS TIMESTAMP)
+          + to_microseconds(umi_id % 1000000) AS seen,
+       '[' || COALESCE('"' || group_number || '"', 'null') || ',null,"a, b"]' AS tags
+FROM dev_only""",
+
+    "run_status_cross_sentinel": ENROLL + """,
+x AS (SELECT (SELECT count(*) FROM dev_only) + (SELECT count(*) FROM prod_only)
+             + (SELECT sum(mismatch_count) FROM sentinel_cross) AS t)
+SELECT CASE WHEN t = 0 THEN 'PASSED' ELSE 'FAILED' END AS status, CAST(t AS BIGINT) AS total_issues
+FROM x""",
+
+    "sample_mismatches_cross": ENROLL + """
+SELECT * FROM cross_cells WHERE differing_partners > 0
+ORDER BY member_id NULLS LAST, mismatch_column, left_value NULLS LAST, umi_id NULLS LAST,
+         group_number NULLS LAST, eligibility_start_date NULLS LAST, last_name NULLS LAST,
+         first_name NULLS LAST
+LIMIT 10""",
+
+    "spot_check_outcomes": ENROLL + """,
+asked AS (SELECT c_custkey AS member_id FROM customer WHERE c_custkey % 20 = 0),
+per AS (SELECT a.member_id,
+               (SELECT count(*) FROM dev_n d WHERE d.member_id = a.member_id) AS dev_count,
+               (SELECT count(*) FROM prod_n p WHERE p.member_id = a.member_id) AS prod_count,
+               (SELECT count(*) FROM cells c WHERE c.member_id = a.member_id) AS n
+        FROM asked a)
+SELECT member_id, dev_count, prod_count,
+       CASE WHEN dev_count + prod_count = 0 THEN 'NOT_FOUND'
+            WHEN prod_count = 0 THEN 'ONLY_IN_DEV' WHEN dev_count = 0 THEN 'ONLY_IN_PROD'
+            WHEN dev_count = prod_count AND n = 0 THEN 'EQUAL' ELSE 'DIFFERENT' END AS outcome
+FROM per""",
+
+    "generic_mismatch_nested": FEED + """,
+kv AS (SELECT *, 'o_orderkey=' || CAST(o_orderkey AS VARCHAR) AS key_values FROM mismatched),
+cells AS (
+  SELECT key_values, 'o_orderkey' AS c, CAST(l_key AS VARCHAR) AS a, CAST(r_key AS VARCHAR) AS b
+  FROM kv WHERE l_key IS DISTINCT FROM r_key
+  UNION ALL SELECT key_values, 'o_custkey', CAST(l_custkey AS VARCHAR), CAST(r_custkey AS VARCHAR)
+  FROM kv WHERE l_custkey IS DISTINCT FROM r_custkey
+  UNION ALL SELECT key_values, 'o_orderstatus', l_status, r_status
+  FROM kv WHERE l_status IS DISTINCT FROM r_status
+  UNION ALL SELECT key_values, 'o_totalprice', CAST(l_price AS VARCHAR), CAST(r_price AS VARCHAR)
+  FROM kv WHERE l_price IS DISTINCT FROM r_price
+  UNION ALL SELECT key_values, 'o_orderdate', CAST(l_date AS VARCHAR), CAST(r_date AS VARCHAR)
+  FROM kv WHERE l_date IS DISTINCT FROM r_date
+  UNION ALL SELECT key_values, 'o_orderpriority', l_prio, r_prio
+  FROM kv WHERE l_prio IS DISTINCT FROM r_prio)
+SELECT 'feed_left' AS table1, 'feed_right' AS table2, key_values,
+       string_agg(c || '=' || COALESCE(a, 'NULL') || ' / ' || COALESCE(b, 'NULL'), '; ' ORDER BY c)
+         AS differences
+FROM cells GROUP BY key_values""",
+
+    "mismatch_cells_mixed": ENROLL + """
+SELECT c.* FROM cells c JOIN pairs p ON c.member_id = p.member_id AND c.dev_row_number = p.rn
+WHERE COALESCE(CAST(d_umi_id AS VARCHAR), 'NULL') <> COALESCE(CAST(p_umi_id AS VARCHAR), 'NULL')
+   OR COALESCE(d_group_number, 'NULL') <> COALESCE(p_group_number, 'NULL')
+   OR COALESCE(CAST(d_date AS VARCHAR), 'NULL') <> COALESCE(CAST(p_date AS VARCHAR), 'NULL')""",
+
+    "cross_right_values": ENROLL + """,
+differing AS (SELECT DISTINCT member_id, mismatch_column FROM cross_cells
+              WHERE differing_partners > 0),
+vals AS (
+  SELECT member_id, 'umi_id' AS mismatch_column, CAST(umi_id AS VARCHAR) AS right_value
+  FROM enroll_prod
+  UNION ALL SELECT member_id, 'group_number', group_number FROM enroll_prod
+  UNION ALL SELECT member_id, 'eligibility_start_date', CAST(eligibility_start_date AS VARCHAR)
+  FROM enroll_prod)
+SELECT v.member_id, v.mismatch_column, v.right_value, count(*) AS right_rows
+FROM vals v JOIN differing d ON v.member_id IS NOT DISTINCT FROM d.member_id
+                            AND v.mismatch_column = d.mismatch_column
+GROUP BY ALL""",
+}
+
+# --- the same columns in different types ---------------------------------------
+EXACT = """
+WITH raw AS (
+  SELECT o_orderkey AS k, CAST(o_totalprice AS DECIMAL(19,2)) + 1000000000000000 AS amount,
+         o_orderdate AS noon, o_orderpriority AS prio,
+         CAST(o_orderkey AS DECIMAL(38,0)) + 9007199254740992 AS key_id
+  FROM orders),
+exact_left AS (
+  SELECT CAST(key_id AS VARCHAR) AS key_id, CAST(CAST(amount AS DECIMAL(20,2)) AS VARCHAR) AS amount,
+         k AS rate, noon + to_microseconds(k % 1000000) AS seen, noon AS mark, k AS id, prio
+  FROM raw WHERE k % 41 <> 0),
+exact_right AS (
+  SELECT CAST(key_id AS VARCHAR) AS key_id,
+         CAST(CAST(amount + CASE WHEN k % 13 = 0 THEN 0.01 ELSE 0 END AS DECIMAL(20,2)) AS VARCHAR)
+           AS amount,
+         k + CASE WHEN k % 11 = 0 THEN 1 ELSE 0 END AS rate,
+         noon + to_microseconds(k % 1000000 + CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END) AS seen,
+         noon + to_microseconds(CASE WHEN k % 17 = 0 THEN 1 ELSE 0 END) AS mark, k AS id,
+         CASE WHEN k % 19 <> 0 THEN prio END AS prio
+  FROM raw WHERE k % 23 <> 0),
+left_text AS (
+  SELECT key_id, amount,
+         rtrim(CAST(CAST(rate AS DECIMAL(20,0)) * CAST('0.00000000001' AS DECIMAL(12,11)) AS VARCHAR),
+               '0') AS rate, CAST(seen AS VARCHAR) AS seen,
+         '["' || strftime(mark, '%Y-%m-%dT%H:%M:%S.%f') || '",null]' AS marks,
+         '{"id":' || CAST(id AS VARCHAR) || ',"priority":"' || prio || '"}' AS box
+  FROM exact_left),
+right_text AS (
+  SELECT key_id, amount,
+         rtrim(CAST(CAST(rate AS DECIMAL(20,0)) * CAST('0.00000000001' AS DECIMAL(12,11)) AS VARCHAR),
+               '0') AS rate, CAST(seen AS VARCHAR) AS seen,
+         '["' || strftime(mark, '%Y-%m-%dT%H:%M:%S.%f') || '",null]' AS marks,
+         '{"id":' || CAST(id AS VARCHAR) || ',"priority":' || COALESCE('"' || prio || '"', 'null')
+           || '}' AS box
+  FROM exact_right),
+left_cells AS (UNPIVOT left_text ON amount, rate, seen, marks, box
+               INTO NAME mismatch_column VALUE left_value),
+right_cells AS (UNPIVOT right_text ON amount, rate, seen, marks, box
+                INTO NAME mismatch_column VALUE right_value),
+cells AS (
+  SELECT l.key_id, l.mismatch_column, l.left_value, r.right_value
+  FROM left_cells l JOIN right_cells r ON l.key_id = r.key_id
+                                      AND l.mismatch_column = r.mismatch_column
+  WHERE l.left_value <> r.right_value),
+one_sided AS (
+  SELECT (SELECT count(*) FROM left_text WHERE key_id NOT IN (SELECT key_id FROM right_text)) AS l,
+         (SELECT count(*) FROM right_text WHERE key_id NOT IN (SELECT key_id FROM left_text)) AS r)
+"""
+
+ORACLE |= {
+    "key_counts_mixed_types": EXACT + """
+SELECT key_id, CAST(sum(l) AS BIGINT) AS left_count, CAST(sum(r) AS BIGINT) AS right_count
+FROM (SELECT key_id, 1 AS l, 0 AS r FROM left_text
+      UNION ALL SELECT key_id, 0, 1 FROM right_text)
+GROUP BY key_id""",
+
+    "mismatch_cells_mixed_types": EXACT + "SELECT * FROM cells",
+
+    "mismatch_cells_cross_mixed_types": EXACT + """
+SELECT key_id, mismatch_column, left_value, CAST(1 AS BIGINT) AS left_rows,
+       CAST(1 AS BIGINT) AS right_rows, CAST(1 AS BIGINT) AS differing_partners
+FROM cells""",
+
+    "cross_right_values_mixed_types": EXACT + """
+SELECT key_id, mismatch_column, right_value, CAST(1 AS BIGINT) AS right_rows FROM cells""",
+
+    "keyless_mixed_types": EXACT + """,
+differing AS (SELECT DISTINCT key_id FROM cells)
+SELECT 'left' AS side, key_id, amount, seen FROM exact_left
+WHERE key_id IN (SELECT key_id FROM differing)
+   OR key_id NOT IN (SELECT key_id FROM exact_right)
+UNION ALL
+SELECT 'right', key_id, amount, seen FROM exact_right
+WHERE key_id IN (SELECT key_id FROM differing)
+   OR key_id NOT IN (SELECT key_id FROM exact_left)""",
+
+    "fingerprint_mixed_types": EXACT + "SELECT DISTINCT key_id FROM cells",
+
+    "run_status_mixed_types": EXACT + """,
+x AS (SELECT 2 * l + 2 * r + (SELECT count(*) FROM cells) AS t FROM one_sided)
+SELECT CASE WHEN t = 0 THEN 'PASSED' ELSE 'FAILED' END AS status, CAST(t AS BIGINT) AS total_issues
+FROM x""",
+}
+
+# --- many compared columns: one branch for each ---------------------------------
+_MADE = {m: f"l_partkey * {i} % 97" for i, m in enumerate(WIDE_MADE, 1)}
+_PLAIN = WIDE_COMPARE[:-len(WIDE_MADE)]
+_TIES = ", ".join(f"{c} NULLS LAST" for c in WIDE_COMPARE)
+WIDE = f"""
+WITH raw AS (
+  SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+                         JOIN customer ON o_custkey = c_custkey),
+wide_left AS (
+  SELECT l_orderkey, l_linenumber, {", ".join(_PLAIN)},
+         {", ".join(f"{e} AS {m}" for m, e in _MADE.items())}
+  FROM raw WHERE l_partkey % 41 <> 0),
+wide_right AS (
+  SELECT l_orderkey, l_linenumber, {", ".join(_PLAIN)},
+         {", ".join(f"{e} + CASE WHEN l_partkey % {i + 30} = 0 THEN 1 ELSE 0 END AS {m}"
+                    for i, (m, e) in enumerate(_MADE.items(), 1))}
+  FROM raw WHERE l_partkey % 23 <> 0),
+numbered_left AS (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_TIES}) AS rn
+  FROM wide_left),
+numbered_right AS (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_TIES}) AS rn
+  FROM wide_right)
+"""
+
+
+def _wide_cells(column: str) -> str:
+    return f"""
+SELECT l_orderkey, l_linenumber, l.c_name AS c_name, rn AS left_row_number,
+       rn AS right_row_number, '{column}' AS mismatch_column,
+       CAST(l.{column} AS VARCHAR) AS left_value, CAST(r.{column} AS VARCHAR) AS right_value
+FROM numbered_left l JOIN numbered_right r USING (l_orderkey, l_linenumber, rn)
+WHERE l.{column} IS DISTINCT FROM r.{column}"""
+
+
+def _wide_cross(column: str) -> str:
+    return f"""
+SELECT l_orderkey, l_linenumber, l.c_name AS c_name, '{column}' AS mismatch_column,
+       CAST(v AS VARCHAR) AS left_value, left_rows, count(*) AS right_rows,
+       CAST(sum(CASE WHEN v IS DISTINCT FROM r.{column} THEN 1 ELSE 0 END) AS BIGINT)
+         AS differing_partners
+FROM (SELECT l_orderkey, l_linenumber, c_name, {column} AS v, count(*) AS left_rows
+      FROM wide_left GROUP BY ALL) l
+JOIN (SELECT l_orderkey, l_linenumber, {column} FROM wide_right) r USING (l_orderkey, l_linenumber)
+GROUP BY ALL HAVING differing_partners > 0"""
+
+
+ORACLE |= {
+    "wide_mismatch_cells": WIDE + " UNION ALL ".join(map(_wide_cells, WIDE_COMPARE)),
+    "wide_mismatch_cells_cross": WIDE + " UNION ALL ".join(map(_wide_cross, WIDE_COMPARE)),
 }

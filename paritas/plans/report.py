@@ -21,7 +21,8 @@ def status_line(recon: Reconciliation) -> DataFrame:
 
 
 def validation_report(recon: Reconciliation) -> DataFrame:
-    """The printed report of the reference, as rows ``section, metric, value``."""
+    """The printed report of the reference, as rows ``section, metric,
+    value``, with one row for each issue of required or output columns."""
     s = recon.summary_with_status()
     sections = []
     for c in s.columns:
@@ -37,4 +38,10 @@ def validation_report(recon: Reconciliation) -> DataFrame:
             sec = "results"
         sections.append(F.struct(F.lit(sec).alias("section"), F.lit(c).alias("metric"),
                                  F.col(c).cast("string").alias("value")))
-    return s.select(F.inline(F.array(*sections)))
+    rows = s.select(F.inline(F.array(*sections)))
+    issues = recon.issues().select(
+        F.lit("issues").alias("section"),
+        F.concat(F.col("severity"), F.lit(" "), F.col("type")).alias("metric"),
+        F.concat(F.col("table_name"), F.lit(": "), F.array_join("missing_columns", ", "))
+        .alias("value"))
+    return rows.unionByName(issues)

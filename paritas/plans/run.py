@@ -18,15 +18,16 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import uuid
 from dataclasses import dataclass, field
+from decimal import Decimal
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sinks
 from ..operators import counts, cross, diff, match
-from ..session import checkpoint_dir_ready, output_dir
+from ..session import output_dir, require_checkpoint_dir
 from ..sources import as_dataframe
 from ..spec import ReconSpec
 from .validate import GenericComparison, Reconciliation
@@ -55,16 +56,15 @@ _ISSUE_FIGURES = {"rows_only_in_left", "rows_only_in_right", "mismatched_data_po
 
 def _materialise(spark: SparkSession, df: DataFrame) -> DataFrame:
     """A frame read by several writes: a reliable checkpoint in the shared
-    ``spark.checkpoint.dir`` when the session names one (cuts the lineage, so a
-    lost executor does not recompute the pairing), else kept with
-    ``persist(MEMORY_AND_DISK)`` (lost blocks are recomputed from lineage)."""
-    if checkpoint_dir_ready(spark):
-        return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    ``spark.checkpoint.dir`` (cuts the lineage, so a lost executor does not
+    recompute the pairing)."""
+    require_checkpoint_dir(spark)
+    return df.checkpoint(eager=True)
 
 
 def _run_id() -> str:
-    return dt.datetime.now().strftime("%Y%m%d_%H%M%S")
+    """The time of the run, with a suffix that keeps runs of one second apart."""
+    return f"{dt.datetime.now():%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:8]}"
 
 
 class _Writer:
@@ -134,7 +134,7 @@ def run_validation(spark: SparkSession, left, right, spec: ReconSpec, *,
     figures["rows_only_in_right"] = w.write("right_only", recon.one_sided("right"))["rows"]
     if spec.pairing == "cross":
         m = w.write("mismatches", cross.mismatch_cells_cross(ldf, rdf, rs),
-                    {"cells": F.sum(F.col("left_rows") * F.col("differing_partners"))})
+                    {"cells": F.sum(cross.cell_pairs())})
         figures["mismatched_data_points"] = m["cells"]
     else:
         # one pairing feeds both outputs: only unmatched or differing pairs are
@@ -146,12 +146,12 @@ def run_validation(spark: SparkSession, left, right, spec: ReconSpec, *,
         cells = diff.cells_of_pairs(report.filter(both), rs, spec.null_mode)
         figures["mismatched_data_points"] = w.write("mismatches", cells)["rows"]
         w.write("unmatched_ordinals", match.unmatched_of_pairs(report, rs))
-        report.unpersist()
     passed = all(figures[k] == 0 for k in figures if k in _ISSUE_FIGURES) and not issues
     result = RunResult("PASSED" if passed else "FAILED", run_id, figures, issues=issues)
     summary = spark.createDataFrame([(
-        run_id, lt, rt, *[int(figures.get(k, 0)) for k in _SUMMARY_FIGURES],
-        ", ".join(rs.compare), len(rs.common), result.status, result.total_issues,
+        run_id, lt, rt, *[Decimal(v) if k == "mismatched_data_points" else v
+                          for k in _SUMMARY_FIGURES for v in [int(figures.get(k, 0))]],
+        ", ".join(rs.compare), len(rs.common), result.status, Decimal(result.total_issues),
         dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S"))], _SUMMARY_SCHEMA)
     w.write("summary", summary, single_file=True)
     result.written = w.written
@@ -162,9 +162,9 @@ _SUMMARY_FIGURES = ["total_left_rows", "total_right_rows", "rows_only_in_left",
                     "rows_only_in_right", "mismatched_data_points", "keys_with_count_differences"]
 _SUMMARY_SCHEMA = ("run_id string, left_table string, right_table string, total_left_rows long, "
                    "total_right_rows long, rows_only_in_left long, rows_only_in_right long, "
-                   "mismatched_data_points long, keys_with_count_differences long, "
+                   "mismatched_data_points decimal(38,0), keys_with_count_differences long, "
                    "comparison_columns string, common_columns_count long, status string, "
-                   "total_issues long, validation_date string")
+                   "total_issues decimal(38,0), validation_date string")
 
 
 def run_generic(spark: SparkSession, left, right, keys=None, *, output: str | None = None,
@@ -184,10 +184,19 @@ def run_generic(spark: SparkSession, left, right, keys=None, *, output: str | No
         "mismatched_rows", g.full_diff(),
         {"rows": F.count(F.lit(1))})["rows"]
     w.write("mismatch_report", g.mismatch_long())
-    w.write("validation_log", g.validation_log())
-    g.frame.unpersist()
+    now = dt.datetime.now()
+    w.write("validation_log", g.validation_log(now))
     passed = all(v == 0 for v in figures.values())
-    return RunResult("PASSED" if passed else "FAILED", run_id, figures, written=w.written)
+    result = RunResult("PASSED" if passed else "FAILED", run_id, figures)
+    summary = spark.createDataFrame([(
+        run_id, t1, t2, figures["structure_differences"], figures["mismatched_rows"],
+        ", ".join(g.rs.keys), len(g.rs.common), result.status, f"{now:%Y-%m-%d %H:%M:%S}")],
+        "run_id string, table1 string, table2 string, structure_differences long, "
+        "mismatched_rows long, key_columns string, common_columns_count long, status string, "
+        "validation_date string")
+    w.write("summary", summary, single_file=True)
+    result.written = w.written
+    return result
 
 
 def run_job(spark: SparkSession, left, right, keys, compare=None, output_columns=(),

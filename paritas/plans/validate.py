@@ -7,6 +7,7 @@ gate: a missing required column is decided from schemas, before any scan.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import counts, cross, diff, match, profile, structure
+from ..operators import counts, cross, diff, figures, match, profile, structure
 from ..sources import as_dataframe
 from ..spec import ReconSpec, Resolved
 from . import diagnostics
@@ -26,15 +27,17 @@ def _count(df: DataFrame, metric: str) -> DataFrame:
         F.lit(metric).alias("metric"), "value")
 
 
-def metrics_row(parts: list[DataFrame], names: list[str]) -> DataFrame:
+def metrics_row(parts: list[DataFrame], names: list[str], wide: tuple[str, ...] = ()) -> DataFrame:
     """Fold ``(metric, value)`` frames into one row with a column per metric,
-    using a union and one global aggregate (no cross join)."""
+    using a union and one global aggregate (no cross join).  Metrics in
+    ``wide`` may exceed 64 bits and come out as ``decimal(38,0)``."""
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
     m = F.col("metric")
     return u.groupBy().agg(*[F.coalesce(F.sum(F.when(m == n, F.col("value"))), F.lit(0))
-                             .cast("long").alias(n) for n in names])
+                             .cast("decimal(38,0)" if n in wide else "long").alias(n)
+                             for n in names])
 
 
 @dataclass
@@ -94,6 +97,11 @@ class Reconciliation:
         """All occurrences of ``keys`` compared position by position (R3)."""
         return diagnostics.spot_check(self.left, self.right, self.rs, self.keys_frame(keys))
 
+    def spot_check_outcomes(self, keys) -> DataFrame:
+        """One row for each asked key: both counts and what became of it."""
+        return diagnostics.spot_check_outcomes(self.left, self.right, self.rs,
+                                               self.keys_frame(keys))
+
     def duplicate_details(self, keys) -> DataFrame:
         """All occurrences of ``keys`` on both sides with counts (R4)."""
         return diagnostics.duplicate_details(self.left, self.right, self.rs,
@@ -113,7 +121,8 @@ class Reconciliation:
         return names
 
     def sample_mismatches(self, n: int = 10) -> DataFrame:
-        """Cells of the first ``n`` differing pairs by key and ordinal (R1)."""
+        """Cells of the first ``n`` differing pairs by key and ordinal; under cross
+        pairing the first ``n`` rows of its cell report (R1)."""
         return diagnostics.sample_mismatches(self.left, self.right, self.rs, n)
 
     @cached_property
@@ -134,8 +143,22 @@ class Reconciliation:
         return _count(self.mismatches, "mismatched_data_points")
 
     def summary(self, with_count_differences: bool = True) -> DataFrame:
-        """A10: one row of run figures (timestamps left to the caller)."""
+        """A10: one row of run figures (timestamps left to the caller), from one
+        reading of each side (``figures``) wherever that plan applies."""
         ln, rn_ = self.ln, self.rn
+        one = self._one_pass_figures()
+        if one is not None:
+            wide = self.spec.pairing == "cross"
+            renamed = one.select(
+                F.col("left_rows").alias(f"total_{ln}_rows"),
+                F.col("right_rows").alias(f"total_{rn_}_rows"),
+                F.col("only_left").alias(f"rows_only_in_{ln}"),
+                F.col("only_right").alias(f"rows_only_in_{rn_}"),
+                F.col("cells").cast("decimal(38,0)" if wide else "long")
+                .alias("mismatched_data_points"),
+                *[F.col("count_differences").alias(self._differences_label())]
+                * with_count_differences)
+            return self._described(renamed)
         kc = self.key_counts
         totals = kc.groupBy().agg(F.sum(f"{ln}_count").alias("l"), F.sum(f"{rn_}_count").alias("r"))
         parts = [
@@ -149,14 +172,28 @@ class Reconciliation:
         names = [f"total_{ln}_rows", f"total_{rn_}_rows", f"rows_only_in_{ln}",
                  f"rows_only_in_{rn_}", "mismatched_data_points"]
         if with_count_differences:
-            key = self.rs.keys[0] if len(self.rs.keys) == 1 else "key"
-            label = f"{key}s_with_count_differences"
+            label = self._differences_label()
             parts.append(_count(self.count_differences, label))
             names.append(label)
-        row = metrics_row(parts, names)
+        wide = ("mismatched_data_points",) if self.spec.pairing == "cross" else ()
+        row = metrics_row(parts, names, wide)
+        return self._described(row)
+
+    def _differences_label(self) -> str:
+        key = self.rs.keys[0] if len(self.rs.keys) == 1 else "key"
+        return f"{key}s_with_count_differences"
+
+    def _one_pass_figures(self) -> DataFrame | None:
+        mode = self.spec.null_mode
+        if self.spec.pairing == "ordinal":
+            return figures.ordinal_figures(self.left, self.right, self.rs, mode)
+        # the sentinel rule matches NULL keys with the text 'NULL', one-sided rows do not
+        return figures.cross_figures(self.left, self.right, self.rs) if mode == "safe" else None
+
+    def _described(self, row: DataFrame) -> DataFrame:
         return row.select(
-            F.lit(self.left_table).alias(f"{ln}_table"), F.lit(self.right_table).alias(f"{rn_}_table"),
-            *names,
+            F.lit(self.left_table).alias(f"{self.ln}_table"),
+            F.lit(self.right_table).alias(f"{self.rn}_table"), *row.columns,
             F.lit(", ".join(self.rs.compare)).alias("comparison_columns"),
             F.lit(len(self.rs.common)).cast("long").alias("common_columns_count"))
 
@@ -170,7 +207,9 @@ class Reconciliation:
                        for k in ("required", "output"))
         status = F.when((total == 0) & F.lit(n_issues == 0), F.lit("PASSED")) \
             .otherwise(F.lit("FAILED"))
-        return status.alias("status"), total.cast("long").alias("total_issues")
+        wide = self.spec.pairing == "cross"
+        return (status.alias("status"),
+                total.cast("decimal(38,0)" if wide else "long").alias("total_issues"))
 
     def summary_with_status(self, with_count_differences: bool = True) -> DataFrame:
         s = self.summary(with_count_differences)
@@ -246,8 +285,10 @@ class GenericComparison:
         """Changed or one-sided rows (the reference's mismatched rows)."""
         return self.full_diff()
 
-    def validation_log(self) -> DataFrame:
-        """K9 without timestamp: structure rows (FAILED) + one data-row statistic."""
+    def validation_log(self, when: dt.datetime | None = None) -> DataFrame:
+        """K9: structure rows (FAILED) and one data-row statistic, with the time of
+        the run (``when``, default now)."""
+        stamp = F.lit(f"{when or dt.datetime.now():%Y-%m-%d %H:%M:%S}").alias("timestamp")
         sd = self.structure_diff()
         details = F.concat_ws(", ",
                               F.concat(F.lit("column="), F.coalesce(F.col("column_name"), F.lit(""))),
@@ -265,7 +306,7 @@ class GenericComparison:
             F.lit(self.table1).alias("table1"), F.lit(self.table2).alias("table2"),
             F.concat(F.lit("total_mismatched_rows="), F.col("value").cast("string"),
                      F.lit(", key_columns=" + ", ".join(self.rs.keys))).alias("details"))
-        return rows.unionByName(stat)
+        return rows.unionByName(stat).select(stamp, "*")
 
     def status(self) -> DataFrame:
         """E1: PASSED when there is no structure difference and no mismatched row."""

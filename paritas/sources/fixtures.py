@@ -17,9 +17,10 @@ from .tables import read_table
 ENROLL_COLUMNS = ["member_id", "umi_id", "group_number", "eligibility_start_date",
                   "last_name", "first_name"]
 ENROLL_COMPARE = ["umi_id", "group_number", "eligibility_start_date"]
-ENROLL_OUTPUT = ["last_name", "first_name"]
+ENROLL_OUTPUT = [*ENROLL_COMPARE, "last_name", "first_name"]
 
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
+LINE_OUTPUT = ["l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
 def _enroll_base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,3 +94,54 @@ def line_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         F.when(sk % 7 == 0, F.lit("X")).otherwise(F.col("l_linestatus")).alias("l_linestatus"),
         "l_shipdate")
     return left, right
+
+
+def mixed_type_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``(exact_left, exact_right)``: the same columns in different types, with
+    values that agree in all digits a double holds: keys and amounts beyond
+    2**53, rates 1e-11 apart, times a microsecond apart, nested values."""
+    orders = read_table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+
+    def side(key: str, amount: str, cents, step, micros, mark_micros, priority) -> DataFrame:
+        at = F.col("o_orderdate") + F.make_dt_interval(secs=(k % 1_000_000 + micros) / F.lit(1e6))
+        mark = F.col("o_orderdate") + F.make_dt_interval(secs=mark_micros / F.lit(1e6))
+        return orders.select(
+            (k + F.lit(2**53)).cast(key).alias("key_id"),
+            (F.col("o_totalprice").cast("decimal(19,2)") + F.lit(10**15).cast("decimal(17,0)")
+             + cents.cast("decimal(3,2)")).cast(amount).alias("amount"),
+            ((k + step) / F.lit(1e11)).alias("rate"), at.alias("seen"),
+            F.array(mark, F.lit(None)).alias("marks"),
+            F.struct(k.alias("id"), priority.alias("priority")).alias("box"))
+
+    zero, prio = F.lit(0), F.col("o_orderpriority")
+    left = side("bigint", "decimal(19,2)", zero, zero, zero, zero, prio)
+    right = side(
+        "decimal(38,0)", "decimal(20,2)", F.when(k % 13 == 0, F.lit(0.01)).otherwise(0),
+        F.when(k % 11 == 0, 1).otherwise(0), F.when(k % 7 == 0, 1).otherwise(0),
+        F.when(k % 17 == 0, 1).otherwise(0), F.when(k % 19 != 0, prio))
+    return left.filter((F.col("box.id") % 41) != 0), right.filter((F.col("box.id") % 23) != 0)
+
+
+#: Compared columns of ``wide_pair`` made from the part key.
+WIDE_MADE = [f"m{i:02d}" for i in range(1, 31)]
+WIDE_COMPARE = ["l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate",
+                "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority", "c_name",
+                "c_nationkey", "c_mktsegment", *WIDE_MADE]
+
+
+def wide_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``(wide_left, wide_right)``: order lines with their order and customer, 42
+    compared columns."""
+    rows = (read_table(spark, sf_dir, "lineitem")
+            .join(read_table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(read_table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")))
+    plain = WIDE_COMPARE[:-len(WIDE_MADE)]
+    pk = F.col("l_partkey")
+    made = {m: pk * i % 97 for i, m in enumerate(WIDE_MADE, 1)}
+    left = rows.filter(pk % 41 != 0).select(
+        *LINE_KEYS, *plain, *[e.alias(m) for m, e in made.items()])
+    right = rows.filter(pk % 23 != 0).select(
+        *LINE_KEYS, *plain, *[F.when(pk % (i + 30) == 0, e + 1).otherwise(e).alias(m)
+                              for i, (m, e) in enumerate(made.items(), 1)])
+    return left, right

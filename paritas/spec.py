@@ -61,6 +61,10 @@ class ReconSpec:
             raise ValueError(f"pairing must be one of {PAIRINGS}, got {self.pairing!r}")
         if self.null_mode not in NULL_MODES:
             raise ValueError(f"null_mode must be one of {NULL_MODES}, got {self.null_mode!r}")
+        if self.pairing == "cross" and self.null_mode == "mixed":
+            raise ValueError("null_mode 'mixed' picks rows and cells by different rules, which "
+                             "cross pairing, reported through counts, does not have: use "
+                             "ordinal pairing, or 'safe' or 'sentinel'")
         if self.left_name == self.right_name:
             raise ValueError("left_name and right_name must differ")
 
@@ -90,7 +94,7 @@ class Resolved:
     right_of: dict[str, str]          # left spelling -> right spelling
     keys: list[str]
     compare: list[str]
-    output: list[str]                 # reported columns: keys, compare, then extra output
+    output: list[str]                 # reported columns: keys, then the declared output
     order: list[str]
     left_types: dict[str, str] = field(default_factory=dict)
     right_types: dict[str, str] = field(default_factory=dict)
@@ -117,22 +121,30 @@ class Resolved:
             compare = [c for c in common if c not in keys]
         else:
             compare = [c for c in pick(spec.compare) if c not in keys]
-        extra = [c for c in pick(spec.output) if c not in keys and c not in compare]
-        output = keys + compare + extra
-        order = pick(spec.order) if spec.order is not None else compare + extra
+        declared = [c for c in pick(spec.output) if c not in keys]
+        output = keys + declared
+        order = pick(spec.order) if spec.order is not None else (
+            compare + [c for c in declared if c not in compare])
 
         required = list(spec.required) if spec.required is not None else list(spec.keys) + list(spec.compare or [])
         missing: dict[str, dict[str, list[str]]] = {}
         for side, m in (("left", lmap), ("right", rmap)):
             missing[side] = {
                 "required": [n for n in required if _norm(n, cs) not in m],
-                "output": [n for n in spec.output if _norm(n, cs) not in m],
+                # a column that is required too is an issue once
+                "output": [n for n in spec.output if _norm(n, cs) not in m
+                           and _norm(n, cs) not in {_norm(r, cs) for r in required}],
             }
         ltypes = {f.name: f.dataType.simpleString() for f in left.schema.fields}
         rtypes = {f.name: f.dataType.simpleString() for f in right.schema.fields}
         return Resolved(spec, lcols, rcols, common, right_of, keys, compare, output, order,
                         ltypes, rtypes, missing)
 
+    @property
+    def carried(self) -> list[str]:
+        """Every column a pairing needs: reported, compared, ordered by."""
+        return list(dict.fromkeys([*self.output, *self.compare, *self.order]))
+
     @property
     def critical(self) -> bool:
         return any(self.missing[s]["required"] for s in ("left", "right"))
