@@ -31,6 +31,7 @@ HEADLINE = [
     "keyless_diff",
     "spot_check",
     "run_status",               # whole duplicate-aware run summary
+    "run_status_cross",         # the same under cross pairing
     "run_status_business",
 ]
 

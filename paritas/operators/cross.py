@@ -246,17 +246,33 @@ def _with_right_rows(left_groups: DataFrame, rrows: DataFrame, kc: list[str],
     return j.filter(F.col("__same") > 0).withColumnRenamed("__same", "right_rows")
 
 
+def _left_groups(lrows: DataFrame, rrows: DataFrame, kc: list[str], rs: Resolved,
+                 salted: bool) -> DataFrame:
+    """Distinct left rows (reported and compared columns) with ``left_rows`` and
+    their key's ``right_rows``."""
+    cols = list(dict.fromkeys(rs.output + rs.compare))
+    lg = lrows.groupBy(*kc, *cols).agg(F.count(F.lit(1)).alias("left_rows"))
+    return _with_right_rows(lg, rrows, kc, salted)
+
+
+def _regrouped(groups: DataFrame, kc: list[str], rs: Resolved, more: list[str]) -> DataFrame:
+    """Groups by the reported columns and ``more``: compared columns that are not
+    reported told rows apart until here."""
+    if set(rs.compare) <= set(rs.output):
+        return groups.select(*kc, *rs.output, *more, "right_rows", "left_rows")
+    return groups.groupBy(*kc, *rs.output, *more, "right_rows").agg(
+        F.sum("left_rows").alias("left_rows"))
+
+
 def _changed_rows(frame: DataFrame, kc: list[str], rs: Resolved, mode: str,
                   salted: bool = False) -> DataFrame:
     tcols = [f"__t{i}" for i in range(len(rs.compare))]
     lrows, rrows = _sides(frame)
-    texts = [(c, t) for c, t in zip(rs.compare, tcols)]
-    lg = lrows.select(*kc, *rs.output, *[encode(lrows, c, mode).alias(t) for c, t in texts]) \
-        .groupBy(*kc, *rs.output, *tcols).agg(F.count(F.lit(1)).alias("left_rows"))
-    lk = _with_right_rows(lg, rrows, kc, salted)
-    rt = rrows.select(*kc, *[encode(rrows, c, mode).alias(t) for c, t in texts]) \
+    lg = _left_groups(lrows, rrows, kc, rs, salted)
+    lt = lg.select(*lg.columns, *[encode(lg, c, mode).alias(t) for c, t in zip(rs.compare, tcols)])
+    rt = rrows.select(*kc, *[encode(rrows, c, mode).alias(t) for c, t in zip(rs.compare, tcols)]) \
         .groupBy(*kc, *tcols).agg(F.count(F.lit(1)).alias("__n"))
-    j = _with_same(lk, rt, [*kc, *tcols], salted)
+    j = _with_same(_regrouped(lt, kc, rs, tcols), rt, [*kc, *tcols], salted)
     diff = (F.col("right_rows") - F.col("__same")).cast("long")
     return j.select(*rs.output, "left_rows", "right_rows", diff.alias("differing_partners")) \
         .filter(F.col("differing_partners") > 0)
@@ -278,14 +294,14 @@ def _cell_rows(frame: DataFrame, kc: list[str], rs: Resolved, mode: str,
                salted: bool = False) -> DataFrame:
     # a cell row carries the keys, the declared output and one value, so its
     # width does not grow with the number of compared columns
-    lrows, rrows = _sides(frame)
     cell = ["column_name", "left_value", "__v"]
-    lg = lrows.select(*kc, *rs.output, *_stack(lrows, rs, mode, left_values=True)) \
-        .groupBy(*kc, *rs.output, *cell).agg(F.count(F.lit(1)).alias("left_rows"))
-    lk = _with_right_rows(lg, rrows, kc, salted)
+    lrows, rrows = _sides(frame)
+    lg = _left_groups(lrows, rrows, kc, rs, salted)
+    st = lg.select(*kc, *rs.output, "right_rows", "left_rows",
+                   *_stack(lg, rs, mode, left_values=True))
     rv = rrows.select(*kc, *_stack(rrows, rs, mode)) \
         .groupBy(*kc, "column_name", "__v").agg(F.count(F.lit(1)).alias("__n"))
-    j = _with_same(lk, rv, [*kc, "column_name", "__v"], salted)
+    j = _with_same(_regrouped(st, kc, rs, cell), rv, [*kc, "column_name", "__v"], salted)
     diff = (F.col("right_rows") - F.col("__same")).cast("long")
     return j.select(*rs.output, F.col("column_name").alias("mismatch_column"), "left_value",
                     "left_rows", "right_rows", diff.alias("differing_partners")) \
