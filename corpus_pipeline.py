@@ -37,8 +37,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five-word runs) keeps the smallest doc_id."""
     found = forest.groups(docs, k=WORDS)
-    return docs.join(found.where("NOT kept").select("doc_id").distinct(), "doc_id",
-                     "left_anti").select(*docs.columns)
+    copies = found.where("NOT kept").select("doc_id").distinct()
+    # as many as the corpus has: never broadcast
+    return docs.join(copies.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -82,7 +82,7 @@ def groups(docs: DataFrame, k: int = 2, percent: int = PERCENT, **sizes: int) ->
     texts = documents(docs).withColumnRenamed("doc_id", "id")
     rows = sets.select("id", "keys", "s1", "s2").mapInArrow(
         _trees, "tree int, high long, low long, id long, s1 long, s2 long")
-    parts = linked(rows, lambda ids: texts.join(ids, "id"), k, percent, **sizes)
+    parts = linked(rows, lambda ids: texts.join(ids.hint("merge"), "id"), k, percent, **sizes)
     # sets whose smallest document is the same are one document's
     parts = sets.select(*one, "id").join(parts, "id", "left").select(
         *one, F.coalesce("component", "id").alias("component"))

@@ -166,7 +166,7 @@ def _near_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     def texts_of(ids: DataFrame) -> DataFrame:
         at = sets.select(F.col("d1").alias("id"), "at.*").join(ids, "id")
         part = F.substring(F.col("text"), F.col("start") + 1, F.col("end") - F.col("start"))
-        return at.join(texts, "doc_id").select("component", "id", part.alias("text"))
+        return texts.join(at.hint("merge"), "doc_id").select("component", "id", part.alias("text"))
 
     found = linked(rows, texts_of, RUN, PERCENT)
     return sets.join(found, F.col("d1") == F.col("id")).select(
