@@ -29,12 +29,13 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see: ``spark.checkpoint.dir``.
 
     Only a local session without that setting gets a folder of its own."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="corpus-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="corpus-"))
+        base = context.getCheckpointDir()
     return base.rstrip("/")
 
 

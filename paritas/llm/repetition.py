@@ -10,7 +10,8 @@ prefix it shares with its two neighbours. The union of those spans is the
 repeated part of the text.
 
 The verdict keeps a text with at least 20 words, a repeated part of at most 30
-per cent of its words and no single repeat of more than 50 per cent of them.
+per cent of its words and no single repeat of 50 words or more that is over 10
+per cent of them.
 
 Edge cases: a null or empty text has no words and fails. A text of any length
 is taken whole (numbers held at once: 4 bytes a word for each doubling round).
@@ -44,8 +45,9 @@ class Limits:
     least_words: int = 20
     #: Per cent of the words that repeated windows may cover.
     most_repeated: int = 30
-    #: Per cent of the words that the longest single repeat may have.
-    longest_repeat: int = 50
+    #: A single repeat of so many words may have so many per cent of them.
+    long_repeat: int = 50
+    longest_repeat: int = 10
 
 
 def repeated(number: np.ndarray, doc: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -188,7 +190,9 @@ def judge(docs: DataFrame, limits: Limits = Limits(), into: str = "quality") ->
     m = {k: F.col(name)[k] for k in _MEASURES}
     failed = (m["n_words"] < limits.least_words) | (
         100 * m["n_repeat_words"] > limits.most_repeated * m["n_words"])
-    kept = ~failed & (100 * m["longest_repeat"] <= limits.longest_repeat * m["n_words"])
+    long = (m["longest_repeat"] >= limits.long_repeat) & (
+        100 * m["longest_repeat"] > limits.longest_repeat * m["n_words"])
+    kept = ~failed & ~long
     measured = docs.withColumn(name, counted(F.col("text")))
     return measured.withColumn(into, F.struct(
         *[m[k].alias(k) for k in _MEASURES], failed.alias("base_failed"), kept.alias("kept"),

@@ -166,7 +166,8 @@ def test_repetition_query(spark):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (
             n, chars, symbols, dup, repeat)
         assert r.base_failed == (n < 20 or 100 * repeat > 30 * n)
-        assert not (r.base_failed and r.kept)
+        long = r.longest_repeat >= 50 and 100 * r.longest_repeat > 10 * n
+        assert r.kept == (not r.base_failed and not long)
 
 
 def test_repetition_edges(odd, empty):
@@ -175,6 +176,11 @@ def test_repetition_edges(odd, empty):
     by = {r.doc_id: r.verdict for r in rows}
     assert by[3].n_words == by[4].n_words == 0 and by[3].base_failed
     assert by[7].n_repeat_words == 30_000 and not by[7].kept
+    twice = [f"a{i}" for i in range(60)] + [f"b{i}" for i in range(400)] + [
+        f"a{i}" for i in range(60)]
+    row = repetition.judge(odd.sparkSession.createDataFrame([(" ".join(twice),)], "text string"))
+    verdict = row.first().quality
+    assert verdict.longest_repeat == 60 and not verdict.base_failed and not verdict.kept
     assert repetition.judge(empty).count() == 0
 
 
