@@ -1,5 +1,6 @@
-from .values import (JSON_OPTIONS, SENTINEL, all_of, any_of, cell_text, comparable, differs, fingerprint,
-                     in_common, number_text, sentinel_text, struct_array, exact_type)
+from .values import (JSON_OPTIONS, SENTINEL, all_of, any_of, cell_text, comparable, differs,
+                     exact_type, fingerprint, in_common, number_text, sentinel_text, struct_array)
 
-__all__ = ["JSON_OPTIONS", "SENTINEL", "all_of", "any_of", "cell_text", "comparable", "differs", "fingerprint",
-           "exact_type", "in_common", "number_text", "sentinel_text", "struct_array"]
+__all__ = ["JSON_OPTIONS", "SENTINEL", "all_of", "any_of", "cell_text", "comparable", "differs",
+           "exact_type", "fingerprint", "in_common", "number_text", "sentinel_text",
+           "struct_array"]

@@ -209,7 +209,8 @@ def q_cross_matches(spark, d):
 def q_mismatch_counts_by_column(spark, d):
     r = enroll(spark, d)
     counted = cross.cross_column_counts(r.left, r.right, r.rs, "sentinel")
-    return _longs(counted.select("column_name", "mismatch_count"), "mismatch_count").orderBy(F.col("mismatch_count").desc(), "column_name")
+    shown = _longs(counted.select("column_name", "mismatch_count"), "mismatch_count")
+    return shown.orderBy(F.col("mismatch_count").desc(), "column_name")
 
 
 def q_mismatch_percentages(spark, d):

@@ -515,12 +515,14 @@ LATERAL (VALUES
   ('status', 'total_issues', CAST(total_issues AS VARCHAR))) v(section, metric, value)""",
 
     "validation_log": FEED + """
-SELECT '2024-05-01 12:30:00' AS "timestamp", type AS validation_type, 'FAILED' AS status, 'feed_left' AS table1, 'feed_right' AS table2,
+SELECT '2024-05-01 12:30:00' AS "timestamp", type AS validation_type, 'FAILED' AS status,
+       'feed_left' AS table1, 'feed_right' AS table2,
        'column=' || COALESCE(column_name, '') || ', table1_value=' || COALESCE(table1_value, '')
        || ', table2_value=' || COALESCE(table2_value, '') AS details
 FROM structure
 UNION ALL
-SELECT '2024-05-01 12:30:00', 'data_rows', CASE WHEN n = 0 THEN 'PASSED' ELSE 'FAILED' END, 'feed_left', 'feed_right',
+SELECT '2024-05-01 12:30:00', 'data_rows', CASE WHEN n = 0 THEN 'PASSED' ELSE 'FAILED' END,
+       'feed_left', 'feed_right',
        'total_mismatched_rows=' || CAST(n AS VARCHAR) || ', key_columns=o_orderkey'
 FROM (SELECT count(*) AS n FROM mismatched)""",
 
