@@ -87,7 +87,8 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str,
         head.append(("Page-Id", str(page_id)))
     head.append(("WARC-Payload-Digest",
                  "sha1:" + base64.b32encode(bytes.fromhex(digest)).decode()))
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
+    http = ("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
+            f"Content-Length: {len(payload)}\r\n\r\n")
     block = http.encode() + (payload if refers_to is None else b"")
     if refers_to is not None:
         head += [("WARC-Profile", PROFILE), ("Refers-To-Page-Id", str(refers_to))]
