@@ -36,8 +36,9 @@ Q = 8
 #: Edits allowed for each character of an item.
 EDIT_RATE = 0.1
 LEAST_CHARS = 24
-#: Characters of benchmark items searched in one pass over the texts.
-BLOCK_CHARS = 8_000_000
+#: Characters of benchmark items searched in one pass over the texts, and bytes of
+#: texts searched at once: a common q-gram has entries in proportion to both.
+BLOCK_CHARS, TEXT_BYTES = 1_000_000, 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MARK_BITS = 22
@@ -238,7 +239,8 @@ def _matcher(index: Index):
     def matches(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in texts:
             out = []
-            for b in slices(pa.RecordBatch.from_arrays([column.fill_null("")], ["text"])):
+            texts_ = pa.RecordBatch.from_arrays([column.fill_null("")], ["text"])
+            for b in slices(texts_, most=TEXT_BYTES):
                 rows: list[list] = [[] for _ in range(b.num_rows)]
                 chars, text, place, first = normalised(b.column(0))
                 found = index.bands(chars, text, first)
