@@ -41,8 +41,9 @@ from paritas.llm.graph import components
 MOST_APART = 30
 #: Rows whose sketches are all compared; larger regions are one group as they are.
 REGION = 1024
-#: Rows of a run and of a block, whose sets are all compared.
-RUN_ROWS, BLOCK_ROWS = 512, 1024
+#: Rows of a run and of a block, whose sets are all compared, and the shingles
+#: that either holds at most (a longer set is a run of its own).
+RUN_ROWS, BLOCK_ROWS, MOST_SHINGLES = 512, 1024, 4_000_000
 #: Shingles counted by one matrix product.
 COLUMNS = 8192
 
@@ -243,7 +244,7 @@ def _arrays(b: pa.RecordBatch) -> list[np.ndarray]:
 
 
 def _runs(sets: DataFrame, percent: int, run_rows: int) -> DataFrame:
-    """Links within runs of a group's rows: (component, id, root, run)."""
+    """Links within runs of a group's rows: (component, id, size, root, run)."""
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, done, held = TaskContext.get().partitionId(), 0, None
@@ -252,9 +253,9 @@ def _runs(sets: DataFrame, percent: int, run_rows: int) -> DataFrame:
             label = _spanning(*_links(_arrays(b), b.num_rows, percent), b.num_rows)
             ident = np.asarray(b.column("id"))
             return pa.RecordBatch.from_arrays(
-                [b.column("component"), b.column("id"), pa.array(ident[label]),
+                [b.column("component"), b.column("id"), b.column("size"), pa.array(ident[label]),
                  pa.array(np.full(b.num_rows, task << 32 | done))],
-                ["component", "id", "root", "run"])
+                ["component", "id", "size", "root", "run"])
 
         for b in batches:
             b = _after(held, b)
@@ -262,10 +263,14 @@ def _runs(sets: DataFrame, percent: int, run_rows: int) -> DataFrame:
                 continue
             group = np.asarray(b.column("component"))
             cut = np.append(np.flatnonzero(group[1:] != group[:-1]) + 1, b.num_rows)
+            size = np.concatenate([[0], np.cumsum(_columns(b, "size")[0])])
             at = 0
             for end in cut.tolist():
-                while end - at > run_rows or (end < b.num_rows and at < end):
-                    n = min(run_rows, end - at)
+                while at < end:
+                    fits = int(np.searchsorted(size, size[at] + MOST_SHINGLES, "right")) - 1 - at
+                    n = max(1, min(run_rows, fits, end - at))
+                    if end == b.num_rows and n == end - at:
+                        break  # it may go on in the next batch
                     yield out(b.slice(at, n))
                     at, done = at + n, done + 1
             held = b.slice(at)
@@ -274,8 +279,8 @@ def _runs(sets: DataFrame, percent: int, run_rows: int) -> DataFrame:
 
     ordered = (sets.repartitionByRange("component", "k1", "k2", "id")
                .sortWithinPartitions("component", "k1", "k2", "id"))
-    return saved(ordered.select("component", "id", "set").mapInArrow(
-        compared, "component long, id long, root long, run long"), "runs")
+    return saved(ordered.select("component", "id", "size", "set").mapInArrow(
+        compared, "component long, id long, size long, root long, run long"), "runs")
 
 
 def _cells(found: DataFrame, parts: DataFrame, block_rows: int) -> DataFrame:
@@ -283,15 +288,16 @@ def _cells(found: DataFrame, parts: DataFrame, block_rows: int) -> DataFrame:
     groups in several runs and components. ``i`` and ``j`` number the blocks."""
     unsettled = found.groupBy("component").agg(
         F.min("run").alias("low"), F.max("run").alias("high")).where("low < high").select("component")
-    rows = (found.select("component", "id").join(unsettled, "component", "left_semi")
+    rows = (found.select("component", "id", "size").join(unsettled, "component", "left_semi")
             .join(parts.select("id", F.col("component").alias("part")), "id", "left")
             .withColumn("part", F.coalesce("part", "id")))
     rows = saved(rows, "unsettled")
-    size = rows.groupBy("component", "part").agg(F.count("*").alias("rows"))
-    small = size.where(F.col("rows") < block_rows).groupBy("component").agg(
-        F.ceil(F.sum("rows") / block_rows).alias("blocks"))
-    large = size.where(F.col("rows") >= block_rows).select(
-        "component", "part", F.ceil(F.col("rows") / block_rows).alias("own_blocks"))
+    # blocks that a set of rows fills, by their number or their shingles
+    size = rows.groupBy("component", "part").agg(F.greatest(
+        F.count("*") / block_rows, F.sum("size") / MOST_SHINGLES).alias("fills"))
+    small = size.where("fills < 1").groupBy("component").agg(F.ceil(F.sum("fills")).alias("blocks"))
+    large = size.where("fills >= 1").select("component", "part",
+                                            F.ceil("fills").alias("own_blocks"))
     # a large component has blocks of its own; small ones are dealt out whole
     number = F.when(F.col("own_blocks").isNotNull(),
                     F.pmod(F.xxhash64("id"), F.col("own_blocks"))).otherwise(
@@ -350,8 +356,8 @@ def _compared(b: pa.RecordBatch, percent: int) -> pa.RecordBatch:
 
 
 def _sets(texts: DataFrame, k: int) -> DataFrame:
-    """(component, id, k1, k2, set) of texts (component, id, text): the distinct
-    shingles as ascending 64-bit numbers, and the two least."""
+    """(component, id, k1, k2, size, set) of texts (component, id, text): the
+    distinct shingles as ascending 64-bit numbers, the two least, their number."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -365,11 +371,12 @@ def _sets(texts: DataFrame, k: int) -> DataFrame:
                 least = [np.append(h, np.uint64(0))[np.minimum(begin[:-1] + i, len(h))].view(np.int64)
                          for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("component"), b.column("id"), *map(pa.array, least), held],
-                    ["component", "id", "k1", "k2", "set"])
+                    [b.column("component"), b.column("id"), *map(pa.array, least),
+                     pa.array(np.diff(begin)), held],
+                    ["component", "id", "k1", "k2", "size", "set"])
 
     return saved(texts.select("component", "id", "text").mapInArrow(
-        made, "component long, id long, k1 long, k2 long, set binary"), "sets")
+        made, "component long, id long, k1 long, k2 long, size long, set binary"), "sets")
 
 
 def _own(h: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
