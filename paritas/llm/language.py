@@ -33,8 +33,9 @@ DIMENSION = 1024
 SEED = 20240501
 #: A language's prototype is held by the driver and each task; more are refused.
 MOST_LANGUAGES = 2000
-#: Runs of three letters bundled by one matrix product, and texts in one.
-_RUNS, _TEXTS = 8192, 512
+#: Runs of three letters bundled by one matrix product, texts in one, and bytes of
+#: texts taken at once.
+_RUNS, _TEXTS, _BYTES = 4096, 512, 1 << 20
 UNDETERMINED = "und"
 
 
@@ -126,7 +127,7 @@ def learn(docs: DataFrame, learned_from: Column, dimension: int = DIMENSION) ->
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
         for batch in batches:
-            for b in slices(batch):
+            for b in slices(batch, most=_BYTES):
                 coded = b.column("lang").dictionary_encode()
                 names = coded.dictionary.to_pylist()
                 got = bundles(b.column("text"), np.asarray(coded.indices), len(names), dimension)
@@ -161,7 +162,8 @@ def predict(docs: DataFrame, profiles: Profiles, into: str = "language") -> Data
     def best(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in texts:
             out = []
-            for b in slices(pa.RecordBatch.from_arrays([column.fill_null("")], ["text"])):
+            rows = pa.RecordBatch.from_arrays([column.fill_null("")], ["text"])
+            for b in slices(rows, most=_BYTES):
                 vectors = bundles(b.column(0), np.arange(b.num_rows), b.num_rows, dimension)
                 length = np.linalg.norm(vectors, axis=1)
                 for v, n in zip(vectors, length):
