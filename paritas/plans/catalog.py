@@ -20,8 +20,8 @@ from .. import sinks
 from ..operators import counts, cross, diff, match, profile
 from ..session import output_dir
 from ..sources import (ENROLL_COLUMNS, ENROLL_COMPARE, ENROLL_OUTPUT, LINE_KEYS, LINE_OUTPUT,
-                       WIDE_COMPARE, enroll_pair, feed_pair, line_pair, mixed_type_pair, read_table,
-                       sample_rows, wide_pair)
+                       WIDE_COMPARE, as_dataframe, enroll_pair, feed_pair, line_pair,
+                       mixed_type_pair, read_table, sample_rows, wide_pair)
 from ..spec import ReconSpec
 from . import diagnostics, report
 from .validate import GenericComparison, Reconciliation
@@ -341,7 +341,29 @@ def q_sink_table_roundtrip(spark, d):
     name = "paritas_count_differences_" + path.rsplit("_", 1)[-1]
     sinks.clean_names(r.count_differences).write.mode("overwrite") \
         .option("path", path).saveAsTable(name)
-    return spark.table(name)
+    return as_dataframe(spark, f"{spark.catalog.currentDatabase()}.{name}")
+
+
+def q_sink_csv_headless(spark, d):
+    """One file without a header line."""
+    r = enroll(spark, d)
+    path = output_dir(spark, "count_differences_csv")
+    sinks.write_csv(r.count_differences, path, header=False, single_file=True)
+    return sinks.read_csv(spark, path, r.count_differences.schema, header=False)
+
+
+def q_views_sql_text(spark, d):
+    """SQL text with a bound value over the views of a reconciliation."""
+    views = enroll(spark, d).register_views()
+    text = (f"SELECT mismatch_column, count(*) AS cells FROM {views['mismatches']} "
+            "WHERE dev_row_number >= :least GROUP BY mismatch_column")
+    return as_dataframe(spark, (text, {"least": 2}))
+
+
+def q_generic_without_keys(spark, d):
+    """No key named: all common columns are the key."""
+    left, right = feed_pair(spark, d)
+    return GenericComparison(spark, left, right, (), "feed_left", "feed_right").full_diff()
 
 
 def q_sink_csv_roundtrip(spark, d):

@@ -557,6 +557,27 @@ FROM cells""",
 
     "sink_table_roundtrip": ENROLL + "SELECT * FROM count_diffs",
 
+    "sink_csv_headless": ENROLL + "SELECT * FROM count_diffs",
+
+    "views_sql_text": ENROLL + """
+SELECT mismatch_column, count(*) AS cells FROM cells WHERE dev_row_number >= 2
+GROUP BY mismatch_column""",
+
+    "generic_without_keys": FEED + """,
+l AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+      FROM feed_left),
+r AS (SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_orderstatus, o_totalprice,
+             o_orderdate, o_orderpriority FROM feed_right)
+SELECT *, 'LEFT_ONLY' AS status FROM l WHERE NOT EXISTS (
+  SELECT 1 FROM r WHERE r.o_orderkey = l.o_orderkey AND r.o_custkey = l.o_custkey
+    AND r.o_orderstatus = l.o_orderstatus AND r.o_totalprice = l.o_totalprice
+    AND r.o_orderdate = l.o_orderdate AND r.o_orderpriority = l.o_orderpriority)
+UNION ALL
+SELECT *, 'RIGHT_ONLY' FROM r WHERE NOT EXISTS (
+  SELECT 1 FROM l WHERE r.o_orderkey = l.o_orderkey AND r.o_custkey = l.o_custkey
+    AND r.o_orderstatus = l.o_orderstatus AND r.o_totalprice = l.o_totalprice
+    AND r.o_orderdate = l.o_orderdate AND r.o_orderpriority = l.o_orderpriority)""",
+
     "sink_csv_roundtrip": ENROLL + """
 SELECT *, CAST(eligibility_start_date AS TIMESTAMP)
           + to_microseconds(umi_id % 1000000) AS seen,

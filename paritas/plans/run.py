@@ -72,17 +72,22 @@ class _Writer:
 
     Every result is written (an empty result gives an empty folder/table), so
     each observed frame runs exactly once and completely; observations are
-    read only after their write finished.
+    read only after their write finished.  With ``skip_empty`` an empty result
+    is left out (a limit-1 job decides), but for the summary.
     """
 
-    def __init__(self, out: str | None, table_prefix: str | None, run_id: str):
+    def __init__(self, out: str | None, table_prefix: str | None, run_id: str,
+                 skip_empty: bool = False):
         self.out, self.prefix, self.run_id = out, table_prefix, run_id
+        self.skip_empty = skip_empty
         self.written: dict[str, str] = {}
 
     def write(self, name: str, df: DataFrame, metrics: dict | None = None,
-              single_file: bool = False) -> dict:
+              single_file: bool = False, always: bool = False) -> dict:
         """Write ``df``; returns the observed ``metrics`` (``{"rows": count}`` by default)."""
         metrics = metrics or {"rows": F.count(F.lit(1))}
+        if self.skip_empty and not always and df.isEmpty():
+            return dict.fromkeys(metrics, 0)
         obs = Observation(name)
         observed = df.observe(obs, *[e.alias(k) for k, e in metrics.items()])
         if self.out:
@@ -101,7 +106,8 @@ class _Writer:
 def run_validation(spark: SparkSession, left, right, spec: ReconSpec, *,
                    output: str | None = None, table_prefix: str | None = None,
                    left_table: str | None = None, right_table: str | None = None,
-                   count_differences: bool | None = None) -> RunResult:
+                   count_differences: bool | None = None,
+                   skip_empty: bool = False) -> RunResult:
     """Families B-D.  ``count_differences`` defaults to True for ordinal pairing."""
     run_id = _run_id()
     ldf, rdf = as_dataframe(spark, left), as_dataframe(spark, right)
@@ -113,7 +119,7 @@ def run_validation(spark: SparkSession, left, right, spec: ReconSpec, *,
         return RunResult("FAILED", run_id, {}, issues=issues)
     if count_differences is None:
         count_differences = spec.pairing == "ordinal"
-    w = _Writer(output, table_prefix, run_id)
+    w = _Writer(output, table_prefix, run_id, skip_empty)
     rs = recon.rs
 
     # row totals are observed on the key-count aggregate while it feeds the
@@ -125,7 +131,8 @@ def run_validation(spark: SparkSession, left, right, spec: ReconSpec, *,
     cd = counts.count_differences(ldf, rdf, rs, kc)
     figures: dict[str, int] = {}
     if count_differences:
-        figures["keys_with_count_differences"] = w.write("count_differences", cd)["rows"]
+        figures["keys_with_count_differences"] = w.write(
+            "count_differences", cd, always=True)["rows"]  # feeds the observed totals
     else:
         cd.write.format("noop").mode("overwrite").save()
     totals = {k: int(v or 0) for k, v in kobs.get.items()}
