@@ -72,7 +72,7 @@ def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def groups(docs: DataFrame, k: int = 2, percent: int = PERCENT, **sizes: int) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable) and kept.
 
-    sizes: those of runs and blocks, see ``near.linked``."""
+    sizes: those of runs, blocks and regions, see ``near.linked``."""
     nodes = _nodes(docs, k)
     one = ["n_shingles", "d1", "d2"]
     sets = (nodes.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*one)

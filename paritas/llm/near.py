@@ -6,7 +6,8 @@ what sorts them further, and a sketch of 128 bits, each of which agrees with
 probability (1 + J) / 2. Rows whose ``high`` no other node has drop out.
 
 Within a region (equal tree and high) the rows whose sketches leave a chance
-of a link are joined into candidate groups, each row giving one edge at most.
+of a link are joined into candidate groups, each row giving one edge at most;
+all rows of a region with more rows than are compared are one group.
 So every pair that can be a link lies within one group, and no table holds
 pairs. Links are then computed on full sets where a group's rows meet: first
 in runs of rows in MinHash order, which settles all groups of up to a run and
@@ -39,7 +40,7 @@ from paritas.llm.graph import components
 
 #: Sketch bits that may differ: five standard deviations beyond those of J = 0.8.
 MOST_APART = 30
-#: Rows whose sketches are all compared; larger regions are one group as they are.
+#: Rows of a region whose sketches are all compared; all rows of a larger one are one group.
 REGION = 1024
 #: Rows of a run and of a block, whose sets are all compared, and the shingles
 #: that either holds at most (a longer set is a run of its own).
@@ -71,8 +72,10 @@ def sketches(signature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def packed(values: np.ndarray) -> np.ndarray:
-    """16 bits of each of four values (last axis) as one number."""
-    return np.ascontiguousarray((values >> 16).astype(np.uint16)).view(np.int64)[..., 0]
+    """16 bits of each of four values (last axis) as one number. The bits are
+    mixed from all 32, as the upper ones of a long text's minima are all zero."""
+    bits = (values * np.uint32(0x9E3779B1)) >> np.uint32(16)
+    return np.ascontiguousarray(bits.astype(np.uint16)).view(np.int64)[..., 0]
 
 
 def digests(h: np.ndarray, owner: np.ndarray, texts: int,
@@ -161,54 +164,71 @@ def _edges(ident: np.ndarray, label: np.ndarray) -> pa.RecordBatch:
         [pa.array(ident[label[some]]), pa.array(ident[some])], ["a", "b"])
 
 
-def candidate_groups(company: DataFrame, most_apart: int) -> DataFrame:
+def candidate_groups(company: DataFrame, most_apart: int, region: int = REGION) -> DataFrame:
     """(id, component): groups outside of which there is no candidate."""
-
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the rows of the last part of a region, which may go on
-        for b in batches:
-            b = _after(held, b)
-            if not b.num_rows:
-                continue
-            part, linked_to_last = _parts(b)
-            n = int(np.flatnonzero(part == part[-1])[0])
-            held = b.slice(n)
-            if n:
-                yield _sketch_edges(b.slice(0, n), part[:n], most_apart)
-            if n and linked_to_last[n]:
-                ident = np.asarray(b.column("id"))[n - 1:n + 1]
-                yield _edges(ident, np.zeros(2, np.int64))
-        if held is not None and held.num_rows:
-            yield _sketch_edges(held, _parts(held)[0], most_apart)
-
     ordered = (company.repartition("tree", "high")
                .sortWithinPartitions("tree", "high", "low", "id"))
-    return components(ordered.mapInArrow(joined, "a long, b long"))
-
-
-def _parts(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Regions in parts of REGION rows: each row's part, and whether it begins a
-    part other than the first of its region."""
+    return components(ordered.mapInArrow(
+        lambda batches: _candidates(batches, most_apart, region), "a long, b long"))
+
+
+def _candidates(batches: Iterator[pa.RecordBatch], most_apart: int, region: int,
+                ) -> Iterator[pa.RecordBatch]:
+    """Edges of sorted rows: by sketches in regions of up to ``region`` rows, of
+    each row with the one before it in larger ones."""
+    held, large = None, False  # the last part of a region, and whether others came before it
+    for b in batches:
+        b = _after(held, b)
+        if not b.num_rows:
+            continue
+        part, later = _parts(b, region)
+        n = int(np.flatnonzero(part == part[-1])[0])
+        held = b.slice(n)
+        if n:
+            yield _region_edges(b.slice(0, n), part[:n], later[:n],
+                                _whole(part, later, large)[:n], most_apart)
+            large = bool(later[n])
+        if large and n:
+            ident = np.asarray(b.column("id"))[n - 1:n + 1]
+            yield _edges(ident, np.zeros(2, np.int64))
+    if held is not None and held.num_rows:
+        part, later = _parts(held, region)
+        yield _region_edges(held, part, later, _whole(part, later, large), most_apart)
+
+
+def _parts(b: pa.RecordBatch, region: int) -> tuple[np.ndarray, np.ndarray]:
+    """Regions in parts of ``region`` rows: each row's part, counted from 0, and
+    whether it begins a part other than the first of its region."""
     tree, high = _columns(b, "tree", "high")
     new = np.append(True, (tree[1:] != tree[:-1]) | (high[1:] != high[:-1]))
     place = np.arange(len(new))
     within = place - np.maximum.accumulate(np.where(new, place, 0))
-    later = ~new & (within % REGION == 0)
-    return np.cumsum(new | later), later
+    later = ~new & (within % region == 0)
+    return np.cumsum(new | later) - 1, later
+
+
+def _whole(part: np.ndarray, later: np.ndarray, large: bool) -> np.ndarray:
+    """Whether each row's region has several parts; large: that of the first row has."""
+    several = np.zeros(part[-1] + 1, bool)
+    several[0] = large
+    after = part[later]
+    several[after] = several[after - 1] = True
+    return several[part]
 
 
-def _sketch_edges(b: pa.RecordBatch, part: np.ndarray, most_apart: int) -> pa.RecordBatch:
+def _region_edges(b: pa.RecordBatch, part: np.ndarray, later: np.ndarray, whole: np.ndarray,
+                  most_apart: int) -> pa.RecordBatch:
     ident, s1, s2 = _columns(b, "id", "s1", "s2")
-    left, right = [], []
-    size = int(np.bincount(part - part[0]).max())
+    # rows of a larger region with the one before, over the parts' borders as well
+    right = np.flatnonzero(whole[1:] & ((part[1:] == part[:-1]) | later[1:])) + 1
+    left, right = [right - 1], [right]
+    size = int(np.bincount(part[~whole]).max()) if not whole.all() else 0
     for d in range(1, size):
-        a = np.flatnonzero(part[d:] == part[:-d])
+        a = np.flatnonzero((part[d:] == part[:-d]) & ~whole[d:])
         a = a[_apart(s1[a], s2[a], s1[a + d], s2[a + d]) <= most_apart]
         left.append(a)
         right.append(a + d)
-    later = np.flatnonzero(_parts(b)[1])  # parts of one region are one group
-    left, right = np.concatenate([*left, later - 1]), np.concatenate([*right, later])
-    return _edges(ident, _spanning(left, right, len(ident)))
+    return _edges(ident, _spanning(np.concatenate(left), np.concatenate(right), len(ident)))
 
 
 def shared(sets: list[np.ndarray], first: int) -> np.ndarray:
@@ -389,12 +409,12 @@ def _own(h: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def linked(rows: DataFrame, texts_of: Callable[[DataFrame], DataFrame], k: int, percent: int,
            most_apart: int = MOST_APART, run_rows: int = RUN_ROWS,
-           block_rows: int = BLOCK_ROWS) -> DataFrame:
+           block_rows: int = BLOCK_ROWS, region: int = REGION) -> DataFrame:
     """(id, component) of all nodes that have a link.
 
     rows: (tree, high, low, id, s1, s2); texts_of: gives (component, id, text)
     for a table of (component, id)."""
-    groups = saved(candidate_groups(in_company(rows), most_apart), "groups")
+    groups = saved(candidate_groups(in_company(rows), most_apart, region), "groups")
     sets = _sets(texts_of(groups), k)
     found = _runs(sets, percent, run_rows)
     links = found.where("id <> root").select(F.col("root").alias("a"), F.col("id").alias("b"))

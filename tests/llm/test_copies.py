@@ -6,10 +6,12 @@ import re
 from collections import Counter, defaultdict
 
 import corpus_pipeline
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tests.llm.conftest import TEXTS
 
-from paritas.llm import forest, graph, paragraphs, queries
+from paritas.llm import forest, graph, near, paragraphs, queries
 
 SF = "/root/testdata/sf0.001"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -99,6 +101,53 @@ def test_forest_chains_and_families(spark):
     check_groups(forest.groups(frame, run_rows=7, block_rows=20).collect(), docs, 2)
 
 
+def test_keys_of_long_texts():
+    """Unlike texts of 300,000 shingles have unlike keys in every tree."""
+    random_hashes = np.random.default_rng(3).integers(0, 2**64, 4 * 300_000, dtype=np.uint64)
+    signature = near.signatures(random_hashes, np.repeat(np.arange(4), 300_000), 4, 160)
+    keys = near.packed(signature.reshape(4, 40, 4))
+    assert all(len(set(keys[:, i].tolist())) == 4 for i in range(40))
+
+
+def test_large_regions_are_one_group():
+    """All rows of a region above the limit are linked, wherever batches are cut."""
+    rng = np.random.default_rng(4)
+    sizes = [3, 4, 5, 8, 1, 9, 30, 2]
+    high = np.repeat(np.arange(len(sizes)), sizes)
+    n = len(high)
+    s1, s2 = rng.integers(-2**63, 2**63 - 1, (2, n))  # nobody's sketch is near another's
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array(x) for x in (np.zeros(n, np.int32), high, rng.permutation(n), s1, s2)],
+        ["tree", "high", "id", "s1", "s2"])
+    ident = rows.column("id").to_pylist()
+    for cut in (1, 2, 4, 7, n):
+        batches = [rows.slice(i, cut) for i in range(0, n, cut)]
+        group, edges = Groups(), 0
+        for e in near._candidates(iter(batches), 10, 4):
+            for a, b in zip(*(c.to_pylist() for c in e.columns)):
+                group.join(a, b)
+                edges += 1
+        for h, size in enumerate(sizes):
+            roots = {group.root(ident[i]) for i in range(n) if high[i] == h}
+            assert len(roots) == (1 if size > 4 else size), (cut, h)
+        assert edges == sum(s - 1 for s in sizes if s > 4)
+
+
+def test_forest_long_texts_in_large_regions(spark):
+    """A pair of long near copies is found among unlike long texts, regions of three rows."""
+    rng = np.random.default_rng(5)
+    docs = []
+    for i in range(8):
+        docs.append((i, rng.integers(0, 10**9, 250_000)))
+    near_copy = docs[0][1].copy()
+    near_copy[::50] = -1
+    docs.append((8, near_copy))
+    frame = spark.createDataFrame([(i, " ".join(map(str, w.tolist()))) for i, w in docs],
+                                  "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in forest.groups(frame, region=3).collect()}
+    assert got == {**{i: i for i in range(8)}, 8: 0}
+
+
 def test_forest_edges(odd, empty):
     rows = forest.groups(odd, k=5).collect()
     assert len(rows) == len(TEXTS)
