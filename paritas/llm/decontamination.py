@@ -9,12 +9,16 @@ and band of diagonals; bands are 2 (k + 1) wide and begin every k + 1, so that
 one of them holds the whole occurrence. Bands that reach the bound are
 verified by an alignment kept to their diagonals, with free ends in the text.
 
+Items of fewer than 24 characters after normalisation are searched without
+edits. Those of fewer than 8 have no q-gram and are looked up whole, between
+word borders: where two letters or digits meet is none.
+
 Items are a stated set, read in blocks of a bounded number of characters; each
 block's index goes to all tasks, and every text is scanned whole against it.
 
-Edge cases: null or empty texts match nothing; null items and items of fewer
-than 24 characters after normalisation are not searched, since such strings
-also occur by chance. Items repeated in the benchmark each match. Repeated
+Edge cases: null or empty texts match nothing; null items and items without a
+character other than white space are not searched. Items repeated in the
+benchmark each match. Repeated
 rows each get their matches; extra columns stay as they are. An empty
 benchmark leaves every text without matches.
 """
@@ -33,7 +37,7 @@ from pyspark.sql import functions as F
 from paritas.llm.common import code_points, slices
 
 Q = 8
-#: Edits allowed for each character of an item.
+#: Edits allowed for each character of an item; none for items of fewer characters.
 EDIT_RATE = 0.1
 LEAST_CHARS = 24
 #: Characters of benchmark items searched in one pass over the texts, and bytes of
@@ -58,6 +62,12 @@ def _plain() -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=1)
+def _in_words() -> np.ndarray:
+    """Whether each code point is a letter or digit."""
+    return np.array([chr(i).isalnum() for i in range(0x110000)])
+
+
 def normalised(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Characters of all texts, the text and the original place of each, and
     where each text begins (one more than texts)."""
@@ -93,16 +103,20 @@ class Index:
     item: np.ndarray
     at: np.ndarray
     mark: np.ndarray
+    short: dict[int, tuple[np.ndarray, dict[bytes, list[int]]]]  # by length, without q-grams
 
     @classmethod
     def of(cls, rows: list[tuple[int | None, str]], q: int = Q, rate: float = EDIT_RATE) -> Index:
         ids, items, hashes, item, at = [], [], [], [], []
+        short: dict[int, dict[bytes, list[int]]] = {}
         for ident, text in rows:
             chars = normalised(pa.array([text]))[0]
             chars = chars[(chars != 32).argmax():]  # at most one space at each end
             chars = chars[:-1] if len(chars) and chars[-1] == 32 else chars
-            if len(chars) < LEAST_CHARS:
+            if not len(chars):
                 continue
+            if len(chars) < q:
+                short.setdefault(len(chars), {}).setdefault(chars.tobytes(), []).append(len(items))
             h, _ = _grams(chars, np.zeros(len(chars), np.int64), q)
             hashes.append(h)
             item.append(np.full(len(h), len(items)))
@@ -112,6 +126,7 @@ class Index:
         n = np.array([len(x) for x in items], np.int64)
         # fewer edits for short items, so that one q-gram at least is left
         budget = np.minimum((n * rate).astype(np.int64), np.maximum(0, n // q - 1))
+        budget[n < LEAST_CHARS] = 0
         h = np.concatenate(hashes) if items else np.zeros(0, np.uint64)
         order = np.argsort(h, kind="stable")
         grams, first = np.unique(h[order], return_index=True)
@@ -119,7 +134,7 @@ class Index:
         mark[_mark(grams)] = True
         cat = lambda x: np.concatenate(x)[order] if items else np.zeros(0, np.int64)
         return cls(ids, items, budget, n + 1 - q * (budget + 1), grams, np.append(first, len(h)),
-                   cat(item), cat(at), mark)
+                   cat(item), cat(at), mark, {m: (_hashes_of(x, m), x) for m, x in short.items()})
 
     def bands(self, chars: np.ndarray, text: np.ndarray, first: np.ndarray,
               q: int = Q) -> np.ndarray:
@@ -152,6 +167,28 @@ class Index:
                          some % span + low], 1)
 
 
+def _hashes_of(items: dict[bytes, list[int]], n: int) -> np.ndarray:
+    chars = np.frombuffer(b"".join(items), np.uint32)
+    return np.unique(_grams(chars, np.zeros(len(chars), np.int64), n)[0][::n])
+
+
+def _whole(index: Index, chars: np.ndarray, text: np.ndarray, first: np.ndarray,
+           ) -> Iterator[tuple[int, int, int, int, int]]:
+    """(text, item, begin, end, edits) of the items too short for q-grams."""
+    if not index.short or not len(chars):
+        return
+    word = _in_words()[chars]
+    border = np.ones(len(chars) + 1, bool)
+    border[1:-1] = ~(word[1:] & word[:-1]) | (text[1:] != text[:-1])
+    for n, (hashes, items) in index.short.items():
+        h, within = _grams(chars, text, n)
+        at = np.flatnonzero(border[:len(h)] & border[n:] & within)
+        for i in at[np.isin(h[at], hashes)].tolist():
+            t = int(text[i])
+            for item in items.get(chars[i:i + n].tobytes(), ()):
+                yield t, item, i - int(first[t]), i - int(first[t]) + n, 0
+
+
 def _counted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     key = np.sort(key)
     first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
@@ -245,7 +282,8 @@ def _matcher(index: Index):
                 chars, text, place, first = normalised(b.column(0))
                 found = index.bands(chars, text, first)
                 # neighbouring runs of bands may find one occurrence twice
-                for t, i, s, e, edits in sorted(set(_verified(index, found, chars, first))):
+                for t, i, s, e, edits in sorted({*_verified(index, found, chars, first),
+                                                *_whole(index, chars, text, first)}):
                     at = place[first[t]:first[t + 1]]
                     rows[t].append({"item_id": index.ids[i], "start": int(at[s]),
                                     "end": int(at[e - 1]) + 1, "edits": edits})

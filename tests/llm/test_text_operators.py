@@ -243,6 +243,25 @@ def test_leaks_edges(spark, odd, empty):
     assert all(not r.leaks for r in decontamination.scan(odd, items.limit(0)).collect())
 
 
+def test_leaks_of_short_items(spark):
+    """Verbatim only; those without a q-gram between word borders."""
+    items = {1: "Four, two.", 2: " paris ", 3: "42", 4: "A", 5: "What is  the sum of 2?",
+             6: "PARIS", 7: " ", 8: "C++"}
+    texts = {1: "Say four,\ttwo.", 2: "in Paris", 3: "comparison 1421 4.2", 4: "(42)", 5: "a 42",
+             6: "what is the sum of 2? x", 7: "what is the sun of 2? x", 8: "c++", 9: "xc++ ",
+             10: "four; two.", 11: "", 12: None}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r.doc_id, m.item_id, texts[r.doc_id][m.start:m.end], m.edits)
+           for r in decontamination.scan(docs, bench).collect() for m in r.leaks}
+    assert got == {(1, 1, "four,\ttwo.", 0), (2, 2, "Paris", 0), (2, 6, "Paris", 0),
+                   (4, 3, "42", 0), (5, 3, "42", 0), (5, 4, "a", 0),
+                   (6, 5, "what is the sum of 2?", 0), (8, 8, "c++", 0)}
+    # a benchmark of nothing but items without q-grams
+    few = decontamination.scan(docs, bench.where("item_id = 3")).where("size(leaks) > 0")
+    assert sorted(r.doc_id for r in few.collect()) == [4, 5]
+
+
 # --- sharding ---------------------------------------------------------------
 def test_lookup_table():
     names = [f"s{i}" for i in range(7)]
