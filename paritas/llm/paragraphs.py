@@ -1,6 +1,6 @@
 """Substring dedup: near-equal paragraphs by MinHash banding, repeated passages by content.
 
-Two kinds of paragraphs are compared. Lines of at least 50 words are near
+Two kinds of paragraphs are compared. Lines of at least 24 words are near
 copies of each other if their sets of 5-word runs have a Jaccard similarity of
 0.8 or more: eight bands of three MinHash values bring candidates together
 (a pair at 0.8 is missed by all with probability (1 - 0.8**3)**8 = 0.3 per
@@ -9,6 +9,8 @@ components. Passages that stand inside other text have no borders of their
 own, so content sets them: in every 24 successive 5-word runs the one with the
 least hash begins a paragraph of 24 words. Any run of 51 words that two texts
 share holds such a paragraph in both, and those are compared for equality.
+Shorter shared passages inside lines, and edited ones, are found only where a
+paragraph happens to lie in an unedited part.
 
 Clusters within one document alone are left to the rules on repetition. In
 each other cluster the copy with the smallest (doc_id, start) stays; the others are
@@ -36,7 +38,7 @@ from paritas.llm.near import digests, in_company, linked, signatures, sketches
 RUN = 5
 PERCENT = 80
 #: Lines of fewer words are compared as parts of the text around them only.
-LINE_WORDS = 50
+LINE_WORDS = 24
 BANDS, BAND_VALUES = 8, 3
 #: Words of a content-set paragraph, and runs of which one begins one.
 BLOCK_WORDS, CHOICE = 24, 24

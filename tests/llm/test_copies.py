@@ -218,6 +218,24 @@ def test_passages_inside_text(spark):
     assert len(rest[5]) < len(text[5])
 
 
+def test_short_lines(spark):
+    """Lines of 24 words and more are found as equal and as near copies."""
+    random.seed(14)
+    fresh = lambda n: [f"g{random.randrange(10**9)}" for _ in range(n)]
+    docs, n = [], 0
+    for size in (24, 26, 30, 40, 49):
+        for edited in (False, True):
+            line = fresh(size)
+            other = [*line[:-1], "other"] if edited else line
+            docs.append((n, " ".join(fresh(30)) + "\n" + " ".join(line)))
+            docs.append((n + 1, " ".join(other) + "\n" + " ".join(fresh(30))))
+            n += 2
+    rows = paragraphs.repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    whole = {(r.doc_id, r.first_doc_id) for r in rows if not r.kept and r.start == 0
+             and r.end == docs[r.doc_id][1].index("\n")}
+    assert whole == {(i + 1, i) for i in range(0, n, 2)}
+
+
 def test_passages_edges(odd, empty):
     rows = paragraphs.repeats(odd).collect()
     assert all(r.doc_id is not None for r in rows) and not {7, 9} & {r.doc_id for r in rows}
