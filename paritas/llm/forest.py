@@ -2,12 +2,13 @@
 
 A text's set holds its distinct runs of k words (all of its words as one run
 if they are fewer). Texts with equal sets are one node. The forest is a number
-of trees, each a sorted order of the nodes by eight MinHash values; candidates
-are neighbours with the longest common prefix, and at least four values in
-common. So the depth at which a node meets others adapts to how dense its
-region is. Nodes whose sketches leave a chance of a link are joined into
-candidate groups; links are computed there on full sets, and give connected
-components (see ``near``).
+of trees, each a sorted order of the nodes by eight MinHash values. Candidates
+have the first four values of a tree in common and sketches that leave a chance
+of a link: a prefix of fixed depth with sketches stands in for the neighbours
+of longest common prefix, whose depth would adapt to how dense a region is. The
+other four values only sort what shares a prefix. Candidates are joined into
+groups; links are computed there on full sets, and give connected components
+(see ``near``).
 
 With 20 trees and a prefix of four values, a pair with Jaccard similarity 0.8
 shares no region with probability (1 - 0.8**4)**20 = 3e-5.
