@@ -7,7 +7,7 @@ import pytest
 
 from conftest import SF001
 from paritas import sinks
-from paritas.plans.catalog import enroll
+from paritas.plans.catalog import enroll, q_sink_csv_headless
 
 
 def test_clean_names(spark):
@@ -28,6 +28,27 @@ def test_csv_arrays_become_text(spark):
     assert sinks.csv_ready(df).first().cols == '["a","b"]'
 
 
+def test_headless_query_writes_from_all_tasks(spark, monkeypatch):
+    """The result grows with the input, so it is not brought into one task."""
+    write, single = sinks.write_csv, []
+
+    def watched(df, path, header=True, single_file=False, skip_empty=False):
+        single.append(single_file)
+        return write(df, path, header, single_file, skip_empty)
+
+    monkeypatch.setattr(sinks, "write_csv", watched)
+    got, want = q_sink_csv_headless(spark, SF001), enroll(spark, SF001).count_differences
+    assert single == [False] and sorted(got.collect()) == sorted(want.collect())
+
+
+def test_single_file_without_header(spark):
+    df = spark.range(100).repartition(5)
+    path = os.path.join(tempfile.mkdtemp(prefix="paritas-csv-"), "out")
+    assert sinks.write_csv(df, path, header=False, single_file=True) == 100
+    assert len([f for f in os.listdir(path) if f.endswith(".csv")]) == 1
+    assert sinks.read_csv(spark, path, df.schema, header=False).count() == 100
+
+
 def test_skip_empty_writes_nothing(spark):
     df = spark.createDataFrame([], "k int")
     path = os.path.join(tempfile.mkdtemp(prefix="paritas-csv-"), "out")
