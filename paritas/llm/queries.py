@@ -17,6 +17,7 @@ from paritas.llm import (
     repetition,
     secrets,
     sharding,
+    spelling,
     warc,
 )
 from paritas.llm.common import table
@@ -86,6 +87,10 @@ def op10_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFram
                                                    "language.score")
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_paragraph_dedup": op1_paragraph_dedup,
     "op2_lsh_forest": op2_lsh_forest,
@@ -97,10 +102,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rans_tokens": op8_rans_tokens,
     "op9_qgram_decontamination": op9_qgram_decontamination,
     "op10_hyperdimensional_language": op10_hyperdimensional_language,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 _HELD = sharding.lookup_table([f"shard-{i:05d}" for i in range(sharding.SHARDS)])
 
+# crc32 by its table of 256 entries, a byte at a time: DuckDB has no function for it
+_CRC_TABLE = """crc_table AS (SELECT list(v ORDER BY i) AS t FROM (
+          SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+            CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+          FROM range(256) r(i)))"""
+
+
+def _crc32(text: str) -> str:
+    """SQL for crc32 of the UTF-8 bytes of a text; needs ``crc_table``."""
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+            range(1, 1 + strlen({text})), lambda k: ('0x' || substr(hex(encode({text})), 2 * k - 1, 2))::BIGINT)),
+            lambda c, b: xor(t[1 + (xor(c, b) & 255)], c >> 8)), 4294967295)"""
+
+
 ORACLE: dict[str, str] = {
     "op5_warc": """
         WITH own AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
@@ -119,4 +139,34 @@ ORACLE: dict[str, str] = {
           CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT)
             % {sharding.SLOTS} AS slot FROM documents)
         SELECT doc_id, slot, CAST(owner[slot + 1] AS INTEGER) AS shard FROM slots, held""",
+    "op13_spelling_variants": f"""
+        WITH RECURSIVE {_CRC_TABLE},
+        runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+        counted AS (SELECT id, run, count(*) AS n FROM runs GROUP BY ALL),
+        hashed AS (SELECT run, n, {_crc32("(id || ':' || run)")} AS h FROM counted, crc_table
+          WHERE length(run) >= 6),
+        mended AS (SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run))
+          || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed),
+        words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM mended WHERE length(word) >= 6
+          GROUP BY word HAVING sum(n) >= 5),
+        cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+          FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+        pairs AS (
+          SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM cut a JOIN cut b
+            ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+          UNION SELECT a.word, a.n, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+          UNION SELECT b.word, b.n, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS k,
+          count(*) OVER (PARTITION BY word) AS n_near FROM pairs),
+        known AS (SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near,
+          CASE WHEN r.near_n >= 5 * w.n THEN r.near END AS form,
+          CASE WHEN r.near_n >= 5 * w.n THEN r.near_n END AS form_n
+          FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.k = 1),
+        chains AS (SELECT word, word AS root, 0 AS steps FROM known
+          UNION ALL SELECT c.word, k.form, c.steps + 1 FROM chains c JOIN known k ON k.word = c.root
+          WHERE k.form IS NOT NULL)
+        SELECT k.word, form, arg_max(root, steps) AS root, n, n_near, form_n
+        FROM known k JOIN chains c ON c.word = k.word GROUP BY ALL""",
 }
