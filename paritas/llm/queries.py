@@ -14,23 +14,25 @@ from paritas.llm import (
     packing,
     paragraphs,
     rans,
+    repair,
     repetition,
     secrets,
     sharding,
     spelling,
+    tournament,
     warc,
 )
 from paritas.llm.common import table
 
 #: Path of the tokenizer file the queries use; a parameter of the operators.
-TOKENIZER = "word_bpe_49k.json"
+TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
 END_ID = 1
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def op1_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +89,14 @@ def op10_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFram
                                                    "language.score")
 
 
+def op11_viterbi_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_tournament_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tournament.pack(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENIZER), END_ID)
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
@@ -102,6 +112,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rans_tokens": op8_rans_tokens,
     "op9_qgram_decontamination": op9_qgram_decontamination,
     "op10_hyperdimensional_language": op10_hyperdimensional_language,
+    "op11_viterbi_repair": op11_viterbi_repair,
+    "op12_tournament_packing": op12_tournament_packing,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
@@ -117,7 +129,7 @@ _CRC_TABLE = """crc_table AS (SELECT list(v ORDER BY i) AS t FROM (
 def _crc32(text: str) -> str:
     """SQL for crc32 of the UTF-8 bytes of a text; needs ``crc_table``."""
     return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
-            range(1, 1 + strlen({text})), lambda k: ('0x' || substr(hex(encode({text})), 2 * k - 1, 2))::BIGINT)),
+            range(1, 1 + strlen({text})), lambda i: ('0x' || substr(hex(encode({text})), 2 * i - 1, 2))::BIGINT)),
             lambda c, b: xor(t[1 + (xor(c, b) & 255)], c >> 8)), 4294967295)"""
 
 
@@ -139,6 +151,66 @@ ORACLE: dict[str, str] = {
           CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT)
             % {sharding.SLOTS} AS slot FROM documents)
         SELECT doc_id, slot, CAST(owner[slot + 1] AS INTEGER) AS shard FROM slots, held""",
+    "op11_viterbi_repair": f"""
+        WITH RECURSIVE {_CRC_TABLE},
+        keyed AS (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':'
+          || coalesce(CAST(turn AS VARCHAR), ' ') AS named FROM conversations),
+        kinds AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+          {_crc32("named")} % 20 AS kind FROM keyed, crc_table),
+        rows_ AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+          CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END
+            AS text, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+          FROM kinds),
+        placed AS (SELECT *, row_number() OVER o AS i, lag(left(role, 1)) OVER o AS before
+          FROM rows_ WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text))),
+        faulty AS (SELECT *, rtrim(text, e' \t\n\x0B\x0C\r') AS body,
+          row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen FROM placed),
+        judged AS (SELECT *, left(role, 1) AS initial, CASE WHEN body = '' THEN 'b' WHEN seen THEN 'd'
+          WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault FROM faulty),
+        figures AS (SELECT conv_id, max(i) AS n,
+          coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+          count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+          count(*) FILTER (fault = 't') AS truncated,
+          count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au'))
+            AS illegal FROM judged GROUP BY conv_id),
+        -- up to three insertions from each state ('' nothing yet, or the last initial)
+        steps AS (SELECT * FROM (VALUES ('', 'u', 'user'), ('s', 'u', 'user'),
+          ('u', 'a', 'assistant'), ('a', 'u', 'user')) v(was, now, said)),
+        added AS (
+          SELECT was AS f, was AS g, '' AS marks, []::VARCHAR[] AS lines FROM steps
+          UNION SELECT was, now, 'I', [said || ':'] FROM steps
+          UNION SELECT x.was, y.now, 'II', [x.said || ':', y.said || ':']
+          FROM steps x JOIN steps y ON y.was = x.now),
+        -- ways through the first i rows: for each last initial the least (cost, audit)
+        ways AS (
+          SELECT conv_id, CAST(0 AS BIGINT) AS i, '' AS last,
+            {{'cost': CAST(0 AS BIGINT), 'audit': '', 'lines': []::VARCHAR[]}} AS way FROM figures
+          UNION ALL
+          SELECT conv_id, i, last, min(way) AS way FROM (
+            SELECT j.conv_id, j.i, CASE e.edit WHEN 'D' THEN a.g WHEN 'K' THEN j.initial ELSE s.now END
+              AS last, {{'cost': w.way.cost + 5 * length(a.marks) + e.price
+                + CASE WHEN j.fault = 't' AND e.edit <> 'D' THEN 5 ELSE 0 END,
+              'audit': w.way.audit || a.marks || e.edit,
+              'lines': w.way.lines || a.lines || CASE e.edit WHEN 'D' THEN []::VARCHAR[]
+                WHEN 'K' THEN [j.role || ':' || j.text] ELSE [s.said || ':' || j.text] END}} AS way
+            FROM ways w JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.i = w.i + 1
+            JOIN added a ON a.f = w.last JOIN steps s ON s.was = a.g
+            JOIN (VALUES ('D', 2), ('K', 0), ('R', 1)) e(edit, price) ON e.edit = 'D'
+              OR (j.fault NOT IN ('b', 'd') AND (e.edit = 'R'
+                OR (a.g || ':' || j.initial IN (':s', ':u', 's:u', 'u:a', 'a:u')))))
+          GROUP BY conv_id, i, last),
+        ended AS (SELECT f.conv_id, min({{'cost': w.way.cost + 5 * length(a.marks),
+            'audit': w.way.audit || a.marks, 'lines': w.way.lines || a.lines}}) AS best
+          FROM figures f JOIN ways w ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND w.i = f.n
+          JOIN added a ON a.f = w.last AND a.g IN ('', 'a') GROUP BY f.conv_id)
+        SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+          coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+          coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost,
+          coalesce(best.audit, '') AS audit,
+          sha256(coalesce(array_to_string(best.lines, e'\n'), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) c
+        LEFT JOIN figures f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+        LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id""",
     "op13_spelling_variants": f"""
         WITH RECURSIVE {_CRC_TABLE},
         runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(

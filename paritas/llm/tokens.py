@@ -11,8 +11,10 @@ import pyarrow as pa
 
 from paritas.llm.common import LOWER, byte_buffer
 
-#: Pieces whose ids one worker keeps at most; beyond it the memory starts anew.
-KNOWN_PIECES = 1_000_000
+#: Bytes one worker keeps pieces and their ids in, about; beyond it the memory starts anew.
+KNOWN_BYTES = 32 << 20
+#: Bytes of a kept piece beside its characters and ids, about.
+_PIECE_BYTES = 160
 #: Bytes of text encoded at once (distinct pieces are looked up once each time).
 TOKEN_SLICE = 4 << 20
 
@@ -30,7 +32,12 @@ _PLAIN_WORD = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 _TOGETHER = 256
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
+def byte_tokens(path: str) -> ByteTokens:
+    return ByteTokens(path)
+
+
+@lru_cache(maxsize=1)
 def word_tokens(path: str) -> WordTokens:
     """One for each worker process and file, so that tasks find what earlier ones learned."""
     return WordTokens(path)
@@ -45,6 +52,9 @@ class WordTokens:
     The vocabulary is lower case: A-Z is lowered first, but for texts that may
     hold a special token's string."""
 
+    #: Pieces that may be encoded together, and what stands between them then.
+    plain, glue = _PLAIN_WORD, " "
+
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -55,19 +65,24 @@ class WordTokens:
         self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self._forget()
 
+    def _ends(self, flat: np.ndarray) -> np.ndarray:
+        """Where the ids of each piece end, of plain pieces encoded together."""
+        return np.flatnonzero(self.ends_word[flat]) + 1
+
     def _forget(self) -> None:
         self.known: dict[str, int] = {"": 0}
+        self.used = 0
         self.ids = np.zeros(1 << 16, np.uint32)
         self.bounds = np.zeros(1 << 16, np.int64)  # piece i has ids[bounds[i]:bounds[i + 1]]
         self.pieces = 1
 
     def _numbers(self, pieces: list[str]) -> np.ndarray:
-        if len(self.known) + len(pieces) > KNOWN_PIECES and self.pieces > 1:
+        if self.used > KNOWN_BYTES:
             self._forget()
         new = [p for p in pieces if p not in self.known]
         if new:
-            plain = [p for p in new if _PLAIN_WORD.fullmatch(p)]
-            other = [p for p in new if not _PLAIN_WORD.fullmatch(p)]
+            plain = [p for p in new if self.plain.fullmatch(p)]
+            other = [p for p in new if not self.plain.fullmatch(p)]
             (first, size), (more, sizes) = self._of_words(plain), self._one_by_one(other)
             new, flat = plain + other, np.concatenate([first, more])
             sizes = np.concatenate([size, sizes])
@@ -80,6 +95,7 @@ class WordTokens:
             self.bounds[self.pieces + 1:self.pieces + n + 1] = at + np.cumsum(sizes)
             self.known.update(zip(new, range(self.pieces, self.pieces + n)))
             self.pieces += n
+            self.used += _PIECE_BYTES * n + sum(map(len, new)) + 4 * len(flat)
         return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
 
     def _one_by_one(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -88,17 +104,17 @@ class WordTokens:
         return np.fromiter((i for x in lists for i in x), np.uint32, int(sizes.sum())), sizes
 
     def _of_words(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Words together in one text; each one's last token is of those that end words."""
-        joined = [" ".join(pieces[i:i + _TOGETHER]) for i in range(0, len(pieces), _TOGETHER)]
+        """Plain pieces together in one text; their tokens tell where each ends."""
+        joined = [self.glue.join(pieces[i:i + _TOGETHER]) for i in range(0, len(pieces), _TOGETHER)]
         flat, _ = self._one_by_one(joined)
-        ends = np.flatnonzero(self.ends_word[flat]) + 1
+        ends = self._ends(flat)
         if len(ends) != len(pieces):
             return self._one_by_one(pieces)
         return flat, np.diff(ends, prepend=0)
 
-    def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """All ids end to end (uint32) and where each text's begin (one more than texts)."""
-        buf, offsets = byte_buffer(texts)
+    def _pieces(self, buf: np.ndarray, offsets: np.ndarray,
+                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of all pieces end to end, where each piece begins there and in ``buf``."""
         if b"<|" not in buf.tobytes():
             buf = LOWER[buf]
         dropped = _DROPPED[buf]
@@ -108,14 +124,20 @@ class WordTokens:
         cut[1:-1] |= _LETTER[buf[:-1]] & _STOP[buf[1:]]
         own = np.flatnonzero(~dropped)
         begin = np.flatnonzero(cut[own])
+        return buf[own], begin, own[begin]
+
+    def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids end to end (uint32) and where each text's begin (one more than texts)."""
+        buf, offsets = byte_buffer(texts)
+        data, begin, place = self._pieces(buf, offsets)
         pieces = pa.LargeStringArray.from_buffers(
-            len(begin), pa.py_buffer(np.append(begin, len(own))), pa.py_buffer(buf[own]))
+            len(begin), pa.py_buffer(np.append(begin, len(data))), pa.py_buffer(data))
         coded = pieces.dictionary_encode()
         number = self._numbers(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
         size = self.bounds[number + 1] - self.bounds[number]
         ends = np.concatenate([[0], np.cumsum(size)])
         flat = self.ids[np.arange(ends[-1]) + np.repeat(self.bounds[number] - ends[:-1], size)]
-        at = ends[np.searchsorted(own[begin], offsets)]
+        at = ends[np.searchsorted(place, offsets)]
         if end_id is None:
             return flat, at
         own = np.arange(len(texts) + 1)
@@ -123,3 +145,41 @@ class WordTokens:
         place = np.arange(len(flat)) + np.repeat(own[:-1], np.diff(at))
         out[place] = flat
         return out, at + own
+
+
+#: The pre-tokenizer of a byte-level vocabulary keeps one space before a run of letters.
+_SPACED_WORD = re.compile(" [A-Za-z\u00df-\u00f6\u00f8-\u00ff]+")
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_GRAPHIC = np.zeros(256, bool)
+_GRAPHIC[0x21:0x7F] = True
+_ANY_LETTER = np.zeros(256, bool)
+_ANY_LETTER[65:91] = _ANY_LETTER[97:123] = True
+
+
+class ByteTokens(WordTokens):
+    """Ids for a byte-level vocabulary, whose pre-tokenizer keeps white space.
+
+    None of its tokens holds white space after another character, nor a letter
+    and then a comma or full stop, so texts are cut before white space that
+    follows a visible ASCII character, and there (checked against whole-text
+    encoding in the tests)."""
+
+    plain, glue = _SPACED_WORD, ""
+
+    def __init__(self, path: str) -> None:
+        super().__init__(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.begins_piece = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.begins_piece[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
+
+    def _ends(self, flat: np.ndarray) -> np.ndarray:
+        return np.append(np.flatnonzero(self.begins_piece[flat])[1:], len(flat))
+
+    def _pieces(self, buf: np.ndarray, offsets: np.ndarray,
+                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        cut = np.zeros(len(buf) + 1, bool)
+        cut[offsets] = True
+        cut[1:-1] |= (_GRAPHIC[buf[:-1]] & _SPACE[buf[1:]]) | (_ANY_LETTER[buf[:-1]] & _STOP[buf[1:]])
+        begin = np.flatnonzero(cut[:-1])
+        return buf, begin, begin
