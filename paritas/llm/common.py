@@ -82,6 +82,7 @@ def slices(batch: pa.RecordBatch, column: str = "text",
         to = max(at + 1, int(np.searchsorted(total, done + most, side="right")))
         yield batch.slice(at, to - at)
         at = to
+    pa.default_memory_pool().release_unused()  # the worker stays for later stages
 
 
 def byte_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -140,19 +141,15 @@ _RANDOM = np.random.default_rng(20240229)
 _BYTE = _RANDOM.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _UNBASE = pow(_BASE, -1, 1 << 64)
-_POWERS: dict[int, np.ndarray] = {}
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    have = _POWERS.get(base)
-    if have is None or len(have) < n:
-        have = np.full(max(n, SLICE_BYTES * 2), base, np.uint64)
-        have[0] = 1
-        with np.errstate(over="ignore"):
-            np.multiply.accumulate(have, out=have)
-        if n <= SLICE_BYTES * 2:
-            _POWERS[base] = have
-    return have
+    """The first n powers; not kept, as they would take 16 bytes for each byte of a slice."""
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    with np.errstate(over="ignore"):
+        np.multiply.accumulate(out, out=out)
+    return out
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -170,7 +167,7 @@ def word_hashes(w: Words, lower: bool = False) -> np.ndarray:
         return np.zeros(0, np.uint64)
     n = len(w.buf)
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[LOWER[w.buf] if lower else w.buf] * _powers(_BASE, n)[:n], out=total[1:])
+    np.cumsum(_BYTE[LOWER[w.buf] if lower else w.buf] * _powers(_BASE, n), out=total[1:])
     return mixed((total[w.end] - total[w.start]) * _powers(_UNBASE, n)[w.start])
 
 

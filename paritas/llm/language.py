@@ -50,7 +50,7 @@ def _letters() -> np.ndarray:
     return out
 
 
-@lru_cache(maxsize=50_000)
+@lru_cache(maxsize=4096)  # 4 MB
 def _letter_vector(code: int, dimension: int) -> np.ndarray:
     rng = np.random.default_rng([SEED, code])
     return (rng.integers(0, 2, dimension, dtype=np.int8) * 2 - 1).astype(np.int8)
