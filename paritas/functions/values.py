@@ -123,16 +123,45 @@ def cell_text(c: Column, dtype: T.DataType | None) -> Column:
     return c.cast("string")
 
 
-def sentinel_text(c: Column) -> Column:
-    """The reference's stringified comparison value: NULL becomes the text 'NULL'."""
-    return F.coalesce(c.cast("string"), F.lit(SENTINEL))
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type of the forms that ``in_common`` gives."""
+    return exact_type(a, b) or T.StringType()
+
+
+def lossless_text(c: Column, dtype: T.DataType | None) -> Column:
+    """Text for comparing: equal texts if and only if equal values."""
+    if isinstance(dtype, _FLOATING):
+        return F.when(c == 0, F.lit(0.0).cast(dtype)).otherwise(c).cast("string")
+    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
+        return cell_text(c, dtype)
+    return c.cast("string")
+
+
+def sentinel_text(c: Column, dtype: T.DataType | None = None) -> Column:
+    """The stringified comparison value: NULL becomes the text 'NULL', and no
+    other two different values look alike."""
+    return F.coalesce(lossless_text(c, dtype), F.lit(SENTINEL))
+
+
+def own_text(c: Column, form: T.DataType, own: T.DataType) -> Column:
+    """``cell_text`` of a value of type ``own`` from its form (of type ``form``)
+    in a comparison with another type."""
+    nested = isinstance(own, (T.ArrayType, T.MapType, T.StructType))
+    if form == own or (nested and isinstance(form, T.StringType)):
+        return cell_text(c, form)
+    return cell_text(c.try_cast(own), own)  # the other side's values may not fit
 
 
 def differs(left: Column, right: Column, mode: str,
             ltype: T.DataType | None = None, rtype: T.DataType | None = None) -> Column:
-    """True when two cells differ under a null rule (never NULL itself)."""
+    """True when two cells differ under a null rule (never NULL itself); cells of
+    different types are compared in their common form under every rule."""
     if mode == "sentinel":
-        return sentinel_text(left) != sentinel_text(right)
+        if ltype is None or rtype is None:
+            return sentinel_text(left) != sentinel_text(right)
+        form = common_type(ltype, rtype)
+        return sentinel_text(in_common(left, ltype, rtype), form) != sentinel_text(
+            in_common(right, rtype, ltype), form)
     if ltype is not None and rtype is not None and ltype != rtype:
         return ~in_common(left, ltype, rtype).eqNullSafe(in_common(right, rtype, ltype))
     return ~comparable(left, ltype).eqNullSafe(comparable(right, rtype))

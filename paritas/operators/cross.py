@@ -14,34 +14,44 @@ m_k * n_k output rows.  Row-level reports keep the left rows and carry, for
 each, how many right partners differ (``differing_partners``) instead of
 listing the partners.
 
-Plan: both sides are tagged and unioned, and hash-partitioned by encoded key
-once.  Every per-key and per-(key, column, value) aggregate and the join of
-left rows to per-key partner counts are then satisfied by that partitioning
-(no further exchange); only the lookup of per-value partner counts, a left
-equi-join on (key, column, value), shuffles again.  Keys above the hot-key
-threshold (``ordinals``) would make the up-front repartition one task; their
-rows take the same computations without it: aggregates with a map-side
+Plan: both sides are tagged, united and clustered by key once (a window by
+key; inputs bucketed by the key are not shuffled).  The same window tells, for
+each compared column, whether the key's rows hold more than one value: where
+they do not, no pair differs and the column gives no cells for that key.  Only
+the others are stacked, and a window by (key, column, value) on the same
+clustering counts each value's partners, so nothing is shuffled again.  Keys
+above the hot-key threshold (``ordinals``) would make a window's partition one
+task; their rows take frequency tables instead: aggregates with a map-side
 partial step and salted lookups of the counts.
 
 Keys match null-safely (NULL with NULL), as the reference's sentinel key
 join does; under ``null_mode="sentinel"`` keys and values are compared as
-``coalesce(cast(x as string), 'NULL')``.  Keys and values are encoded as
-a null flag plus a non-null value before aggregating (keys keep their type,
-with a typed default standing in for NULL; values become lossless text), so
-each join is a plain equi-join on exactly the columns the frequency tables
-are grouped by and reuses their hash partitioning instead of shuffling them
-again.
+``coalesce(cast(x as string), 'NULL')``.
+
+Under ``null_mode="mixed"`` keys match and pairs are picked by the sentinel
+rule and the cells of the picked pairs compared null-safely.  By inclusion and
+exclusion, the partners that differ on c are all that differ null-safely on c
+less those among them whose *whole row* of sentinel texts is the same (those
+pairs are not picked).  Equal sentinel texts of different values are NULL and
+the text 'NULL' alone, so the second count is that of the partners with the
+same row texts and the other one of these two on c: one more frequency table,
+by (key, row texts, column), of the few cells that are NULL or 'NULL'.
+
+For the lookups of hot keys, keys and values are encoded as a null flag plus
+a non-null value (keys keep their type, with a typed default standing in for
+NULL; values become lossless text), so each join is a plain equi-join.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import cell_text, in_common, sentinel_text, struct_array
+from ..functions import (SENTINEL, all_of, any_of, in_common, lossless_text, own_text,
+                         sentinel_text, struct_array)
 from ..spec import Resolved
 from .ordinals import find_hot_keys
 
@@ -53,24 +63,25 @@ SALTS = 16
 
 
 def _mode(rs: Resolved, mode: str | None) -> str:
-    mode = mode or rs.spec.null_mode
+    return mode or rs.spec.null_mode
+
+
+def _cell_mode(mode: str) -> str:
     return "sentinel" if mode == "sentinel" else "safe"
 
 
-def _lossless_text(c: Column, dtype: T.DataType) -> Column:
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return F.when(c == 0, F.lit(0.0).cast(dtype)).otherwise(c).cast("string")
-    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
-        return cell_text(c, dtype)
-    return c.cast("string")
+def _row_mode(mode: str) -> str:
+    """The rule by which keys match and rows are picked."""
+    return "safe" if mode == "safe" else "sentinel"
 
 
 def encode(df: DataFrame, c: str, mode: str) -> Column:
-    """Non-null comparison text of a cell: equal texts <=> equal cells under the mode."""
+    """Non-null comparison text of a cell: equal texts <=> equal cells under the mode
+    (the ``mixed`` rule compares cells null-safely)."""
     if mode == "sentinel":
-        return sentinel_text(df[c])
+        return sentinel_text(df[c], df.schema[c].dataType)
     return F.when(df[c].isNull(), F.lit("n")).otherwise(
-        F.concat(F.lit("v"), _lossless_text(df[c], df.schema[c].dataType)))
+        F.concat(F.lit("v"), lossless_text(df[c], df.schema[c].dataType)))
 
 
 def _typed_default(dtype: T.DataType):
@@ -97,7 +108,7 @@ def encode_key(df: DataFrame, k: str, mode: str, name: str) -> list[Column]:
 
 
 def _with_keys(df: DataFrame, rs: Resolved, mode: str) -> list[Column]:
-    return [c for i, k in enumerate(rs.keys) for c in encode_key(df, k, mode, f"__k{i}")]
+    return [c for i, k in enumerate(rs.keys) for c in encode_key(df, k, _row_mode(mode), f"__k{i}")]
 
 
 def _kcols_of(df: DataFrame) -> list[str]:
@@ -107,11 +118,17 @@ def _kcols_of(df: DataFrame) -> list[str]:
 SIDE = "__side"
 
 
+def _raw_keys(frame: DataFrame, rs: Resolved, mode: str) -> bool:
+    """Whether rows can be clustered by the keys as they are: grouping puts NULLs together."""
+    return _row_mode(mode) == "safe" and all(
+        _typed_default(frame.schema[k].dataType) is not None for k in rs.keys)
+
+
 def _tagged(left: DataFrame, right: DataFrame, rs: Resolved, mode: str,
             cols: list[str]) -> DataFrame:
-    """Both sides in one frame: encoded keys ``__k*``, ``cols`` under the left
-    names and types (columns only the left reports are NULL on the right), and
-    ``__side`` (0 left, 1 right)."""
+    """Both sides in one frame: ``cols`` under the left names in their common form
+    (columns only the left reports are NULL on the right), ``__side`` (0 left,
+    1 right), and encoded keys ``__k*`` where the keys themselves cannot be grouped."""
     shared = set(rs.keys + rs.compare)
     # compared columns in their common exact form, so no value is narrowed;
     # reported-only columns keep the left type
@@ -122,55 +139,163 @@ def _tagged(left: DataFrame, right: DataFrame, rs: Resolved, mode: str,
                          else F.lit(None).cast(lt[c])).alias(c) for c in cols])
 
     def tag(df: DataFrame, side: int) -> DataFrame:
-        return df.select(*_with_keys(df, rs, mode), *cols, F.lit(side).alias(SIDE))
+        keys = [] if _raw_keys(df, rs, mode) else _with_keys(df, rs, mode)
+        return df.select(*keys, *cols, F.lit(side).alias(SIDE))
 
     return tag(la, 0).unionByName(tag(ra, 1))
 
 
-def _split(t: DataFrame) -> tuple[DataFrame, DataFrame | None, list[str]]:
-    """``(cold, hot, kcols)``.  Cold rows are hash-partitioned by encoded key,
-    the one exchange of the per-key plans below; a key above the hot-key
-    threshold would make that one task, so its rows (``hot``, None when there
-    are none) take the frequency-table plans, whose aggregates combine map-side
-    and whose lookups are salted."""
-    kc = _kcols_of(t)
+def _split(t: DataFrame, rs: Resolved) -> tuple[DataFrame, DataFrame | None, list[str]]:
+    """``(cold, hot, kc)``: the rows of keys that a window may hold, those of the
+    others (None when there are none), and the columns that rows are clustered by."""
+    kc = _kcols_of(t) or rs.keys
     hot = find_hot_keys(t, kc)
     if hot is None:
-        return t.repartition(*kc), None, kc
-    return (t.join(hot, on=kc, how="left_anti").repartition(*kc),
-            t.join(hot, on=kc, how="left_semi"), kc)
+        return t, None, kc
+    named = hot.toDF(*[f"__h{i}" for i in range(len(kc))])
+    same = all_of([t[k].eqNullSafe(named[f"__h{i}"]) for i, k in enumerate(kc)])
+    return t.join(named, same, "left_anti"), t.join(named, same, "left_semi"), kc
+
+
+def _encoded(hot: DataFrame, rs: Resolved, mode: str) -> tuple[DataFrame, list[str]]:
+    """``hot`` with encoded keys, for its lookups."""
+    if not _kcols_of(hot):
+        hot = hot.select(*_with_keys(hot, rs, mode), *hot.columns)
+    return hot, _kcols_of(hot)
+
+
+def _varies(frame: DataFrame, c: str, mode: str, w) -> Column:
+    """Whether the key's rows hold more than one value of a column under the mode."""
+    dtype = frame.schema[c].dataType
+    nested = isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
+    if nested or (mode == "sentinel" and isinstance(dtype, T.StringType)):
+        text = encode(frame, c, mode)
+        return F.min(text).over(w) != F.max(text).over(w)
+    known = F.count(frame[c]).over(w)
+    return F.coalesce(F.min(frame[c]).over(w) != F.max(frame[c]).over(w), F.lit(False)) | (
+        (known > 0) & (known < F.count(F.lit(1)).over(w)))
+
+
+def _vary(c: str) -> str:
+    return f"__y_{c}"
+
+
+def clustered(frame: DataFrame, kc: list[str], rs: Resolved, mode: str) -> DataFrame:
+    """``frame`` with its key's rows on each side (``__m``, ``__n``) and, for each
+    compared column, whether they hold more than one value; one clustering by key."""
+    w, side = Window.partitionBy(*kc), F.col(SIDE)
+    return frame.select("*", F.sum(F.when(side == 0, 1).otherwise(0)).over(w).alias("__m"),
+                        F.sum(F.when(side == 1, 1).otherwise(0)).over(w).alias("__n"),
+                        *[_varies(frame, c, mode, w).alias(_vary(c)) for c in rs.compare])
+
+
+def _paired(frame: DataFrame, kc: list[str], rs: Resolved, mode: str) -> DataFrame:
+    """``clustered`` rows of keys that both sides have."""
+    return clustered(frame, kc, rs, mode).filter((F.col("__m") > 0) & (F.col("__n") > 0))
 
 
 def _sides(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
     return frame.filter(F.col(SIDE) == 0), frame.filter(F.col(SIDE) == 1)
 
 
-def _stack(frame: DataFrame, rs: Resolved, mode: str, left_values: bool = False) -> list[Column]:
-    """Generator columns: one ``(column_name, [left_value,] __v)`` per compare column."""
+#: Of cells that are NULL or the text 'NULL': the row's sentinel texts, and which of the two.
+MARKS = ["__t", "__o"]
+
+
+def _marks(frame: DataFrame, rs: Resolved, c: str, other: bool | None) -> list[Column]:
+    """``MARKS`` of a cell, NULL for all others; ``other`` names the opposite one of
+    the two, so that a left cell's marks equal those of its opposites on the right."""
+    if not isinstance(frame.schema[c].dataType, T.StringType):
+        return [F.lit(None).cast("string").alias(MARKS[0]),
+                F.lit(None).cast("boolean").alias(MARKS[1])]
+    texts = F.to_json(F.array(*[encode(frame, x, "sentinel") for x in rs.compare]))
+    null = frame[c].isNull()
+    alike = null | (frame[c] == SENTINEL)
+    opposite = frame[SIDE] == 1 if other is None else F.lit(other)
+    return [F.when(alike, texts).alias(MARKS[0]),
+            F.when(alike, null != opposite).alias(MARKS[1])]
+
+
+def _cells(frame: DataFrame, rs: Resolved, mode: str, left_values: bool = False,
+           own: dict[str, T.DataType] | None = None, marks: bool = False,
+           other: bool | None = None, varied: bool = False) -> Column:
+    """An array of ``(column_name, [left_value,] __v[, MARKS])``, an element for each
+    compared column (those that vary within the key, with ``varied``); values as text
+    of their ``own`` types.  ``other``: see ``_marks`` (None: true of right rows)."""
     cells = []
     for c in rs.compare:
+        form = frame.schema[c].dataType
         parts = [F.lit(c).alias("column_name")]
         if left_values:
-            parts.append(cell_text(frame[c], frame.schema[c].dataType).alias("left_value"))
+            parts.append(own_text(frame[c], form, (own or {}).get(c, form)).alias("left_value"))
         parts.append(encode(frame, c, mode).alias("__v"))
+        if marks:
+            parts += _marks(frame, rs, c, other)
+        if varied:
+            parts.append(F.col(_vary(c)).alias("__y"))
         cells.append(F.struct(*parts))
-    element = ("struct<column_name:string,left_value:string,__v:string>" if left_values
-               else "struct<column_name:string,__v:string>")
-    return [F.inline(struct_array(cells, element))]
+    element = ("struct<column_name:string," + "left_value:string," * left_values + "__v:string"
+               + ",__t:string,__o:boolean" * marks + ",__y:boolean" * varied + ">")
+    out = struct_array(cells, element)
+    return F.filter(out, lambda x: x["__y"]) if varied else out
 
 
-def _count_parts(frame: DataFrame, kc: list[str], rs: Resolved, mode: str) -> DataFrame:
-    """``column_name, __x``: m_k * n_k per key (as TOTAL) and m_kv * n_kv per
-    (key, column, value).  Key-clustered input needs no exchange."""
+def _stack(frame: DataFrame, rs: Resolved, mode: str, **how) -> list[Column]:
+    """Generator columns of ``_cells``."""
+    return [F.inline(_cells(frame, rs, mode, **how))]
+
+
+def _unpicked(frame: DataFrame, kc: list[str], rs: Resolved) -> DataFrame:
+    """``kc, column_name, MARKS, __side`` of the cells that may differ in a pair that
+    the sentinel rule does not pick; right cells under their opposites' marks."""
+    lrows, rrows = _sides(frame)
+    both = [part.select(*kc, SIDE, *_stack(part, rs, "safe", marks=True, other=right))
+            for part, right in ((lrows, False), (rrows, True))]
+    return both[0].unionByName(both[1]).filter(F.col(MARKS[0]).isNotNull()).drop("__v")
+
+
+def _side_counts() -> tuple[Column, Column]:
     side = F.col(SIDE)
-    m = F.sum(F.when(side == 0, 1).otherwise(0)).cast(COUNT)
-    n = F.sum(F.when(side == 1, 1).otherwise(0)).cast(COUNT)
-    pk = frame.groupBy(*kc).agg((m * n).cast(PRODUCT).alias("__x")) \
-        .select(F.lit(TOTAL).alias("column_name"), "__x")
-    st = frame.select(*kc, SIDE, *_stack(frame, rs, mode))
-    eq = st.groupBy(*kc, "column_name", "__v").agg((m * n).cast(PRODUCT).alias("__x")) \
-        .select("column_name", "__x")
-    return eq.unionByName(pk)
+    return (F.sum(F.when(side == 0, 1).otherwise(0)).cast(COUNT),
+            F.sum(F.when(side == 1, 1).otherwise(0)).cast(COUNT))
+
+
+def _count_parts(frame: DataFrame, kc: list[str], rs: Resolved, mode: str) -> DataFrame:
+    """``column_name, __x`` of clustered rows: all pairs of a key (as TOTAL), and the
+    pairs of a left cell's value with the partners that hold another."""
+    m, n = _side_counts()
+    mixed = mode == "mixed"
+    kind = lambda k, c, v: F.struct(k.alias("__e"), c.alias("__c"), v.alias("__v"))
+    rows = _paired(frame, kc, rs, _cell_mode(mode))
+    cells = F.transform(_cells(rows, rs, mode, marks=mixed, varied=True),
+                        lambda x: kind(F.lit("cell"), x["column_name"], x["__v"]))
+    entries = [F.array(kind(F.lit("all"), F.lit(TOTAL), F.lit(""))), cells]
+    if mixed:  # the pairs that are not picked
+        marked = F.filter(_cells(rows, rs, mode, marks=True, varied=True),
+                          lambda x: x[MARKS[0]].isNotNull())
+        entries.append(F.transform(marked, lambda x: kind(
+            F.lit("unpicked"), x["column_name"], F.concat(x[MARKS[1]].cast("string"), x[MARKS[0]]))))
+    counted = (rows.select(*kc, SIDE, "__n", F.inline(F.concat(*entries)))
+               .groupBy(*kc, "__n", "__e", "__c", "__v").agg(m.alias("__mv"), n.alias("__nv")))
+    k, left, right = F.col("__e"), F.col("__mv"), F.col("__nv")
+    x = (F.when(k == "all", left * right).when(k == "unpicked", -(left * right))
+         .otherwise(left * (F.col("__n").cast(COUNT) - right)))
+    return counted.select(F.col("__c").alias("column_name"), x.cast(PRODUCT).alias("__x"))
+
+
+def _count_parts_hot(frame: DataFrame, kc: list[str], rs: Resolved, mode: str) -> DataFrame:
+    """``_count_parts`` by frequency tables: each column's pairs less the equal ones."""
+    m, n = _side_counts()
+    pairs = frame.groupBy(*kc).agg((m * n).cast(PRODUCT).alias("__x")).select(
+        F.explode(F.array(*[F.lit(c) for c in [TOTAL, *rs.compare]])).alias("column_name"), "__x")
+    equal = frame.select(*kc, SIDE, *_stack(frame, rs, mode)) \
+        .groupBy(*kc, "column_name", "__v").agg((-(m * n)).cast(PRODUCT).alias("__x"))
+    parts = pairs.unionByName(equal.select("column_name", "__x"))
+    if mode == "mixed":
+        unpicked = _unpicked(frame, kc, rs).groupBy(*kc, "column_name", *MARKS)
+        parts = parts.unionByName(unpicked.agg((-(m * n)).cast(PRODUCT).alias("__x"))
+                                  .select("column_name", "__x"))
+    return parts
 
 
 def cross_column_counts(left: DataFrame, right: DataFrame, rs: Resolved,
@@ -178,20 +303,17 @@ def cross_column_counts(left: DataFrame, right: DataFrame, rs: Resolved,
     """``column_name, mismatch_count, total_matches`` under cross pairing; figures
     are ``decimal(38,0)``, since two hot keys' row counts multiply beyond 64 bits."""
     mode = _mode(rs, mode)
-    cold, hot, kc = _split(_tagged(left, right, rs, mode, rs.keys + rs.compare))
+    cold, hot, kc = _split(_tagged(left, right, rs, mode, rs.keys + rs.compare), rs)
     parts = _count_parts(cold, kc, rs, mode)
     if hot is not None:
-        parts = parts.unionByName(_count_parts(hot, kc, rs, mode))
+        parts = parts.unionByName(_count_parts_hot(*_encoded(hot, rs, mode), rs, mode))
     cn = F.col("column_name")
-    one = parts.groupBy().agg(
-        F.coalesce(F.sum(F.when(cn == TOTAL, F.col("__x"))), F.lit(0)).cast(PRODUCT)
-        .alias("total_matches"),
-        *[F.coalesce(F.sum(F.when(cn == c, F.col("__x"))), F.lit(0)).cast(PRODUCT)
-          .alias(f"__eq{i}") for i, c in enumerate(rs.compare)])
+    total = lambda c: F.coalesce(F.sum(F.when(cn == c, F.col("__x"))), F.lit(0)).cast(PRODUCT)
+    one = parts.groupBy().agg(total(TOTAL).alias("total_matches"),
+                              *[total(c).alias(f"__x{i}") for i, c in enumerate(rs.compare)])
     return one.select(
         F.inline(struct_array([F.struct(F.lit(c).alias("column_name"),
-                                        (F.col("total_matches") - F.col(f"__eq{i}"))
-                                        .cast(PRODUCT).alias("mismatch_count"))
+                                        F.col(f"__x{i}").alias("mismatch_count"))
                                for i, c in enumerate(rs.compare)],
                               f"struct<column_name:string,mismatch_count:{PRODUCT}>")),
         "total_matches")
@@ -203,10 +325,8 @@ def cross_matches(left: DataFrame, right: DataFrame, rs: Resolved,
     aggregate with a map-side partial step, so hot keys need no special plan."""
     mode = _mode(rs, mode)
     t = _tagged(left, right, rs, mode, rs.keys)
-    side = F.col(SIDE)
-    per_key = t.groupBy(*_kcols_of(t)).agg(
-        (F.sum(F.when(side == 0, 1).otherwise(0)).cast(COUNT)
-         * F.sum(F.when(side == 1, 1).otherwise(0)).cast(COUNT)).cast(PRODUCT).alias("__pairs"))
+    m, n = _side_counts()
+    per_key = t.groupBy(*(_kcols_of(t) or rs.keys)).agg((m * n).cast(PRODUCT).alias("__pairs"))
     return per_key.groupBy().agg(
         F.coalesce(F.sum("__pairs"), F.lit(0)).cast(PRODUCT).alias("total_matches"))
 
@@ -223,9 +343,7 @@ def _with_same(left_part: DataFrame, right_counts: DataFrame, match_cols: list[s
                salted: bool) -> DataFrame:
     """Attach ``__same`` = right rows whose ``match_cols`` equal the left part's
     (a left equi-join).  The counts come out of an aggregate, so AQE does not
-    split this join: for hot keys the rows are salted and the counts copied.
-    (A window over the key-clustered union would avoid this exchange, but
-    measured slower than the join on the bench data.)"""
+    split this join: the rows are salted and the counts copied."""
     if salted:
         plain = [c for c in left_part.columns
                  if not isinstance(left_part.schema[c].dataType, T.MapType)]
@@ -264,15 +382,43 @@ def _regrouped(groups: DataFrame, kc: list[str], rs: Resolved, more: list[str])
         F.sum("left_rows").alias("left_rows"))
 
 
-def _changed_rows(frame: DataFrame, kc: list[str], rs: Resolved, mode: str,
-                  salted: bool = False) -> DataFrame:
+def _grouped(rows: DataFrame, kc: list[str], rs: Resolved, more: list[str]) -> DataFrame:
+    """Distinct rows of each side (``__k`` of them) with ``more``, constant in a key."""
+    cols = list(dict.fromkeys([*kc, *rs.output, *rs.compare]))
+    return rows.groupBy(*cols, SIDE, *more).agg(F.count(F.lit(1)).alias("__k"))
+
+
+def _partners(by: list[str]) -> Column:
+    """Right rows that agree in ``by``."""
+    return F.coalesce(F.sum(F.when(F.col(SIDE) == 1, F.col("__k"))).over(
+        Window.partitionBy(*by)), F.lit(0))
+
+
+def _changed_rows(frame: DataFrame, kc: list[str], rs: Resolved, mode: str) -> DataFrame:
+    mode = _row_mode(mode)
+    rows = _paired(frame, kc, rs, mode)
+    rows = rows.filter(any_of([F.col(_vary(c)) for c in rs.compare]))
+    g = _grouped(rows, kc, rs, ["__n"])
+    tcols = [f"__t{i}" for i in range(len(rs.compare))]
+    g = g.select("*", *[encode(g, c, mode).alias(t) for c, t in zip(rs.compare, tcols)])
+    out = g.withColumn("__d", F.col("__n") - _partners([*kc, *tcols])).filter(
+        (F.col(SIDE) == 0) & (F.col("__d") > 0))
+    if not set(rs.compare) <= set(rs.output):
+        by = list(dict.fromkeys([*kc, *rs.output, *tcols, "__n", "__d"]))
+        out = out.groupBy(*by).agg(F.sum("__k").alias("__k"))
+    return out.select(*rs.output, F.col("__k").alias("left_rows"), F.col("__n").alias("right_rows"),
+                      F.col("__d").cast("long").alias("differing_partners"))
+
+
+def _changed_rows_hot(frame: DataFrame, kc: list[str], rs: Resolved, mode: str) -> DataFrame:
+    mode = _row_mode(mode)
     tcols = [f"__t{i}" for i in range(len(rs.compare))]
     lrows, rrows = _sides(frame)
-    lg = _left_groups(lrows, rrows, kc, rs, salted)
+    lg = _left_groups(lrows, rrows, kc, rs, True)
     lt = lg.select(*lg.columns, *[encode(lg, c, mode).alias(t) for c, t in zip(rs.compare, tcols)])
     rt = rrows.select(*kc, *[encode(rrows, c, mode).alias(t) for c, t in zip(rs.compare, tcols)]) \
         .groupBy(*kc, *tcols).agg(F.count(F.lit(1)).alias("__n"))
-    j = _with_same(_regrouped(lt, kc, rs, tcols), rt, [*kc, *tcols], salted)
+    j = _with_same(_regrouped(lt, kc, rs, tcols), rt, [*kc, *tcols], True)
     diff = (F.col("right_rows") - F.col("__same")).cast("long")
     return j.select(*rs.output, "left_rows", "right_rows", diff.alias("differing_partners")) \
         .filter(F.col("differing_partners") > 0)
@@ -285,27 +431,72 @@ def changed_cross(left: DataFrame, right: DataFrame, rs: Resolved,
     ``differing_partners`` differ in some compare column."""
     mode = _mode(rs, mode)
     cols = list(dict.fromkeys(rs.keys + rs.output + rs.compare))
-    cold, hot, kc = _split(_tagged(left, right, rs, mode, cols))
+    cold, hot, kc = _split(_tagged(left, right, rs, mode, cols), rs)
     out = _changed_rows(cold, kc, rs, mode)
-    return out if hot is None else out.unionByName(_changed_rows(hot, kc, rs, mode, salted=True))
+    return out if hot is None else out.unionByName(
+        _changed_rows_hot(*_encoded(hot, rs, mode), rs, mode))
+
+
+def cells_of_clustered(rows: DataFrame, kc: list[str], rs: Resolved, mode: str,
+                       own: dict[str, T.DataType]) -> DataFrame:
+    """The cell report of ``clustered`` rows (of keys that both sides have); columns
+    that hold one value in a key are left out before rows become cells."""
+    mixed = mode == "mixed"
+    rows = rows.filter(any_of([F.col(_vary(c)) for c in rs.compare]))
+    g = _grouped(rows, kc, rs, ["__n", *[_vary(c) for c in rs.compare]])
+    keep = list(dict.fromkeys([*kc, *rs.output]))
+    st = g.select(*keep, SIDE, "__n", "__k", *_stack(
+        g, rs, mode, left_values=True, own=own, marks=mixed, varied=True)).drop("__y")
+    # a cell row carries the keys, the declared output and one value, so its
+    # width does not grow with the number of compared columns
+    diff = F.col("__n") - _partners([*kc, "column_name", "__v"])
+    if mixed:
+        unpicked = F.when(F.col(MARKS[0]).isNotNull(), _partners([*kc, "column_name", *MARKS]))
+        diff = diff - F.coalesce(unpicked, F.lit(0))
+    out = st.withColumn("__d", diff).filter((F.col(SIDE) == 0) & (F.col("__d") > 0))
+    if mixed or not set(rs.compare) <= set(rs.output):
+        # one row again for all that only unreported columns told apart
+        out = out.groupBy(*keep, "column_name", "left_value", "__n", "__d").agg(
+            F.sum("__k").alias("__k"))
+    return out.select(*rs.output, F.col("column_name").alias("mismatch_column"), "left_value",
+                      F.col("__k").alias("left_rows"), F.col("__n").alias("right_rows"),
+                      F.col("__d").cast("long").alias("differing_partners"))
 
 
 def _cell_rows(frame: DataFrame, kc: list[str], rs: Resolved, mode: str,
-               salted: bool = False) -> DataFrame:
-    # a cell row carries the keys, the declared output and one value, so its
-    # width does not grow with the number of compared columns
-    cell = ["column_name", "left_value", "__v"]
+               own: dict[str, T.DataType]) -> DataFrame:
+    return cells_of_clustered(_paired(frame, kc, rs, _cell_mode(mode)), kc, rs, mode, own)
+
+
+def _cell_rows_hot(frame: DataFrame, kc: list[str], rs: Resolved, mode: str,
+                   own: dict[str, T.DataType]) -> DataFrame:
+    mixed = mode == "mixed"
+    cell = ["column_name", "left_value", "__v"] + MARKS * mixed
     lrows, rrows = _sides(frame)
-    lg = _left_groups(lrows, rrows, kc, rs, salted)
+    lg = _left_groups(lrows, rrows, kc, rs, True)
     st = lg.select(*kc, *rs.output, "right_rows", "left_rows",
-                   *_stack(lg, rs, mode, left_values=True))
+                   *_stack(lg, rs, mode, left_values=True, own=own, marks=mixed, other=False))
     rv = rrows.select(*kc, *_stack(rrows, rs, mode)) \
         .groupBy(*kc, "column_name", "__v").agg(F.count(F.lit(1)).alias("__n"))
-    j = _with_same(_regrouped(st, kc, rs, cell), rv, [*kc, "column_name", "__v"], salted)
-    diff = (F.col("right_rows") - F.col("__same")).cast("long")
-    return j.select(*rs.output, F.col("column_name").alias("mismatch_column"), "left_value",
-                    "left_rows", "right_rows", diff.alias("differing_partners")) \
+    j = _with_same(_regrouped(st, kc, rs, cell), rv, [*kc, "column_name", "__v"], True)
+    diff = F.col("right_rows") - F.col("__same")
+    if mixed:
+        j = j.withColumn("__differ", diff).drop("__same").filter(F.col("__differ") > 0)
+        unpicked = _unpicked(rrows, kc, rs).groupBy(*kc, "column_name", *MARKS) \
+            .agg(F.count(F.lit(1)).alias("__n"))
+        j = _with_same(j, unpicked, [*kc, "column_name", *MARKS], True)
+        diff = F.col("__differ") - F.col("__same")
+    out = j.select(*rs.output, F.col("column_name").alias("mismatch_column"), "left_value",
+                   "left_rows", "right_rows", diff.cast("long").alias("differing_partners")) \
         .filter(F.col("differing_partners") > 0)
+    if not mixed:
+        return out
+    return out.groupBy(*[c for c in out.columns if c != "left_rows"]).agg(
+        F.sum("left_rows").alias("left_rows")).select(*out.columns)
+
+
+def own_types(df: DataFrame, rs: Resolved, right: bool = False) -> dict[str, T.DataType]:
+    return {c: df.schema[rs.rcol(c) if right else c].dataType for c in rs.compare}
 
 
 def mismatch_cells_cross(left: DataFrame, right: DataFrame, rs: Resolved,
@@ -315,9 +506,11 @@ def mismatch_cells_cross(left: DataFrame, right: DataFrame, rs: Resolved,
     equals the reference's count of mismatched cells under cross pairing."""
     mode = _mode(rs, mode)
     cols = list(dict.fromkeys(rs.keys + rs.output + rs.compare))
-    cold, hot, kc = _split(_tagged(left, right, rs, mode, cols))
-    out = _cell_rows(cold, kc, rs, mode)
-    return out if hot is None else out.unionByName(_cell_rows(hot, kc, rs, mode, salted=True))
+    cold, hot, kc = _split(_tagged(left, right, rs, mode, cols), rs)
+    own = own_types(left, rs)
+    out = _cell_rows(cold, kc, rs, mode, own)
+    return out if hot is None else out.unionByName(
+        _cell_rows_hot(*_encoded(hot, rs, mode), rs, mode, own))
 
 
 def cross_cell_total(cells: DataFrame) -> DataFrame:
@@ -339,10 +532,11 @@ def right_values_cross(left: DataFrame, right: DataFrame, rs: Resolved,
     mode = _mode(rs, mode)
     cells = mismatch_cells_cross(left, right, rs, mode)
     # the right side in the left's place: its values, with the keys as reported
-    t = _tagged(left, right, rs, mode, list(dict.fromkeys(rs.keys + rs.compare)))
-    kc = _kcols_of(t)
+    t, kc = _encoded(_tagged(left, right, rs, mode, list(dict.fromkeys(rs.keys + rs.compare))),
+                     rs, mode)
     rrows = t.filter(F.col(SIDE) == 1)
-    values = rrows.select(*kc, *rs.keys, *_stack(rrows, rs, mode, left_values=True)) \
+    values = rrows.select(*kc, *rs.keys, *_stack(rrows, rs, mode, left_values=True,
+                                                 own=own_types(right, rs, right=True))) \
         .groupBy(*kc, "column_name", "__v").agg(
             *[F.first(k).alias(k) for k in rs.keys], F.first("left_value").alias("right_value"),
             F.count(F.lit(1)).alias("right_rows"))

@@ -38,7 +38,8 @@ def cross_figures(left: DataFrame, right: DataFrame, rs: Resolved) -> DataFrame:
     one for its whole content and one for each compared cell; entries are counted
     by (key, column, value) and side, and those counts by key."""
     cold, hot, kc = _split(_tagged(left, right, rs, "safe", list(
-        dict.fromkeys(rs.keys + rs.compare))))
+        dict.fromkeys(rs.keys + rs.compare))), rs)
+    cold = cold.repartition(*kc)
 
     def per_key(frame: DataFrame) -> DataFrame:
         texts = [encode(frame, c, "safe") for c in rs.compare]

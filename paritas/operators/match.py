@@ -93,6 +93,21 @@ def restrict_keys(df: DataFrame, keys_df: DataFrame, keys: list[str],
         wanted, all_of(_same_keys(df, df_keys, wanted, named)), "left_semi")
 
 
+def asked_keys(keys_df: DataFrame, keys: list[str], types: dict[str, T.DataType],
+               names: list[str]) -> DataFrame:
+    """``keys_df`` with its keys also in a table's ``types`` under ``names``: NULL, which
+    matches nothing, where the table's type does not hold the asked value exactly
+    (2.5 asked of whole numbers, a text that is no number)."""
+    def exactly(k: str) -> Column:
+        source, target = keys_df.schema[k].dataType, types[k]
+        if source == target:
+            return F.col(k)
+        there = F.col(k).try_cast(target)
+        return F.when(in_common(there, target, source) == in_common(F.col(k), source, target), there)
+
+    return keys_df.select("*", *[exactly(k).alias(n) for k, n in zip(keys, names)])
+
+
 def numbered(df: DataFrame, rs: Resolved, cols: list[str], rn: str = "rn") -> DataFrame:
     """Non-null-key rows of one side (already aligned to left spelling) with ``rn``."""
     base = df.filter(key_not_null(df, rs.keys)).select(*cols)
@@ -163,7 +178,9 @@ def ordinal_pairs(left: DataFrame, right: DataFrame, rs: Resolved, how: str = "i
 
     tagged = side_rows(left, 0).unionByName(side_rows(ra, 1))
     if keys_df is not None:
-        wanted = keys_df.select(*[F.col(k).cast(types[k]).alias(k) for k in rs.keys])
+        named = [f"__q{i}" for i in range(len(rs.keys))]
+        wanted = asked_keys(keys_df, rs.keys, types, named).select(
+            *[F.col(n).alias(k) for n, k in zip(named, rs.keys)])
         tagged = tagged.join(wanted.filter(key_not_null(wanted, rs.keys)), on=rs.keys,
                              how="left_semi")
     num = with_ordinals(tagged, rs.keys, rs.order, "rn", group=["__side"],

@@ -7,6 +7,8 @@ into small DataFrames with explicit schemas.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +30,42 @@ ISSUE_ROWS = T.StructType([
 ])
 
 
+CATALOG_ROWS = T.StructType([
+    T.StructField("position", T.LongType(), False),
+    T.StructField("column_name", T.StringType(), False),
+    T.StructField("type", T.StringType(), False),
+    T.StructField("nullable", T.BooleanType(), False),
+    T.StructField("default_value", T.StringType(), True),
+    T.StructField("is_key", T.BooleanType(), False),
+])
+#: The table property that names the key columns, separated by commas.
+KEY_PROPERTY = "primary_key"
+
+
+def declared_type(field: T.StructField) -> str:
+    """The type a column was declared with; Spark reads char(n) and varchar(n) as string
+    and keeps them in the field's metadata."""
+    return field.metadata.get("__CHAR_VARCHAR_TYPE_STRING") or field.dataType.simpleString()
+
+
+def catalog_keys(spark: SparkSession, table: str) -> list[str]:
+    """The key columns that the catalog states for a table, or none."""
+    told = json.loads(spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:name) AS JSON",
+                                args={"name": table}).first()[0])
+    names = (told.get("table_properties") or {}).get(KEY_PROPERTY, "")
+    return [k.strip() for k in names.split(",") if k.strip()]
+
+
+def catalog_profile(spark: SparkSession, table: str) -> DataFrame:
+    """One row per column as the catalog states it, with the table's ``row_count``:
+    ``position, column_name, type, nullable, default_value, is_key, row_count``."""
+    df, keys = spark.table(table), {k.lower() for k in catalog_keys(spark, table)}
+    rows = [(i + 1, f.name, declared_type(f), bool(f.nullable), f.metadata.get("CURRENT_DEFAULT"),
+             f.name.lower() in keys) for i, f in enumerate(df.schema.fields)]
+    count = df.groupBy().agg(F.count(F.lit(1)).cast("long").alias("row_count"))
+    return rows_with_figures(count, rows, CATALOG_ROWS)
+
+
 def row_counts(left: DataFrame, right: DataFrame, left_name: str, right_name: str) -> DataFrame:
     """``side, row_count`` for both inputs from one aggregate (one row per side,
     also when a side is empty)."""
@@ -74,7 +112,7 @@ def rows_with_figures(one_row: DataFrame, rows: list[tuple], schema: T.StructTyp
 def schema_profile(spark: SparkSession, df: DataFrame) -> DataFrame:
     """One row per column with the table's ``row_count`` (the profile step
     reports both): ``position, column_name, type, nullable, row_count``."""
-    rows = [(i + 1, f.name, f.dataType.simpleString(), bool(f.nullable))
+    rows = [(i + 1, f.name, declared_type(f), bool(f.nullable))
             for i, f in enumerate(df.schema.fields)]
     count = df.groupBy().agg(F.count(F.lit(1)).cast("long").alias("row_count"))
     return rows_with_figures(count, rows, SCHEMA_ROWS)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .profile import row_counts
+from .profile import declared_type, row_counts
 
 DIFF_ROWS = T.StructType([
     T.StructField("type", T.StringType(), False),
@@ -26,8 +26,8 @@ DIFF_ROWS = T.StructType([
 
 
 def schema_differences(spark: SparkSession, left: DataFrame, right: DataFrame) -> DataFrame:
-    lt = {f.name: f.dataType.simpleString() for f in left.schema.fields}
-    rt = {f.name: f.dataType.simpleString() for f in right.schema.fields}
+    lt = {f.name: declared_type(f) for f in left.schema.fields}
+    rt = {f.name: declared_type(f) for f in right.schema.fields}
     rows = []
     rows += [("columns_missing_in_table2", c, None, None, None) for c in left.columns if c not in rt]
     rows += [("columns_missing_in_table1", c, None, None, None) for c in right.columns if c not in lt]

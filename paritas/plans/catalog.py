@@ -5,6 +5,7 @@ Inputs are the derived pairs of ``paritas.sources.fixtures``:
 ``G`` = feed_left / feed_right (unique key, schema differences),
 ``B`` = line_left / line_right (composite key that repeats),
 ``X`` = exact_left / exact_right (the same columns in different types),
+``T`` = typed_left / typed_right (equal values in types far apart),
 ``W`` = wide_left / wide_right (42 compared columns).
 """
 
@@ -17,13 +18,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sinks
-from ..operators import counts, cross, diff, match, profile
+from ..operators import counts, cross, diff, match, profile, structure
 from ..session import output_dir
 from ..sources import (ENROLL_COLUMNS, ENROLL_COMPARE, ENROLL_OUTPUT, LINE_KEYS, LINE_OUTPUT,
                        WIDE_COMPARE, as_dataframe, enroll_pair, feed_pair, line_pair,
-                       mixed_type_pair, read_table, sample_rows, wide_pair)
+                       mixed_type_pair, preview_files, read_table, sample_rows, typed_pair,
+                       wide_pair)
 from ..spec import ReconSpec
-from . import diagnostics, report
+from . import diagnostics, report, run
 from .validate import GenericComparison, Reconciliation
 
 ENROLL_SPEC = ReconSpec(keys=("member_id",), compare=tuple(ENROLL_COMPARE),
@@ -31,6 +33,7 @@ ENROLL_SPEC = ReconSpec(keys=("member_id",), compare=tuple(ENROLL_COMPARE),
 LINE_SPEC = ReconSpec(keys=tuple(LINE_KEYS), compare=None, output=tuple(LINE_OUTPUT),
                       left_name="left", right_name="right", pairing="cross")
 EXACT_SPEC = ReconSpec(keys=("key_id",), left_name="left", right_name="right")
+TYPED_SPEC = ReconSpec(keys=("order_id",), left_name="left", right_name="right")
 WIDE_SPEC = ReconSpec(keys=tuple(LINE_KEYS), compare=tuple(WIDE_COMPARE), output=("c_name",),
                       left_name="left", right_name="right")
 # A required list with one column absent from both sides and one absent on the right.
@@ -64,6 +67,12 @@ def exact(spark: SparkSession, sf_dir: str, **changes) -> Reconciliation:
                           "exact_right")
 
 
+def typed(spark: SparkSession, sf_dir: str, **changes) -> Reconciliation:
+    left, right = typed_pair(spark, sf_dir)
+    return Reconciliation(spark, left, right, TYPED_SPEC.with_(**changes), "typed_left",
+                          "typed_right")
+
+
 def wide(spark: SparkSession, sf_dir: str, **changes) -> Reconciliation:
     left, right = wide_pair(spark, sf_dir)
     return Reconciliation(spark, left, right, WIDE_SPEC.with_(**changes), "wide_left",
@@ -85,6 +94,41 @@ def q_sample_rows(spark, d):
     return sample_rows(r.left, ENROLL_COLUMNS, 100)
 
 
+def q_file_preview(spark, d):
+    """The first rows of a table's files, in file order."""
+    return preview_files(spark, f"{d}/lineitem.parquet", 1000,
+                         ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"])
+
+
+def _declared_table(spark, d, name: str, status: str) -> str:
+    """A table of all orders with declared lengths, a default and a key."""
+    path = output_dir(spark, name)
+    table = f"paritas_{name}_{path.rsplit('_', 1)[-1]}"
+    spark.sql(f"CREATE TABLE {table} (o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus {status} "
+              "DEFAULT 'O', o_orderpriority CHAR(20), o_totalprice DOUBLE DEFAULT 0.5) USING parquet "
+              "LOCATION :path TBLPROPERTIES ('primary_key' = 'o_orderkey')", args={"path": path})
+    read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
+                                          "o_orderpriority", "o_totalprice").write.insertInto(table)
+    return table
+
+
+def q_catalog_profile(spark, d):
+    table = _declared_table(spark, d, "declared", "VARCHAR(10)")
+    found = profile.catalog_profile(spark, table)
+    spark.sql(f"DROP TABLE {table}")  # its files stay, and are what the result reads
+    return found
+
+
+def q_declared_structure_diff(spark, d):
+    """varchar(10) against varchar(20) of the same rows."""
+    names = [_declared_table(spark, d, "declared", f"VARCHAR({n})") for n in (10, 20)]
+    left, right = (spark.table(n) for n in names)
+    found = structure.structure_diff(spark, left, right.filter("o_orderkey % 7 <> 0"))
+    for n in names:
+        spark.sql(f"DROP TABLE {n}")
+    return found
+
+
 def q_table_row_counts(spark, d):
     r = enroll(spark, d)
     return profile.row_counts(r.left, r.right, "dev", "prod")
@@ -229,8 +273,8 @@ def q_sample_mismatches_cross(spark, d):
 
 
 def q_spot_check_outcomes(spark, d):
-    """Every twentieth customer is asked for; some have no row on a side, or on both."""
-    asked = read_table(spark, d, "customer").filter(F.col("c_custkey") % 20 == 0)
+    """Every customer is asked for; some have no row on a side, or on both."""
+    asked = read_table(spark, d, "customer")
     return enroll(spark, d).spot_check_outcomes(
         asked.select(F.col("c_custkey").alias("member_id")))
 
@@ -327,6 +371,42 @@ def q_run_status_generic(spark, d):
     return feed(spark, d).status()
 
 
+def _outputs(results) -> DataFrame:
+    """Every row of every result of a run, as text."""
+    texts = [F.when(F.col("kind") == k, F.concat_ws("|", *[
+        F.coalesce(F.col(k)[c].cast("string"), F.lit("NULL")) for c in t.names]))
+        for k, t in results.kinds.items()]
+    return results.frame.select("kind", F.coalesce(*texts).alias("row_text"))
+
+
+def q_run_outputs(spark, d):
+    return _outputs(enroll(spark, d).results())
+
+
+def q_run_outputs_cross(spark, d):
+    return _outputs(enroll(spark, d, pairing="cross").results())
+
+
+def q_run_outputs_cross_mixed(spark, d):
+    return _outputs(enroll(spark, d, pairing="cross", null_mode="mixed").results())
+
+
+def q_published_run(spark, d):
+    """A run written to files, counted through its manifest."""
+    r = enroll(spark, d)
+    folder = output_dir(spark, "run")
+    run.run_validation(spark, r.left, r.right, r.spec, output=folder, left_table="enroll_dev",
+                       right_table="enroll_prod")
+    found = run.published(spark, folder)
+    counts_ = None
+    for f in found.select("result", "location", "rows").collect():  # six results
+        back = spark.read.option("header", True).csv(f["location"])
+        one = back.groupBy().agg(F.count(F.lit(1)).alias("rows_read")).select(
+            F.lit(f["result"]).alias("result"), F.lit(f["rows"]).cast("long").alias("rows"), "rows_read")
+        counts_ = one if counts_ is None else counts_.unionByName(one)
+    return counts_
+
+
 def q_sink_clean_names(spark, d):
     r = enroll(spark, d)
     cells = diff.mismatch_cells(r.left, r.right, r.rs, "safe")
@@ -430,6 +510,62 @@ def q_mismatch_cells_mixed(spark, d):
     return r.mismatches
 
 
+def q_mismatch_cells_cross_mixed(spark, d):
+    return enroll(spark, d, pairing="cross", null_mode="mixed").mismatches
+
+
+def q_mismatch_counts_cross_mixed(spark, d):
+    r = enroll(spark, d, pairing="cross", null_mode="mixed")
+    return _longs(cross.cross_column_counts(r.left, r.right, r.rs), "mismatch_count",
+                  "total_matches")
+
+
+def q_run_status_cross_mixed(spark, d):
+    r = enroll(spark, d, pairing="cross", null_mode="mixed")
+    return _longs(r.status(with_count_differences=False), "total_issues")
+
+
+# --- equal values in types far apart ----------------------------------------
+def q_changed_sentinel_mixed_types(spark, d):
+    r = typed(spark, d, null_mode="sentinel")
+    return _order_text(r.mismatches).select("order_id", "mismatch_column", "left_value", "right_value")
+
+
+def q_changed_mixed_mixed_types(spark, d):
+    r = typed(spark, d, null_mode="mixed")
+    return _order_text(r.mismatches).select("order_id", "mismatch_column", "left_value", "right_value")
+
+
+def q_cross_sentinel_mixed_types(spark, d):
+    return _order_text(typed(spark, d, pairing="cross", null_mode="sentinel").mismatches)
+
+
+def q_cross_mixed_mixed_types(spark, d):
+    return _order_text(typed(spark, d, pairing="cross", null_mode="mixed").mismatches)
+
+
+def _order_text(df: DataFrame) -> DataFrame:
+    return df.withColumn("order_id", F.col("order_id").cast("string"))
+
+
+def q_spot_check_asked_types(spark, d):
+    """Keys asked as text: numbers of a half, numbers with idle zeros and words are no keys."""
+    k = F.col("o_orderkey")
+    asked = read_table(spark, d, "orders").select(
+        F.concat(F.when(k % 5 == 0, F.concat(F.lit("0"), k)).when(k % 7 == 0, F.concat(k, F.lit(".5")))
+                 .when(k % 11 == 0, F.lit("none")).otherwise(k.cast("string"))).alias("order_id"))
+    return typed(spark, d).spot_check_outcomes(asked)
+
+
+def q_spot_check_wider_keys(spark, d):
+    """Keys asked as decimals, some of them with a half."""
+    k = F.col("o_orderkey")
+    asked = read_table(spark, d, "orders").select(
+        (k + F.when(k % 3 == 0, 0.5).otherwise(0).cast("decimal(2,1)")).cast("decimal(24,1)")
+        .alias("order_id"))
+    return _order_text(typed(spark, d).spot_check_outcomes(asked))
+
+
 def q_cross_right_values(spark, d):
     r = enroll(spark, d, pairing="cross")
     return cross.right_values_cross(r.left, r.right, r.rs)

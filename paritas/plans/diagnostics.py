@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from ..functions import in_common
 from ..operators.cross import mismatch_cells_cross
 from ..operators.diff import cells_of_pairs, explode_cells
-from ..operators.match import ordinal_pairs, restrict_keys, right_aligned, row_differs
+from ..operators.match import (asked_keys, ordinal_pairs, restrict_keys, right_aligned,
+                               row_differs)
 from ..operators.ordinals import find_hot_keys, range_ordinals, window_ordinals
 from ..spec import Resolved
 
@@ -62,8 +63,8 @@ def spot_check(left: DataFrame, right: DataFrame, rs: Resolved, keys_df: DataFra
 
 def spot_check_outcomes(left: DataFrame, right: DataFrame, rs: Resolved,
                         keys_df: DataFrame) -> DataFrame:
-    """One row for each asked key: ``keys, <left>_count, <right>_count, outcome``
-    with outcome NOT_FOUND, ONLY_IN_<LEFT>, ONLY_IN_<RIGHT>, EQUAL (as many
+    """One row for each asked key, as it was asked (keys are never narrowed to the
+    tables' types): ``keys, <left>_count, <right>_count, outcome`` with outcome NOT_FOUND, ONLY_IN_<LEFT>, ONLY_IN_<RIGHT>, EQUAL (as many
     occurrences on both sides, no cell differs) or DIFFERENT."""
     ln, rn_ = rs.spec.left_name, rs.spec.right_name
     pairs = ordinal_pairs(left, right, rs, how="full_outer", keys_df=keys_df)
@@ -71,10 +72,12 @@ def spot_check_outcomes(left: DataFrame, right: DataFrame, rs: Resolved,
     found = pairs.groupBy(*rs.keys).agg(
         F.sum(F.col("__l").cast("long")).alias("__lc"), F.sum(F.col("__r").cast("long"))
         .alias("__rc"), F.max(differs.cast("int")).alias("__d"))
-    asked = keys_df.select(*[F.col(k).cast(found.schema[k].dataType).alias(k)
-                             for k in rs.keys]).distinct()
+    named = [f"__q{i}" for i in range(len(rs.keys))]
+    asked = asked_keys(keys_df.select(*rs.keys).distinct(), rs.keys,
+                       {k: found.schema[k].dataType for k in rs.keys}, named)
+    found = found.withColumnsRenamed(dict(zip(rs.keys, named)))
     lc, rc = (F.coalesce(F.col(c), F.lit(0)) for c in ("__lc", "__rc"))
-    return asked.join(found, rs.keys, "left").select(
+    return asked.join(found, named, "left").select(
         *rs.keys, lc.alias(f"{ln}_count"), rc.alias(f"{rn_}_count"),
         F.when(lc + rc == 0, F.lit("NOT_FOUND"))
         .when(rc == 0, F.lit(f"ONLY_IN_{ln.upper()}"))

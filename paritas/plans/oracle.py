@@ -598,12 +598,12 @@ ORDER BY member_id NULLS LAST, mismatch_column, left_value NULLS LAST, umi_id NU
 LIMIT 10""",
 
     "spot_check_outcomes": ENROLL + """,
-asked AS (SELECT c_custkey AS member_id FROM customer WHERE c_custkey % 20 = 0),
-per AS (SELECT a.member_id,
-               (SELECT count(*) FROM dev_n d WHERE d.member_id = a.member_id) AS dev_count,
-               (SELECT count(*) FROM prod_n p WHERE p.member_id = a.member_id) AS prod_count,
-               (SELECT count(*) FROM cells c WHERE c.member_id = a.member_id) AS n
-        FROM asked a)
+per AS (SELECT c_custkey AS member_id, COALESCE(d.n, 0) AS dev_count,
+               COALESCE(p.n, 0) AS prod_count, COALESCE(c.n, 0) AS n
+        FROM customer
+        LEFT JOIN (SELECT member_id, count(*) AS n FROM dev_n GROUP BY 1) d ON d.member_id = c_custkey
+        LEFT JOIN (SELECT member_id, count(*) AS n FROM prod_n GROUP BY 1) p ON p.member_id = c_custkey
+        LEFT JOIN (SELECT member_id, count(*) AS n FROM cells GROUP BY 1) c ON c.member_id = c_custkey)
 SELECT member_id, dev_count, prod_count,
        CASE WHEN dev_count + prod_count = 0 THEN 'NOT_FOUND'
             WHEN prod_count = 0 THEN 'ONLY_IN_DEV' WHEN dev_count = 0 THEN 'ONLY_IN_PROD'
@@ -786,3 +786,163 @@ ORACLE |= {
     "wide_mismatch_cells": WIDE + " UNION ALL ".join(map(_wide_cells, WIDE_COMPARE)),
     "wide_mismatch_cells_cross": WIDE + " UNION ALL ".join(map(_wide_cross, WIDE_COMPARE)),
 }
+
+# --- rows by the sentinel rule, cells null-safely, every pair --------------------
+MIXED_CROSS = ENROLL + """,
+picked AS (
+  SELECT *, COALESCE(CAST(umi_id AS VARCHAR), 'NULL') <> COALESCE(CAST(p_umi_id AS VARCHAR), 'NULL')
+         OR COALESCE(group_number, 'NULL') <> COALESCE(p_group_number, 'NULL')
+         OR COALESCE(CAST(eligibility_start_date AS VARCHAR), 'NULL')
+            <> COALESCE(CAST(p_date AS VARCHAR), 'NULL') AS picked
+  FROM lg_pairs),
+mixed_cells AS (
+""" + " UNION ALL ".join(f"""
+  SELECT member_id, umi_id, group_number, eligibility_start_date, last_name, first_name,
+         '{c}' AS mismatch_column, CAST({c} AS VARCHAR) AS left_value, left_rows,
+         count(*) AS right_rows, count(*) FILTER (picked AND {c} IS DISTINCT FROM {p})
+           AS differing_partners
+  FROM picked GROUP BY ALL""" for c, p in (
+    ("umi_id", "p_umi_id"), ("group_number", "p_group_number"),
+    ("eligibility_start_date", "p_date"))) + ")"
+
+# --- equal values in types far apart: compared as numbers, by a join for each column -----
+TYPED = """
+WITH typed_left AS (
+  SELECT o_orderkey AS id, CAST(o_orderkey % 100 AS INTEGER) AS units,
+         CAST(o_totalprice AS DECIMAL(12,2)) AS price, o_custkey AS code,
+         CASE WHEN o_orderkey % 13 <> 0 THEN o_orderpriority END AS note
+  FROM orders WHERE o_orderkey % 41 <> 0),
+typed_right AS (
+  SELECT o_orderkey AS id,
+         CAST(o_orderkey % 100 AS DOUBLE) + CASE WHEN o_orderkey % 29 = 0 THEN 0.5 ELSE 0 END AS units,
+         CAST(CAST(o_totalprice AS DECIMAL(12,2)) + CASE WHEN o_orderkey % 31 = 0 THEN 1 ELSE 0 END
+              AS DOUBLE) AS price,
+         CASE WHEN o_orderkey % 37 = 0 THEN 'none' ELSE CAST(o_custkey AS VARCHAR) END AS code,
+         CASE WHEN o_orderkey % 26 = 0 THEN 'NULL'
+              WHEN o_orderkey % 13 <> 0 THEN o_orderpriority END AS note
+  FROM orders WHERE o_orderkey % 23 <> 0),
+both_ AS (SELECT l.id, l.units AS lu, r.units AS ru, l.price AS lp, r.price AS rp, l.code AS lc,
+                 r.code AS rc, l.note AS ln, r.note AS rn,
+                 l.units <> r.units AS du, CAST(l.price AS DOUBLE) <> r.price AS dp,
+                 CAST(l.code AS VARCHAR) <> r.code AS dc,
+                 COALESCE(l.note, 'NULL') <> COALESCE(r.note, 'NULL') AS ds,
+                 l.note IS DISTINCT FROM r.note AS dn
+          FROM typed_left l JOIN typed_right r ON l.id = r.id),
+typed_cells AS (
+  SELECT id, 'units' AS c, CAST(lu AS VARCHAR) AS a, CAST(ru AS VARCHAR) AS b, du AS s, du AS m
+  FROM both_
+  UNION ALL SELECT id, 'price', CAST(lp AS VARCHAR), CAST(rp AS VARCHAR), dp, dp FROM both_
+  UNION ALL SELECT id, 'code', CAST(lc AS VARCHAR), rc, dc, dc FROM both_
+  UNION ALL SELECT id, 'note', ln, rn, ds, dn AND (du OR dp OR dc OR ds) FROM both_)
+"""
+
+
+def _typed(rule: str, cross: bool) -> str:
+    ones = ", ".join(f"CAST(1 AS BIGINT) AS {c}" for c in
+                     ("left_rows", "right_rows", "differing_partners"))
+    return TYPED + f"""SELECT CAST(id AS VARCHAR) AS order_id, c AS mismatch_column, a AS left_value,
+       {ones if cross else "b AS right_value"} FROM typed_cells WHERE {rule}"""
+
+
+def _asked(text: str, key: str) -> str:
+    return TYPED + f""",
+asked AS (SELECT DISTINCT {text} AS order_id, {key} AS id FROM orders),
+differing AS (SELECT DISTINCT id FROM typed_cells WHERE s OR m
+              UNION SELECT id FROM both_ WHERE dn),
+per AS (SELECT a.order_id, count(l.id) AS left_count, count(r.id) AS right_count,
+               count(d.id) AS n
+        FROM asked a LEFT JOIN typed_left l ON l.id = a.id LEFT JOIN typed_right r ON r.id = a.id
+        LEFT JOIN differing d ON d.id = a.id GROUP BY a.order_id)
+SELECT order_id, left_count, right_count,
+       CASE WHEN left_count + right_count = 0 THEN 'NOT_FOUND'
+            WHEN right_count = 0 THEN 'ONLY_IN_LEFT' WHEN left_count = 0 THEN 'ONLY_IN_RIGHT'
+            WHEN n = 0 THEN 'EQUAL' ELSE 'DIFFERENT' END AS outcome
+FROM per"""
+
+
+ORACLE |= {
+    "mismatch_cells_cross_mixed": MIXED_CROSS + """
+SELECT * FROM mixed_cells WHERE differing_partners > 0""",
+
+    "mismatch_counts_cross_mixed": MIXED_CROSS + """
+SELECT mismatch_column AS column_name,
+       CAST(sum(left_rows * differing_partners) AS BIGINT) AS mismatch_count,
+       CAST(sum(left_rows * right_rows) AS BIGINT) AS total_matches
+FROM mixed_cells GROUP BY 1""",
+
+    "run_status_cross_mixed": MIXED_CROSS + """,
+x AS (SELECT (SELECT count(*) FROM dev_only) + (SELECT count(*) FROM prod_only)
+             + (SELECT COALESCE(sum(left_rows * differing_partners), 0) FROM mixed_cells) AS t)
+SELECT CASE WHEN t = 0 THEN 'PASSED' ELSE 'FAILED' END AS status, CAST(t AS BIGINT) AS total_issues
+FROM x""",
+
+    "changed_sentinel_mixed_types": _typed("s", False),
+    "changed_mixed_mixed_types": _typed("m", False),
+    "cross_sentinel_mixed_types": _typed("s", True),
+    "cross_mixed_mixed_types": _typed("m", True),
+    "spot_check_asked_types": _asked("""CASE
+  WHEN o_orderkey % 5 = 0 THEN '0' || o_orderkey WHEN o_orderkey % 7 = 0 THEN o_orderkey || '.5'
+  WHEN o_orderkey % 11 = 0 THEN 'none' ELSE CAST(o_orderkey AS VARCHAR) END""", """CASE
+  WHEN o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0 THEN o_orderkey END"""),
+    "spot_check_wider_keys": _asked(
+        "o_orderkey || CASE WHEN o_orderkey % 3 = 0 THEN '.5' ELSE '.0' END",
+        "CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey END"),
+}
+
+
+# --- all results of a run, each row as text ---------------------------------------
+def _texts(parts: dict[str, tuple[str, list[str]]]) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{kind}' AS kind, concat_ws('|', " + ", ".join(
+            f"COALESCE(CAST({c} AS VARCHAR), 'NULL')" for c in columns) + f") AS row_text FROM {source}"
+        for kind, (source, columns) in parts.items())
+
+
+_OWN = ["member_id", "umi_id", "group_number", "eligibility_start_date"]
+_REPORTED = [*_OWN, "last_name", "first_name"]
+_CELL = ["mismatch_column", "left_value"]
+_RUN_PARTS = {
+    "left_only": ("dev_only", _OWN), "right_only": ("prod_only", _OWN),
+    "count_differences": (f"({ORACLE['count_differences'].removeprefix(ENROLL)})",
+                          ["member_id", "dev_count", "prod_count", "count_difference",
+                           "difference_type"])}
+_CROSS_CELLS = [*_REPORTED, *_CELL, "left_rows", "right_rows", "differing_partners"]
+
+ORACLE |= {
+    "run_outputs": ENROLL + _texts(_RUN_PARTS | {
+        "mismatches": ("cells", [*_REPORTED, "dev_row_number", "prod_row_number", *_CELL,
+                                 "right_value"]),
+        "unmatched_ordinals": (f"({ORACLE['unmatched_ordinals'].removeprefix(ENROLL)})",
+                               ["member_id", "rn", "type"])}),
+    "run_outputs_cross": ENROLL + _texts(_RUN_PARTS | {
+        "mismatches": ("cross_cells WHERE differing_partners > 0", _CROSS_CELLS)}),
+    "run_outputs_cross_mixed": MIXED_CROSS + _texts(_RUN_PARTS | {
+        "mismatches": ("mixed_cells WHERE differing_partners > 0", _CROSS_CELLS)}),
+    "published_run": ENROLL + "SELECT result, n AS rows, n AS rows_read FROM (" + " UNION ALL ".join(
+        f"SELECT '{kind}' AS result, count(*) AS n FROM {source}" for kind, source in {
+            **{k: v[0] for k, v in _RUN_PARTS.items()}, "mismatches": "cells",
+            "unmatched_ordinals": f"({ORACLE['unmatched_ordinals'].removeprefix(ENROLL)})"}.items())
+    + " UNION ALL SELECT 'summary', 1)",
+}
+
+ORACLE |= {
+    # rows are read in the order of the file
+    "file_preview": "SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem LIMIT 1000",
+
+    "catalog_profile": """
+SELECT position, column_name, type, nullable, default_value, is_key,
+       (SELECT count(*) FROM orders) AS row_count
+FROM (VALUES (CAST(1 AS BIGINT), 'o_orderkey', 'bigint', true, NULL, true),
+             (2, 'o_custkey', 'bigint', true, NULL, false),
+             (3, 'o_orderstatus', 'varchar(10)', true, '''O''', false),
+             (4, 'o_orderpriority', 'char(20)', true, NULL, false),
+             (5, 'o_totalprice', 'double', true, '0.5', false))
+     v(position, column_name, type, nullable, default_value, is_key)""",
+
+    "declared_structure_diff": """
+WITH c AS (SELECT count(*) AS a, count(*) FILTER (o_orderkey % 7 <> 0) AS b FROM orders)
+SELECT 'row_count_mismatch' AS type, CAST(NULL AS VARCHAR) AS column_name,
+       CAST(a AS VARCHAR) AS table1_value, CAST(b AS VARCHAR) AS table2_value, a - b AS difference
+FROM c
+UNION ALL SELECT 'column_type_mismatch', 'o_orderstatus', 'varchar(10)', 'varchar(20)', NULL""",
+}

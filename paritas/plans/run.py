@@ -1,9 +1,14 @@
-"""End-to-end runs: compute every result once, write it, report a status.
+"""End-to-end runs: compute all results in one job, write, check and publish them.
 
-Each result frame is computed exactly once, by its sink write; the figures
-for the summary and the status are gathered *during* those writes with
-``DataFrame.observe`` (no second pass, no collect of rows).  The summary row
-and the status line are built on the driver from those few numbers.
+A run reads each side once: one job computes all results (``operators.fanout``)
+and stages them, tagged and partitioned by result, in ``spark.checkpoint.dir``;
+the figures for the summary and the status are gathered *during* that write
+with ``DataFrame.observe`` (no second pass, no collect of rows).  Each result is
+then written to its sink from the staged rows, its row count checked against
+the staged one, and a manifest naming every result is written last.  A run
+without a manifest is unfinished: ``published`` does not list it.
+
+Empty results can be left out: their counts are known before they are written.
 
 Entry points (the reference's four families):
 
@@ -22,11 +27,12 @@ import uuid
 from dataclasses import dataclass, field
 from decimal import Decimal
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sinks
-from ..operators import counts, cross, diff, match
+from ..operators import counts, cross, diff, fanout, match, profile
 from ..session import output_dir, require_checkpoint_dir
 from ..sources import as_dataframe
 from ..spec import ReconSpec
@@ -67,40 +73,135 @@ def _run_id() -> str:
     return f"{dt.datetime.now():%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:8]}"
 
 
+MANIFEST = "manifest"
+_MANIFEST_SCHEMA = ("run_id string, status string, result string, sink string, location string, "
+                    "rows long")
+
+
 class _Writer:
     """Writes named results as CSV folders under one run folder, or as tables.
 
-    Every result is written (an empty result gives an empty folder/table), so
-    each observed frame runs exactly once and completely; observations are
-    read only after their write finished.  With ``skip_empty`` an empty result
-    is left out (a limit-1 job decides), but for the summary.
+    Each observed frame runs exactly once and completely; observations are read
+    only after their write finished.  With ``skip_empty`` an empty result is left
+    out, but for the summary: it is not written where its count is known, else
+    its folder or table is dropped after the write that counted it.
     """
 
-    def __init__(self, out: str | None, table_prefix: str | None, run_id: str,
-                 skip_empty: bool = False):
-        self.out, self.prefix, self.run_id = out, table_prefix, run_id
-        self.skip_empty = skip_empty
+    def __init__(self, spark: SparkSession, out: str | None, table_prefix: str | None,
+                 run_id: str, skip_empty: bool = False):
+        self.spark, self.run_id, self.skip_empty = spark, run_id, skip_empty
+        self.out, self.prefix = out.rstrip("/") if out else None, table_prefix
         self.written: dict[str, str] = {}
+        self.rows: dict[str, int] = {}
 
     def write(self, name: str, df: DataFrame, metrics: dict | None = None,
-              single_file: bool = False, always: bool = False) -> dict:
-        """Write ``df``; returns the observed ``metrics`` (``{"rows": count}`` by default)."""
-        metrics = metrics or {"rows": F.count(F.lit(1))}
-        if self.skip_empty and not always and df.isEmpty():
-            return dict.fromkeys(metrics, 0)
+              single_file: bool = False, always: bool = False, rows: int | None = None) -> dict:
+        """Write ``df`` (of ``rows`` rows, where known); returns the observed ``metrics``."""
+        metrics = metrics or {}
+        skip = self.skip_empty and not always
+        if skip and rows == 0:
+            return {"rows": 0} | dict.fromkeys(metrics, 0)
         obs = Observation(name)
-        observed = df.observe(obs, *[e.alias(k) for k, e in metrics.items()])
+        counted = {"rows": F.count(F.lit(1))} | metrics
+        observed = df.observe(obs, *[e.alias(k) for k, e in counted.items()])
         if self.out:
-            path = f"{self.out.rstrip('/')}/{name}_{self.run_id}"
-            sinks.write_csv(observed, path, single_file=single_file)
-            self.written[f"csv:{name}"] = path
+            label, place = f"csv:{name}", f"{self.out}/{name}_{self.run_id}"
+            sinks.write_csv(observed, place, single_file=single_file)
         elif self.prefix:
-            table = f"{self.prefix}_{name}_{self.run_id}"
-            sinks.clean_names(observed).write.mode("overwrite").saveAsTable(table)
-            self.written[f"table:{name}"] = table
+            label, place = f"table:{name}", f"{self.prefix}_{name}_{self.run_id}"
+            sinks.clean_names(observed).write.mode("overwrite").saveAsTable(place)
         else:
+            label = place = None
             observed.write.format("noop").mode("overwrite").save()
-        return {k: int(obs.get.get(k) or 0) for k in metrics}
+        got = {k: int(obs.get.get(k) or 0) for k in counted}
+        if rows is not None and got["rows"] != rows:
+            raise RuntimeError(f"{name}: {rows} rows staged, {got['rows']} written")
+        if label and skip and got["rows"] == 0:
+            self._drop(place)
+        elif label:
+            self.written[label], self.rows[label] = place, got["rows"]
+        return got
+
+    def _drop(self, place: str) -> None:
+        if self.prefix and not self.out:
+            self.spark.sql("DROP TABLE IDENTIFIER(:name)", args={"name": place})
+            return
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def publish(self, status: str) -> None:
+        """Writes the manifest: from now on the run counts."""
+        if not self.written:
+            return
+        rows = [(self.run_id, status, label.split(":", 1)[1], label.split(":", 1)[0], place,
+                 self.rows[label]) for label, place in self.written.items()]
+        manifest = self.spark.createDataFrame(rows, _MANIFEST_SCHEMA).coalesce(1)
+        if self.out:
+            manifest.write.json(f"{self.out}/{MANIFEST}_{self.run_id}")
+        else:
+            manifest.write.saveAsTable(f"{self.prefix}_{MANIFEST}_{self.run_id}")
+
+
+def published(spark: SparkSession, output: str | None = None,
+              table_prefix: str | None = None) -> DataFrame:
+    """The results of all finished runs under an output folder or table prefix:
+    ``run_id, status, result, sink, location, rows``."""
+    nothing = spark.createDataFrame([], _MANIFEST_SCHEMA)
+    if output:
+        try:
+            return spark.read.schema(_MANIFEST_SCHEMA).json(f"{output.rstrip('/')}/{MANIFEST}_*")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return nothing
+    database, _, name = (table_prefix or "").rpartition(".")
+    tables = spark.catalog.listTables(database or None, f"{name}_{MANIFEST}_*")
+    for t in tables:
+        nothing = nothing.unionByName(spark.table(f"{database}.{t.name}" if database else t.name))
+    return nothing
+
+
+def read_result(spark: SparkSession, sink: str, location: str, schema) -> DataFrame:
+    """A published result in its types."""
+    return sinks.read_csv(spark, location, schema) if sink == "csv" else spark.table(location)
+
+
+@dataclass
+class _Staged:
+    figures: dict[str, int]
+    counts: dict[str, int]
+    results: fanout.Results
+    rows: DataFrame | None
+
+    def of(self, kind: str) -> DataFrame:
+        return self.results.of(self.rows, kind)
+
+
+def _stage(spark: SparkSession, results: fanout.Results, run_id: str, keep: bool) -> _Staged:
+    """The one job of a run: all results, staged by kind and counted."""
+    totals, counts_ = Observation("totals"), Observation("results")
+    kind = F.col(fanout.KIND)
+    rows = results.rows.observe(totals, F.sum(fanout.LEFT_ROWS).alias("l"),
+                                F.sum(fanout.RIGHT_ROWS).alias("r"))
+    metrics = {k: F.count(F.when(kind == k, 1)) for k in results.kinds}
+    if "differing_partners" in results.kinds["mismatches"].names:
+        cell = F.col("mismatches")
+        metrics["cells"] = F.sum(F.when(kind == "mismatches", cell["left_rows"].cast(cross.COUNT)
+                                        * cell["differing_partners"].cast(cross.COUNT)))
+    frame = results.finish(rows).observe(counts_, *[e.alias(k) for k, e in metrics.items()])
+    back = None
+    if keep:
+        path = f"{require_checkpoint_dir(spark)}/run-{run_id}"
+        frame.write.partitionBy(fanout.KIND).parquet(path)
+        back = spark.read.schema(frame.schema).parquet(path)
+    else:
+        frame.write.format("noop").mode("overwrite").save()
+    sides = [{"l": totals.get["l"], "r": totals.get["r"]}, *[
+        {"l": r[fanout.LEFT_ROWS], "r": r[fanout.RIGHT_ROWS]}
+        for r in (part.first() for part in results.more)]]  # one row of sums each
+    figures = {f"total_{side}_rows": sum(int(s[k] or 0) for s in sides)
+               for side, k in (("left", "l"), ("right", "r"))}
+    return _Staged(figures, {k: int(counts_.get.get(k) or 0) for k in metrics}, results, back)
 
 
 def run_validation(spark: SparkSession, left, right, spec: ReconSpec, *,
@@ -119,9 +220,45 @@ def run_validation(spark: SparkSession, left, right, spec: ReconSpec, *,
         return RunResult("FAILED", run_id, {}, issues=issues)
     if count_differences is None:
         count_differences = spec.pairing == "ordinal"
-    w = _Writer(output, table_prefix, run_id, skip_empty)
-    rs = recon.rs
+    w = _Writer(spark, output, table_prefix, run_id, skip_empty)
+    results = recon.results(count_differences)
+    if results is None:
+        figures = _separate_results(recon, w, count_differences)
+    else:
+        figures = _staged_results(spark, results, w, run_id)
+    passed = all(figures[k] == 0 for k in figures if k in _ISSUE_FIGURES) and not issues
+    result = RunResult("PASSED" if passed else "FAILED", run_id, figures, issues=issues)
+    summary = spark.createDataFrame([(
+        run_id, lt, rt, *[Decimal(v) if k == "mismatched_data_points" else v
+                          for k in _SUMMARY_FIGURES for v in [int(figures.get(k, 0))]],
+        ", ".join(recon.rs.compare), len(recon.rs.common), result.status,
+        Decimal(result.total_issues), dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S"))],
+        _SUMMARY_SCHEMA)
+    w.write("summary", summary, single_file=True, always=True)
+    w.publish(result.status)
+    result.written = w.written
+    return result
+
 
+def _staged_results(spark: SparkSession, results: fanout.Results, w: _Writer,
+                    run_id: str) -> dict[str, int]:
+    sinks_ = bool(w.out or w.prefix)
+    staged = _stage(spark, results, run_id, keep=sinks_)
+    if sinks_:
+        for kind in results.kinds:
+            w.write(kind, staged.of(kind), rows=staged.counts[kind])
+    figures = dict(staged.figures)
+    if "count_differences" in results.kinds:
+        figures["keys_with_count_differences"] = staged.counts["count_differences"]
+    figures["rows_only_in_left"] = staged.counts["left_only"]
+    figures["rows_only_in_right"] = staged.counts["right_only"]
+    figures["mismatched_data_points"] = staged.counts.get("cells", staged.counts["mismatches"])
+    return figures
+
+
+def _separate_results(recon: Reconciliation, w: _Writer, count_differences: bool) -> dict[str, int]:
+    """The results as separate plans, for columns whose types have no common exact one."""
+    spark, ldf, rdf, rs, spec = recon.spark, recon.left, recon.right, recon.rs, recon.spec
     # row totals are observed on the key-count aggregate while it feeds the
     # count-difference output (written, or run through the noop sink)
     kobs = Observation("key_counts")
@@ -153,16 +290,7 @@ def run_validation(spark: SparkSession, left, right, spec: ReconSpec, *,
         cells = diff.cells_of_pairs(report.filter(both), rs, spec.null_mode)
         figures["mismatched_data_points"] = w.write("mismatches", cells)["rows"]
         w.write("unmatched_ordinals", match.unmatched_of_pairs(report, rs))
-    passed = all(figures[k] == 0 for k in figures if k in _ISSUE_FIGURES) and not issues
-    result = RunResult("PASSED" if passed else "FAILED", run_id, figures, issues=issues)
-    summary = spark.createDataFrame([(
-        run_id, lt, rt, *[Decimal(v) if k == "mismatched_data_points" else v
-                          for k in _SUMMARY_FIGURES for v in [int(figures.get(k, 0))]],
-        ", ".join(rs.compare), len(rs.common), result.status, Decimal(result.total_issues),
-        dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S"))], _SUMMARY_SCHEMA)
-    w.write("summary", summary, single_file=True)
-    result.written = w.written
-    return result
+    return figures
 
 
 _SUMMARY_FIGURES = ["total_left_rows", "total_right_rows", "rows_only_in_left",
@@ -176,20 +304,20 @@ _SUMMARY_SCHEMA = ("run_id string, left_table string, right_table string, total_
 
 def run_generic(spark: SparkSession, left, right, keys=None, *, output: str | None = None,
                 table_prefix: str | None = None, table1: str | None = None,
-                table2: str | None = None) -> RunResult:
+                table2: str | None = None, skip_empty: bool = False) -> RunResult:
     """Family A: structure diff, long mismatch report, validation log."""
     run_id = _run_id()
     ldf, rdf = as_dataframe(spark, left), as_dataframe(spark, right)
     t1 = table1 or (left if isinstance(left, str) else "table1")
     t2 = table2 or (right if isinstance(right, str) else "table2")
+    if not keys and isinstance(left, str) and spark.catalog.tableExists(left):
+        keys = profile.catalog_keys(spark, left)  # as the catalog states them
     g = GenericComparison(spark, ldf, rdf, tuple(keys or ()), t1, t2)
     # one key pairing, materialised, feeds the row, cell and log reports
     g.frame = _materialise(spark, g.pairs_frame)
-    w = _Writer(output, table_prefix, run_id)
+    w = _Writer(spark, output, table_prefix, run_id, skip_empty)
     figures = {"structure_differences": w.write("structure_diff", g.structure_diff())["rows"]}
-    figures["mismatched_rows"] = w.write(
-        "mismatched_rows", g.full_diff(),
-        {"rows": F.count(F.lit(1))})["rows"]
+    figures["mismatched_rows"] = w.write("mismatched_rows", g.full_diff())["rows"]
     w.write("mismatch_report", g.mismatch_long())
     now = dt.datetime.now()
     w.write("validation_log", g.validation_log(now))
@@ -201,7 +329,8 @@ def run_generic(spark: SparkSession, left, right, keys=None, *, output: str | No
         "run_id string, table1 string, table2 string, structure_differences long, "
         "mismatched_rows long, key_columns string, common_columns_count long, status string, "
         "validation_date string")
-    w.write("summary", summary, single_file=True)
+    w.write("summary", summary, single_file=True, always=True)
+    w.publish(result.status)
     result.written = w.written
     return result
 

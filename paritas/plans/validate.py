@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import counts, cross, diff, figures, match, profile, structure
+from ..operators import counts, cross, diff, fanout, figures, match, profile, structure
 from ..sources import as_dataframe
 from ..spec import ReconSpec, Resolved
 from . import diagnostics
@@ -133,6 +133,14 @@ class Reconciliation:
             return cross.mismatch_cells_cross(self.left, self.right, self.rs)
         return diff.mismatch_cells(self.left, self.right, self.rs)
 
+    def results(self, count_differences: bool = True) -> fanout.Results | None:
+        """All results from one reading of each side (``fanout``); ``None`` where some
+        columns' types have no common exact one."""
+        if self.spec.pairing == "cross":
+            return fanout.cross_results(self.left, self.right, self.rs,
+                                        count_differences=count_differences)
+        return fanout.ordinal_results(self.left, self.right, self.rs)
+
     def mismatch_total(self) -> DataFrame:
         """Number of mismatched cells; under cross pairing the sum over compare
         columns of differing pairs, from frequency tables alone."""

@@ -123,6 +123,26 @@ def mixed_type_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     return left.filter((F.col("box.id") % 41) != 0), right.filter((F.col("box.id") % 23) != 0)
 
 
+def typed_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``(typed_left, typed_right)``: equal values in types that no one type or only a
+    wider one holds: whole numbers against floating ones, decimals against doubles,
+    numbers against texts; NULL against the text 'NULL'."""
+    orders = read_table(spark, sf_dir, "orders")
+    k, note = F.col("o_orderkey"), F.col("o_orderpriority")
+    left = orders.filter(k % 41 != 0).select(
+        k.alias("order_id"), (k % 100).cast("int").alias("units"),
+        F.col("o_totalprice").cast("decimal(12,2)").alias("price"), F.col("o_custkey").alias("code"),
+        F.when(k % 13 != 0, note).alias("note"))
+    right = orders.filter(k % 23 != 0).select(
+        k.cast("decimal(20,0)").alias("order_id"),
+        (k % 100 + F.when(k % 29 == 0, 0.5).otherwise(0.0)).alias("units"),
+        (F.col("o_totalprice").cast("decimal(12,2)")
+         + F.when(k % 31 == 0, 1).otherwise(0)).cast("double").alias("price"),
+        F.when(k % 37 == 0, F.lit("none")).otherwise(F.col("o_custkey").cast("string")).alias("code"),
+        F.when(k % 26 == 0, F.lit("NULL")).when(k % 13 != 0, note).alias("note"))
+    return left, right
+
+
 #: Compared columns of ``wide_pair`` made from the part key.
 WIDE_MADE = [f"m{i:02d}" for i in range(1, 31)]
 WIDE_COMPARE = ["l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate",

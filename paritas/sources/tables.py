@@ -7,6 +7,7 @@ import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import comparable
 
@@ -59,3 +60,30 @@ def sample_rows(df: DataFrame, columns: list[str], n: int = 10000) -> DataFrame:
     # maps are not orderable: they sort by their sorted entries
     order = [comparable(df[c], df.schema[c].dataType).asc_nulls_last() for c in columns]
     return df.select(*columns).orderBy(*order).limit(n)
+
+
+def preview_files(spark: SparkSession, path: str, n: int = 10000,
+                  columns: list[str] | None = None) -> DataFrame:
+    """Bounded preview of a parquet table that does not read the table: its first ``n``
+    rows by file name and place in the file.
+
+    Row counts come from the footers, of one file after the other until ``n`` rows are
+    found; only those files are read, each task keeping its first ``n`` rows."""
+    whole = spark.read.parquet(path)
+    taken, rows = [], 0
+    for file in sorted(whole.inputFiles()):
+        taken.append(file)
+        rows += spark.read.parquet(file).count()
+        if rows >= n:
+            break
+    if not taken:
+        return whole.select(*(columns or whole.columns)).limit(n)
+    reader = spark.read.schema(whole.schema)
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    if not taken[0].endswith(f"/{name}"):  # a folder: its names may hold partition values
+        reader = reader.option("basePath", path)
+    df = reader.parquet(*taken)
+    names = columns or df.columns
+    placed = df.select(*names, F.col("_metadata.file_path").alias("__file"),
+                       F.col("_metadata.row_index").alias("__row"))
+    return placed.orderBy("__file", "__row").limit(n).drop("__file", "__row")

@@ -61,10 +61,6 @@ class ReconSpec:
             raise ValueError(f"pairing must be one of {PAIRINGS}, got {self.pairing!r}")
         if self.null_mode not in NULL_MODES:
             raise ValueError(f"null_mode must be one of {NULL_MODES}, got {self.null_mode!r}")
-        if self.pairing == "cross" and self.null_mode == "mixed":
-            raise ValueError("null_mode 'mixed' picks rows and cells by different rules, which "
-                             "cross pairing, reported through counts, does not have: use "
-                             "ordinal pairing, or 'safe' or 'sentinel'")
         if self.left_name == self.right_name:
             raise ValueError("left_name and right_name must differ")
 

@@ -96,11 +96,6 @@ def test_products_beyond_64_bits(spark):
     assert cross.cross_cell_total(rows).first()[0] == Decimal(32 * 10**18)
 
 
-def test_mixed_rule_needs_ordinal_pairing():
-    with pytest.raises(ValueError, match="mixed"):
-        ReconSpec(keys=("k",), pairing="cross", null_mode="mixed")
-
-
 def test_csv_keeps_microseconds_and_nested_values(spark, tmp_path):
     schema = ("k int, at timestamp_ntz, tags array<string>, box struct<a:int,b:timestamp_ntz>, "
               "m map<string,int>")
