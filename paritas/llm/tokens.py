@@ -11,8 +11,9 @@ import pyarrow as pa
 
 from paritas.llm.common import LOWER, byte_buffer
 
-#: Bytes one worker keeps pieces and their ids in, about; beyond it the memory starts anew.
-KNOWN_BYTES = 32 << 20
+#: Bytes one worker keeps pieces and their ids in, about; beyond it the half that was
+#: asked for in the fewest slices goes.
+KNOWN_BYTES = 64 << 20
 #: Bytes of a kept piece beside its characters and ids, about.
 _PIECE_BYTES = 160
 #: Bytes of text encoded at once (distinct pieces are looked up once each time).
@@ -63,22 +64,38 @@ class WordTokens:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self._forget()
+        self._start([], np.zeros(0, np.uint32), np.zeros(1, np.int64))
 
     def _ends(self, flat: np.ndarray) -> np.ndarray:
         """Where the ids of each piece end, of plain pieces encoded together."""
         return np.flatnonzero(self.ends_word[flat]) + 1
 
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {"": 0}
-        self.used = 0
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.bounds = np.zeros(1 << 16, np.int64)  # piece i has ids[bounds[i]:bounds[i + 1]]
-        self.pieces = 1
+    def _start(self, pieces: list[str], ids: np.ndarray, bounds: np.ndarray) -> None:
+        """Knows these pieces only; piece i of them has ids[bounds[i]:bounds[i + 1]]."""
+        self.known: dict[str, int] = {"": 0} | dict(zip(pieces, range(1, len(pieces) + 1)))
+        self.pieces = len(pieces) + 1
+        self.ids, self.bounds, self.asked = (
+            np.zeros(1 << max(16, (n - 1).bit_length()), t) for n, t in (
+                (len(ids) + 1, np.uint32), (self.pieces + 1, np.int64), (self.pieces, np.int32)))
+        self.ids[:len(ids)] = ids
+        self.bounds[1:self.pieces + 1] = bounds
+        self.used = _PIECE_BYTES * len(pieces) + sum(map(len, pieces)) + 4 * len(ids)
+
+    def _thin(self) -> None:
+        """Gives up the pieces that the fewest slices asked for, until half the bytes are left."""
+        names = list(self.known)
+        order = 1 + np.argsort(-self.asked[1:self.pieces], kind="stable")
+        length = np.fromiter(map(len, names), np.int64, len(names)) + 4 * np.diff(
+            self.bounds[:self.pieces + 1])
+        kept = order[np.cumsum(length[order] + _PIECE_BYTES) <= KNOWN_BYTES // 2]
+        size = (self.bounds[kept + 1] - self.bounds[kept]).astype(np.int64)
+        bounds = np.concatenate([[0], np.cumsum(size)])
+        ids = self.ids[np.arange(bounds[-1]) + np.repeat(self.bounds[kept] - bounds[:-1], size)]
+        self._start([names[i] for i in kept.tolist()], ids, bounds)
 
     def _numbers(self, pieces: list[str]) -> np.ndarray:
         if self.used > KNOWN_BYTES:
-            self._forget()
+            self._thin()
         new = [p for p in pieces if p not in self.known]
         if new:
             plain = [p for p in new if self.plain.fullmatch(p)]
@@ -91,12 +108,16 @@ class WordTokens:
                 self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
             while self.pieces + n + 1 > len(self.bounds):
                 self.bounds = np.concatenate([self.bounds, np.zeros_like(self.bounds)])
+            while self.pieces + n > len(self.asked):
+                self.asked = np.concatenate([self.asked, np.zeros_like(self.asked)])
             self.ids[at:at + len(flat)] = flat
             self.bounds[self.pieces + 1:self.pieces + n + 1] = at + np.cumsum(sizes)
             self.known.update(zip(new, range(self.pieces, self.pieces + n)))
             self.pieces += n
             self.used += _PIECE_BYTES * n + sum(map(len, new)) + 4 * len(flat)
-        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        numbers = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        self.asked[numbers] += 1
+        return numbers
 
     def _one_by_one(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         lists = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -147,8 +168,9 @@ class WordTokens:
         return out, at + own
 
 
-#: The pre-tokenizer of a byte-level vocabulary keeps one space before a run of letters.
-_SPACED_WORD = re.compile(" [A-Za-z\u00df-\u00f6\u00f8-\u00ff]+")
+#: A space or line end, then characters up to a visible ASCII one or a Latin letter,
+#: none of them white or the beginning of a special token.
+_SPACED = re.compile("[ \n][^\\s<]*[!-;=-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]")
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _GRAPHIC = np.zeros(256, bool)
@@ -162,24 +184,29 @@ class ByteTokens(WordTokens):
 
     None of its tokens holds white space after another character, nor a letter
     and then a comma or full stop, so texts are cut before white space that
-    follows a visible ASCII character, and there (checked against whole-text
-    encoding in the tests)."""
+    follows a visible ASCII or Latin character, and there (checked against
+    whole-text encoding in the tests)."""
 
-    plain, glue = _SPACED_WORD, ""
+    plain, glue = _SPACED, ""
 
     def __init__(self, path: str) -> None:
         super().__init__(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.begins_piece = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        self.begins_piece[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
+        # the signs that stand for a space and a line end
+        self.begins_piece[[i for t, i in vocabulary.items() if t[0] in "\u0120\u010a"]] = True
 
     def _ends(self, flat: np.ndarray) -> np.ndarray:
         return np.append(np.flatnonzero(self.begins_piece[flat])[1:], len(flat))
 
     def _pieces(self, buf: np.ndarray, offsets: np.ndarray,
                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        # U+00C0 to U+00FF, two bytes, are visible and, but for two signs, letters
+        latin = np.zeros(len(buf), bool)
+        latin[1:] = buf[:-1] == 0xC3
+        letter = _ANY_LETTER[buf] | (latin & (buf != 0x97) & (buf != 0xB7))
         cut = np.zeros(len(buf) + 1, bool)
         cut[offsets] = True
-        cut[1:-1] |= (_GRAPHIC[buf[:-1]] & _SPACE[buf[1:]]) | (_ANY_LETTER[buf[:-1]] & _STOP[buf[1:]])
+        cut[1:-1] |= ((_GRAPHIC[buf] | latin)[:-1] & _SPACE[buf[1:]]) | (letter[:-1] & _STOP[buf[1:]])
         begin = np.flatnonzero(cut[:-1])
         return buf, begin, begin
