@@ -50,7 +50,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import (SENTINEL, all_of, any_of, in_common, lossless_text, own_text,
+from ..functions import (SENTINEL, all_of, in_common, lossless_text, own_text,
                          sentinel_text, struct_array)
 from ..spec import Resolved
 from .ordinals import find_hot_keys
@@ -176,8 +176,13 @@ def _varies(frame: DataFrame, c: str, mode: str, w) -> Column:
         (known > 0) & (known < F.count(F.lit(1)).over(w)))
 
 
-def _vary(c: str) -> str:
-    return f"__y_{c}"
+#: For each compared column whether the key's rows hold more than one value: one array,
+#: as the optimizer's constraints grow steeply with the number of such columns.
+VARY = "__y"
+
+
+def _any_varies() -> Column:
+    return F.exists(F.col(VARY), lambda x: x)
 
 
 def clustered(frame: DataFrame, kc: list[str], rs: Resolved, mode: str) -> DataFrame:
@@ -186,7 +191,8 @@ def clustered(frame: DataFrame, kc: list[str], rs: Resolved, mode: str) -> DataF
     w, side = Window.partitionBy(*kc), F.col(SIDE)
     return frame.select("*", F.sum(F.when(side == 0, 1).otherwise(0)).over(w).alias("__m"),
                         F.sum(F.when(side == 1, 1).otherwise(0)).over(w).alias("__n"),
-                        *[_varies(frame, c, mode, w).alias(_vary(c)) for c in rs.compare])
+                        F.array(*[_varies(frame, c, mode, w) for c in rs.compare])
+                        .cast("array<boolean>").alias(VARY))
 
 
 def _paired(frame: DataFrame, kc: list[str], rs: Resolved, mode: str) -> DataFrame:
@@ -223,7 +229,7 @@ def _cells(frame: DataFrame, rs: Resolved, mode: str, left_values: bool = False,
     compared column (those that vary within the key, with ``varied``); values as text
     of their ``own`` types.  ``other``: see ``_marks`` (None: true of right rows)."""
     cells = []
-    for c in rs.compare:
+    for i, c in enumerate(rs.compare):
         form = frame.schema[c].dataType
         parts = [F.lit(c).alias("column_name")]
         if left_values:
@@ -232,12 +238,12 @@ def _cells(frame: DataFrame, rs: Resolved, mode: str, left_values: bool = False,
         if marks:
             parts += _marks(frame, rs, c, other)
         if varied:
-            parts.append(F.col(_vary(c)).alias("__y"))
+            parts.append(F.col(VARY)[i].alias("__on"))
         cells.append(F.struct(*parts))
     element = ("struct<column_name:string," + "left_value:string," * left_values + "__v:string"
-               + ",__t:string,__o:boolean" * marks + ",__y:boolean" * varied + ">")
+               + ",__t:string,__o:boolean" * marks + ",__on:boolean" * varied + ">")
     out = struct_array(cells, element)
-    return F.filter(out, lambda x: x["__y"]) if varied else out
+    return F.filter(out, lambda x: x["__on"]) if varied else out
 
 
 def _stack(frame: DataFrame, rs: Resolved, mode: str, **how) -> list[Column]:
@@ -397,7 +403,7 @@ def _partners(by: list[str]) -> Column:
 def _changed_rows(frame: DataFrame, kc: list[str], rs: Resolved, mode: str) -> DataFrame:
     mode = _row_mode(mode)
     rows = _paired(frame, kc, rs, mode)
-    rows = rows.filter(any_of([F.col(_vary(c)) for c in rs.compare]))
+    rows = rows.filter(_any_varies())
     g = _grouped(rows, kc, rs, ["__n"])
     tcols = [f"__t{i}" for i in range(len(rs.compare))]
     g = g.select("*", *[encode(g, c, mode).alias(t) for c, t in zip(rs.compare, tcols)])
@@ -442,11 +448,11 @@ def cells_of_clustered(rows: DataFrame, kc: list[str], rs: Resolved, mode: str,
     """The cell report of ``clustered`` rows (of keys that both sides have); columns
     that hold one value in a key are left out before rows become cells."""
     mixed = mode == "mixed"
-    rows = rows.filter(any_of([F.col(_vary(c)) for c in rs.compare]))
-    g = _grouped(rows, kc, rs, ["__n", *[_vary(c) for c in rs.compare]])
+    rows = rows.filter(_any_varies())
+    g = _grouped(rows, kc, rs, ["__n", VARY])
     keep = list(dict.fromkeys([*kc, *rs.output]))
     st = g.select(*keep, SIDE, "__n", "__k", *_stack(
-        g, rs, mode, left_values=True, own=own, marks=mixed, varied=True)).drop("__y")
+        g, rs, mode, left_values=True, own=own, marks=mixed, varied=True)).drop("__on")
     # a cell row carries the keys, the declared output and one value, so its
     # width does not grow with the number of compared columns
     diff = F.col("__n") - _partners([*kc, "column_name", "__v"])

@@ -261,8 +261,7 @@ def cross_results(left: DataFrame, right: DataFrame, rs: Resolved, mode: str | N
     per_key = [F.sum(F.when((side == s) & match, 1).otherwise(0)).over(w).alias(f"__p{s}")
                for s in (0, 1)]
     rows = cross.clustered(cold, kc, rs, cross._cell_mode(mode)).select("*", *per_key)
-    varied = [cross._vary(c) for c in rs.compare]
-    g = cross._grouped(rows, kc, rs, ["__m", "__n", "__p0", "__p1", *varied])
+    g = cross._grouped(rows, kc, rs, ["__m", "__n", "__p0", "__p1", cross.VARY])
     by = list(dict.fromkeys([*kc, SIDE, *own]))
     first = F.lit(True) if set(rs.output) <= set(own) else F.row_number().over(
         Window.partitionBy(*by).orderBy(F.lit(0))) == 1

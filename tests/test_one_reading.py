@@ -249,7 +249,6 @@ def test_equal_columns_give_no_cells(spark):
     t = cross._tagged(r.left, r.right, r.rs, "safe", list(
         dict.fromkeys(r.rs.keys + r.rs.output + r.rs.compare)))
     rows = cross._paired(t, r.rs.keys, r.rs, "safe")
-    stacked = rows.selectExpr("size(filter(array({}), x -> x)) AS n".format(
-        ", ".join(cross._vary(c) for c in r.rs.compare))).groupBy().sum("n").first()[0]
+    stacked = rows.selectExpr(f"size(filter({cross.VARY}, x -> x)) AS n").groupBy().sum("n").first()[0]
     cells = r.mismatches.count()
     assert 0 < cells <= stacked <= 3 * cells < rows.count() * len(r.rs.compare)
