@@ -75,9 +75,8 @@ def op8_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each place where a document holds a benchmark item."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = decontamination.scan(docs, table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", F.inline("leaks"))
+    return decontamination.matches(table(spark, sf_dir, "documents"),
+                                   table(spark, sf_dir, "benchmark"))
 
 
 def op10_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -262,6 +262,75 @@ def test_leaks_of_short_items(spark):
     assert sorted(r.doc_id for r in few.collect()) == [4, 5]
 
 
+def test_leaks_beside_a_long_item(spark):
+    """Many items, texts and diagonals at once: no key passes 64 bits."""
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+
+    def made(n):
+        return "".join(rng.choices(letters, k=n))
+
+    items = [(i, made(30)) for i in range(12_000)] + [(20_000, made(500_000))]
+    texts = [(i, made(40)) for i in range(9_000)] + [
+        (9_001, "before " + items[17][1] + " after"), (9_002, items[11_000][1])]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.matches(docs, bench).collect()}
+    assert {(9_001, 17), (9_002, 11_000)} <= got
+    index = decontamination.Index.of(items)
+    chars, text, _, first = decontamination.normalised(pa.array([t for _, t in texts]))
+    packed = index.bands(chars, text, first)
+    decontamination._PACKED, old = 1 << 45, decontamination._PACKED
+    try:
+        sorted_ = index.bands(chars, text, first)
+    finally:
+        decontamination._PACKED = old
+    assert (packed == sorted_).all() and len(packed)
+
+
+def test_leaks_over_blocks_and_repeated_items(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text")
+    more = bench.unionByName(bench.selectExpr("item_id + 1000 AS item_id", "text"))
+    whole = sorted(map(tuple, decontamination.matches(docs, bench).collect()))
+    twice = sorted(map(tuple, decontamination.matches(docs, more, block_chars=500).collect()))
+    assert whole and twice == sorted(whole + [(d, i + 1000, *rest) for d, i, *rest in whole])
+    for chars in (500, decontamination.BLOCK_CHARS):
+        rows = decontamination.scan(docs, more, block_chars=chars).collect()
+        assert len(rows) == docs.count() and sorted(
+            (r.doc_id, *m) for r in rows for m in r.leaks) == whole
+    item = "one item that the benchmark names again and again"
+    many = spark.range(100_000).selectExpr("id AS item_id", f"'{item}' AS text")
+    index = decontamination.Benchmark.of(many, 1000)
+    assert index.blocks == 1 and len(index.block(0, 8, 0.1).items) == 1
+    doc = spark.createDataFrame([(1, f"So: {item}.")], "doc_id long, text string")
+    assert decontamination.matches(doc, many).count() == 100_000
+
+
+def test_leaks_in_long_texts(monkeypatch):
+    """Windows give what one scan gives, whatever the place of an occurrence."""
+    rng = random.Random(6)
+    items = [(i, "".join(rng.choices("abcdefgh ", k=n))) for i, n in enumerate((9, 30, 200, 700))]
+    text = "".join(rng.choices("ABCDEFGH  \n\u00e9", k=30_000))
+    for at, (_, item) in zip((40, 3_990, 4_090, 12_000), items):
+        text = text[:at] + " " + item.upper() + "\n" + text[at + 40:]
+    index = decontamination.Index.of(items)
+    column = pa.array([text])
+    whole = decontamination._found(index, column)
+    assert {m[1] for m in whole} == {0, 1, 2, 3}
+    monkeypatch.setattr(decontamination, "TEXT_BYTES", 1000)
+    assert decontamination._found(index, column) == whole
+
+
+def test_leaks_in_a_text_of_50_mb():
+    rng = random.Random(7)
+    block = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=1 << 20))
+    item = "the passage that is hidden somewhere in the fifty megabytes"
+    text = block * 24 + item + block * 26
+    got = decontamination._found(decontamination.Index.of([(1, item)]), pa.array([text]))
+    assert got == [(0, 0, 24 << 20, (24 << 20) + len(item), 0)]
+
+
 # --- sharding ---------------------------------------------------------------
 def test_lookup_table():
     names = [f"s{i}" for i in range(7)]
