@@ -1,5 +1,7 @@
 """Clusterings by key take as many tasks as their rows need."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,3 +68,29 @@ def test_clusterings_are_spread(spark, few, hot_rows):
                fanout.cross_results(left, right, rs).frame,
                fanout.ordinal_results(left, right, by_rank).frame):
         assert "REPARTITION_BY_NUM" in _exchanges(df)
+
+
+@pytest.mark.parametrize("mode", ["safe", "sentinel", "mixed"])
+@pytest.mark.parametrize("threshold", [10, 10_000])  # the NULL key apart, and with the others
+def test_right_values_of_all_pairs(spark, few, hot_rows, mode, threshold):
+    hot_rows(threshold)
+    left, right = _sides(spark, 120)
+    rs = _rs(left, right, mode)
+    text = lambda v: "NULL" if v is None else v
+    named, want = set(), Counter()
+    for x in _rows(1, 120):
+        for y in (y for y in _rows(2, 120) if y[0] == x[0]):
+            sentinel = [text(p) != text(q) for p, q in zip(x[1:3], y[1:3])]
+            safe = [p != q for p, q in zip(x[1:3], y[1:3])]
+            found = (safe if mode == "safe" else sentinel if mode == "sentinel"
+                     else [d and any(sentinel) for d in safe])
+            named |= {(x[0], c) for c, d in zip("ab", found) if d}
+    alike = (lambda v: text(v)) if mode == "sentinel" else (lambda v: v)
+    for y in _rows(2, 120):
+        for c, v in zip("ab", y[1:3]):
+            if (y[0], c) in named:
+                want[y[0], c, None if alike(v) is None else str(alike(v))] += 1
+    got = Counter()
+    for k, c, v, n in cross.right_values_cross(left, right, rs).collect():
+        got[k, c, text(v) if mode == "sentinel" else v] += n
+    assert got == want
