@@ -3,9 +3,11 @@
 from collections import Counter
 
 import pytest
+from conftest import SF001
 from pyspark.sql import functions as F
 
 from paritas.operators import cross, fanout, figures, match, ordinals
+from paritas.sources import fixtures
 from paritas.spec import ReconSpec
 
 SCHEMA = "k long, a long, b string, note string"
@@ -94,3 +96,11 @@ def test_right_values_of_all_pairs(spark, few, hot_rows, mode, threshold):
     for k, c, v, n in cross.right_values_cross(left, right, rs).collect():
         got[k, c, text(v) if mode == "sentinel" else v] += n
     assert got == want
+
+
+def test_wide_rows_are_not_shuffled_to_be_paired(spark, monkeypatch):
+    """Before, the join by customer came last, and rows of 45 columns were shuffled by key."""
+    monkeypatch.setattr(fixtures, "WIDE_TASK_LINES", 500)
+    left, right = fixtures.wide_pair(spark, SF001)
+    both = left.withColumn("s", F.lit(0)).unionByName(right.withColumn("s", F.lit(1)))
+    assert ordinals.is_clustered(both, fixtures.LINE_KEYS)
