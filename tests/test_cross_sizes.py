@@ -74,3 +74,48 @@ def test_a_key_too_large_for_one_task_is_split_off(spark):
     cold, hot, _ = cross._split(t, rs)
     assert hot is not None and hot.count() == n
     assert cold.count() == 100
+
+
+WIDE = [f"c{i:02d}" for i in range(18)]
+WIDE_SCHEMA = "k long, kk string, note string, " + "".join(f"{c} long, " for c in WIDE) + "d double, s string"
+
+
+def _wide_rows(seed: int, sizes: dict) -> list[tuple]:
+    out = []
+    for k, n in sizes.items():
+        for i in range(n):
+            x = (i // 2 * 5 + seed * (i % 3) + (k or 0)) % 7  # some rows twice
+            out.append((k, None if k == 2 else "b", ["n", None, "m"][x % 3],
+                        *[None if (x + j) % 6 == 0 else (x * j) % 4 for j in range(len(WIDE))],
+                        [0.0, -0.0, float("nan"), 1.5, None][x % 5], [None, "NULL", "u"][x % 3]))
+    return out
+
+
+@pytest.mark.parametrize("few", [2, 8])
+@pytest.mark.parametrize("output", [("note",), ("s", "note")])
+def test_wide_cells_equal_all_pairs(spark, monkeypatch, few, output):
+    """Before, each cell of each key became a sorted row; now those of larger keys only."""
+    monkeypatch.setattr(cross, "FEW_ROWS", few)
+    a = _wide_rows(1, {1: 1, 2: 3, 3: 4, 4: 5, 5: 20, 6: 3, 8: 1, None: 4})
+    b = _wide_rows(2, {1: 1, 2: 2, 3: 4, 4: 4, 5: 15, 7: 2, 8: 9, None: 3})
+    left, right = (spark.createDataFrame(r, WIDE_SCHEMA) for r in (a, b))
+    names = left.columns
+    compare = (*WIDE, "d", "s")
+    rs = ReconSpec(keys=("k", "kk"), compare=compare, output=output, pairing="cross").resolve(left, right)
+    stacked, stack = [], cross.cells_of_clustered
+    monkeypatch.setattr(cross, "cells_of_clustered", lambda rows, *more: stacked.append(rows) or stack(rows, *more))
+    same_text = lambda v: None if v is None else "NaN" if v != v else str(v + 0.0 if isinstance(v, float) else v)
+    want = Counter()
+    for x in a:
+        partners = [y for y in b if y[:2] == x[:2]]
+        for c in compare:
+            i = names.index(c)
+            differ = sum(not _same(x[i], y[i]) for y in partners)
+            if differ:
+                want[(*x[:2], *[x[names.index(o)] for o in output], c, same_text(x[i]), len(partners), differ)] += 1
+    got = [tuple(r) for r in cross.mismatch_cells_cross(left, right, rs).collect()]
+    assert sorted((*r[:-3], *r[-2:], r[-3]) for r in [tuple(map(str, r)) for r in got]) == sorted(
+        tuple(map(str, (*r, n))) for r, n in want.items())
+    sizes = Counter(r[:2] for r in a + b)
+    assert {tuple(r) for r in stacked[0].select("k", "kk").collect()} == {
+        k for k, n in sizes.items() if n > few and k in {r[:2] for r in a} & {r[:2] for r in b}}
