@@ -119,3 +119,20 @@ def test_wide_cells_equal_all_pairs(spark, monkeypatch, few, output):
     sizes = Counter(r[:2] for r in a + b)
     assert {tuple(r) for r in stacked[0].select("k", "kk").collect()} == {
         k for k, n in sizes.items() if n > few and k in {r[:2] for r in a} & {r[:2] for r in b}}
+
+
+def test_wide_cells_of_small_keys_alone(spark, monkeypatch):
+    """Where no key has more rows, the plan of larger keys is left out; rows of a larger
+    key that come after the count end the run, they are not left out."""
+    sizes = {1: 1, 2: 3, 3: 4, None: 5}
+    left, right = (spark.createDataFrame(_wide_rows(s, sizes), WIDE_SCHEMA) for s in (1, 2))
+    rs = ReconSpec(keys=("k", "kk"), compare=(*WIDE, "d", "s"), output=("note",), pairing="cross").resolve(left, right)
+    rows = lambda: sorted(map(str, cross.mismatch_cells_cross(left, right, rs).collect()))
+    plan = lambda: cross.mismatch_cells_cross(left, right, rs)._jdf.queryExecution().analyzed().toString()
+    alone = rows()
+    assert "Union" in plan() and "column_name" not in plan()  # the sides' union, no stacked cells
+    monkeypatch.setattr(cross, "FEW_ROWS", 2)
+    assert alone == rows() and "column_name" in plan()
+    monkeypatch.setattr(cross, "_most_rows", lambda *_: 2)
+    with pytest.raises(Exception, match="changed while it was read"):
+        rows()
